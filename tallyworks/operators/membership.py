@@ -1,0 +1,42 @@
+"""Bloom-filter membership of keys, as a table of bitmaps."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Bits per row of the filter table: the size bitmap_construct_agg fills.
+PAGE_BITS = 32768
+
+
+def filter_size(n_keys: int, error: float = 0.01) -> tuple[int, int]:
+    """Bits and hash count for a false-positive share."""
+    bits = max(PAGE_BITS, math.ceil(-max(n_keys, 1) * math.log(error) / math.log(2) ** 2))
+    return bits, max(1, round(bits / max(n_keys, 1) * math.log(2))) if bits > PAGE_BITS else 7
+
+
+def _positions(key: Column, bits: int, hashes: int) -> Column:
+    return F.array(*[F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(bits)) for seed in range(hashes)])
+
+
+def build_filter(keys: DataFrame, column: str, bits: int, hashes: int) -> DataFrame:
+    """(page, bitmap): pages of the bit table that have a bit set."""
+    spots = keys.select(F.explode(_positions(F.col(column), bits, hashes)).alias("bit"))
+    return spots.groupBy(F.expr(f"bit div {PAGE_BITS}").alias("page")).agg(
+        F.bitmap_construct_agg(F.col("bit") % PAGE_BITS).alias("bitmap"))
+
+
+def probe_filter(probes: DataFrame, column: str, table: DataFrame, bits: int, hashes: int) -> DataFrame:
+    """Distinct probe keys with ``maybe``: false means certainly not a member.
+
+    Keys meet the pages by an ordinary join, so the filter needs no size limit.
+    """
+    spots = probes.select(column).distinct().select(
+        column, F.explode(_positions(F.col(column), bits, hashes)).alias("bit"))
+    met = spots.withColumn("page", F.expr(f"bit div {PAGE_BITS}")).join(table, "page", "left")
+    offset = F.col("bit") % PAGE_BITS
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (offset / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.coalesce(F.getbit(byte, (offset % 8).cast("int")), F.lit(0).cast("tinyint"))
+    return met.groupBy(column).agg((F.min(is_set) == 1).alias("maybe"))
