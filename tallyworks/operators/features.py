@@ -80,26 +80,26 @@ def standard_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         c: (F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0) for c in columns})
 
 
-def yeo_johnson(c: Column, power: float) -> Column:
-    grown = F.log1p(c) if abs(power) < 1e-12 else (F.pow(c + 1, F.lit(power)) - 1) / power
-    shrunk = (-F.log1p(-c) if abs(power - 2) < 1e-12
-              else -(F.pow(1 - c, F.lit(2 - power)) - 1) / (2 - power))
+def yeo_johnson(c: Column, power: Column) -> Column:
+    grown = F.when(F.abs(power) < 1e-12, F.log1p(c)).otherwise((F.pow(c + 1, power) - 1) / power)
+    rest = 2 - power
+    shrunk = F.when(F.abs(rest) < 1e-12, -F.log1p(-c)).otherwise((1 - F.pow(1 - c, rest)) / rest)
     return F.when(c >= 0, grown).otherwise(shrunk)
 
 
 def power_grid(df: DataFrame, columns: Sequence[str], powers: Sequence[float]) -> DataFrame:
-    """Log-likelihood of each power for each column, from one aggregate."""
-    measures = []
-    for i, column in enumerate(columns):
-        c = F.col(column).cast("double")
-        jacobian = F.sum(F.signum(c) * F.log1p(F.abs(c)))
-        for j, power in enumerate(powers):
-            fit = -F.count(c) / 2 * F.log(F.var_pop(yeo_johnson(c, power)))
-            measures.append((fit + (power - 1) * jacobian).alias(f"l_{i}_{j}"))
-    row = df.agg(*measures)
-    entries = [F.struct(F.lit(c).alias("column"), F.lit(float(p)).alias("power"), F.col(f"l_{i}_{j}").alias("fit"))
-               for i, c in enumerate(columns) for j, p in enumerate(powers)]
-    return row.select(F.inline(F.array(*entries)))
+    """Log-likelihood of each power for each column, in one pass.
+
+    A value meets every power in its own task; only one partial sum per column
+    and power is shuffled.
+    """
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        [], list(columns), "column", "value").where("value is not null")
+    tried = values.withColumn("power", F.explode(F.array(*[F.lit(float(p)) for p in powers])))
+    c, power = F.col("value"), F.col("power")
+    fit = -F.count(c) / 2 * F.log(F.var_pop(yeo_johnson(c, power)))
+    jacobian = F.sum((power - 1) * F.signum(c) * F.log1p(F.abs(c)))
+    return tried.groupBy("column", "power").agg((fit + jacobian).alias("fit"))
 
 
 def best_powers(df: DataFrame, columns: Sequence[str], powers: Sequence[float] | None = None) -> DataFrame:
@@ -113,7 +113,7 @@ def best_powers(df: DataFrame, columns: Sequence[str], powers: Sequence[float] |
 def power_transformed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Reduce skew by the best power of each column, then standardise."""
     powers = {row["column"]: row["power"] for row in best_powers(df, columns).collect()}
-    changed = df.withColumns({c: yeo_johnson(F.col(c).cast("double"), p) for c, p in powers.items()})
+    changed = df.withColumns({c: yeo_johnson(F.col(c).cast("double"), F.lit(p)) for c, p in powers.items()})
     return standard_scaled(changed, columns)
 
 

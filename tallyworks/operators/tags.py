@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.joins import lookup_join
-from tallyworks.session import fresh_path, materialize
+from tallyworks.session import fresh_path
 
 # Tags of one relation request; wider requests are answered in strips.
 STRIP_TAGS = 100
@@ -57,7 +57,7 @@ def cooccurrence(counts: DataFrame, basket: str, requested: Sequence[str] | None
                  width: int = STRIP_TAGS) -> DataFrame:
     """Pair counts for the requested tags, or for all of them.
 
-    More than ``width`` tags are worked off strip by strip into one table.
+    ``counts`` is read several times: pass a stored table. More than ``width`` tags are worked off strip by strip into one table.
     """
     if requested is None:
         tags = counts.select("tag").distinct()
@@ -75,7 +75,6 @@ def cooccurrence(counts: DataFrame, basket: str, requested: Sequence[str] | None
 
 
 def _all_strips(counts: DataFrame, basket: str, tags: DataFrame, width: int) -> DataFrame:
-    counts = materialize(counts, "basket-counts")
     path = fresh_path(counts.sparkSession, "cooccurrence")
     chunk: list[str] = []
     for row in tags.orderBy("tag").toLocalIterator():

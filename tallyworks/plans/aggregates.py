@@ -8,7 +8,8 @@ from tallyworks.functions.cells import int_or_zero
 from tallyworks.operators import quantiles, statistics as stats, tags, words as text
 from tallyworks.plans.filters import BAND_SQL
 from tallyworks.plans.inputs import (DAY_TAGS_SQL, LABELLED_SQL, STOP_SQL, TAGS_SQL, WORDS_SQL, basket_tags,
-                                     labelled_documents, order_tags, stop_words, user_counts)
+                                     labelled_documents, order_tags, stop_words, stored_baskets,
+                                     user_counts)
 from tallyworks.plans.registry import query, rounded
 
 SALES_SQL = """SELECT p_brand, sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity::BIGINT END)::BIGINT AS sales
@@ -256,14 +257,14 @@ def tag_totals(t):
 
 @query("a29_cooccurrence", f"WITH {TAGS_SQL} SELECT * FROM pairs")
 def cooccurrence(t):
-    return tags.cooccurrence(basket_tags(t), "o_orderkey")
+    return tags.cooccurrence(stored_baskets(t), "o_orderkey")
 
 
 @query("a30_relation_by_totals", f"""WITH {TAGS_SQL}, totals AS (SELECT tag, sum(n) AS n FROM tags GROUP BY 1)
   SELECT tag1, tag2, round(2 * count / (u.n + v.n), 6)::DOUBLE AS relation
   FROM pairs JOIN totals u ON tag1 = u.tag JOIN totals v ON tag2 = v.tag WHERE tag1 <> tag2""")
 def relation_by_totals(t):
-    counts = basket_tags(t)
+    counts = stored_baskets(t)
     scored = tags.relation_by_totals(tags.cooccurrence(counts, "o_orderkey"), tags.tag_counts(counts))
     return scored.withColumn("relation", rounded("relation"))
 
@@ -272,7 +273,7 @@ def relation_by_totals(t):
   SELECT tag1, tag2, round(2 * count / (u.n + v.n), 6)::DOUBLE AS relation
   FROM pairs JOIN sums u ON tag1 = u.tag JOIN sums v ON tag2 = v.tag WHERE tag1 <> tag2""")
 def relation_by_pairs(t):
-    scored = tags.relation_by_pairs(tags.cooccurrence(basket_tags(t), "o_orderkey"))
+    scored = tags.relation_by_pairs(tags.cooccurrence(stored_baskets(t), "o_orderkey"))
     return scored.withColumn("relation", rounded("relation"))
 
 

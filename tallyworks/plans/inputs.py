@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.operators.joins import lookup_join
 from tallyworks.plans.registry import Tables
+from tallyworks.session import materialize
 
 # Own short stop list for the test texts; real jobs pass their list.
 STOP_WORDS = ["the", "and", "of", "to", "in", "is", "it", "that", "for", "with", "on", "as", "by", "at",
@@ -52,6 +53,11 @@ def order_tags(t: Tables) -> DataFrame:
     return typed.join(orders, "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
 
 
+def stored_baskets(t: Tables) -> DataFrame:
+    """``basket_tags`` written once, for jobs that read it several times."""
+    return materialize(basket_tags(t), "baskets")
+
+
 def basket_tags(t: Tables) -> DataFrame:
     """(o_orderkey, tag, n) without the order date."""
     lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,7 @@ from tallyworks.operators.features import distinct_tokens
 from tallyworks.operators.statistics import top_per_group
 from tallyworks.operators.words import explode_words
 from tallyworks.plans.filters import BAND_SQL
-from tallyworks.plans.inputs import STOP_SQL, TAGS_SQL, WORDS_SQL, basket_tags, stop_words
+from tallyworks.plans.inputs import STOP_SQL, TAGS_SQL, WORDS_SQL, stop_words, stored_baskets
 from tallyworks.plans.registry import query, rounded
 from tallyworks.sources.files import union_tables
 
@@ -53,7 +53,7 @@ def update(t):
   SELECT greatest(a.tag, b.tag) AS tag1, least(a.tag, b.tag) AS tag2, count(*) AS count
   FROM lines a JOIN lines b ON a.basket = b.basket AND b.i < a.i GROUP BY 1, 2""")
 def earlier_pairs(t):
-    return tags.earlier_pairs(tags.cooccurrence(basket_tags(t), "o_orderkey"))
+    return tags.earlier_pairs(tags.cooccurrence(stored_baskets(t), "o_orderkey"))
 
 
 @query("j05_requested_pairs", f"""WITH {TAGS_SQL},
@@ -61,7 +61,7 @@ def earlier_pairs(t):
   SELECT a.i, b.i AS j, a.tag AS tag1, b.tag AS tag2, coalesce(count, 0) AS count
   FROM asked a JOIN asked b ON b.i < a.i LEFT JOIN pairs ON tag1 = a.tag AND tag2 = b.tag""")
 def requested_pairs(t):
-    counts = tags.cooccurrence(basket_tags(t), "o_orderkey", REQUESTED)
+    counts = tags.cooccurrence(stored_baskets(t), "o_orderkey", REQUESTED)
     return tags.requested_pairs(counts, REQUESTED)
 
 

@@ -7,16 +7,19 @@ from tallyworks.operators import evaluation, features, learners, words as text
 from tallyworks.operators.quantiles import exact_quantiles
 from tallyworks.plans.inputs import WEIGHTS_SQL, WORDS_SQL
 from tallyworks.plans.registry import query, rounded
+from tallyworks.session import materialize
 
 PART_FEATURES = ["p_size", "p_brand_code", "p_type_code", "p_partkey_part"]
 
 
 def part_rows(t):
-    """Parts with coded columns; the price grows with the low digits of the key."""
+    """Parts with coded columns, stored once for the many passes of a fit; the
+    price grows with the low digits of the key."""
     rows = t.part.select("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice",
                          (F.col("p_partkey") % 1000).alias("p_partkey_part"))
     coded = features.category_codes(features.category_codes(rows, "p_brand"), "p_type")
-    return features.assemble(coded, PART_FEATURES).select("p_partkey", "features", "p_retailprice")
+    vectors = features.assemble(coded, PART_FEATURES).select("p_partkey", "features", "p_retailprice")
+    return materialize(vectors, "part-vectors")
 
 
 def part_importances(t):

@@ -83,6 +83,22 @@ def best_powers(t):
     return found.withColumn("fit", rounded("fit", 2))
 
 
+POWERED_SQL = """(CASE WHEN abs(power_{0}) < 1e-12 THEN ln(1 + {0})
+    ELSE (power({0} + 1, power_{0}) - 1) / power_{0} END)"""
+
+
+@query("m08_power_transform", f"""WITH powered AS (SELECT l_orderkey, l_linenumber, l_partkey,
+    {POWERED_SQL.format('l_quantity')} AS q, {POWERED_SQL.format('l_extendedprice')} AS p
+    FROM lineitem, (SELECT power AS power_l_quantity FROM ({POWER_SQL.format('l_quantity')})),
+      (SELECT power AS power_l_extendedprice FROM ({POWER_SQL.format('l_extendedprice')})))
+  SELECT l_orderkey, l_linenumber, l_partkey, round((q - avg(q) OVER ()) / stddev_pop(q) OVER (), 6) AS l_quantity,
+    round((p - avg(p) OVER ()) / stddev_pop(p) OVER (), 6) AS l_extendedprice FROM powered""")
+def power_transform(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    found = features.power_transformed(rows, ["l_quantity", "l_extendedprice"])
+    return found.withColumns({c: rounded(c) for c in ("l_quantity", "l_extendedprice")})
+
+
 @query("m09_random_split")
 def random_split(t):
     part = F.when(features.in_training_part(F.col("p_partkey")), "train").otherwise("test")

@@ -25,12 +25,13 @@ def _by_day(table):
 
 @query("n01_stream_page_views", "SELECT ts::DATE AS day, count(*) AS views FROM events GROUP BY 1")
 def page_views(t):
-    return streams.run_to_table(streams.page_views(event_stream(t)), "complete", _by_day)
+    return _by_day(streams.run_to_table(streams.page_views(event_stream(t)), "complete"))
 
 
 @query("n02_stream_unique_visitors", "SELECT ts::DATE AS day, count(DISTINCT user_id) AS visitors FROM events GROUP BY 1")
 def unique_visitors(t):
-    return streams.run_to_table(streams.unique_visitors(event_stream(t)), "complete", _by_day)
+    seen = streams.run_to_table(streams.first_seen(event_stream(t), ["user_id"]), "update")
+    return _by_day(streams.unique_visitors(seen))
 
 
 @query("n03_most_frequent_keys", """SELECT * FROM (SELECT event_type, user_id, count(*) AS count FROM events GROUP BY ALL) c
@@ -81,10 +82,9 @@ def bloom(t):
   WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 40)""")
 def discard(t):
     known = t.events.where("event_type = 'error' and value > 40")
-    fresh = streams.discard_known(event_stream(t), known, "user_id")
-    dated = fresh.withColumn("day", F.to_date("ts"))
-    kept = streams.discard_repeats(dated, ["user_id", "event_type", "day"], "2 days")
-    return streams.run_to_table(kept.select("user_id", "event_type", "day"), "append")
+    seen = streams.first_seen(event_stream(t), ["user_id", "event_type"])
+    kept = streams.run_to_table(seen, "update", lambda batch: streams.discard_known(batch, known, "user_id"))
+    return _by_day(kept).select("user_id", "event_type", "day").distinct()
 
 
 @query("n08_libsvm", """SELECT label::DOUBLE AS label, round(embedding[1]::DOUBLE, 6) AS first,
@@ -110,13 +110,13 @@ def logistic(t):
                       F.count(F.lit(1)).alias("rows"))
 
 
-@query("n10_neighbour_stats", """SELECT l_suppkey AS src, count(*) AS neighbours, round(avg(p_retailprice), 6) AS mean_feature
+@query("n10_neighbour_stats", """SELECT l_suppkey AS src, count(*) AS neighbours, round(avg(p_retailprice), 9) AS mean_feature
   FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) e JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def neighbours(t):
     edges = t.lineitem.select(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst"))
     prices = t.part.select(F.col("p_partkey").alias("dst"), "p_retailprice")
     found = graphs.neighbour_stats(edges, prices, "p_retailprice")
-    return found.withColumn("mean_feature", rounded("mean_feature"))
+    return found.withColumn("mean_feature", rounded("mean_feature", 9))
 
 
 def routes(t):

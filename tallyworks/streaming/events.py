@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
@@ -27,23 +27,25 @@ def page_views(events: DataFrame, width: str = "1 day", late: str = "1 day") ->
             .agg(F.count(F.lit(1)).alias("views")))
 
 
-def unique_visitors(events: DataFrame, width: str = "1 day", late: str = "1 day") -> DataFrame:
-    """Distinct users per tumbling window: repeats are dropped by state first,
-    then counted."""
-    seen = (events.withWatermark("ts", late).select("user_id", F.window("ts", width).alias("w"))
-            .dropDuplicates(["user_id", "w"]))
-    return seen.groupBy("w").agg(F.count(F.lit(1)).alias("visitors"))
+def first_seen(events: DataFrame, keys: Sequence[str], width: str = "1 day", late: str = "1 day") -> DataFrame:
+    """One row per key and window with the time it was first seen.
+
+    A streaming aggregate combines rows before its shuffle, so a key that
+    repeats very often is a few rows per task there; ``dropDuplicates`` would
+    send every repeat to one task. The watermark lets old windows go.
+    """
+    return (events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), *keys)
+            .agg(F.min("ts").alias("first_seen")))
 
 
-def discard_repeats(events: DataFrame, keys: list[str], late: str = "1 day") -> DataFrame:
-    """Rows whose keys have not been seen within the watermark; pass the window
-    start among the keys so that state can be dropped."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
+def unique_visitors(seen: DataFrame) -> DataFrame:
+    """Distinct users per window of a ``first_seen`` table."""
+    return seen.groupBy("w").agg(F.countDistinct("user_id").alias("visitors"))
 
 
-def discard_known(events: DataFrame, known: DataFrame, key: str) -> DataFrame:
+def discard_known(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in a static table."""
-    return events.join(known.select(key).distinct(), key, "left_anti")
+    return rows.join(known.select(key).distinct(), key, "left_anti")
 
 
 def class_counts(events: DataFrame, model: Model) -> DataFrame:
@@ -51,19 +53,23 @@ def class_counts(events: DataFrame, model: Model) -> DataFrame:
     return model.transform(events).groupBy("prediction").agg(F.count(F.lit(1)).alias("count"))
 
 
-def run_to_table(stream: DataFrame, mode: str, after: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def run_to_table(stream: DataFrame, mode: str, each: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Work off what the source holds and return the result as a table.
 
-    ``append`` rows go to a file sink; a ``complete`` result is replaced as a
-    whole by each batch, so the last batch's table is the answer.
+    A ``complete`` result is replaced as a whole by each batch. ``update`` rows
+    are kept per batch, under the batch number, so that a batch that runs again
+    after a failure replaces its own rows.
     """
     spark = stream.sparkSession
     state, out = fresh_path(spark, "stream-state"), fresh_path(spark, "stream-out")
-    writer = stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", state)
-    if mode == "append":
-        query = writer.format("parquet").option("path", out).start()
-    else:
-        query = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).start()
+
+    def store(batch: DataFrame, number: int) -> None:
+        rows = each(batch) if each else batch
+        path = out if mode == "complete" else f"{out}/batch={number}"
+        rows.write.mode("overwrite").parquet(path)
+
+    query = (stream.writeStream.outputMode(mode).trigger(availableNow=True)
+             .option("checkpointLocation", state).foreachBatch(store).start())
     query.awaitTermination()
-    table = spark.read.schema(stream.schema).parquet(out)
-    return after(table) if after else table
+    table = spark.read.parquet(out)
+    return table.drop("batch") if mode != "complete" else table
