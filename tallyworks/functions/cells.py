@@ -71,7 +71,7 @@ def words(c: Column) -> Column:
     tokens = F.regexp_extract_all(F.lower(c), F.lit("[0-9a-zß-öø-ÿ]+|[一-龥]+"), 0)
     pairs = lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substring(t, i, 2))
     cut = lambda t: F.when(t.rlike("^[一-龥]") & (F.length(t) > 1), pairs(t)).otherwise(F.array(t))
-    return F.flatten(F.transform(tokens, cut))
+    return F.when(c.rlike("[一-龥]"), F.flatten(F.transform(tokens, cut))).otherwise(tokens)
 
 
 def range_midpoint(c: Column) -> Column:

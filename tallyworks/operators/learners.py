@@ -34,11 +34,12 @@ def split(df: DataFrame, key: str, share: float = 0.8) -> tuple[DataFrame, DataF
 def forest(label: str, features: str = "features", depth: int = 20, bins: int = 128,
            trees: int = 20) -> RandomForestRegressor:
     return RandomForestRegressor(labelCol=label, featuresCol=features, maxDepth=depth, maxBins=bins,
-                                 numTrees=trees, seed=SEED)
+                                 numTrees=trees, maxMemoryInMB=1024, seed=SEED)
 
 
 def tree(label: str, features: str = "features", depth: int = 20, bins: int = 128) -> DecisionTreeRegressor:
-    return DecisionTreeRegressor(labelCol=label, featuresCol=features, maxDepth=depth, maxBins=bins, seed=SEED)
+    return DecisionTreeRegressor(labelCol=label, featuresCol=features, maxDepth=depth, maxBins=bins,
+                                 maxMemoryInMB=1024, seed=SEED)
 
 
 def boosted(label: str, features: str = "features", rounds: int = 20, depth: int = 6, step: float = 0.05,

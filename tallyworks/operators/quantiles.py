@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from tallyworks.operators.joins import lookup_join
 from tallyworks.operators.ordering import running_total
+from tallyworks.session import materialize
 
-# The built-in percentile keeps every distinct value of a group in one buffer,
-# so it is used only for inputs up to this many rows.
-DIRECT_ROWS = 1_000_000
+# The built-in percentile holds the distinct values of a group in one buffer.
+# Up to this many rows it gets the bracketed counts, which are under 1% of them.
+BUFFER_ROWS = 100_000_000
 SKETCH_ACCURACY = 10_000
 # Distance of the bracket ends from the wanted share: ten times the sketch error.
 BRACKET_MARGIN = 10 / SKETCH_ACCURACY
-# Smaller groups are not bracketed: the margin would be under a few rows.
+# Smaller groups are kept whole: the margin would be only a few rows.
 BRACKET_ROWS = 10_000
 
 
@@ -26,58 +27,60 @@ def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), direct_rows: int | None = None) -> DataFrame:
+                    by: Sequence[str] = (), buffer_rows: int | None = None) -> DataFrame:
     """Linear-interpolation quantiles, nulls left out.
 
     Returns ``by``, ``column``, ``n`` and ``quantiles`` (one value per share).
     """
-    direct_rows = DIRECT_ROWS if direct_rows is None else direct_rows
+    buffer_rows = BUFFER_ROWS if buffer_rows is None else buffer_rows
     keys = [*by, "column"]
-    values = _long(df, columns, by)
-    if df.count() <= direct_rows:
-        return values.groupBy(*keys).agg(
-            F.count("value").alias("n"),
-            F.percentile("value", F.array(*[F.lit(p) for p in probs])).alias("quantiles"))
-    return _sorted_quantiles(values, keys, probs)
+    counted = _bracketed_counts(_long(df, columns, by), keys, probs)
+    if df.count() > buffer_rows:
+        return _placed_quantiles(counted, keys, probs)
+    return counted.groupBy(*keys).agg(
+        F.sum("count").alias("n"),
+        F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("count")).alias("quantiles"))
 
 
-def _sorted_quantiles(values: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """Quantiles by running counts over the sorted distinct values.
+def _bracketed_counts(values: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Rows per distinct value, exact near the wanted positions.
 
-    A sketch first brackets each wanted position. Values outside the brackets
-    keep their order and their count but lose their identity, so the counts
-    that are sorted cover only a small share of the values.
+    A sketch brackets each wanted position with a margin far over its error.
+    Values outside the brackets keep their order and count but move to the end
+    of the bracket below them, so few distinct values are left.
     """
     ends = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-BRACKET_MARGIN, BRACKET_MARGIN)]
-    sketch = values.groupBy(*keys).agg(
+    sketch = materialize(values.groupBy(*keys).agg(
         F.count("value").alias("__n"),
-        F.percentile_approx("value", F.array(*[F.lit(e) for e in ends]), SKETCH_ACCURACY).alias("__ends"))
+        F.percentile_approx("value", F.array(*[F.lit(e) for e in ends]), SKETCH_ACCURACY).alias("__ends")), "sketch")
     tagged = lookup_join(values, sketch, keys, "inner")
     lows = [F.col("__ends")[i] for i in range(0, len(ends), 2)]
     highs = [F.col("__ends")[i] for i in range(1, len(ends), 2)]
     inside: Column = F.col("__n") <= BRACKET_ROWS
     for low, high in zip(lows, highs):
         inside = inside | F.col("value").between(low, high)
-    below = [F.when(high < F.col("value"), high) for high in highs]
-    last_end = F.greatest(*below) if len(below) > 1 else below[0]
-    counted = (tagged.select(*keys, inside.alias("__inside"),
-                             F.when(inside, F.col("value")).otherwise(last_end).alias("__value"))
-               .groupBy(*keys, "__value", "__inside").agg(F.count(F.lit(1)).alias("__count")))
-    order = [*keys, F.col("__value").asc_nulls_first(), F.col("__inside").desc()]
-    running = running_total(counted, order, "__count", "__before", inclusive=False)
-    groups = running.groupBy(*keys).agg(F.min("__before").alias("__start"), F.sum("__count").alias("__n"))
+    last_end = F.greatest(F.lit(float("-inf")), *[F.when(high < F.col("value"), high) for high in highs])
+    kept = F.when(inside, F.col("value")).otherwise(last_end)
+    return tagged.select(*keys, kept.alias("value")).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("count"))
+
+
+def _placed_quantiles(counted: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles by running counts over the sorted values, for any size."""
+    running = running_total(counted, [*keys, "value"], "count", "__before", inclusive=False)
+    groups = running.groupBy(*keys).agg(F.min("__before").alias("__start"), F.sum("count").alias("__n"))
     placed = lookup_join(running, groups, keys, "inner").withColumn(
         "__at", F.col("__before") - F.col("__start"))
 
     def value_at(position: Column) -> Column:
-        covers = F.col("__inside") & (F.col("__at") <= position) & (position < F.col("__at") + F.col("__count"))
-        return F.max(F.when(covers, F.col("__value")))
+        covers = (F.col("__at") <= position) & (position < F.col("__at") + F.col("count"))
+        return F.max(F.when(covers, F.col("value")))
 
     picks, results = [], []
     for i, p in enumerate(probs):
         position = (F.col("__n") - 1) * F.lit(float(p))
         picks += [value_at(F.floor(position)).alias(f"__low{i}"), value_at(F.ceil(position)).alias(f"__high{i}")]
-        share = (F.col("n") - 1) * F.lit(float(p)) - F.floor((F.col("n") - 1) * F.lit(float(p)))
+        exact = (F.col("n") - 1) * F.lit(float(p))
+        share = exact - F.floor(exact)
         results.append(F.col(f"__low{i}") * (1 - share) + F.col(f"__high{i}") * share)
     picked = placed.groupBy(*keys).agg(F.max("__n").alias("n"), *picks)
     return picked.select(*keys, "n", F.array(*results).alias("quantiles"))

@@ -33,24 +33,34 @@ def basket_counts(rows: DataFrame, basket: str) -> DataFrame:
     return rows.groupBy(basket, "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-def strip(counts: DataFrame, basket: str, requested: Sequence[str]) -> DataFrame:
+def _tag_sums(met: DataFrame, requested: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """(tag1, tag2, count) from rows of tag, n and the basket's counts of the
+    requested tags. A tag k times in a basket makes k * (k - 1) with itself."""
+    own = lambda t, c: F.when(F.col("tag") == t, F.col(c) - 1).otherwise(F.col(c))
+    sums = met.groupBy("tag").agg(*[F.sum(F.col("n") * own(t, c)).alias(c) for t, c in zip(requested, names)])
+    entries = [F.struct(F.lit(t).alias("tag1"), F.col("tag").alias("tag2"), F.col(c).alias("count"))
+               for t, c in zip(requested, names)]
+    return sums.select(F.inline(F.array(*entries))).where("count > 0")
+
+
+def strip(counts: DataFrame, basket: str, requested: Sequence[str], closed: bool = False) -> DataFrame:
     """Pair counts of the requested tags with every tag.
 
     Each (basket, tag) row meets one row that holds the basket's counts of the
     requested tags, and sums are formed per tag at once. No pair is ever a row,
-    so the work is linear in the table. A tag that stands k times in a basket
-    makes k * (k - 1) with itself.
+    so the work is linear in the table. ``closed`` says that there are no other
+    tags: then the basket's own row holds all that is needed, without a join.
     """
     names = [f"__c{i}" for i in range(len(requested))]
     asked = (counts.where(F.col("tag").isin(list(requested))).groupBy(basket)
              .agg(*[F.coalesce(F.sum(F.when(F.col("tag") == t, F.col("n"))), F.lit(0)).alias(c)
                     for t, c in zip(requested, names)]))
-    met = lookup_join(counts, asked, [basket], "inner")
-    own = lambda t, c: F.when(F.col("tag") == t, F.col(c) - 1).otherwise(F.col(c))
-    sums = met.groupBy("tag").agg(*[F.sum(F.col("n") * own(t, c)).alias(c) for t, c in zip(requested, names)])
-    entries = [F.struct(F.lit(t).alias("tag1"), F.col("tag").alias("tag2"), F.col(c).alias("count"))
-               for t, c in zip(requested, names)]
-    return sums.select(F.inline(F.array(*entries))).where("count > 0")
+    if closed:
+        own_tags = F.array(*[F.struct(F.lit(t).alias("tag"), F.col(c).alias("n")) for t, c in zip(requested, names)])
+        met = asked.select(*names, F.inline(own_tags)).where("n > 0")
+    else:
+        met = lookup_join(counts, asked, [basket], "inner")
+    return _tag_sums(met, requested, names)
 
 
 def cooccurrence(counts: DataFrame, basket: str, requested: Sequence[str] | None = None,
@@ -59,17 +69,18 @@ def cooccurrence(counts: DataFrame, basket: str, requested: Sequence[str] | None
 
     ``counts`` is read several times: pass a stored table. More than ``width`` tags are worked off strip by strip into one table.
     """
+    closed = False
     if requested is None:
         tags = counts.select("tag").distinct()
         few = tags.limit(width + 1).collect()
         if len(few) > width:
             return _all_strips(counts, basket, tags, width)
-        requested = sorted(row["tag"] for row in few)
+        requested, closed = sorted(row["tag"] for row in few), True
     if not requested:
         return counts.select(F.col("tag").alias("tag1"), F.col("tag").alias("tag2"),
                              F.col("n").alias("count")).where(F.lit(False))
     if len(requested) <= width:
-        return strip(counts, basket, requested)
+        return strip(counts, basket, requested, closed)
     tags = counts.select("tag").where(F.col("tag").isin(list(requested))).distinct()
     return _all_strips(counts, basket, tags, width)
 

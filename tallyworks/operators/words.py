@@ -9,17 +9,26 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.cells import letter_words, words
 from tallyworks.functions.fixed_values import CJK_RUN
-from tallyworks.operators.joins import lookup_join, remove_stop_words
+from tallyworks.operators.joins import HOT_MIN_ROWS, HOT_SHARE, lookup_join, remove_stop_words
 from tallyworks.session import materialize
 
 # Weights this small count as zero.
 ZERO_WEIGHT = 1e-12
 
 
+def spread(texts: DataFrame) -> DataFrame:
+    """Give every core some texts when the input has fewer splits than cores.
+
+    ``texts`` is a plain scan. Large inputs have more splits and stay as they are.
+    """
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.repartition(cores) if texts.rdd.getNumPartitions() < cores else texts
+
+
 def explode_words(df: DataFrame, text: str, cut: Callable[[Column], Column] = words) -> DataFrame:
     """One row per word; the text column itself is not carried along."""
     rest = [c for c in df.columns if c != text]
-    return df.select(*rest, F.explode(cut(F.col(text))).alias("word"))
+    return spread(df).select(*rest, F.explode(cut(F.col(text))).alias("word"))
 
 
 def letter_word_counts(df: DataFrame, text: str) -> DataFrame:
@@ -57,9 +66,9 @@ def term_counts(df: DataFrame, key: str, text: str, cut: Callable[[Column], Colu
 
 
 def inverse_frequency(counts: DataFrame, n_texts: int) -> DataFrame:
-    """log2(N / df) per word."""
+    """df, the number of texts, and log2(N / df) per word."""
     df = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    return df.select("word", F.log2(F.lit(float(n_texts)) / F.col("df")).alias("idf"))
+    return df.withColumn("idf", F.log2(F.lit(float(n_texts)) / F.col("df")))
 
 
 def _unit(weighted: DataFrame, key: str) -> DataFrame:
@@ -72,14 +81,17 @@ def _unit(weighted: DataFrame, key: str) -> DataFrame:
 def text_weights(df: DataFrame, key: str, text: str,
                  cut: Callable[[Column], Column] = words) -> tuple[DataFrame, DataFrame]:
     """(key, word, weight) with weight = tf * log2(N / df), each text of length
-    1, and the (word, idf) table that a query needs.
+    1, and the (word, df, idf) table that a query needs.
 
-    The counts are stored once: both the document frequencies and the weights
-    read them.
+    Counts and frequencies are stored once, as several steps read them. The
+    frequencies also tell which words are hot in the join.
     """
     counts = materialize(term_counts(df, key, text, cut), "term-counts")
-    idf = inverse_frequency(counts, df.count())
-    weighted = lookup_join(counts, idf, ["word"], "inner").select(
+    idf = materialize(inverse_frequency(counts, df.count()), "idf")
+    floor = max(counts.count() / HOT_SHARE, HOT_MIN_ROWS)
+    hot = df.sparkSession.createDataFrame(
+        idf.where(F.col("df") > floor).select("word").limit(HOT_SHARE).collect(), "word string")
+    weighted = lookup_join(counts, idf.drop("df"), ["word"], "inner", hot=hot).select(
         key, "word", (F.col("tf") * F.col("idf")).alias("weight"))
     return _unit(weighted, key), idf
 

@@ -51,7 +51,8 @@ def main(folder: str, names: list[str]) -> int:
     import __spark_entry__ as entry
 
     spark = build_session("compare", "local[8]", spark__sql__shuffle__partitions="8",
-                          spark__ui__enabled="false", spark__driver__memory="12g")
+                          spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
+                          spark__driver__memory="12g")
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, bad = connect(folder), entry.oracle_sql(), 0
     for name, run in entry.queries().items():
