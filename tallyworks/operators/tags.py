@@ -19,7 +19,8 @@ STRIP_TAGS = 100
 
 def explode_tags(df: DataFrame, column: str, separator: str = ",") -> DataFrame:
     """One row per tag of a separated list."""
-    return df.withColumn("tag", F.explode(F.split(column, separator))).drop(column)
+    rest = [c for c in df.columns if c != column]
+    return df.select(*rest, F.explode(F.split(column, separator)).alias("tag"))
 
 
 def tag_counts(rows: DataFrame, *by: str) -> DataFrame:
