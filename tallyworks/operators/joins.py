@@ -37,19 +37,22 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left",
                 small_rows: int | None = None, min_hot_rows: int | None = None,
-                hot: DataFrame | None = None) -> DataFrame:
+                hot: DataFrame | None = None, probe: DataFrame | None = None) -> DataFrame:
     """Join facts to a lookup with at most one row per key.
 
     A small lookup is an ordinary join: Spark broadcasts it if its bytes allow.
     For a large one, rows of hot keys meet their lookup rows (fewer than
     HOT_SHARE) by broadcast, so no task receives a whole hot key; the other
-    rows take the shuffle join. ``hot`` names the hot keys if they are known.
+    rows take the shuffle join. ``hot`` names the hot keys if they are known;
+    ``probe`` is a cheaper table to look for them in, such as the scan that the
+    facts come from. Pass a derived lookup as a stored table: it is read twice.
     """
     keys = list(keys)
     small_rows = SMALL_LOOKUP_ROWS if small_rows is None else small_rows
     if lookup.limit(small_rows + 1).count() <= small_rows:
         return facts.join(lookup, keys, how)
-    hot = hot_keys(facts, keys, min_hot_rows) if hot is None else hot
+    if hot is None:
+        hot = hot_keys(facts if probe is None else probe, keys, min_hot_rows)
     if hot.isEmpty():
         return facts.join(lookup, keys, how)
     marks = F.broadcast(hot.withColumn("__hot", F.lit(True)))

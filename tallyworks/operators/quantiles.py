@@ -67,7 +67,8 @@ def _bracketed_counts(values: DataFrame, keys: list[str], probs: Sequence[float]
 def _placed_quantiles(counted: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
     """Quantiles by running counts over the sorted values, for any size."""
     running = running_total(counted, [*keys, "value"], "count", "__before", inclusive=False)
-    groups = running.groupBy(*keys).agg(F.min("__before").alias("__start"), F.sum("count").alias("__n"))
+    groups = materialize(
+        running.groupBy(*keys).agg(F.min("__before").alias("__start"), F.sum("count").alias("__n")), "groups")
     placed = lookup_join(running, groups, keys, "inner").withColumn(
         "__at", F.col("__before") - F.col("__start"))
 
@@ -102,9 +103,9 @@ def fence_values(df: DataFrame, column: str, whis: float = 1.5) -> tuple[float |
 
 def box_statistics(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles per group and the last values inside the fences."""
-    quartiles = exact_quantiles(df, [column], [0.25, 0.5, 0.75], [by]).select(
+    quartiles = materialize(exact_quantiles(df, [column], [0.25, 0.5, 0.75], [by]).select(
         by, F.col("quantiles")[0].alias("q1"), F.col("quantiles")[1].alias("median"),
-        F.col("quantiles")[2].alias("q3"))
+        F.col("quantiles")[2].alias("q3")), "quartiles")
     rows = lookup_join(df.select(by, column).where(F.col(column).isNotNull()), quartiles, [by], "inner")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(column).between(F.col("q1") - reach, F.col("q3") + reach)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions.cells import any_zero
 from tallyworks.operators.joins import lookup_join
 from tallyworks.operators.quantiles import mode_of
+from tallyworks.session import materialize
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -63,7 +64,7 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def repair_with_group_mode(df: DataFrame, bad: Column, column: str, group: str) -> DataFrame:
     """Replace bad values by the most frequent value of their group."""
-    modes = mode_of(df, column, [group], "__mode")
+    modes = materialize(mode_of(df, column, [group], "__mode"), "modes")
     repaired = lookup_join(df, modes, [group])
     return repaired.withColumn(column, F.when(bad, F.col("__mode")).otherwise(F.col(column))).drop("__mode")
 
@@ -78,7 +79,7 @@ def fill_from_neighbours(df: DataFrame, column: str, place: Sequence[str]) -> Da
     known = df.where(F.col(column).isNotNull())
     for c in place:
         known = known.where(F.col(c).isNotNull())
-    modes = mode_of(known, column, place, "__mode")
+    modes = materialize(mode_of(known, column, place, "__mode"), "modes")
     filled = F.coalesce(F.col(column), F.col("__mode"), default)
     has_place = F.lit(True)
     for c in place:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.joins import lookup_join
-from tallyworks.session import fresh_path
+from tallyworks.session import fresh_path, materialize
 
 # Tags of one relation request; wider requests are answered in strips.
 STRIP_TAGS = 100
@@ -60,7 +60,7 @@ def strip(counts: DataFrame, basket: str, requested: Sequence[str], closed: bool
         own_tags = F.array(*[F.struct(F.lit(t).alias("tag"), F.col(c).alias("n")) for t, c in zip(requested, names)])
         met = asked.select(*names, F.inline(own_tags)).where("n > 0")
     else:
-        met = lookup_join(counts, asked, [basket], "inner")
+        met = lookup_join(counts, materialize(asked, "asked-tags"), [basket], "inner")
     return _tag_sums(met, requested, names)
 
 
@@ -124,6 +124,22 @@ def relation_by_totals(pair_counts: DataFrame, totals: DataFrame) -> DataFrame:
     return scored.select("tag1", "tag2", (2 * F.col("count") / (F.col("__n1") + F.col("__n2"))).alias("relation"))
 
 
+def relation_request(counts: DataFrame, basket: str, requested: Sequence[str]) -> DataFrame:
+    """(i, j, relation) for a requested tag list, both directions; 0 for tags
+    that never meet. An unknown tag is an error."""
+    if len(requested) > STRIP_TAGS:
+        raise ValueError(f"a request names at most {STRIP_TAGS} tags; relation_by_totals scores all of them")
+    totals = {r["tag"]: r["count"] for r in tag_counts(counts.where(F.col("tag").isin(list(requested)))).collect()}
+    missing = [t for t in requested if t not in totals]
+    if missing:
+        raise LookupError(f"unknown tags: {missing}")
+    pairs = requested_pairs(strip(counts, basket, requested), requested)
+    both = F.array(*[F.struct(F.col(a).alias("i"), F.col(b).alias("j")) for a, b in (("i", "j"), ("j", "i"))])
+    size = F.create_map(*[x for t, n in totals.items() for x in (F.lit(t), F.lit(n))])
+    score = 2 * F.col("count") / (size[F.col("tag1")] + size[F.col("tag2")])
+    return pairs.select(F.explode(both).alias("e"), score.alias("relation")).select("e.i", "e.j", "relation")
+
+
 def relation_by_pairs(pair_counts: DataFrame) -> DataFrame:
     """2 c(u, v) / (sum_t c(u, t) + sum_t c(t, v)); no diagonal.
 

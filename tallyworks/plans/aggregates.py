@@ -44,19 +44,19 @@ LETTER_COUNTS_SQL = """SELECT word, count(*) AS count FROM
 
 @query("a03_word_count", LETTER_COUNTS_SQL)
 def word_count(t):
-    return text.letter_word_counts(t.documents, "text")
+    return text.letter_word_counts(t.texts("documents", "text"), "text")
 
 
 @query("a04_total_words", f"SELECT sum(count)::BIGINT AS total FROM ({LETTER_COUNTS_SQL}) c")
 def total_words(t):
-    return text.letter_word_counts(t.documents, "text").agg(F.sum("count").alias("total"))
+    return text.letter_word_counts(t.texts("documents", "text"), "text").agg(F.sum("count").alias("total"))
 
 
 @query("a05_title_word_count", f"""SELECT word, count(*) AS count FROM
   (SELECT {WORDS_SQL.format('text')} AS word FROM documents) w
   WHERE length(word) > 1 AND word NOT IN (SELECT * FROM (VALUES {STOP_SQL}) s) GROUP BY word""")
 def title_words(t):
-    return text.title_word_counts(t.documents, "text", stop_words(t)).orderBy(F.desc("count"), "word")
+    return text.title_word_counts(t.texts("documents", "text"), "text", stop_words(t)).orderBy(F.desc("count"), "word")
 
 
 @query("a06_value_counts", "SELECT event_type, count(*) AS count FROM events GROUP BY 1")
@@ -269,6 +269,18 @@ def relation_by_totals(t):
     return scored.withColumn("relation", rounded("relation"))
 
 
+ASKED = ["STANDARD", "ECONOMY", "PROMO"]
+
+
+@query("a30_relation_request", f"""WITH {TAGS_SQL}, totals AS (SELECT tag, sum(n) AS n FROM tags GROUP BY 1),
+  asked AS (SELECT unnest({ASKED}) AS tag, unnest(range(3))::INT AS i)
+  SELECT a.i, b.i AS j, round(2 * coalesce(count, 0) / (u.n + v.n), 6)::DOUBLE AS relation
+  FROM asked a JOIN asked b ON a.i <> b.i JOIN totals u ON u.tag = a.tag JOIN totals v ON v.tag = b.tag
+  LEFT JOIN pairs ON tag1 = a.tag AND tag2 = b.tag""")
+def relation_request(t):
+    return tags.relation_request(stored_baskets(t), "o_orderkey", ASKED).withColumn("relation", rounded("relation"))
+
+
 @query("a31_relation_by_pairs", f"""WITH {TAGS_SQL}, sums AS (SELECT tag1 AS tag, sum(count) AS n FROM pairs GROUP BY 1)
   SELECT tag1, tag2, round(2 * count / (u.n + v.n), 6)::DOUBLE AS relation
   FROM pairs JOIN sums u ON tag1 = u.tag JOIN sums v ON tag2 = v.tag WHERE tag1 <> tag2""")
@@ -323,7 +335,7 @@ def label_rates(t):
     WHERE length(word) > 1 AND word NOT IN (SELECT * FROM (VALUES {STOP_SQL}) s))
   SELECT runs[1] AS word, count(*) AS count FROM runs WHERE len(runs) = 1 AND length(runs[1]) > 1 GROUP BY 1""")
 def reply_words(t):
-    return text.reply_word_counts(t.conversations, "text", stop_words(t), "[a-z]+").orderBy(F.desc("count"), "word")
+    return text.reply_word_counts(t.texts("conversations", "text"), "text", stop_words(t), "[a-z]+").orderBy(F.desc("count"), "word")
 
 
 @query("a37_percent_of_total", """SELECT p_type, count(*) AS count,

@@ -136,14 +136,14 @@ def still_missing(t):
   (SELECT unnest(regexp_split_to_array(text, '[^a-zA-Z]')) AS word FROM documents) w
   WHERE length(trim(word)) > 0 GROUP BY word""")
 def drop_empty_tokens(t):
-    pieces = t.documents.select(F.explode(letter_words(F.col("text"))).alias("word"))
+    pieces = t.texts("documents", "text").select(F.explode(letter_words(F.col("text"))).alias("word"))
     return pieces.where(F.length(F.trim("word")) > 0).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 @query("p21_keep_long_tokens", f"""SELECT word, count(*) AS count FROM
   (SELECT {WORDS_SQL.format('text')} AS word FROM documents) w WHERE length(word) > 1 GROUP BY word""")
 def keep_long_tokens(t):
-    tokens = t.documents.select(F.explode(words(F.col("text"))).alias("word"))
+    tokens = t.texts("documents", "text").select(F.explode(words(F.col("text"))).alias("word"))
     return tokens.where(F.length("word") > 1).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 

@@ -47,8 +47,8 @@ def order_tags(t: Tables) -> DataFrame:
     """
     lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("tag"))
-    typed = lookup_join(lines, parts, ["l_partkey"], "inner").groupBy("l_orderkey", "tag").agg(
-        F.sum("n").alias("n"))
+    typed = (lookup_join(lines, parts, ["l_partkey"], "inner", probe=t.lineitem)
+             .groupBy("l_orderkey", "tag").agg(F.sum("n").alias("n")))
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.month("o_orderdate").alias("month"))
     return typed.join(orders, "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
 
@@ -62,7 +62,7 @@ def basket_tags(t: Tables) -> DataFrame:
     """(o_orderkey, tag, n) without the order date."""
     lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("tag"))
-    return (lookup_join(lines, parts, ["l_partkey"], "inner")
+    return (lookup_join(lines, parts, ["l_partkey"], "inner", probe=t.lineitem)
             .groupBy(F.col("l_orderkey").alias("o_orderkey"), "tag").agg(F.sum("n").alias("n")))
 
 

@@ -11,6 +11,7 @@ from tallyworks.operators.words import explode_words
 from tallyworks.plans.filters import BAND_SQL
 from tallyworks.plans.inputs import STOP_SQL, TAGS_SQL, WORDS_SQL, stop_words, stored_baskets
 from tallyworks.plans.registry import query, rounded
+from tallyworks.session import materialize
 from tallyworks.sources.files import union_tables
 
 # A relation request names its tags; here all types of the part table.
@@ -22,7 +23,8 @@ REQUESTED = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "UNSEEN
   SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity, n
   FROM lineitem LEFT JOIN poi USING (l_suppkey, l_partkey)""")
 def left_join(t):
-    poi = t.lineitem.where("l_returnflag = 'R'").groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    poi = materialize(t.lineitem.where("l_returnflag = 'R'").groupBy("l_suppkey", "l_partkey")
+                      .agg(F.count(F.lit(1)).alias("n")), "poi")
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity")
     return ops.lookup_join(rows, poi, ["l_suppkey", "l_partkey"])
 
@@ -41,8 +43,8 @@ def lookup(t):
   SELECT o_orderkey, o_orderstatus, coalesce(price, o_totalprice) AS o_totalprice
   FROM orders LEFT JOIN newer ON o_orderkey = l_orderkey""")
 def update(t):
-    newer = (t.lineitem.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey"))
-             .agg(rounded(F.sum("l_extendedprice"), 2).alias("o_totalprice")))
+    newer = materialize(t.lineitem.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey"))
+                        .agg(rounded(F.sum("l_extendedprice"), 2).alias("o_totalprice")), "newer")
     return ops.update_by_key(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), newer,
                              "o_orderkey", ["o_totalprice"])
 
@@ -69,7 +71,7 @@ def requested_pairs(t):
   (SELECT {WORDS_SQL.format('text')} AS word FROM documents) w
   WHERE word NOT IN (SELECT * FROM (VALUES {STOP_SQL}) s) GROUP BY word""")
 def without_stop_words(t):
-    counts = explode_words(t.documents.select("text"), "text").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    counts = explode_words(t.texts("documents", "text"), "text").groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     return ops.remove_stop_words(counts, stop_words(t))
 
 

@@ -141,7 +141,7 @@ def similar_sql(source: str) -> str:
 
 
 def similar_documents(t, query_rows):
-    weights, idf = text.text_weights(t.documents, "doc_id", "text")
+    weights, idf = text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text")
     found = text.most_similar(weights, "doc_id", text.query_weights(query_rows, "text", idf))
     return found.withColumn("similarity", rounded("similarity"))
 
@@ -160,7 +160,7 @@ def similar_to_items(t):
 @query("l15_text_sentiment")
 def text_sentiment(t):
     """Labelled documents teach the classes; every document gets one."""
-    docs = learners.with_words(t.documents.select("doc_id", "text"), "text").drop("text")
+    docs = learners.with_words(t.texts("documents", "doc_id", "text"), "text").drop("text")
     train = docs.join(t.labels.select("doc_id", (1 - F.col("toxic")).cast("double").alias("label")), "doc_id")
     model = learners.word_pipeline("label").fit(train)
     return learners.two_class_label(model.transform(docs)).select("doc_id", "sentiment")

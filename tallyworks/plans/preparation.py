@@ -153,5 +153,5 @@ def important(t):
 
 @query("m14_text_weights", f"WITH {WEIGHTS_SQL} SELECT doc_id, word, round(weight, 6) AS weight FROM weights")
 def text_weights(t):
-    weights, _ = text.text_weights(t.documents, "doc_id", "text")
+    weights, _ = text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text")
     return weights.withColumn("weight", rounded("weight"))

@@ -20,7 +20,7 @@ def top_per_group(t):
 @query("w02_sequence_number", f"""SELECT row_number() OVER (ORDER BY count DESC, word) AS row_number, word, count
   FROM ({LETTER_COUNTS_SQL}) c""")
 def sequence_number(t):
-    return ordering.number_rows(letter_word_counts(t.documents, "text"), [F.desc("count"), "word"])
+    return ordering.number_rows(letter_word_counts(t.texts("documents", "text"), "text"), [F.desc("count"), "word"])
 
 
 @query("w03_rebuild_index", """SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS index, o_orderkey

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.sources.files import spread
+
 # Declared once, so that no read has to look for a schema.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -44,6 +46,11 @@ class Tables:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
 
+    def texts(self, name: str, *columns: str) -> DataFrame:
+        """Columns of a text table, over all cores even if it is one small file."""
+        return spread(getattr(self, name).select(*columns))
+
+
 @dataclass(frozen=True)
 class Query:
     run: Callable[[Tables], DataFrame]

@@ -53,7 +53,7 @@ def typed_text(t):
   FROM (SELECT doc_id, regexp_split_to_array(text, '[^a-zA-Z]') AS p FROM documents) d""")
 def split_non_letters(t):
     pieces = cells.letter_words(F.col("text"))
-    return t.documents.select("doc_id", pieces.alias("p")).select(
+    return t.texts("documents", "doc_id", "text").select("doc_id", pieces.alias("p")).select(
         "doc_id", F.size("p").cast("bigint").alias("pieces"),
         F.aggregate("p", F.lit(0).cast("bigint"), lambda n, x: n + F.length(x)).alias("letters"))
 
@@ -81,24 +81,24 @@ def strip_unit(t):
   length(regexp_replace(text, '[ \\n\\t]', '', 'g')) AS n FROM documents""")
 def squeeze(t):
     squeezed = cells.squeeze(F.col("text"))
-    return t.documents.select("doc_id", F.md5(squeezed).alias("digest"), F.length(squeezed).cast("bigint").alias("n"))
+    return t.texts("documents", "doc_id", "text").select("doc_id", F.md5(squeezed).alias("digest"), F.length(squeezed).cast("bigint").alias("n"))
 
 
 @query("f10_lower_case", "SELECT doc_id, md5(lower(text)) AS digest FROM documents")
 def lower_case(t):
-    return t.documents.select("doc_id", F.md5(F.lower("text")).alias("digest"))
+    return t.texts("documents", "doc_id", "text").select("doc_id", F.md5(F.lower("text")).alias("digest"))
 
 
 @query("f11_script_runs", """SELECT doc_id, md5(array_to_string(regexp_extract_all(text, '[a-z]+'), ' ')) AS digest
   FROM documents""")
 def script_runs(t):
-    return t.documents.select("doc_id", F.md5(cells.script_runs(F.col("text"), "[a-z]+")).alias("digest"))
+    return t.texts("documents", "doc_id", "text").select("doc_id", F.md5(cells.script_runs(F.col("text"), "[a-z]+")).alias("digest"))
 
 
 @query("f12_cut_words", """SELECT doc_id, len(w) AS words, md5(array_to_string(w, ' ')) AS digest FROM
   (SELECT doc_id, regexp_extract_all(lower(text), '[0-9a-zß-öø-ÿ]+') AS w FROM documents) d""")
 def cut_words(t):
-    return t.documents.select("doc_id", cells.words(F.col("text")).alias("w")).select(
+    return t.texts("documents", "doc_id", "text").select("doc_id", cells.words(F.col("text")).alias("w")).select(
         "doc_id", F.size("w").cast("bigint").alias("words"), F.md5(F.array_join("w", " ")).alias("digest"))
 
 

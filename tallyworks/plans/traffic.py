@@ -102,7 +102,7 @@ def libsvm(t):
 @query("n09_logistic_regression")
 def logistic(t):
     """Accuracy of a text quality classifier on held-out labelled documents."""
-    docs = learners.with_words(t.documents.select("doc_id", "text"), "text").drop("text")
+    docs = learners.with_words(t.texts("documents", "doc_id", "text"), "text").drop("text")
     rows = docs.join(t.labels.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
     train, test = learners.split(rows, "doc_id")
     scored = learners.word_pipeline("label").fit(train).transform(test)

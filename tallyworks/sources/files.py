@@ -34,6 +34,17 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8",
      .option("escape", '"').csv(path))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core some rows when a scan has fewer splits than cores.
+
+    Meant for texts, whose cutting costs far more than moving them once. A
+    large table has more splits than cores and stays as it is. ``scan`` must
+    be a scan with at most a projection: counting its splits runs no job then.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def union_tables(tables: Sequence[DataFrame]) -> DataFrame:
     """Tables under one another; a column that one lacks is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)

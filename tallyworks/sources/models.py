@@ -1,14 +1,30 @@
-"""Saved text weights: written once, reloaded for each query."""
+"""Saved models: written once, reloaded for each request."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 
 def save_text_model(weights: DataFrame, idf: DataFrame, path: str) -> None:
+    """Text weights with their keys, and the vocabulary."""
     weights.write.parquet(f"{path}/weights")
     idf.write.parquet(f"{path}/idf")
 
 
 def load_text_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/idf")
+
+
+def save_fitted(model: PipelineModel, features: Sequence[str], path: str, spark: SparkSession) -> None:
+    """A fitted pipeline with the names of its features in order."""
+    model.write().overwrite().save(f"{path}/model")
+    names = spark.createDataFrame(list(enumerate(features)), "position int, name string")
+    names.coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
+
+
+def load_fitted(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str]]:
+    names = spark.read.parquet(f"{path}/features").orderBy("position").collect()
+    return PipelineModel.load(f"{path}/model"), [row["name"] for row in names]

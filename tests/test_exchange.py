@@ -58,6 +58,19 @@ def test_saved_text_model(spark, tmp_path):
     assert texts(again) == texts(weights) and texts(frequencies) == texts(idf)
 
 
+def test_saved_pipeline(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from tallyworks.operators import learners
+    df = spark.range(50).selectExpr("double(id) as x", "double(id % 7) as y", "double(id * 2) as label")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x", "y"], outputCol="features"),
+                             learners.tree("label", depth=4)]).fit(df)
+    models.save_fitted(model, ["x", "y"], f"{tmp_path}/m", spark)
+    again, names = models.load_fitted(spark, f"{tmp_path}/m")
+    assert names == ["x", "y"]
+    assert texts(again.transform(df).select("x", "prediction")) == texts(model.transform(df).select("x", "prediction"))
+
+
 def test_shared_folder_is_the_named_one(spark, monkeypatch):
     class Conf:
         def get(self, name, default=None):

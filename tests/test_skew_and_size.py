@@ -133,6 +133,16 @@ def test_relation_scores(spark):
     assert pair_table(tags.earlier_pairs(pairs)) == {("a", "a"): 1, ("b", "a"): 2}
 
 
+def test_relation_request(spark):
+    rows = spark.createDataFrame([(0, "a"), (0, "b"), (0, "a"), (1, "c")], "basket int, tag string")
+    counts = tags.basket_counts(rows, "basket")
+    got = {(r["i"], r["j"]): round(r["relation"], 3) for r in
+           tags.relation_request(counts, "basket", ["b", "a", "c"]).collect()}
+    assert got == {(1, 0): 1.333, (0, 1): 1.333, (2, 0): 0, (0, 2): 0, (2, 1): 0, (1, 2): 0}
+    with pytest.raises(LookupError):
+        tags.relation_request(counts, "basket", ["a", "nobody"])
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("abcd"), min_size=1, max_size=6), min_size=1, max_size=12))
 def test_cooccurrence_of_any_lists(spark, lists):
