@@ -11,14 +11,24 @@ from pyspark.sql import functions as F
 from tallyworks.functions.fixed_values import CJK_RUN, PRICE_BANDS
 
 
+# A failing try_cast costs an exception per row, so texts are matched first.
+_WHOLE = r"^\s*[-+]?[0-9]+\s*$"
+_DECIMAL = r"^\s*[-+]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?|(?i:nan|inf|infinity))\s*$"
+
+
+def whole(c: Column, kind: str = "bigint") -> Column:
+    """Whole number, null if the text is not one."""
+    return F.when(c.rlike(_WHOLE), c.try_cast(kind))
+
+
 def int_or_zero(c: Column) -> Column:
     """Whole number, 0 if the text is not one."""
-    return F.coalesce(F.trim(c).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(whole(c), F.lit(0).cast("bigint"))
 
 
 def pair_or_zero(price: Column, count: Column) -> Column:
     """(price, count); both 0 if either text does not parse."""
-    p, n = F.trim(price).try_cast("double"), F.trim(count).try_cast("bigint")
+    p, n = to_number(price), whole(count)
     bad = p.isNull() | n.isNull()
     return F.struct(F.when(bad, F.lit(0.0)).otherwise(p).alias("price"),
                     F.when(bad, F.lit(0)).otherwise(n).alias("count"))
@@ -26,7 +36,7 @@ def pair_or_zero(price: Column, count: Column) -> Column:
 
 def to_number(c: Column) -> Column:
     """Double, null if the text is not a number."""
-    return F.trim(c).try_cast("double")
+    return F.when(c.rlike(_DECIMAL), c.try_cast("double"))
 
 
 def typed_text(c: Column, keep_text: bool = False) -> Column:
@@ -77,17 +87,17 @@ def words(c: Column) -> Column:
 def range_midpoint(c: Column) -> Column:
     """'5500' stays, '5000-6000' becomes its mean; odd forms become null."""
     text = c.cast("string")
-    low, high = F.substring(text, 1, 4).try_cast("double"), F.substring(text, 6, 4).try_cast("double")
-    return F.when(F.length(text) > 4, (low + high) / 2).otherwise(text.try_cast("double"))
+    low, high = to_number(F.substring(text, 1, 4)), to_number(F.substring(text, 6, 4))
+    return F.when(F.length(text) > 4, (low + high) / 2).otherwise(to_number(text))
 
 
 def year_prefix(c: Column) -> Column:
-    return F.substring(c.cast("string"), 1, 4).try_cast("int")
+    return whole(F.substring(c.cast("string"), 1, 4), "int")
 
 
 def leading_small_int(c: Column) -> Column:
     """First two characters as a byte-sized number."""
-    return F.substring(c, 1, 2).try_cast("tinyint")
+    return whole(F.substring(c, 1, 2), "tinyint")
 
 
 def named_numbers(c: Column, pattern: str, names: Sequence[str]) -> list[Column]:
@@ -102,7 +112,7 @@ def to_time(c: Column, form: str = "yyyy-MM-dd HH:mm:ss") -> Column:
 
 def month_digits(c: Column) -> Column:
     """Month of a 'yyyyMMdd' text."""
-    return F.substring(c, 5, 2).try_cast("int")
+    return whole(F.substring(c, 5, 2), "int")
 
 
 def guarded_ratio(x: Column, views: Column) -> Column:

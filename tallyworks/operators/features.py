@@ -81,10 +81,15 @@ def standard_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def yeo_johnson(c: Column, power: Column) -> Column:
-    grown = F.when(F.abs(power) < 1e-12, F.log1p(c)).otherwise((F.pow(c + 1, power) - 1) / power)
-    rest = 2 - power
-    shrunk = F.when(F.abs(rest) < 1e-12, -F.log1p(-c)).otherwise((1 - F.pow(1 - c, rest)) / rest)
-    return F.when(c >= 0, grown).otherwise(shrunk)
+    """Power transform for any sign: with l = log(1 + |c|) and p the power (or
+    2 - power below zero) it is sign(c) * (exp(p * l) - 1) / p."""
+    return _from_log(F.log1p(F.abs(c)), c >= 0, power)
+
+
+def _from_log(log: Column, positive: Column, power: Column) -> Column:
+    p = F.when(positive, power).otherwise(2 - power)
+    grown = F.when(F.abs(p) < 1e-12, log).otherwise(F.expm1(p * log) / p)
+    return F.when(positive, grown).otherwise(-grown)
 
 
 def power_grid(df: DataFrame, columns: Sequence[str], powers: Sequence[float]) -> DataFrame:
@@ -95,10 +100,10 @@ def power_grid(df: DataFrame, columns: Sequence[str], powers: Sequence[float]) -
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value").where("value is not null")
-    tried = values.withColumn("power", F.explode(F.array(*[F.lit(float(p)) for p in powers])))
-    c, power = F.col("value"), F.col("power")
-    fit = -F.count(c) / 2 * F.log(F.var_pop(yeo_johnson(c, power)))
-    jacobian = F.sum((power - 1) * F.signum(c) * F.log1p(F.abs(c)))
+    logs = values.select("column", F.log1p(F.abs("value")).alias("log"), (F.col("value") >= 0).alias("positive"))
+    tried = logs.withColumn("power", F.explode(F.array(*[F.lit(float(p)) for p in powers])))
+    fit = -F.count(F.lit(1)) / 2 * F.log(F.var_pop(_from_log(F.col("log"), F.col("positive"), F.col("power"))))
+    jacobian = (F.col("power") - 1) * F.sum(F.when(F.col("positive"), F.col("log")).otherwise(-F.col("log")))
     return tried.groupBy("column", "power").agg((fit + jacobian).alias("fit"))
 
 

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 import traceback
@@ -18,7 +19,9 @@ from tallyworks.session import build_session
 def connect(folder: str):
     con = duckdb.connect()
     for name in TABLES:
-        con.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
+        path = f"{folder}/{name}.parquet"
+        path = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 

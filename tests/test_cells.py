@@ -19,7 +19,11 @@ def test_numbers(spark):
     assert one(spark, "x", cells.int_or_zero)[0] == 0
     assert one(spark, "1.5", cells.int_or_zero)[0] == 0
     assert one(spark, "1e3", cells.to_number)[0] == 1000.0
-    assert one(spark, "n/a", cells.to_number)[0] is None
+    for text in ("n/a", "", "1e", "1d", None, "."):
+        assert one(spark, text, cells.to_number)[0] is None
+    assert one(spark, "-inf", cells.to_number)[0] == -math.inf
+    assert one(spark, "99999999999999999999", cells.int_or_zero)[0] == 0
+    assert one(spark, "+7", cells.int_or_zero)[0] == 7
 
 
 def test_pair_is_zero_if_either_fails(spark):
