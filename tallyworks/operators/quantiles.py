@@ -12,7 +12,7 @@ from tallyworks.operators.ordering import running_total
 from tallyworks.session import materialize
 
 # The built-in percentile holds the distinct values of a group in one buffer.
-# Up to this many rows it gets the bracketed counts, which are under 1% of them.
+# For groups up to this many rows it gets the bracketed counts, a small share of them.
 BUFFER_ROWS = 100_000_000
 SKETCH_ACCURACY = 10_000
 # Distance of the bracket ends from the wanted share: ten times the sketch error.
@@ -34,28 +34,35 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """
     buffer_rows = BUFFER_ROWS if buffer_rows is None else buffer_rows
     keys = [*by, "column"]
-    counted = _bracketed_counts(_long(df, columns, by), keys, probs)
-    if df.count() > buffer_rows:
+    values = _long(df, columns, by)
+    sketch = materialize(_sketch(values, keys, probs), "sketch")
+    counted = _bracketed_counts(values, sketch, keys, len(probs))
+    largest = sketch.agg(F.max("__n")).first()[0] or 0
+    if largest > buffer_rows:
         return _placed_quantiles(counted, keys, probs)
     return counted.groupBy(*keys).agg(
         F.sum("count").alias("n"),
         F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("count")).alias("quantiles"))
 
 
-def _bracketed_counts(values: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+def _sketch(values: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Rows per group, and two values around each wanted position with a margin
+    far over the sketch's error."""
+    ends = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-BRACKET_MARGIN, BRACKET_MARGIN)]
+    return values.groupBy(*keys).agg(
+        F.count("value").alias("__n"),
+        F.percentile_approx("value", F.array(*[F.lit(e) for e in ends]), SKETCH_ACCURACY).alias("__ends"))
+
+
+def _bracketed_counts(values: DataFrame, sketch: DataFrame, keys: list[str], n_probs: int) -> DataFrame:
     """Rows per distinct value, exact near the wanted positions.
 
-    A sketch brackets each wanted position with a margin far over its error.
     Values outside the brackets keep their order and count but move to the end
     of the bracket below them, so few distinct values are left.
     """
-    ends = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-BRACKET_MARGIN, BRACKET_MARGIN)]
-    sketch = materialize(values.groupBy(*keys).agg(
-        F.count("value").alias("__n"),
-        F.percentile_approx("value", F.array(*[F.lit(e) for e in ends]), SKETCH_ACCURACY).alias("__ends")), "sketch")
     tagged = lookup_join(values, sketch, keys, "inner")
-    lows = [F.col("__ends")[i] for i in range(0, len(ends), 2)]
-    highs = [F.col("__ends")[i] for i in range(1, len(ends), 2)]
+    lows = [F.col("__ends")[2 * i] for i in range(n_probs)]
+    highs = [F.col("__ends")[2 * i + 1] for i in range(n_probs)]
     inside: Column = F.col("__n") <= BRACKET_ROWS
     for low, high in zip(lows, highs):
         inside = inside | F.col("value").between(low, high)

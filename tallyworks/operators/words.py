@@ -89,13 +89,15 @@ def text_weights(df: DataFrame, key: str, text: str,
 
 def query_weights(query: DataFrame, text: str, idf: DataFrame,
                   cut: Callable[[Column], Column] = words) -> DataFrame:
-    """Weights of all given texts as one query; unknown words drop out."""
+    """Weights of all given texts as one query; unknown words drop out.
+
+    Stored, so that Spark knows its size when it meets the text weights.
+    """
     counts = explode_words(query.select(text), text, cut).groupBy("word").agg(F.count(F.lit(1)).alias("tf"))
-    weighted = counts.join(idf, "word").select(
-        F.lit(0).alias("query"), "word", (F.col("tf") * F.col("idf")).alias("weight"))
+    weighted = counts.join(idf, "word").select("word", (F.col("tf") * F.col("idf")).alias("weight"))
+    weighted = materialize(weighted.where(F.abs("weight") > ZERO_WEIGHT), "query")
     total = weighted.agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length")).first()["length"]
-    return (weighted.where(F.abs("weight") > ZERO_WEIGHT)
-            .select("word", (F.col("weight") / F.lit(total)).alias("query_weight")))
+    return weighted.select("word", (F.col("weight") / F.lit(total)).alias("query_weight"))
 
 
 def most_similar(weights: DataFrame, key: str, query: DataFrame, n: int = 20) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions import cells
 from tallyworks.plans.registry import query, rounded
+from tallyworks.sources.pages import id_names
 
 
 
@@ -182,12 +183,29 @@ def row_errors(t):
     return t.lineitem.select(*KEYS, *cells.errors(F.col("l_quantity") - 1, F.col("l_extendedprice") / 2000))
 
 
-@query("f23_join_list", """SELECT p_partkey, array_to_string(string_split(p_name, ' '), '、') AS names,
-  p_size::VARCHAR || '、' || p_partkey::VARCHAR AS ids FROM part""")
+def part_options(t):
+    """Each part with a reply that lists its options as id and name."""
+    item = lambda number, name: F.concat(F.lit('{"optionid": '), number.cast("string"), F.lit(', "optionname": "'),
+                                         F.col(name), F.lit('"}'))
+    reply = F.concat(F.lit('{"result": ['), item(F.col("p_size"), "p_type"), F.lit(", "),
+                     item(F.col("p_size") + 100, "p_brand"), F.lit("]}"))
+    schema = "result array<struct<optionid: bigint, optionname: string>>"
+    return t.part.select("p_partkey", F.from_json(reply, schema)["result"].alias("options"))
+
+
+@query("f23_join_list", """SELECT p_partkey, p_size::VARCHAR || '、' || (p_size + 100)::VARCHAR AS ids,
+  p_type || '、' || p_brand AS names FROM part""")
 def join_list(t):
-    ids = F.array(F.col("p_size").cast("string"), F.col("p_partkey").cast("string"))
-    return t.part.select("p_partkey", cells.join_list(F.split("p_name", " ")).alias("names"),
-                         cells.join_list(ids).alias("ids"))
+    ids = F.transform("options", lambda o: o["optionid"].cast("string"))
+    return part_options(t).select("p_partkey", cells.join_list(ids).alias("ids"),
+                                  cells.join_list(F.col("options.optionname")).alias("names"))
+
+
+@query("f23_option_names", """SELECT optionid, min(optionname) AS optionname FROM (
+  SELECT p_size::BIGINT AS optionid, p_type AS optionname FROM part
+  UNION ALL SELECT p_size + 100, p_brand FROM part) o GROUP BY 1""")
+def option_names(t):
+    return id_names(part_options(t), "options", "optionid", "optionname")
 
 
 @query("f24_swap_separator", "SELECT o_orderkey, strftime(o_orderdate, '%Y.%m') AS registered FROM orders")

@@ -18,6 +18,11 @@ def flatten_json(df: DataFrame, column: str, schema: str, fields: Mapping[str, s
     return out.withColumn("parsed", any_field).drop("__reply")
 
 
+def id_names(df: DataFrame, items: str, key: str, name: str) -> DataFrame:
+    """One name per id from arrays of records; the lowest if it has several."""
+    return df.select(F.inline(items)).groupBy(key).agg(F.min(name).alias(name))
+
+
 def field_from_html(html: Column, pattern: str, group: int = 1) -> Column:
     """First match of a pattern, null if there is none."""
     return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, group))

@@ -53,15 +53,20 @@ def class_counts(events: DataFrame, model: Model) -> DataFrame:
     return model.transform(events).groupBy("prediction").agg(F.count(F.lit(1)).alias("count"))
 
 
-def run_to_table(stream: DataFrame, mode: str, each: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def run_to_table(stream: DataFrame, mode: str, each: Callable[[DataFrame], DataFrame] | None = None,
+                 folder: str | None = None) -> DataFrame:
     """Work off what the source holds and return the result as a table.
 
+    With a ``folder`` a later run goes on where the last one stopped, whether
+    it ended or failed; without one each run starts anew.
+
     A ``complete`` result is replaced as a whole by each batch. ``update`` rows
     are kept per batch, under the batch number, so that a batch that runs again
     after a failure replaces its own rows.
     """
     spark = stream.sparkSession
-    state, out = fresh_path(spark, "stream-state"), fresh_path(spark, "stream-out")
+    folder = folder or fresh_path(spark, "stream")
+    state, out = f"{folder}/state", f"{folder}/out"
 
     def store(batch: DataFrame, number: int) -> None:
         rows = each(batch) if each else batch

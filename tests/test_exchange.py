@@ -107,6 +107,21 @@ def event_folder(spark, tmp_path_factory):
     return folder
 
 
+def test_stream_goes_on_where_it_stopped(spark, tmp_path):
+    source, folder = f"{tmp_path}/in", f"{tmp_path}/run"
+    rows = spark.range(300).select((F.lit("2024-01-01").cast("timestamp_ntz")
+                                    + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("ts"),
+                                   (F.col("id") % 7).alias("user_id"))
+    for part in range(2):
+        rows.where(F.hour("ts") % 2 == part).write.mode("append").parquet(source)
+        stream = streams.with_time(streams.read_stream(spark, source, rows.schema, "*.parquet"))
+        seen = streams.run_to_table(streams.first_seen(stream, ["user_id"], "1 hour", "1 day"), "update", folder=folder)
+    hours = F.date_trunc("hour", "ts")
+    assert texts(streams.unique_visitors(seen).select("visitors")) == texts(
+        rows.groupBy(hours.alias("h")).agg(F.countDistinct("user_id").alias("n")).select("n"))
+    assert seen.count() == rows.select(hours, "user_id").distinct().count()
+
+
 def test_stream_equals_batch(spark, event_folder):
     batch = spark.read.parquet(event_folder)
     stream = streams.with_time(
