@@ -101,7 +101,7 @@ def flatten_json(t):
 
 @query("s12_unwrap_jsonp", "SELECT event_id, regexp_extract(props, '([0-9]+)', 1)::BIGINT AS k FROM events")
 def jsonp(t):
-    body = unwrap_jsonp(F.concat(F.lit("getHeat("), F.col("props"), F.lit(")")))
+    body = unwrap_jsonp(F.concat(F.lit("callback("), F.col("props"), F.lit(")")))
     return t.events.select("event_id", F.from_json(body, "k bigint")["k"].alias("k"))
 
 
