@@ -26,8 +26,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 @query("op3_substring_dedup", r"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
-           FROM documents),
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS k
       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w)),
 f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS again FROM g),
@@ -48,12 +47,10 @@ def op9(spark, folder):
 
 
 @query("op10_decontamination", r"""
-WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
-             x -> x <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
-             x -> x <> '') AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
 pat AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS k
         FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i
               FROM b WHERE len(w) > 0)),
