@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import contamination, minhash, substrings, suffixes
+from tallyworks.llm import contamination, minhash, pieces, shards, substrings, suffixes, token_files
+from tallyworks.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,6 +45,11 @@ def op1(spark, folder):
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query("op2_sentencepiece")
+def op2(spark, folder):
+    return pieces.encoding_digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op3_substring_dedup", r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS k
@@ -59,6 +66,16 @@ def op3(spark, folder):
     return substrings.passage_digests(table(spark, folder, "documents"))
 
 
+@query("op5_token_files")
+def op5(spark, folder):
+    return token_files.token_digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_sharding")
+def op6(spark, folder):
+    return shards.shard_table(table(spark, folder, "documents"), fresh_path(spark, "shard-map"))
+
+
 @query("op9_suffix_dedup")
 def op9(spark, folder):
     return suffixes.string_digests(table(spark, folder, "documents"))
