@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyworks.llm import contamination, minhash, pieces, shards, substrings, suffixes, token_files
+from tallyworks.llm import (
+    contamination, minhash, perplexity, pieces, quality, shards, substrings, suffixes, token_files, toxicity,
+)
 from tallyworks.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +68,11 @@ def op3(spark, folder):
     return substrings.passage_digests(table(spark, folder, "documents"))
 
 
+@query("op4_quality")
+def op4(spark, folder):
+    return quality.quality_table(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op5_token_files")
 def op5(spark, folder):
     return token_files.token_digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -76,6 +83,16 @@ def op6(spark, folder):
     return shards.shard_table(table(spark, folder, "documents"), fresh_path(spark, "shard-map"))
 
 
+@query("op7_toxicity")
+def op7(spark, folder):
+    return toxicity.toxicity_table(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op8_quality_rules")
+def op8(spark, folder):
+    return perplexity.rule_table(table(spark, folder, "documents"))
+
+
 @query("op9_suffix_dedup")
 def op9(spark, folder):
     return suffixes.string_digests(table(spark, folder, "documents"))
