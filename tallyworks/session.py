@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: dict[str, str] = {}
+_swept: set[str] = set()
 
 
 def build_session(app: str = "tallyworks", master: str | None = None, **conf: str) -> SparkSession:
@@ -19,6 +22,7 @@ def build_session(app: str = "tallyworks", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass":
@@ -40,9 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master
     if named:
         base = named.rstrip("/")
-    elif spark.sparkContext.master.startswith("local"):
+    elif local:
         app = spark.sparkContext.applicationId
         if app not in _local_folder:
             _local_folder[app] = tempfile.mkdtemp(prefix="tallyworks-")
@@ -56,12 +61,38 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's path object and the file system that holds it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage, survives lost executors, and fixes values such as row
-    positions that would differ if the plan ran a second time.
+    positions that would differ if the plan ran a second time. ``discard`` frees a
+    table that no later step reads; what is left goes when the session ends.
     """
-    path = fresh_path(df.sparkSession, label)
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if spark.sparkContext.applicationId not in _swept:
+        _swept.add(spark.sparkContext.applicationId)
+        atexit.register(_sweep, spark, shared_dir(spark))
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_path = path
+    return stored
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a materialized table that nothing will read again."""
+    path, files = _file_system(stored.sparkSession, stored.stored_path)
+    files.delete(path, True)
+
+
+def _sweep(spark: SparkSession, folder: str) -> None:
+    """Delete this application's folder; a session that is already stopped leaves it to its owner."""
+    with contextlib.suppress(Exception):
+        path, files = _file_system(spark, folder)
+        files.delete(path, True)
