@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyworks.functions.fixed_values import CJK_RUN, PRICE_BANDS
+from tallyworks.functions.fixed_values import CJK_RUN, HAN_RUN, ID_LINK_PREFIXES, POSITION, PRICE_BANDS, WORD_RUN
 
 
 # A failing try_cast costs an exception per row, so texts are matched first.
@@ -22,16 +22,18 @@ def whole(c: Column, kind: str = "bigint") -> Column:
 
 
 def int_or_zero(c: Column) -> Column:
-    """Whole number, 0 if the text is not one."""
-    return F.coalesce(whole(c), F.lit(0).cast("bigint"))
+    """Whole number, 0 if the text is not one. A whole number beyond 64 bits is an
+    error: a silent 0 or a wrapped value would falsify sums."""
+    beyond = F.raise_error(F.concat(F.lit("whole number beyond 64 bits: "), c)).cast("bigint")
+    return F.when(c.rlike(_WHOLE), F.coalesce(c.try_cast("bigint"), beyond)).otherwise(F.lit(0).cast("bigint"))
 
 
 def pair_or_zero(price: Column, count: Column) -> Column:
     """(price, count); both 0 if either text does not parse."""
-    p, n = to_number(price), whole(count)
-    bad = p.isNull() | n.isNull()
+    p, known = to_number(price), F.coalesce(count.rlike(_WHOLE), F.lit(False))
+    bad = p.isNull() | ~known
     return F.struct(F.when(bad, F.lit(0.0)).otherwise(p).alias("price"),
-                    F.when(bad, F.lit(0)).otherwise(n).alias("count"))
+                    F.when(bad, F.lit(0)).otherwise(int_or_zero(count)).alias("count"))
 
 
 def to_number(c: Column) -> Column:
@@ -41,9 +43,11 @@ def to_number(c: Column) -> Column:
 
 def typed_text(c: Column, keep_text: bool = False) -> Column:
     """Text typed by its form: digits are a long, a decimal or exponent form a
-    double (left as text with ``keep_text``), '-' is long 0, the rest text."""
-    digits = c.rlike("^[0-9]+$")
-    decimal = ~digits & c.rlike(r"^[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?$") & F.lit(not keep_text)
+    double (left as text with ``keep_text``), '-' is long 0, the rest text. Digits
+    beyond 64 bits stay text, so none is lost."""
+    digits = F.coalesce(c.rlike("^[0-9]+$"), F.lit(False)) & c.try_cast("bigint").isNotNull()
+    many = c.rlike("^[0-9]+$") & c.try_cast("bigint").isNull()
+    decimal = ~digits & ~many & c.rlike(r"^[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?$") & F.lit(not keep_text)
     dash = c == "-"
     kind = F.when(digits | dash, "long").when(decimal, "double").when(c.isNotNull(), "text")
     return F.struct(
@@ -77,11 +81,12 @@ def script_runs(c: Column, pattern: str = CJK_RUN) -> Column:
 
 
 def words(c: Column) -> Column:
-    """Lower-case words; a Chinese run becomes its character pairs."""
-    tokens = F.regexp_extract_all(F.lower(c), F.lit("[0-9a-zß-öø-ÿ]+|[一-龥]+"), 0)
+    """Lower-case words: runs of letters, marks and numbers of any script; a
+    Chinese run becomes its character pairs."""
+    tokens = F.regexp_extract_all(F.lower(c), F.lit(f"{WORD_RUN}|{HAN_RUN}"), 0)
     pairs = lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substring(t, i, 2))
-    cut = lambda t: F.when(t.rlike("^[一-龥]") & (F.length(t) > 1), pairs(t)).otherwise(F.array(t))
-    return F.when(c.rlike("[一-龥]"), F.flatten(F.transform(tokens, cut))).otherwise(tokens)
+    cut = lambda t: F.when(t.rlike(f"^{HAN_RUN}") & (F.length(t) > 1), pairs(t)).otherwise(F.array(t))
+    return F.when(c.rlike(HAN_RUN), F.flatten(F.transform(tokens, cut))).otherwise(tokens)
 
 
 def range_midpoint(c: Column) -> Column:
@@ -149,15 +154,13 @@ def clean_id(c: Column) -> Column:
 
 def id_link(c: Column, base: str) -> Column:
     """Link of an item; a bare number gets the 'av' prefix."""
-    known = c.startswith("BV") | c.startswith("av")
+    known = reduce(lambda a, b: a | b, [c.startswith(p) for p in ID_LINK_PREFIXES])
     return F.concat(F.lit(base), F.when(known, c).otherwise(F.concat(F.lit("av"), c)))
 
 
 def position_pair(c: Column) -> list[Column]:
     """Longitude and latitude texts of a position literal in page text."""
-    pattern = "resblockPosition:'(.+),(.+)'"
-    found = c.rlike(pattern)
-    return [F.when(found, F.regexp_extract(c, pattern, i)).alias(name)
+    return [F.get(F.regexp_extract_all(c, F.lit(POSITION), i), F.lit(0)).alias(name)
             for i, name in ((1, "longitude"), (2, "latitude"))]
 
 

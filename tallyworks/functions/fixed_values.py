@@ -26,3 +26,11 @@ NOT_REGISTERED = "未上牌"
 
 # Runs of common Chinese characters.
 CJK_RUN = "[一-龥]+"
+
+# Words: runs of letters, marks and numbers that are not Chinese; Chinese runs.
+WORD_RUN = r"[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]+"
+HAN_RUN = r"\p{IsHan}+"
+
+# Position literal in page text, and the forms of an id that need no prefix.
+POSITION = "resblockPosition:'(.+),(.+)'"
+ID_LINK_PREFIXES = ("BV", "av")

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.joins import lookup_join
 from tallyworks.operators.ordering import number_rows
+from tallyworks.session import materialize
 
-# A table cannot hold one column per value beyond this; codes can.
-MAX_DUMMIES = 1000
+# Columns that a caller of the dummy functions usually wants at most; a wider
+# result comes in a sparse form.
+WIDTH = 1000
 
 
 def category_codes(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -24,30 +26,50 @@ def category_codes(df: DataFrame, column: str, name: str | None = None) -> DataF
     return lookup_join(df, codes, [column]).withColumn(name, F.coalesce(name, F.lit(-1)).cast("int"))
 
 
-def _bounded(values: DataFrame, column: str) -> list:
-    rows = values.limit(MAX_DUMMIES + 1).collect()
-    if len(rows) > MAX_DUMMIES:
-        raise ValueError(f"{column} has over {MAX_DUMMIES} values: use category_codes, "
-                         "whose result a sparse one-hot vector can take")
-    return [row[0] for row in rows]
+def _up_to(values: DataFrame, width: int) -> list | None:
+    """The values, or None if there are more than ``width``."""
+    rows = values.limit(width + 1).collect()
+    return None if len(rows) > width else [row[0] for row in rows]
 
 
-def one_hot_by_appearance(df: DataFrame, column: str, key: str) -> DataFrame:
-    """0/1 columns numbered by first appearance in key order; the source column goes."""
+def code_vector(df: DataFrame, code: str, name: str) -> DataFrame:
+    """A code as a sparse 0/1 vector; place 0 stands for code -1 (no value). The code goes."""
+    shifted = df.withColumn("__place", (F.col(code) + 1).cast("double"))
+    encoder = OneHotEncoder(inputCol="__place", outputCol=name, dropLast=False)
+    return encoder.fit(shifted).transform(shifted).drop("__place", code)
+
+
+def one_hot_by_appearance(df: DataFrame, column: str, key: str, width: int = WIDTH) -> DataFrame:
+    """0/1 columns numbered by first appearance in key order; the source column goes.
+
+    Over ``width`` values make one sparse vector ``<column>_vector`` instead, in
+    the same order.
+    """
     seen = df.groupBy(column).agg(F.min(key).alias("__first"))
-    values = _bounded(seen.orderBy("__first").select(column), column)
+    values = _up_to(seen.orderBy("__first").select(column), width)
+    if values is None:
+        codes = number_rows(seen.where(F.col(column).isNotNull()), ["__first", column], "__code", first=0)
+        coded = lookup_join(df, codes.select(column, "__code"), [column])
+        return code_vector(coded.withColumn("__code", F.coalesce("__code", F.lit(-1))), "__code",
+                           f"{column}_vector").drop(column)
     dummies = {f"{column}_{i + 1}": F.col(column).eqNullSafe(F.lit(v)).cast("int") for i, v in enumerate(values)}
     return df.withColumns(dummies).drop(column)
 
 
-def dummies_by_value(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """0/1 columns named after the value, in sorted order; null gives all 0."""
+def dummies_by_value(df: DataFrame, columns: Sequence[str], width: int = WIDTH) -> DataFrame:
+    """0/1 columns named after the value, in sorted order; null gives all 0.
+
+    A column with over ``width`` values becomes one sparse vector
+    ``<column>_vector`` over its values in sorted order instead.
+    """
     out = df
     for column in columns:
-        found = df.select(column).where(F.col(column).isNotNull()).distinct()
-        values = sorted(_bounded(found, column))
+        values = _up_to(df.select(column).where(F.col(column).isNotNull()).distinct(), width)
+        if values is None:
+            out = code_vector(category_codes(out, column, "__code"), "__code", f"{column}_vector").drop(column)
+            continue
         out = out.withColumns({f"{column}_{v}": F.coalesce(F.col(column) == F.lit(v), F.lit(False)).cast("int")
-                               for v in values}).drop(column)
+                               for v in sorted(values)}).drop(column)
     return out
 
 
@@ -55,11 +77,33 @@ def distinct_tokens(df: DataFrame, column: str, separator: str = " ") -> DataFra
     return df.select(F.explode(F.split(column, separator)).alias("token")).distinct()
 
 
-def dummies_by_token(df: DataFrame, column: str) -> DataFrame:
-    """One 0/1 column per token of any row: 1 where the text *contains* it."""
-    tokens = sorted(_bounded(distinct_tokens(df, column), column))
+def dummies_by_token(df: DataFrame, column: str, width: int = WIDTH) -> DataFrame:
+    """One 0/1 column per token of any row: 1 where the text *contains* it.
+
+    Over ``width`` tokens make one column ``<column>_tokens`` instead, the sorted
+    list of the tokens that the text contains (null for a null text).
+    """
+    tokens = _up_to(distinct_tokens(df, column), width)
+    if tokens is None:
+        return _contained_tokens(df, column)
     return df.withColumns({f"{column}_{t}": F.coalesce(F.col(column).contains(t), F.lit(False)).cast("int")
-                           for t in tokens}).drop(column)
+                           for t in sorted(tokens)}).drop(column)
+
+
+def _contained_tokens(df: DataFrame, column: str) -> DataFrame:
+    """A text contains a token exactly if one of its own tokens does, so each
+    distinct token's substrings are looked up once among the tokens."""
+    rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    tokens = materialize(distinct_tokens(rows, column), "tokens")
+    size = F.length("token")
+    parts = tokens.withColumn("__from", F.explode(F.sequence(F.lit(0), size))).withColumn(
+        "__size", F.explode(F.sequence(F.lit(0), size - F.col("__from"))))
+    inner = parts.select(F.col("token").alias("__own"),
+                         F.substring("token", F.col("__from") + 1, F.col("__size")).alias("token")).distinct()
+    found = inner.join(tokens, "token")
+    own = rows.select("__row", F.explode(F.split(column, " ")).alias("__own")).distinct()
+    lists = own.join(found, "__own").groupBy("__row").agg(F.sort_array(F.collect_set("token")).alias(f"{column}_tokens"))
+    return rows.join(lists, "__row", "left").drop("__row", column)
 
 
 def assemble(df: DataFrame, columns: Sequence[str], name: str = "features") -> DataFrame:
@@ -92,27 +136,59 @@ def _from_log(log: Column, positive: Column, power: Column) -> Column:
     return F.when(positive, grown).otherwise(-grown)
 
 
-def power_grid(df: DataFrame, columns: Sequence[str], powers: Sequence[float]) -> DataFrame:
-    """Log-likelihood of each power for each column, in one pass.
+def power_grid(df: DataFrame, powers: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Log-likelihood of each column's powers, in one pass.
 
     A value meets every power in its own task; only one partial sum per column
     and power is shuffled.
     """
+    columns = list(powers)
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "value").where("value is not null")
+        [], columns, "column", "value").where("value is not null")
     logs = values.select("column", F.log1p(F.abs("value")).alias("log"), (F.col("value") >= 0).alias("positive"))
-    tried = logs.withColumn("power", F.explode(F.array(*[F.lit(float(p)) for p in powers])))
+    own = F.coalesce(*[F.when(F.col("column") == c, F.array(*[F.lit(float(p)) for p in ps]))
+                       for c, ps in powers.items()])
+    tried = logs.withColumn("power", F.explode(own))
     fit = -F.count(F.lit(1)) / 2 * F.log(F.var_pop(_from_log(F.col("log"), F.col("positive"), F.col("power"))))
     jacobian = (F.col("power") - 1) * F.sum(F.when(F.col("positive"), F.col("log")).otherwise(-F.col("log")))
     return tried.groupBy("column", "power").agg((fit + jacobian).alias("fit"))
 
 
-def best_powers(df: DataFrame, columns: Sequence[str], powers: Sequence[float] | None = None) -> DataFrame:
-    """Power with the highest likelihood per column, on a grid of tenths."""
-    powers = powers or [k / 10 for k in range(-20, 21)]
-    fits = power_grid(df, columns, powers).where(F.col("fit").isNotNull() & ~F.isnan("fit"))
-    return fits.groupBy("column").agg(F.max(F.struct("fit", "power")).alias("best")).select(
-        "column", F.col("best.power").alias("power"), F.col("best.fit").alias("fit"))
+# Powers beyond this overflow for all but the narrowest columns.
+POWER_LIMIT = 64
+
+
+def best_powers(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame:
+    """Power with the highest likelihood per column, to ``digits`` decimals.
+
+    Whole powers are tried first, on and on while the best one is the last one
+    tried; then the neighbourhood of the best at a tenth of the step, until the step is
+    as fine as asked. Every pass is one aggregate over all columns.
+    """
+    tried: dict[str, dict[float, float]] = {c: {} for c in columns}
+    places = dict.fromkeys(columns, 0)
+    asked = {c: [float(p) for p in range(-2, 3)] for c in columns}
+    while asked:
+        for row in power_grid(df, asked).collect():
+            if row["fit"] is not None and math.isfinite(row["fit"]):
+                tried[row["column"]][row["power"]] = row["fit"]
+        following = {}
+        for c in asked:
+            if not tried[c]:
+                continue
+            best = max(tried[c], key=lambda p: (tried[c][p], -abs(p)))
+            end = best in (min(asked[c]), max(asked[c])) and places[c] == 0 and abs(best) < POWER_LIMIT
+            if end:
+                side = 1 if best > 0 else -1
+                following[c] = [best + side * k for k in range(-1, 5)]
+            elif places[c] < digits:
+                places[c] += 1
+                step = 10.0 ** -places[c]
+                following[c] = [round(best + k * step, places[c]) for k in range(-10, 11)]
+        asked = following
+    rows = [(c, best, tried[c][best]) for c in columns if tried[c]
+            for best in [max(tried[c], key=lambda p: (tried[c][p], -abs(p)))]]
+    return df.sparkSession.createDataFrame(rows, "column string, power double, fit double")
 
 
 def power_transformed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -123,8 +199,9 @@ def power_transformed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def in_training_part(key: Column, share: float = 0.8) -> Column:
-    """Repeatable split: true for about ``share`` of the keys."""
-    return F.pmod(F.xxhash64(key), F.lit(10_000)) < math.floor(share * 10_000)
+    """Repeatable split: true for about ``share`` of the keys, by their MD5."""
+    digits = F.conv(F.substring(F.md5(key.cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return digits % 10_000 < math.floor(share * 10_000)
 
 
 def important_features(importances: DataFrame, median: float) -> DataFrame:

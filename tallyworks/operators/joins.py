@@ -3,64 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup up to this many rows is left to Spark's own byte-checked choice.
-SMALL_LOOKUP_ROWS = 100_000
-# A key is hot when it holds more than 1/HOT_SHARE of the fact rows, so there
-# are never HOT_SHARE hot keys or more.
-HOT_SHARE = 1000
-# Hot keys are looked for in about this many rows; a miss costs time, not rows.
-HOT_PROBE_ROWS = 2_000_000
-# Below this many probed rows a key never counts as hot.
-HOT_MIN_ROWS = 1000
-
-
-def hot_keys(facts: DataFrame, keys: Sequence[str], min_rows: int | None = None) -> DataFrame:
-    """Keys that hold an outsized share of ``facts``: fewer than HOT_SHARE rows."""
-    min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
-    n = facts.count()
-    probe = facts.select(*keys)
-    if n > HOT_PROBE_ROWS:
-        probe = probe.sample(HOT_PROBE_ROWS / n, seed=11)
-    floor = max(min(n, HOT_PROBE_ROWS) / HOT_SHARE, min_rows)
-    hot = probe.groupBy(*keys).count().where(F.col("count") > floor).select(*keys)
-    return facts.sparkSession.createDataFrame(hot.limit(HOT_SHARE).collect(), hot.schema)
-
-
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
-def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left",
-                small_rows: int | None = None, min_hot_rows: int | None = None,
-                hot: DataFrame | None = None, probe: DataFrame | None = None) -> DataFrame:
-    """Join facts to a lookup with at most one row per key.
-
-    A small lookup is an ordinary join: Spark broadcasts it if its bytes allow.
-    For a large one, rows of hot keys meet their lookup rows (fewer than
-    HOT_SHARE) by broadcast, so no task receives a whole hot key; the other
-    rows take the shuffle join. ``hot`` names the hot keys if they are known;
-    ``probe`` is a cheaper table to look for them in, such as the scan that the
-    facts come from. Pass a derived lookup as a stored table: it is read twice.
+
+def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join facts to a lookup with at most one row per key, reading each side once.
+
+    Whether the lookup is broadcast is Spark's choice by its size in bytes. In a
+    shuffle join adaptive execution splits a hot key's (or the nulls') partition of
+    facts over tasks and gives each the key's one lookup row; ``build_session``
+    lets it do so even where that costs another shuffle.
     """
-    keys = list(keys)
-    small_rows = SMALL_LOOKUP_ROWS if small_rows is None else small_rows
-    if lookup.limit(small_rows + 1).count() <= small_rows:
-        return facts.join(lookup, keys, how)
-    if hot is None:
-        hot = hot_keys(facts if probe is None else probe, keys, min_hot_rows)
-    if hot.isEmpty():
-        return facts.join(lookup, keys, how)
-    marks = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    marked = facts.join(marks, _same(facts, marks, keys), "left").drop(*[marks[k] for k in keys])
-    hot_lookup = F.broadcast(lookup.join(F.broadcast(hot), keys, "left_semi"))
-    spread = marked.where("__hot").drop("__hot").join(hot_lookup, keys, how)
-    rest = marked.where("__hot is null").drop("__hot").join(lookup, keys, how)
-    return spread.unionByName(rest)
+    return facts.join(lookup, list(keys), how)
+
+
+def membership(probes: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Distinct non-null keys of ``probes``, and whether each is among ``keys``."""
+    asked = probes.select(column).where(F.col(column).isNotNull()).distinct()
+    known = keys.select(column).distinct().withColumn("__known", F.lit(True))
+    return asked.join(known, column, "left").select(column, F.coalesce("__known", F.lit(False)).alias("member"))
+
+
+def require_keys(keys_table: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Lookup rows of the given keys; a key that is not in the lookup is an error."""
+    missing = keys_table.select(*keys).distinct().join(lookup, list(keys), "left_anti").limit(5).collect()
+    if missing:
+        raise LookupError(f"unknown keys: {[tuple(r) for r in missing]}")
+    return keys_table.join(lookup, list(keys))
 
 
 def lookup_or_zero(keys_table: DataFrame, lookup: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -59,7 +59,9 @@ def running_total(df: DataFrame, order: Sequence[Column | str], weight: str,
     return stored.withColumn(name, F.col(_START) + local).drop(_POSITION, _RANGE, _START)
 
 
-def first_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
-    """The first ``n`` rows of a total order, spread over tasks when ``n`` is large."""
+def first_rows(df: DataFrame, order: Sequence[Column | str], n: int | None = None) -> DataFrame:
+    """The first ``n`` rows of a total order, spread over tasks when ``n`` is large; all rows if None."""
+    if n is None:
+        return df
     numbered = number_rows(df, order, "__number")
     return numbered.where(F.col("__number") <= n).drop("__number")

@@ -8,17 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.joins import lookup_join
-from tallyworks.operators.ordering import running_total
 from tallyworks.session import materialize
 
-# The built-in percentile holds the distinct values of a group in one buffer.
-# For groups up to this many rows it gets the bracketed counts, a small share of them.
-BUFFER_ROWS = 100_000_000
-SKETCH_ACCURACY = 10_000
+# The sketch holds this many samples per group at most. The brackets that it gives keep
+# about 2 / 10,000 of a group's rows per wanted share; their distinct values go to the
+# built-in percentile.
+SKETCH_ACCURACY = 100_000
 # Distance of the bracket ends from the wanted share: ten times the sketch error.
 BRACKET_MARGIN = 10 / SKETCH_ACCURACY
 # Smaller groups are kept whole: the margin would be only a few rows.
-BRACKET_ROWS = 10_000
+BRACKET_ROWS = 100_000
 
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -27,71 +26,74 @@ def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), buffer_rows: int | None = None) -> DataFrame:
+                    by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolation quantiles, nulls left out.
 
     Returns ``by``, ``column``, ``n`` and ``quantiles`` (one value per share).
     """
-    buffer_rows = BUFFER_ROWS if buffer_rows is None else buffer_rows
-    keys = [*by, "column"]
-    values = _long(df, columns, by)
-    sketch = materialize(_sketch(values, keys, probs), "sketch")
-    counted = _bracketed_counts(values, sketch, keys, len(probs))
-    largest = sketch.agg(F.max("__n")).first()[0] or 0
-    if largest > buffer_rows:
-        return _placed_quantiles(counted, keys, probs)
-    return counted.groupBy(*keys).agg(
-        F.sum("count").alias("n"),
-        F.percentile("value", F.array(*[F.lit(p) for p in probs]), F.col("count")).alias("quantiles"))
-
+    return _quantiles(df, columns, probs, by)[0]
 
-def _sketch(values: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """Rows per group, and two values around each wanted position with a margin
-    far over the sketch's error."""
-    ends = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-BRACKET_MARGIN, BRACKET_MARGIN)]
-    return values.groupBy(*keys).agg(
-        F.count("value").alias("__n"),
-        F.percentile_approx("value", F.array(*[F.lit(e) for e in ends]), SKETCH_ACCURACY).alias("__ends"))
 
+def _quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+               by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Quantiles, and the sketch table with the moments of every group.
 
-def _bracketed_counts(values: DataFrame, sketch: DataFrame, keys: list[str], n_probs: int) -> DataFrame:
-    """Rows per distinct value, exact near the wanted positions.
+    One read of ``df`` sketches all columns at once, a second one counts the values in the
+    brackets. Whether each wanted position lies in its bracket is checked by those
+    counts; a bracket that missed is widened and the second read repeated.
+    """
+    keys, margin = [*by, "column"], BRACKET_MARGIN
+    while True:
+        sketch = materialize(_sketch(df, columns, probs, by, margin), "sketch")
+        found = materialize(_from_brackets(_long(df, columns, by), sketch, keys, probs), "quantiles")
+        if margin >= 1 or not found.where("NOT sure").limit(1).collect():
+            return found.drop("sure"), sketch
+        margin = min(1.0, margin * 30)
+
+
+def _sketch(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str],
+            margin: float) -> DataFrame:
+    """Per group and column: moments, and two values around each wanted position
+    with a margin far over the sketch's error. One aggregate over wide rows."""
+    ends = F.array(*[F.lit(min(max(p + side, 0.0), 1.0)) for p in probs for side in (-margin, margin)])
+    parts = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        parts.append(F.struct(
+            F.count(v).alias("__n"), F.avg(v).alias("mean"), F.stddev(v).alias("std"), F.min(v).alias("min"),
+            F.max(v).alias("max"), F.percentile_approx(v, ends, SKETCH_ACCURACY).alias("__ends")).alias(f"__s{i}"))
+    wide = df.groupBy(*by).agg(*parts)
+    named = [F.struct(F.lit(c).alias("column"), F.col(f"__s{i}.*")) for i, c in enumerate(columns)]
+    return wide.select(*by, F.inline(F.array(*named))).where("__n > 0")
+
+
+def _from_brackets(values: DataFrame, sketch: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles from counts per distinct value near the wanted positions.
 
     Values outside the brackets keep their order and count but move to the end
     of the bracket below them, so few distinct values are left.
     """
-    tagged = lookup_join(values, sketch, keys, "inner")
-    lows = [F.col("__ends")[2 * i] for i in range(n_probs)]
-    highs = [F.col("__ends")[2 * i + 1] for i in range(n_probs)]
+    ends = sketch.select(*keys, "__n", "__ends")
+    lows, highs = ([F.col("__ends")[2 * i + k] for i in range(len(probs))] for k in (0, 1))
     inside: Column = F.col("__n") <= BRACKET_ROWS
     for low, high in zip(lows, highs):
         inside = inside | F.col("value").between(low, high)
-    last_end = F.greatest(F.lit(float("-inf")), *[F.when(high < F.col("value"), high) for high in highs])
-    kept = F.when(inside, F.col("value")).otherwise(last_end)
-    return tagged.select(*keys, kept.alias("value")).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("count"))
-
-
-def _placed_quantiles(counted: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """Quantiles by running counts over the sorted values, for any size."""
-    running = running_total(counted, [*keys, "value"], "count", "__before", inclusive=False)
-    groups = materialize(
-        running.groupBy(*keys).agg(F.min("__before").alias("__start"), F.sum("count").alias("__n")), "groups")
-    placed = lookup_join(running, groups, keys, "inner").withColumn(
-        "__at", F.col("__before") - F.col("__start"))
-
-    def value_at(position: Column) -> Column:
-        covers = (F.col("__at") <= position) & (position < F.col("__at") + F.col("count"))
-        return F.max(F.when(covers, F.col("value")))
-
-    picks, results = [], []
-    for i, p in enumerate(probs):
-        position = (F.col("__n") - 1) * F.lit(float(p))
-        picks += [value_at(F.floor(position)).alias(f"__low{i}"), value_at(F.ceil(position)).alias(f"__high{i}")]
-        exact = (F.col("n") - 1) * F.lit(float(p))
-        share = exact - F.floor(exact)
-        results.append(F.col(f"__low{i}") * (1 - share) + F.col(f"__high{i}") * share)
-    picked = placed.groupBy(*keys).agg(F.max("__n").alias("n"), *picks)
-    return picked.select(*keys, "n", F.array(*results).alias("quantiles"))
+    last_end = F.greatest(F.lit(float("-inf")), F.lit(float("-inf")),
+                          *[F.when(high < F.col("value"), high) for high in highs])
+    counted = lookup_join(values, ends, keys, "inner").select(
+        *keys, inside.alias("__in"), F.when(inside, F.col("value")).otherwise(last_end).alias("value")).groupBy(
+        *keys, "__in", "value").agg(F.count(F.lit(1)).alias("count"))
+    sure = F.lit(True)
+    for p, low, high in zip(probs, lows, highs):
+        at = (F.max("__n") - 1) * F.lit(float(p))
+        below = F.sum(F.when(F.col("value") < low, F.col("count")).otherwise(0))
+        upto = F.sum(F.when((F.col("value") < high) | (F.col("__in") & (F.col("value") == high)), F.col("count"))
+                     .otherwise(0))
+        sure = sure & (below <= F.floor(at)) & (F.ceil(at) < upto)
+    return lookup_join(counted, ends, keys, "inner").groupBy(*keys).agg(
+        F.sum("count").alias("n"),
+        F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]), F.col("count")).alias("quantiles"),
+        (sure | (F.max("__n") <= BRACKET_ROWS)).alias("sure"))
 
 
 def iqr_fences(df: DataFrame, columns: Sequence[str], whis: float = 1.5, by: Sequence[str] = ()) -> DataFrame:
@@ -124,13 +126,10 @@ def box_statistics(df: DataFrame, column: str, by: str) -> DataFrame:
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max, one row per column."""
-    moments = _long(df, columns, ()).groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
-        "column", F.col("quantiles")[0].alias("p25"), F.col("quantiles")[1].alias("p50"),
-        F.col("quantiles")[2].alias("p75"))
-    return moments.join(quartiles, "column")
+    quartiles, sketch = _quantiles(df, columns, [0.25, 0.5, 0.75])
+    return sketch.join(quartiles, "column").select(
+        "column", F.col("n").alias("count"), "mean", "std", "min", "max", F.col("quantiles")[0].alias("p25"),
+        F.col("quantiles")[1].alias("p50"), F.col("quantiles")[2].alias("p75"))
 
 
 def mode_of(df: DataFrame, column: str, by: Sequence[str] = (), name: str = "mode") -> DataFrame:
@@ -155,13 +154,26 @@ def outlier_counts(df: DataFrame, columns: Sequence[str], whis: float = 1.5) ->
 
 def drop_outliers(df: DataFrame, columns: Sequence[str], whis: float = 1.5) -> DataFrame:
     """Keep rows inside the fences, one column after the other: each column's
-    fences come from what the columns before it left. Null rows go too."""
+    fences come from what the columns before it left. Null rows go too; ``removed_counts``
+    says how many rows went for their value."""
     for column in columns:
         lower, upper = fence_values(df, column, whis)
         df = df.where(F.col(column).between(F.lit(lower), F.lit(upper)))
     return df
 
 
+def removed_counts(df: DataFrame, columns: Sequence[str], whis: float = 1.5) -> DataFrame:
+    """Rows that each pass of ``drop_outliers`` removes as outliers; rows that go for a
+    null are not counted."""
+    rows = []
+    for column in columns:
+        lower, upper = fence_values(df, column, whis)
+        inside = F.col(column).between(F.lit(lower), F.lit(upper))
+        rows.append((column, df.agg(F.count_if(~inside).alias("n")).first()["n"]))
+        df = df.where(inside)
+    return df.sparkSession.createDataFrame(rows, "column string, removed bigint")
+
+
 def beyond_fence(df: DataFrame, column: str, order: Sequence[Column | str], n: int = 5,
                  whis: float = 1.5) -> DataFrame:
     """First ``n`` rows above the upper and below the lower fence."""

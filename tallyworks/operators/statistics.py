@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions.cells import int_or_zero, pair_or_zero, price_band
 from tallyworks.operators.joins import lookup_join
 from tallyworks.operators.ordering import running_total
+from tallyworks.session import materialize
 
 
 def sum_by_category(df: DataFrame, category: str, amount: str) -> DataFrame:
@@ -164,9 +165,13 @@ def label_rates(df: DataFrame, positive: Column) -> DataFrame:
 
 
 def percent_of_total(df: DataFrame, category: str) -> DataFrame:
-    """Rows per category and their percent of all rows with a category."""
-    n = df.where(F.col(category).isNotNull()).count()
-    return value_counts(df, category).withColumn("percent", F.col("count") * 100 / F.lit(n))
+    """Rows per category and their percent of all rows with a category.
+
+    The total is summed over the counts: a row per category, whatever the table's size.
+    """
+    counts = materialize(value_counts(df, category), "counts")
+    total = counts.agg(F.sum("count").alias("total")).first()["total"]
+    return counts.withColumn("percent", F.col("count") * 100 / F.lit(total))
 
 
 def top_per_group(df: DataFrame, group: str, order: Sequence[Column | str], n: int) -> DataFrame:
@@ -176,22 +181,27 @@ def top_per_group(df: DataFrame, group: str, order: Sequence[Column | str], n: i
     return df.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
-def top_lists(df: DataFrame, group: str, name: str, count: str, n: int = 10) -> DataFrame:
-    """Per group, parallel arrays of the top ``n`` names and their counts."""
-    top = top_per_group(df, group, [F.desc(count), name], n)
-    ranked = top.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("rank", name, count))).alias("top"))
-    return ranked.select(group, F.transform("top", lambda t: t[name]).alias("names"),
-                         F.transform("top", lambda t: t[count]).alias("counts"))
+def top_lists(df: DataFrame, group: str, name: str, count: str, n: int | None = None) -> DataFrame:
+    """Per group, parallel arrays of all names and their counts, highest count first.
+
+    The arrays are the result, so a group's names have to fit in a row; ``n``
+    keeps only the first ones, which are cut before the shuffle.
+    """
+    rows = df if n is None else top_per_group(df, group, [F.desc(count), name], n)
+    entry = F.struct((-F.col(count)).alias("o"), F.col(name).alias("name"), F.col(count).alias("count"))
+    ranked = rows.groupBy(group).agg(F.sort_array(F.collect_list(entry)).alias("top"))
+    return ranked.select(group, F.col("top.name").alias("names"), F.col("top.count").alias("counts"))
 
 
 def blend_ranks(df: DataFrame, score: str, views: str, key: str, w_score: float = 0.99,
-                w_views: float = 0.01) -> DataFrame:
+                w_views: float = 0.01, n: int = 20) -> DataFrame:
     """Order a short result list by a blend of two orderings.
 
     The list is taken in ascending score; position t gets
     ``w_score * t + w_views * argsort(views)[t]`` and the best blend comes
-    first. The list is a bounded answer (top 20), so one window covers it.
+    first. The list is an answer of the ``n`` highest scores, so one window covers it.
     """
+    df = df.orderBy(F.desc(score), F.desc(key)).limit(n)
     everything = Window.partitionBy(F.lit(0))
     placed = df.withColumns({
         "position": F.row_number().over(everything.orderBy(score, key)) - 1,

@@ -10,11 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.operators.joins import lookup_join
-from tallyworks.session import fresh_path, materialize
-
-# Tags of one relation request; wider requests are answered in strips.
-STRIP_TAGS = 100
+from tallyworks.operators.joins import lookup_join, require_keys
 
 
 def explode_tags(df: DataFrame, column: str, separator: str = ",") -> DataFrame:
@@ -34,85 +30,48 @@ def basket_counts(rows: DataFrame, basket: str) -> DataFrame:
     return rows.groupBy(basket, "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _tag_sums(met: DataFrame, requested: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """(tag1, tag2, count) from rows of tag, n and the basket's counts of the
-    requested tags. A tag k times in a basket makes k * (k - 1) with itself."""
-    own = lambda t, c: F.when(F.col("tag") == t, F.col(c) - 1).otherwise(F.col(c))
-    sums = met.groupBy("tag").agg(*[F.sum(F.col("n") * own(t, c)).alias(c) for t, c in zip(requested, names)])
-    entries = [F.struct(F.lit(t).alias("tag1"), F.col("tag").alias("tag2"), F.col(c).alias("count"))
-               for t, c in zip(requested, names)]
-    return sums.select(F.inline(F.array(*entries))).where("count > 0")
+def _asked(counts: DataFrame, requested: Sequence[str], name: str = "tag") -> DataFrame:
+    """The requested tags as a table, each once."""
+    return counts.sparkSession.createDataFrame([(t,) for t in dict.fromkeys(requested)], f"{name} string")
 
 
-def strip(counts: DataFrame, basket: str, requested: Sequence[str], closed: bool = False) -> DataFrame:
-    """Pair counts of the requested tags with every tag.
+def cooccurrence(counts: DataFrame, basket: str, requested: Sequence[str], distinct: bool = False) -> DataFrame:
+    """(tag1, tag2, count) of the requested tags with every tag.
 
-    Each (basket, tag) row meets one row that holds the basket's counts of the
-    requested tags, and sums are formed per tag at once. No pair is ever a row,
-    so the work is linear in the table. ``closed`` says that there are no other
-    tags: then the basket's own row holds all that is needed, without a join.
+    ``counts`` holds (basket, tag, n). A tag k times in a basket makes k * (k - 1)
+    with itself; ``distinct`` counts a repeated tag once. Rows of requested tags meet
+    their basket's rows and are summed by pair before the shuffle, so the work grows
+    with the request and the table, for a request of any length.
     """
-    names = [f"__c{i}" for i in range(len(requested))]
-    asked = (counts.where(F.col("tag").isin(list(requested))).groupBy(basket)
-             .agg(*[F.coalesce(F.sum(F.when(F.col("tag") == t, F.col("n"))), F.lit(0)).alias(c)
-                    for t, c in zip(requested, names)]))
-    if closed:
-        own_tags = F.array(*[F.struct(F.lit(t).alias("tag"), F.col(c).alias("n")) for t, c in zip(requested, names)])
-        met = asked.select(*names, F.inline(own_tags)).where("n > 0")
-    else:
-        met = lookup_join(counts, materialize(asked, "asked-tags"), [basket], "inner")
-    return _tag_sums(met, requested, names)
-
-
-def cooccurrence(counts: DataFrame, basket: str, requested: Sequence[str] | None = None,
-                 width: int = STRIP_TAGS) -> DataFrame:
-    """Pair counts for the requested tags, or for all of them.
-
-    ``counts`` is read several times: pass a stored table. More than ``width`` tags are worked off strip by strip into one table.
+    n = F.lit(1).cast("bigint") if distinct else F.col("n")
+    rows = counts.select(basket, F.col("tag").alias("tag2"), n.alias("n2"))
+    asked = counts.join(_asked(counts, requested), "tag", "left_semi").select(
+        basket, F.col("tag").alias("tag1"), n.alias("n1"))
+    others = F.col("n2") - F.when(F.col("tag1") == F.col("tag2"), 1).otherwise(0)
+    return asked.join(rows, basket).groupBy("tag1", "tag2").agg(
+        F.sum(F.col("n1") * others).alias("count")).where("count > 0")
+
+
+def earlier_pairs(pair_counts: DataFrame, requested: Sequence[str]) -> DataFrame:
+    """Pairs of list positions j < i by their two tags, each pair once, the larger tag first.
+
+    ``pair_counts`` names every partner of the requested tags; a pair of two
+    requested tags stands there in both directions and is taken once.
     """
-    closed = False
-    if requested is None:
-        tags = counts.select("tag").distinct()
-        few = tags.limit(width + 1).collect()
-        if len(few) > width:
-            return _all_strips(counts, basket, tags, width)
-        requested, closed = sorted(row["tag"] for row in few), True
-    if not requested:
-        return counts.select(F.col("tag").alias("tag1"), F.col("tag").alias("tag2"),
-                             F.col("n").alias("count")).where(F.lit(False))
-    if len(requested) <= width:
-        return strip(counts, basket, requested, closed)
-    tags = counts.select("tag").where(F.col("tag").isin(list(requested))).distinct()
-    return _all_strips(counts, basket, tags, width)
-
-
-def _all_strips(counts: DataFrame, basket: str, tags: DataFrame, width: int) -> DataFrame:
-    path = fresh_path(counts.sparkSession, "cooccurrence")
-    chunk: list[str] = []
-    for row in tags.orderBy("tag").toLocalIterator():
-        chunk.append(row["tag"])
-        if len(chunk) == width:
-            strip(counts, basket, chunk).write.mode("append").parquet(path)
-            chunk = []
-    if chunk:
-        strip(counts, basket, chunk).write.mode("append").parquet(path)
-    return counts.sparkSession.read.parquet(path)
-
-
-def earlier_pairs(pair_counts: DataFrame) -> DataFrame:
-    """Pairs of list positions j < i by their two tags, each pair once."""
+    marked = pair_counts.join(_asked(pair_counts, requested, "tag2").withColumn("__both", F.lit(True)), "tag2", "left")
+    once = marked.where("tag1 >= tag2 OR __both IS NULL")
     half = F.when(F.col("tag1") == F.col("tag2"), F.expr("count div 2")).otherwise(F.col("count"))
-    return pair_counts.where("tag1 >= tag2").withColumn("count", half)
+    return once.select(F.greatest("tag1", "tag2").alias("tag1"), F.least("tag1", "tag2").alias("tag2"),
+                       half.alias("count"))
 
 
 def requested_pairs(pair_counts: DataFrame, requested: Sequence[str]) -> DataFrame:
     """Counts of the pairs j < i of a requested list, 0 where never together."""
-    spark = pair_counts.sparkSession
-    wanted = spark.createDataFrame(
-        [(i, j, requested[i], requested[j]) for i in range(len(requested)) for j in range(i)],
-        "i int, j int, tag1 string, tag2 string")
+    listed = pair_counts.sparkSession.createDataFrame(list(enumerate(requested)), "i int, tag1 string")
+    later = listed.where("i > 0").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("i") - 1)))
+    wanted = later.join(listed.select(F.col("i").alias("j"), F.col("tag1").alias("tag2")), "j")
     found = wanted.join(pair_counts, ["tag1", "tag2"], "left")
-    return found.withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))
+    return found.select("i", "j", "tag1", "tag2", F.coalesce("count", F.lit(0).cast("bigint")).alias("count"))
 
 
 def relation_by_totals(pair_counts: DataFrame, totals: DataFrame) -> DataFrame:
@@ -127,23 +86,23 @@ def relation_by_totals(pair_counts: DataFrame, totals: DataFrame) -> DataFrame:
 def relation_request(counts: DataFrame, basket: str, requested: Sequence[str]) -> DataFrame:
     """(i, j, relation) for a requested tag list, both directions; 0 for tags
     that never meet. An unknown tag is an error."""
-    if len(requested) > STRIP_TAGS:
-        raise ValueError(f"a request names at most {STRIP_TAGS} tags; relation_by_totals scores all of them")
-    totals = {r["tag"]: r["count"] for r in tag_counts(counts.where(F.col("tag").isin(list(requested)))).collect()}
-    missing = [t for t in requested if t not in totals]
-    if missing:
-        raise LookupError(f"unknown tags: {missing}")
-    pairs = requested_pairs(strip(counts, basket, requested), requested)
+    totals = require_keys(_asked(counts, requested), tag_counts(counts), ["tag"])
+    pairs = requested_pairs(cooccurrence(counts, basket, requested), requested)
+    for k in ("1", "2"):
+        pairs = pairs.join(totals.select(F.col("tag").alias(f"tag{k}"), F.col("count").alias(f"__n{k}")), f"tag{k}")
     both = F.array(*[F.struct(F.col(a).alias("i"), F.col(b).alias("j")) for a, b in (("i", "j"), ("j", "i"))])
-    size = F.create_map(*[x for t, n in totals.items() for x in (F.lit(t), F.lit(n))])
-    score = 2 * F.col("count") / (size[F.col("tag1")] + size[F.col("tag2")])
+    score = 2 * F.col("count") / (F.col("__n1") + F.col("__n2"))
     return pairs.select(F.explode(both).alias("e"), score.alias("relation")).select("e.i", "e.j", "relation")
 
 
-def relation_by_pairs(pair_counts: DataFrame) -> DataFrame:
-    """2 c(u, v) / (sum_t c(u, t) + sum_t c(t, v)); no diagonal.
+def partner_sums(counts: DataFrame, basket: str) -> DataFrame:
+    """Per tag, its pair counts summed over all partners, without forming a pair:
+    a tag n times in a basket of N tags has n * (N - 1) partners there."""
+    sizes = counts.groupBy(basket).agg(F.sum("n").alias("__size"))
+    return lookup_join(counts, sizes, [basket], "inner").groupBy("tag").agg(
+        F.sum(F.col("n") * (F.col("__size") - 1)).alias("count"))
 
-    ``pair_counts`` must hold every partner of the tags it names as ``tag1``.
-    """
-    sums = pair_counts.groupBy("tag1").agg(F.sum("count").alias("count"))
-    return relation_by_totals(pair_counts, sums.withColumnRenamed("tag1", "tag"))
+
+def relation_by_pairs(counts: DataFrame, basket: str, requested: Sequence[str]) -> DataFrame:
+    """2 c(u, v) / (sum_t c(u, t) + sum_t c(t, v)) of the requested tags with every tag; no diagonal."""
+    return relation_by_totals(cooccurrence(counts, basket, requested), partner_sums(counts, basket))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.cells import letter_words, words
 from tallyworks.functions.fixed_values import CJK_RUN
-from tallyworks.operators.joins import HOT_MIN_ROWS, HOT_SHARE, lookup_join, remove_stop_words
+from tallyworks.operators.joins import lookup_join, remove_stop_words
 from tallyworks.session import materialize
 
 # Weights this small count as zero.
@@ -74,15 +74,11 @@ def text_weights(df: DataFrame, key: str, text: str,
     """(key, word, weight) with weight = tf * log2(N / df), each text of length
     1, and the (word, df, idf) table that a query needs.
 
-    Counts and frequencies are stored once, as several steps read them. The
-    frequencies also tell which words are hot in the join.
+    Counts and frequencies are stored once, as several steps read them.
     """
     counts = materialize(term_counts(df, key, text, cut), "term-counts")
     idf = materialize(inverse_frequency(counts, df.count()), "idf")
-    floor = max(counts.count() / HOT_SHARE, HOT_MIN_ROWS)
-    hot = df.sparkSession.createDataFrame(
-        idf.where(F.col("df") > floor).select("word").limit(HOT_SHARE).collect(), "word string")
-    weighted = lookup_join(counts, idf.drop("df"), ["word"], "inner", hot=hot).select(
+    weighted = lookup_join(counts, idf.drop("df"), ["word"], "inner").select(
         key, "word", (F.col("tf") * F.col("idf")).alias("weight"))
     return _unit(weighted, key), idf
 

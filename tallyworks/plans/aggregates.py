@@ -255,23 +255,24 @@ def tag_totals(t):
     return tags.tag_counts(basket_tags(t))
 
 
-@query("a29_cooccurrence", f"WITH {TAGS_SQL} SELECT * FROM pairs")
+ASKED = ["STANDARD", "ECONOMY", "PROMO"]
+ASKED_SQL = "WHERE tag1 IN ('STANDARD', 'ECONOMY', 'PROMO')"
+
+
+@query("a29_cooccurrence", f"WITH {TAGS_SQL} SELECT * FROM pairs {ASKED_SQL}")
 def cooccurrence(t):
-    return tags.cooccurrence(stored_baskets(t), "o_orderkey")
+    return tags.cooccurrence(stored_baskets(t), "o_orderkey", ASKED)
 
 
 @query("a30_relation_by_totals", f"""WITH {TAGS_SQL}, totals AS (SELECT tag, sum(n) AS n FROM tags GROUP BY 1)
   SELECT tag1, tag2, round(2 * count / (u.n + v.n), 6)::DOUBLE AS relation
-  FROM pairs JOIN totals u ON tag1 = u.tag JOIN totals v ON tag2 = v.tag WHERE tag1 <> tag2""")
+  FROM pairs JOIN totals u ON tag1 = u.tag JOIN totals v ON tag2 = v.tag {ASKED_SQL} AND tag1 <> tag2""")
 def relation_by_totals(t):
     counts = stored_baskets(t)
-    scored = tags.relation_by_totals(tags.cooccurrence(counts, "o_orderkey"), tags.tag_counts(counts))
+    scored = tags.relation_by_totals(tags.cooccurrence(counts, "o_orderkey", ASKED), tags.tag_counts(counts))
     return scored.withColumn("relation", rounded("relation"))
 
 
-ASKED = ["STANDARD", "ECONOMY", "PROMO"]
-
-
 @query("a30_relation_request", f"""WITH {TAGS_SQL}, totals AS (SELECT tag, sum(n) AS n FROM tags GROUP BY 1),
   asked AS (SELECT unnest({ASKED}) AS tag, unnest(range(3))::INT AS i)
   SELECT a.i, b.i AS j, round(2 * coalesce(count, 0) / (u.n + v.n), 6)::DOUBLE AS relation
@@ -283,9 +284,9 @@ def relation_request(t):
 
 @query("a31_relation_by_pairs", f"""WITH {TAGS_SQL}, sums AS (SELECT tag1 AS tag, sum(count) AS n FROM pairs GROUP BY 1)
   SELECT tag1, tag2, round(2 * count / (u.n + v.n), 6)::DOUBLE AS relation
-  FROM pairs JOIN sums u ON tag1 = u.tag JOIN sums v ON tag2 = v.tag WHERE tag1 <> tag2""")
+  FROM pairs JOIN sums u ON tag1 = u.tag JOIN sums v ON tag2 = v.tag {ASKED_SQL} AND tag1 <> tag2""")
 def relation_by_pairs(t):
-    scored = tags.relation_by_pairs(tags.cooccurrence(stored_baskets(t), "o_orderkey"))
+    scored = tags.relation_by_pairs(stored_baskets(t), "o_orderkey", ASKED)
     return scored.withColumn("relation", rounded("relation"))
 
 
@@ -347,7 +348,7 @@ def percent(t):
 @query("a38_top_lists", f"""WITH {DAY_TAGS_SQL},
   ranked AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY count DESC, tag) AS rank FROM day_tags)
   SELECT day, string_agg(tag, ',' ORDER BY rank) AS names, string_agg(count::VARCHAR, ',' ORDER BY rank) AS counts
-  FROM ranked WHERE rank <= 10 GROUP BY day""")
+  FROM ranked GROUP BY day""")
 def top_lists(t):
     lists = stats.top_lists(user_counts(t), "day", "tag", "count")
     return lists.select("day", F.array_join("names", ",").alias("names"),

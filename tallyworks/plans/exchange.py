@@ -92,11 +92,20 @@ def copy_with_metric(t):
 @query("s11_flatten_json", """SELECT event_id, regexp_extract(props, '([0-9]+)', 1)::BIGINT AS view FROM events
   WHERE event_type <> 'error'""")
 def flatten_json(t):
+    return replies(t).where("parsed").select("event_id", "view")
+
+
+def replies(t):
+    """Event replies as nested JSON; an error event answers with a page instead."""
     body = F.concat(F.lit('{"data": {"stat": '), F.col("props"), F.lit("}}"))
     reply = F.when(F.col("event_type") == "error", F.lit("<html>")).otherwise(body)
-    found = pages.flatten_json(t.events.select("event_id", reply.alias("reply")), "reply",
-                               "data struct<stat: struct<k: bigint>>", {"view": "data.stat.k"})
-    return found.where("parsed").select("event_id", "view")
+    return pages.flatten_json(t.events.select("event_id", reply.alias("reply")), "reply",
+                              "data struct<stat: struct<k: bigint>>", {"view": "data.stat.k"})
+
+
+@query("s11_malformed_replies", """SELECT count(*) AS replies, count(*) FILTER (event_type = 'error') AS malformed FROM events""")
+def malformed(t):
+    return pages.malformed_count(replies(t))
 
 
 @query("s12_unwrap_jsonp", "SELECT event_id, regexp_extract(props, '([0-9]+)', 1)::BIGINT AS k FROM events")

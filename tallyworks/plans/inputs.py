@@ -15,8 +15,10 @@ STOP_WORDS = ["the", "and", "of", "to", "in", "is", "it", "that", "for", "with",
               "de", "en"]
 STOP_SQL = ", ".join(f"('{w}')" for w in STOP_WORDS)
 
-# DuckDB text of the word cut in functions/cells.py (no Chinese runs in the tables).
-WORDS_SQL = "unnest(regexp_extract_all(lower({0}), '[0-9a-zß-öø-ÿ]+'))"
+# DuckDB text of the word cut, from its definition: runs of letters, marks and
+# numbers of any script. Chinese runs become pairs in Spark; the tables hold none.
+CUT_SQL = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{M}}\p{{N}}]+')"
+WORDS_SQL = "unnest(" + CUT_SQL + ")"
 
 WEIGHTS_SQL = f"""
   tf AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, {WORDS_SQL.format('text')} AS word FROM documents) w
@@ -40,17 +42,9 @@ LABELLED_SQL = ("SELECT doc_id, lang, source, n_chars, quality, toxic "
 
 
 def order_tags(t: Tables) -> DataFrame:
-    """(o_orderkey, month, tag, n): part types of each order, counted per line.
-
-    Lines are counted per order and part before they meet the part table, and
-    per order and type before they meet the orders.
-    """
-    lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
-    parts = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("tag"))
-    typed = (lookup_join(lines, parts, ["l_partkey"], "inner", probe=t.lineitem)
-             .groupBy("l_orderkey", "tag").agg(F.sum("n").alias("n")))
-    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.month("o_orderdate").alias("month"))
-    return typed.join(orders, "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
+    """(o_orderkey, month, tag, n): part types of each order, counted per line."""
+    orders = t.orders.select("o_orderkey", F.month("o_orderdate").alias("month"))
+    return basket_tags(t).join(orders, "o_orderkey")
 
 
 def stored_baskets(t: Tables) -> DataFrame:
@@ -59,11 +53,10 @@ def stored_baskets(t: Tables) -> DataFrame:
 
 
 def basket_tags(t: Tables) -> DataFrame:
-    """(o_orderkey, tag, n) without the order date."""
-    lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    """(o_orderkey, tag, n): lines meet their part, then are counted per order and type."""
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("tag"))
-    return (lookup_join(lines, parts, ["l_partkey"], "inner", probe=t.lineitem)
-            .groupBy(F.col("l_orderkey").alias("o_orderkey"), "tag").agg(F.sum("n").alias("n")))
+    return lookup_join(t.lineitem.select("l_orderkey", "l_partkey"), parts, ["l_partkey"], "inner").groupBy(
+        F.col("l_orderkey").alias("o_orderkey"), "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 TAGS_SQL = """

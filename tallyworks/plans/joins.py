@@ -38,6 +38,13 @@ def lookup(t):
     return ops.lookup_or_zero(t.nation.select("n_nationkey"), rich, ["n_nationkey"], "customers")
 
 
+@query("j02_required_keys", """SELECT n_nationkey, c AS customers FROM nation JOIN
+  (SELECT c_nationkey, count(*) AS c FROM customer GROUP BY 1) k ON n_nationkey = c_nationkey""")
+def required_keys(t):
+    counts = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("customers"))
+    return ops.require_keys(t.nation.select("n_nationkey"), counts, ["n_nationkey"])
+
+
 @query("j03_update_by_key", """WITH newer AS (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS price
     FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
   SELECT o_orderkey, o_orderstatus, coalesce(price, o_totalprice) AS o_totalprice
@@ -53,9 +60,11 @@ def update(t):
       row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS i
     FROM lineitem JOIN part ON l_partkey = p_partkey)
   SELECT greatest(a.tag, b.tag) AS tag1, least(a.tag, b.tag) AS tag2, count(*) AS count
-  FROM lines a JOIN lines b ON a.basket = b.basket AND b.i < a.i GROUP BY 1, 2""")
+  FROM lines a JOIN lines b ON a.basket = b.basket AND b.i < a.i
+  WHERE a.tag IN ('LARGE', 'SMALL') OR b.tag IN ('LARGE', 'SMALL') GROUP BY 1, 2""")
 def earlier_pairs(t):
-    return tags.earlier_pairs(tags.cooccurrence(stored_baskets(t), "o_orderkey"))
+    asked = ["LARGE", "SMALL"]
+    return tags.earlier_pairs(tags.cooccurrence(stored_baskets(t), "o_orderkey", asked), asked)
 
 
 @query("j05_requested_pairs", f"""WITH {TAGS_SQL},

@@ -70,9 +70,11 @@ def scaled(t):
 
 
 POWER_SQL = """SELECT '{0}' AS "column", lam AS power, round(fit, 2) AS fit FROM (
-  SELECT lam, -count(*) / 2.0 * ln(var_pop(z)) + (lam - 1) * sum(ln(1 + x)) AS fit FROM (
-    SELECT lam, x, CASE WHEN abs(lam) < 1e-12 THEN ln(1 + x) ELSE (power(x + 1, lam) - 1) / lam END AS z
-    FROM (SELECT {0}::DOUBLE AS x FROM lineitem) v, (SELECT unnest(range(-20, 21)) / 10.0::DOUBLE AS lam) g) t
+  SELECT lam, -sum(n) / 2.0 * ln(sum(n * z * z) / sum(n) - power(sum(n * z) / sum(n), 2))
+      + (lam - 1) * sum(n * ln(1 + x)) AS fit FROM (
+    SELECT lam, x, n, CASE WHEN abs(lam) < 1e-12 THEN ln(1 + x) ELSE (power(x + 1, lam) - 1) / lam END AS z
+    FROM (SELECT {0}::DOUBLE AS x, count(*) AS n FROM lineitem GROUP BY 1) v,
+      (SELECT unnest(range(-2000, 2001)) / 1000.0::DOUBLE AS lam) g) t
   GROUP BY lam) f ORDER BY fit DESC LIMIT 1"""
 
 
@@ -99,7 +101,8 @@ def power_transform(t):
     return found.withColumns({c: rounded(c) for c in ("l_quantity", "l_extendedprice")})
 
 
-@query("m09_random_split")
+@query("m09_random_split", """SELECT p_partkey, CASE WHEN ('0x' || substr(md5(p_partkey::VARCHAR), 1, 8))::BIGINT % 10000 < 8000
+  THEN 'train' ELSE 'test' END AS part FROM part""")
 def random_split(t):
     part = F.when(features.in_training_part(F.col("p_partkey")), "train").otherwise("test")
     return t.part.select("p_partkey", part.alias("part"))
@@ -129,6 +132,16 @@ def drop_outliers(t):
     return quantiles.drop_outliers(rows, ["l_extendedprice", "l_quantity", "l_tax"], NEAR)
 
 
+@query("m11_removed_counts", f"""WITH a AS ({PASS_SQL.format('l_extendedprice', 'lineitem')}),
+  b AS ({PASS_SQL.format('l_quantity', 'a')}), c AS ({PASS_SQL.format('l_tax', 'b')}),
+  n AS (SELECT (SELECT count(*) FROM lineitem) AS n, (SELECT count(*) FROM a) AS na, (SELECT count(*) FROM b) AS nb,
+    (SELECT count(*) FROM c) AS nc)
+  SELECT 'l_extendedprice' AS "column", n - na AS removed FROM n UNION ALL SELECT 'l_quantity', na - nb FROM n
+  UNION ALL SELECT 'l_tax', nb - nc FROM n""")
+def removed_counts(t):
+    return quantiles.removed_counts(t.lineitem, ["l_extendedprice", "l_quantity", "l_tax"], NEAR)
+
+
 @query("m12_fill_from_neighbours", f"""WITH d AS (SELECT doc_id, nullif(lang, 'es') AS lang, source,
     CASE WHEN toxic IS NULL THEN NULL ELSE n_chars // 1000 END AS grade FROM ({LABELLED_SQL}) l),
   counts AS (SELECT lang, source, grade, count(*) AS n FROM d WHERE grade IS NOT NULL AND lang IS NOT NULL GROUP BY ALL),

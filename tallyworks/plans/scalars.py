@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyworks.functions import cells
+from tallyworks.plans.inputs import CUT_SQL
 from tallyworks.plans.registry import query, rounded
 from tallyworks.sources.pages import id_names
 
@@ -96,8 +97,8 @@ def script_runs(t):
     return t.texts("documents", "doc_id", "text").select("doc_id", F.md5(cells.script_runs(F.col("text"), "[a-z]+")).alias("digest"))
 
 
-@query("f12_cut_words", """SELECT doc_id, len(w) AS words, md5(array_to_string(w, ' ')) AS digest FROM
-  (SELECT doc_id, regexp_extract_all(lower(text), '[0-9a-zß-öø-ÿ]+') AS w FROM documents) d""")
+@query("f12_cut_words", f"""SELECT doc_id, len(w) AS words, md5(array_to_string(w, ' ')) AS digest FROM
+  (SELECT doc_id, {CUT_SQL.format('text')} AS w FROM documents) d""")
 def cut_words(t):
     return t.texts("documents", "doc_id", "text").select("doc_id", cells.words(F.col("text")).alias("w")).select(
         "doc_id", F.size("w").cast("bigint").alias("words"), F.md5(F.array_join("w", " ")).alias("digest"))

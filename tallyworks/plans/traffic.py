@@ -6,7 +6,7 @@ These jobs are known by name only; their definition is this library's own.
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tallyworks.operators import features, graphs, learners, membership, statistics as stats
+from tallyworks.operators import features, graphs, joins, learners, statistics as stats
 from tallyworks.plans.learning import embedding_columns
 from tallyworks.plans.registry import query, rounded
 from tallyworks.session import fresh_path
@@ -15,7 +15,7 @@ from tallyworks.streaming import events as streams
 
 
 def event_stream(t):
-    return streams.with_time(streams.read_stream(t.spark, t.folder, t.events.schema, "events.parquet"))
+    return streams.with_time(streams.read_stream(t.spark, f"{t.folder}/events.parquet", t.events.schema))
 
 
 def _by_day(table):
@@ -70,12 +70,11 @@ def score_stream(t):
     return streams.run_to_table(streams.class_counts(event_features(event_stream(t)), model), "complete")
 
 
-@query("n06_bloom_membership")
-def bloom(t):
-    buyers = t.events.where("event_type = 'purchase'").select("user_id").distinct()
-    bits, hashes = membership.filter_size(buyers.count())
-    table = membership.build_filter(buyers, "user_id", bits, hashes)
-    return membership.probe_filter(t.events, "user_id", table, bits, hashes)
+@query("n06_membership", """SELECT user_id, user_id IN (SELECT user_id FROM events WHERE event_type = 'purchase') AS member
+  FROM (SELECT DISTINCT user_id FROM events) e""")
+def membership(t):
+    """Which visitors ever bought: Spark filters such joins by itself."""
+    return joins.membership(t.events, t.events.where("event_type = 'purchase'"), "user_id")
 
 
 @query("n07_discard_repeats", """SELECT DISTINCT user_id, event_type, ts::DATE AS day FROM events
@@ -88,15 +87,17 @@ def discard(t):
 
 
 @query("n08_libsvm", """SELECT label::DOUBLE AS label, round(embedding[1]::DOUBLE, 6) AS first,
-  round(embedding[64]::DOUBLE, 6) AS last FROM embeddings""")
+  round(embedding[64]::DOUBLE, 6) AS last,
+  round(list_sum([i * embedding[i]::DOUBLE for i in range(1, 65)]), 4) AS weighted FROM embeddings""")
 def libsvm(t):
     path = fresh_path(t.spark, "libsvm")
     names = [f"x{i}" for i in range(64)]
     rows = features.assemble(t.embeddings.select("label", *embedding_columns(64)), names)
     files.write_libsvm(rows, path, "label", "features")
-    found = files.load(t.spark, path, "libsvm", numFeatures="64")
-    v = vector_to_array("features")
-    return found.select("label", rounded(v[0]).alias("first"), rounded(v[63]).alias("last"))
+    found = files.load(t.spark, path, "libsvm", numFeatures="64").select("label", vector_to_array("features").alias("v"))
+    total = F.aggregate(F.transform("v", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return found.select("label", rounded(F.col("v")[0]).alias("first"), rounded(F.col("v")[63]).alias("last"),
+                        rounded(total, 4).alias("weighted"))
 
 
 @query("n09_logistic_regression")

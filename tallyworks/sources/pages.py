@@ -9,13 +9,19 @@ from pyspark.sql import functions as F
 
 
 def flatten_json(df: DataFrame, column: str, schema: str, fields: Mapping[str, str]) -> DataFrame:
-    """Nested JSON to columns; ``fields`` maps a new name to a path. A malformed
-    reply leaves every field null and is marked in ``parsed``."""
-    reply = F.from_json(column, schema)
+    """Nested JSON to columns; ``fields`` maps a new name to a path. ``parsed`` is
+    false for a reply that is not JSON of that form (or null); a missing or null
+    field alone does not make it so."""
+    reply = F.from_json(column, f"{schema}, __bad string", {"columnNameOfCorruptRecord": "__bad"})
     out = df.withColumn("__reply", reply)
     out = out.withColumns({name: F.col(f"__reply.{path}") for name, path in fields.items()})
-    any_field = F.coalesce(*[F.col(n).cast("string") for n in fields]).isNotNull()
-    return out.withColumn("parsed", any_field).drop("__reply")
+    good = F.col("__reply").isNotNull() & F.col("__reply.__bad").isNull()
+    return out.withColumn("parsed", good).drop("__reply")
+
+
+def malformed_count(flat: DataFrame) -> DataFrame:
+    """Replies of a ``flatten_json`` table, and how many were malformed."""
+    return flat.agg(F.count(F.lit(1)).alias("replies"), F.count_if(~F.col("parsed")).alias("malformed"))
 
 
 def id_names(df: DataFrame, items: str, key: str, name: str) -> DataFrame:
@@ -25,7 +31,7 @@ def id_names(df: DataFrame, items: str, key: str, name: str) -> DataFrame:
 
 def field_from_html(html: Column, pattern: str, group: int = 1) -> Column:
     """First match of a pattern, null if there is none."""
-    return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, group))
+    return F.get(F.regexp_extract_all(html, F.lit(pattern), group), F.lit(0))
 
 
 def html_fields(df: DataFrame, html: str, patterns: Mapping[str, str]) -> DataFrame:

@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 from tallyworks.session import fresh_path
 
 
-def read_stream(spark: SparkSession, folder: str, schema, pattern: str) -> DataFrame:
-    """Parquet files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def read_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A Parquet table, one file or a folder of part files, as a stream.
+
+    The last letter stands in brackets, which makes the path a pattern: a plain path
+    of a stream has to be a folder.
+    """
+    path = path.rstrip("/")
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def with_time(events: DataFrame, column: str = "ts") -> DataFrame:
@@ -60,21 +65,22 @@ def run_to_table(stream: DataFrame, mode: str, each: Callable[[DataFrame], DataF
     With a ``folder`` a later run goes on where the last one stopped, whether
     it ended or failed; without one each run starts anew.
 
-    A ``complete`` result is replaced as a whole by each batch. ``update`` rows
-    are kept per batch, under the batch number, so that a batch that runs again
-    after a failure replaces its own rows.
+    Each batch is stored under its number, so a batch that runs again after a
+    failure replaces its own rows and no other's. The table is the newest batch
+    for ``complete``, all batches otherwise; a source without rows gives an empty one.
     """
     spark = stream.sparkSession
     folder = folder or fresh_path(spark, "stream")
     state, out = f"{folder}/state", f"{folder}/out"
 
     def store(batch: DataFrame, number: int) -> None:
-        rows = each(batch) if each else batch
-        path = out if mode == "complete" else f"{out}/batch={number}"
-        rows.write.mode("overwrite").parquet(path)
+        (each(batch) if each else batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
+    store(spark.createDataFrame([], stream.schema), -1)
     query = (stream.writeStream.outputMode(mode).trigger(availableNow=True)
              .option("checkpointLocation", state).foreachBatch(store).start())
     query.awaitTermination()
     table = spark.read.parquet(out)
-    return table.drop("batch") if mode != "complete" else table
+    if mode == "complete":
+        table = table.where(F.col("batch") == table.agg(F.max("batch")).first()[0])
+    return table.drop("batch")

@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tallyworks.functions import cells
@@ -22,7 +24,8 @@ def test_numbers(spark):
     for text in ("n/a", "", "1e", "1d", None, "."):
         assert one(spark, text, cells.to_number)[0] is None
     assert one(spark, "-inf", cells.to_number)[0] == -math.inf
-    assert one(spark, "99999999999999999999", cells.int_or_zero)[0] == 0
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        one(spark, "99999999999999999999", cells.int_or_zero)
     assert one(spark, "+7", cells.int_or_zero)[0] == 7
 
 
@@ -33,11 +36,12 @@ def test_pair_is_zero_if_either_fails(spark):
 
 
 def test_typed_text(spark):
-    df = spark.createDataFrame([("12",), ("1.5",), ("-",), ("abc",), (None,), ("-3",)], "c string")
+    df = spark.createDataFrame([("12",), ("1.5",), ("-",), ("abc",), (None,), ("-3",),
+                                ("12345678901234567890",)], "c string")
     rows = df.select(cells.typed_text(F.col("c")).alias("v")).select("v.*").collect()
     assert [tuple(r) for r in rows] == [("long", 12, None, None), ("double", None, 1.5, None), ("long", 0, None, None),
                                         ("text", None, None, "abc"), (None, None, None, None),
-                                        ("double", None, -3.0, None)]
+                                        ("double", None, -3.0, None), ("text", None, None, "12345678901234567890")]
     kept = df.where("c = '1.5'").select(cells.typed_text(F.col("c"), keep_text=True).alias("v")).select("v.*").first()
     assert tuple(kept) == ("text", None, None, "1.5")
 
@@ -93,3 +97,11 @@ def test_price_bands_leave_edges_out(spark):
 def test_sum_by_category(spark):
     df = spark.createDataFrame([("A", "3"), ("A", "x"), ("B", "2"), ("A", "1")], "k string, n string")
     assert {tuple(r) for r in stats.sum_by_category(df, "k", "n").collect()} == {("A", 4), ("B", 2)}
+
+
+@pytest.mark.parametrize("text,words", [
+    ("Příliš žluťoučký KŮŇ, 3x", ["příliš", "žluťoučký", "kůň", "3x"]), ("Zażółć gęślą jaźń", ["zażółć", "gęślą", "jaźń"]),
+    ("Καλημέρα, κόσμε!", ["καλημέρα", "κόσμε"]), ("Привет мир", ["привет", "мир"]), ("हिन्दी में", ["हिन्दी", "में"]),
+    ("数据科学 spark很快 一", ["数据", "据科", "科学", "spark", "很快", "一"]), ("Šimon żil łódź café", ["šimon", "żil", "łódź", "café"])])
+def test_words_of_many_scripts(spark, text, words):
+    assert one(spark, text, cells.words)[0] == words

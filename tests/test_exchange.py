@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SMALL
 from tallyworks import session
 from tallyworks.operators import words
 from tallyworks.sources import files, models, pages
@@ -114,7 +115,7 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
                                    (F.col("id") % 7).alias("user_id"))
     for part in range(2):
         rows.where(F.hour("ts") % 2 == part).write.mode("append").parquet(source)
-        stream = streams.with_time(streams.read_stream(spark, source, rows.schema, "*.parquet"))
+        stream = streams.with_time(streams.read_stream(spark, source, rows.schema))
         seen = streams.run_to_table(streams.first_seen(stream, ["user_id"], "1 hour", "1 day"), "update", folder=folder)
     hours = F.date_trunc("hour", "ts")
     assert texts(streams.unique_visitors(seen).select("visitors")) == texts(
@@ -125,7 +126,7 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
 def test_stream_equals_batch(spark, event_folder):
     batch = spark.read.parquet(event_folder)
     stream = streams.with_time(
-        streams.read_stream(spark, event_folder, batch.schema, "*.parquet"))
+        streams.read_stream(spark, event_folder, batch.schema))
     day = F.to_date("ts").alias("day")
     started = F.col("w.start").cast("timestamp_ntz").cast("date").alias("day")
 
@@ -141,3 +142,27 @@ def test_stream_equals_batch(spark, event_folder):
                                 lambda b: streams.discard_known(b, known, "user_id"))
     got = kept.select("user_id", "event_type", started).distinct()
     assert texts(got) == texts(batch.where("user_id <> 1").select("user_id", "event_type", day).distinct())
+
+
+@pytest.mark.parametrize("name", ["n01_stream_page_views", "n02_stream_unique_visitors", "n05_score_stream",
+                                  "n07_discard_repeats"])
+def test_streams_of_a_table_folder(spark, tmp_path, name):
+    """The events table as a folder of three part files gives what the single file gives."""
+    import __spark_entry__ as entry
+
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    run = entry.queries()[name]
+    assert sorted(map(str, run(spark, str(tmp_path)).collect())) == sorted(map(str, run(spark, SMALL).collect()))
+    empty = tmp_path / "none"
+    events.limit(0).write.parquet(str(empty / "events.parquet"))
+    if name != "n05_score_stream":
+        assert run(spark, str(empty)).count() == 0
+
+
+def test_missing_fields_are_not_malformed(spark):
+    texts = ['{"data": {"stat": {}}}', '{"data": {"stat": {"view": null}}}', "{}", "<html>", None, '{"data": 3}']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, r string")
+    got = pages.flatten_json(df, "r", "data struct<stat: struct<view: int>>", {"view": "data.stat.view"})
+    assert [r["parsed"] for r in got.orderBy("i").collect()] == [True, True, True, False, False, False]
+    assert tuple(pages.malformed_count(got).first()) == (6, 3)

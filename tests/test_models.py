@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tallyworks.operators import evaluation, features, learners, membership
+from tallyworks.operators import evaluation, features, learners
 from tests.conftest import SMALL
 
 
@@ -74,13 +74,3 @@ def test_callers_model_scores_texts(spark):
     assert got == {"bad day": "negative", "fine": "positive", "": "positive"}
 
 
-@pytest.mark.parametrize("n", [10, 20_000])
-def test_bloom_filter_misses_no_member(spark, n):
-    members = spark.range(n).select((F.col("id") * 3).alias("k"))
-    bits, hashes = membership.filter_size(n)
-    table = membership.build_filter(members, "k", bits, hashes)
-    probes = spark.range(3 * n).withColumnRenamed("id", "k")
-    found = membership.probe_filter(probes, "k", table, bits, hashes).withColumn("member", F.col("k") % 3 == 0)
-    assert found.count() == 3 * n
-    assert found.where("member and not maybe").count() == 0
-    assert found.where("not member and maybe").count() <= 0.03 * 2 * n

@@ -1,10 +1,7 @@
 """Physical plans hold what the operators promise."""
 
 import pytest
-from pyspark.sql import functions as F
-
 import __spark_entry__ as entry
-from tallyworks.operators import joins
 from tests.conftest import SMALL, executed_plan
 
 
@@ -63,15 +60,12 @@ def test_no_window_over_the_whole_table(spark, name):
     assert "SinglePartition" not in initial(spark, name).replace("TakeOrdered", "")
 
 
-def test_closed_cooccurrence_has_no_join(spark):
-    assert "Join" not in initial(spark, "a29_cooccurrence")
+def test_counts_are_summed_before_the_pair_shuffle(spark):
+    text = initial(spark, "a29_cooccurrence")
+    assert "partial_sum" in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
-def test_large_lookup_without_hot_keys_shuffles(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        facts = spark.range(10_000).withColumn("v", F.lit(1))
-        text = executed_plan(joins.lookup_join(facts, spark.range(10_000), ["id"], small_rows=0))
-        assert "SortMergeJoin" in text
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+@pytest.mark.parametrize("name", ["j01_left_join_two_keys", "j03_update_by_key", "n10_neighbour_stats"])
+def test_lookups_read_the_facts_once(spark, name):
+    text = initial(spark, name)
+    assert text.count("FileScan") == 2 and "Union" not in text

@@ -9,6 +9,8 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tallyworks.operators import joins, ordering, quantiles, tags
+from tallyworks.session import materialize
+from tests.conftest import executed_plan
 
 
 def test_numbers_follow_the_order(spark):
@@ -45,50 +47,88 @@ def test_empty_order(spark):
 def test_first_rows_cut(spark):
     got = ordering.first_rows(spark.range(1000), [F.desc("id")], 300)
     assert sorted(r["id"] for r in got.collect()) == list(range(700, 1000))
+    assert ordering.first_rows(spark.range(1000), ["id"]).count() == 1000
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Adaptive execution treats small partitions as large ones; nothing is broadcast."""
+    values = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    yield
+    for key in values:
+        spark.conf.unset(key)
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_hot_keys_and_null_keys_join(spark, how):
-    data = [(i, None if i % 3 == 0 else (1 if i % 3 == 1 else i % 50), f"r{i}") for i in range(3000)]
-    facts = spark.createDataFrame(data, "id int, k int, v string")
-    lookup = spark.createDataFrame([(k, k * 10) for k in range(0, 60, 1) if k != 4], "k int, w int")
-    hot = joins.hot_keys(facts, ["k"], 500)
-    assert {r["k"] for r in hot.collect()} == {None, 1}
-    got = joins.lookup_join(facts, lookup, ["k"], how, small_rows=0, min_hot_rows=500)
-    plain = facts.join(lookup, ["k"], how)
-    assert sorted(map(str, got.select("id", "k", "v", "w").collect())) == sorted(
-        map(str, plain.select("id", "k", "v", "w").collect()))
-    assert "Union" in got._jdf.queryExecution().toString()
-
-
-def test_no_hot_key_keeps_one_join(spark):
-    facts = spark.range(2000).withColumnRenamed("id", "k")
-    got = joins.lookup_join(facts, facts.withColumn("w", F.lit(1)), ["k"], small_rows=0)
-    assert got.count() == 2000 and "Union" not in got._jdf.queryExecution().toString()
-
-
-@pytest.mark.parametrize("buffer_rows", [0, 10**9])
+def test_hot_keys_and_null_keys_join(spark, small_splits, how):
+    """One scan of the facts; the hot key's partition is split over tasks."""
+    data = [(i, None if i % 3 == 0 else (1 if i % 3 == 1 else i % 50), f"r{i}") for i in range(30_000)]
+    facts = materialize(spark.createDataFrame(data, "id int, k int, v string").repartition(8), "facts")
+    lookup = materialize(spark.createDataFrame([(k, k * 10) for k in range(60) if k != 4], "k int, w int"), "lookup")
+    got = joins.lookup_join(facts, lookup, ["k"], how)
+    found = got.collect()
+    plan = executed_plan(got)
+    assert "skewed" in plan.lower() or "skew=true" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 2
+    want = {k: k * 10 for k in range(60) if k != 4}
+    expected = [(i, k, v, want.get(k)) for i, k, v in data if how == "left" or k in want]
+    assert len(found) == len(expected)
+    assert sum(r["w"] or 0 for r in found) == sum(w or 0 for _, _, _, w in expected)
+
+
+def test_membership_and_required_keys(spark):
+    probes = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    known = spark.createDataFrame([(2, "b"), (2, "b"), (5, "e")], "k int, v string")
+    assert {(r["k"], r["member"]) for r in joins.membership(probes, known, "k").collect()} == {(1, False), (2, True)}
+    with pytest.raises(LookupError):
+        joins.require_keys(probes, known, ["k"])
+    assert joins.require_keys(probes.where("k = 2"), known.distinct(), ["k"]).count() == 1
+
+
+@pytest.mark.parametrize("accuracy", [100_000, 40])
 @pytest.mark.parametrize("bracket_rows", [50, 10**9])
-def test_quantiles_by_every_path(spark, monkeypatch, buffer_rows, bracket_rows):
+def test_quantiles_by_every_path(spark, monkeypatch, accuracy, bracket_rows):
+    """A sketch too coarse for its bracket is noticed and the bracket widened."""
     monkeypatch.setattr(quantiles, "BRACKET_ROWS", bracket_rows)
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", accuracy)
     rng = random.Random(3)
     data = [("hot", rng.gauss(0, 1e6)) for _ in range(20_000)] + [("ties", float(rng.randrange(3))) for _ in range(9_000)]
     data += [("few", float(v)) for v in (1, 2, 3, 4, 100)] + [("null", None), ("one", 5.0)]
     df = spark.createDataFrame(data, "g string, v double")
     probs = [0.0, 0.25, 0.5, 0.99, 1.0]
-    got = {r["g"]: (r["n"], r["quantiles"]) for r in
-           quantiles.exact_quantiles(df, ["v"], probs, ["g"], buffer_rows=buffer_rows).collect()}
+    got = {r["g"]: (r["n"], r["quantiles"]) for r in quantiles.exact_quantiles(df, ["v"], probs, ["g"]).collect()}
     groups = defaultdict(list)
     for g, v in data:
         if v is not None:
             groups[g].append(v)
-    # Brackets need groups well over the margin; tiny ones are kept whole by design.
-    checked = groups if bracket_rows > 50 else {g: v for g, v in groups.items() if len(v) <= 50 or len(v) > 5000}
-    for g, values in checked.items():
+    assert set(got) == set(groups)
+    for g, values in groups.items():
         assert got[g][0] == len(values)
         assert np.allclose(got[g][1], np.quantile(values, probs), rtol=1e-12)
 
 
+def test_summary_reads_the_facts_twice(spark):
+    facts = materialize(spark.range(1000).select((F.col("id") % 97).cast("double").alias("v")), "facts")
+    reads = []
+    original = quantiles.materialize
+
+    def counted(df, label="table"):
+        reads.append(df._jdf.queryExecution().executedPlan().toString().count("v#"))
+        return original(df, label)
+    quantiles.materialize, back = counted, quantiles.materialize
+    try:
+        row = quantiles.numeric_summary(facts, ["v"]).first()
+    finally:
+        quantiles.materialize = back
+    assert len([n for n in reads if n]) == 2
+    assert (row["count"], row["min"], row["p50"], row["max"]) == (1000, 0, 46.5, 96)
+
+
 def brute_pairs(lists):
     pairs = Counter()
     for items in lists:
@@ -106,31 +146,51 @@ def pair_table(df):
 LISTS = [["a", "b", "a"], ["a"], ["c", "b", "a", "d"], ["d", "d", "d"], ["e", "a"] * 5] + [["hot", "a", "b"]] * 30
 
 
-@pytest.mark.parametrize("width", [2, 100])
-def test_cooccurrence(spark, width):
+def own(lists, tags_asked):
+    return {k: v for k, v in brute_pairs(lists).items() if k[0] in tags_asked}
+
+
+def test_cooccurrence(spark):
     rows = spark.createDataFrame([(i, ",".join(x)) for i, x in enumerate(LISTS)], "basket int, tag string")
     counts = tags.basket_counts(tags.explode_tags(rows, "tag"), "basket")
-    assert pair_table(tags.cooccurrence(counts, "basket", width=width)) == brute_pairs(LISTS)
-    asked = pair_table(tags.cooccurrence(counts, "basket", ["a", "hot"], width=width))
-    assert asked == {k: v for k, v in brute_pairs(LISTS).items() if k[0] in ("a", "hot")}
+    for asked in ([], ["a", "hot"], ["a", "a", "unseen"], list("abcde") + ["hot"]):
+        assert pair_table(tags.cooccurrence(counts, "basket", asked)) == own(LISTS, asked)
+    single = [sorted(set(x)) for x in LISTS]
+    assert pair_table(tags.cooccurrence(counts, "basket", ["a"], distinct=True)) == own(single, ["a"])
+
+
+def test_a_wide_request(spark):
+    """450 tags asked for at once; no driver loop."""
+    rows = spark.range(8000).select((F.col("id") % 2500).alias("basket"),
+                                    F.concat(F.lit("t"), (F.col("id") * 7919) % 450).alias("tag"))
+    counts = materialize(tags.basket_counts(rows, "basket"), "counts")
+    asked = [f"t{i}" for i in range(450)]
+    lists = defaultdict(list)
+    for r in rows.collect():
+        lists[r["basket"]].append(r["tag"])
+    assert pair_table(tags.cooccurrence(counts, "basket", asked)) == brute_pairs(lists.values())
+    assert tags.relation_request(counts, "basket", asked).count() == 450 * 449
 
 
 def test_one_basket_holds_most_rows(spark):
     rows = [(0, t) for t in "abcab" * 400] + [(i, "a") for i in range(1, 50)]
     counts = tags.basket_counts(spark.createDataFrame(rows, "basket int, tag string"), "basket")
-    got = pair_table(tags.cooccurrence(counts, "basket"))
+    got = pair_table(tags.cooccurrence(counts, "basket", ["a"]))
     assert got[("a", "a")] == 800 * 799 and got[("a", "c")] == 800 * 400
 
 
 def test_relation_scores(spark):
     rows = spark.createDataFrame([(0, "a"), (0, "b"), (0, "a")], "basket int, tag string")
     counts = tags.basket_counts(rows, "basket")
-    pairs = tags.cooccurrence(counts, "basket")
+    pairs = tags.cooccurrence(counts, "basket", ["a", "b"])
     assert pair_table(pairs) == {("a", "b"): 2, ("b", "a"): 2, ("a", "a"): 2}
     by_totals = tags.relation_by_totals(pairs, tags.tag_counts(counts)).collect()
     assert {(r["tag1"], round(r["relation"], 3)) for r in by_totals} == {("a", 1.333), ("b", 1.333)}
-    assert {round(r["relation"], 3) for r in tags.relation_by_pairs(pairs).collect()} == {0.667}
-    assert pair_table(tags.earlier_pairs(pairs)) == {("a", "a"): 1, ("b", "a"): 2}
+    by_pairs = tags.relation_by_pairs(counts, "basket", ["a", "b"]).collect()
+    assert {round(r["relation"], 3) for r in by_pairs} == {0.667}
+    assert pair_table(tags.earlier_pairs(pairs, ["a", "b"])) == {("a", "a"): 1, ("b", "a"): 2}
+    only = tags.cooccurrence(counts, "basket", ["a"])
+    assert pair_table(tags.earlier_pairs(only, ["a"])) == {("a", "a"): 1, ("b", "a"): 2}
 
 
 def test_relation_request(spark):
@@ -148,4 +208,4 @@ def test_relation_request(spark):
 def test_cooccurrence_of_any_lists(spark, lists):
     rows = spark.createDataFrame([(i, ",".join(x)) for i, x in enumerate(lists)], "basket int, tag string")
     counts = tags.basket_counts(tags.explode_tags(rows, "tag"), "basket")
-    assert pair_table(tags.cooccurrence(counts, "basket")) == brute_pairs(lists)
+    assert pair_table(tags.cooccurrence(counts, "basket", list("abcd"))) == brute_pairs(lists)

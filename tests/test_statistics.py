@@ -106,10 +106,57 @@ def test_token_dummies_contain(spark):
     assert rows(got) == [(1, 1, 1, 0), (2, 1, 1, 1)]
 
 
-def test_too_many_dummies(spark):
-    df = spark.range(features.MAX_DUMMIES + 1).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        features.dummies_by_value(df, ["c"])
+def test_more_values_than_columns_wanted(spark):
+    """1,001 values: nothing is refused or dropped, the result is one sparse vector."""
+    df = spark.range(1002).select("id", F.when(F.col("id") < 1001, F.format_string("v%04d", F.col("id"))).alias("c"))
+    for made in (features.dummies_by_value(df, ["c"]), features.one_hot_by_appearance(df, "c", "id")):
+        assert made.columns == ["id", "c_vector"]
+        for row in made.collect():
+            assert row["c_vector"].size == 1002
+            assert row["c_vector"].indices.tolist() == [0 if row["id"] == 1001 else row["id"] + 1]
+
+
+def test_more_tokens_than_columns_wanted(spark):
+    df = spark.createDataFrame([(1, "south east"), (2, "southeast"), (3, None), (4, "a  b")], "id int, c string")
+    got = {r["id"]: r["c_tokens"] for r in features.dummies_by_token(df, "c", width=2).collect()}
+    tokens = {"south", "east", "southeast", "a", "", "b"}
+    assert got == {i: None if t is None else sorted(x for x in tokens if x in t)
+                   for i, t in ((1, "south east"), (2, "southeast"), (3, None), (4, "a  b"))}
+
+
+@pytest.mark.parametrize("power", [0.0, 0.333, 4.5, -3.25])
+def test_best_power_is_the_optimum(spark, power):
+    """Data made normal by a known power, also beyond 2: the likelihood is highest there, to a thousandth."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    z = 1 + 0.02 * rng.standard_normal(4000) * (1 if power >= 0 else 0.1)
+    x = np.expm1(z) if power == 0 else (1 + np.abs(power) * 0.2 * z) ** (1 / power) - 1
+    x = x - min(0, x.min())
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    found = features.best_powers(df, ["v"]).first()
+
+    def fit(p):
+        l = np.log1p(x)
+        y = l if abs(p) < 1e-12 else np.expm1(p * l) / p
+        return -len(x) / 2 * np.log(y.var()) + (p - 1) * l.sum()
+    near = [found["power"] + k / 1000 for k in (-1, 1)]
+    assert all(fit(found["power"]) >= fit(p) for p in near)
+    wide = np.arange(-20, 20.01, 0.25)
+    assert fit(found["power"]) >= max(fit(p) for p in wide) - 1e-6
+
+
+def test_top_lists_hold_every_name(spark):
+    df = spark.createDataFrame([(1, f"t{i:02d}", i % 7) for i in range(30)], "g int, t string, n int")
+    row = stats.top_lists(df, "g", "t", "n").first()
+    assert row["names"] == [f"t{i:02d}" for i in sorted(range(30), key=lambda i: (-(i % 7), i))]
+    assert row["counts"] == sorted((i % 7 for i in range(30)), reverse=True)
+    assert len(stats.top_lists(df, "g", "t", "n", 4).first()["names"]) == 4
+
+
+def test_removed_counts_leave_out_nulls(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (100.0,), (None,)], "v double")
+    assert rows(quantiles.removed_counts(df, ["v"])) == [("v", 1)]
 
 
 def test_power_transform_reduces_skew(spark):
