@@ -124,6 +124,23 @@ def standard_scaled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         c: (F.col(c) - F.lit(stats[f"m_{c}"])) / F.lit(stats[f"s_{c}"] or 1.0) for c in columns})
 
 
+def scaled_like(known: DataFrame, columns: Sequence[str], *tables: DataFrame) -> list[DataFrame]:
+    """Tables standardised by the means and deviations of ``known``."""
+    stats = known.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(columns)
+                        for k, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    return [t.withColumns({c: (F.col(c) - F.lit(stats[f"m{i}"])) / F.lit(stats[f"s{i}"] or 1.0)
+                           for i, c in enumerate(columns)}) for t in tables]
+
+
+def correlation_importances(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """(feature, importance): squared correlation of each column with the label, in one pass."""
+    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(f"r{i}")
+                   for i, c in enumerate(columns)])
+    entries = [F.struct(F.lit(c).alias("feature"), (F.col(f"r{i}") * F.col(f"r{i}")).alias("importance"))
+               for i, c in enumerate(columns)]
+    return row.select(F.inline(F.array(*entries)))
+
+
 def yeo_johnson(c: Column, power: Column) -> Column:
     """Power transform for any sign: with l = log(1 + |c|) and p the power (or
     2 - power below zero) it is sign(c) * (exp(p * l) - 1) / p."""

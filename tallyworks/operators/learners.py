@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tallyworks.functions.cells import words
-from tallyworks.operators.features import in_training_part
+from tallyworks.operators.features import assemble, best_powers, in_training_part, scaled_like, yeo_johnson
 
 SEED = 42
 
@@ -67,6 +67,30 @@ def lasso(label: str, alphas: Sequence[float], folds: int = 3) -> Pipeline:
     return Pipeline(stages=[terms, scaled, searched(line, {"regParam": alphas}, label, folds)])
 
 
+def powered_lasso(train: DataFrame, test: DataFrame, label: str, alphas: Sequence[float], folds: int = 3) -> DataFrame:
+    """Predictions of ``test``: degree-2 terms, scaling, power transform, scaling, L1 regression.
+
+    Means, deviations and powers come from the training part alone.
+    """
+    expand = PolynomialExpansion(degree=2, inputCol="features", outputCol="__terms")
+    size = expand.transform(train.limit(1)).first()
+    if size is None:
+        return test.withColumn("prediction", F.lit(None).cast("double"))
+    names = [f"__t{i}" for i in range(size["__terms"].size)]
+
+    def wide(df: DataFrame) -> DataFrame:
+        values = expand.transform(df).withColumn("__v", vector_to_array("__terms"))
+        return values.select(*df.columns, *[F.col("__v")[i].alias(n) for i, n in enumerate(names)])
+    train, test = wide(train), wide(test)
+    train, test = scaled_like(train, names, train, test)
+    powers = {row["column"]: row["power"] for row in best_powers(train, names, digits=2).collect()}
+    train, test = (d.withColumns({n: yeo_johnson(F.col(n), F.lit(p)) for n, p in powers.items()})
+                   for d in (train, test))
+    train, test = (assemble(d, names, "scaled") for d in scaled_like(train, names, train, test))
+    line = LinearRegression(featuresCol="scaled", labelCol=label, elasticNetParam=1.0)
+    return searched(line, {"regParam": alphas}, label, folds).fit(train).transform(test)
+
+
 def importances(model: Model, names: Sequence[str], df: DataFrame) -> DataFrame:
     """One row per feature with its importance."""
     values = [(name, float(v)) for name, v in zip(names, model.featureImportances.toArray())]
@@ -102,8 +126,11 @@ def network_classifier(label: str, layers: Sequence[int], features: str = "featu
                                           maxIter=rounds, seed=SEED)
 
 
-def word_pipeline(label: str, dims: int = 1 << 14, rounds: int = 30) -> Pipeline:
-    """Hashed word weights and two-class logistic regression, on a ``words`` array."""
+def word_pipeline(label: str, dims: int = 1 << 18, rounds: int = 30) -> Pipeline:
+    """Hashed word weights and two-class logistic regression, on a ``words`` array.
+
+    Words share one of ``dims`` places; two words in one place count as one.
+    """
     hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=dims)
     weighted = IDF(inputCol="tf", outputCol="features")
     line = LogisticRegression(labelCol=label, featuresCol="features", maxIter=rounds, regParam=0.01)

@@ -95,27 +95,62 @@ def histogram(df: DataFrame, column: str, bins: int, limits: tuple[float, float]
     return df.where(c.isNotNull()).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def density(df: DataFrame, column: str, grid: int = 50, bins: int = 200) -> DataFrame:
-    """Gaussian density on an even grid, from histogram bin centres.
-
-    Bandwidth is the standard deviation times n to the power -1/5. Each of the
-    few bins generates its own grid points, so the table is read twice and
-    only ``bins`` rows go further.
+def histograms(df: DataFrame, bins: Mapping[str, int]) -> DataFrame:
+    """``histogram`` of several columns: one read for all limits, one for all bins."""
+    wide = df.agg(*[f(F.col(c).cast("double")).alias(f"{c}_{k}") for c in bins
+                    for k, f in (("low", F.min), ("high", F.max))]).first()
+    entries = []
+    for c, n in bins.items():
+        low, high = wide[f"{c}_low"], wide[f"{c}_high"]
+        if low is not None:
+            width = (high - low) / n or 1.0
+            v = F.col(c).cast("double")
+            entries.append(F.struct(F.lit(c).alias("column"), F.least(
+                F.floor((v - F.lit(low)) / F.lit(width)), F.lit(n - 1)).cast("int").alias("bin")))
+    if not entries:
+        return df.select(F.lit("").alias("column"), F.lit(0).alias("bin"),
+                         F.lit(0).cast("bigint").alias("count")).where(F.lit(False))
+    return df.select(F.inline(F.array(*entries))).where("bin IS NOT NULL").groupBy("column", "bin").agg(
+        F.count(F.lit(1)).alias("count"))
+
+
+def densities(df: DataFrame, column: str, groups: Mapping, grid: int = 50, bins: int = 200) -> DataFrame:
+    """Gaussian density of each group on an even grid, from histogram bin centres.
+
+    ``groups`` maps a name to the condition of its rows; no row meets two of them.
+    Bandwidth is the standard deviation times n to the power -1/5. One read finds
+    all limits and moments, one counts all bins; each of the few bins then generates
+    its own grid points.
     """
     c = F.col(column).cast("double")
-    row = df.agg(F.min(c).alias("low"), F.max(c).alias("high"), F.stddev(c).alias("sd"),
-                 F.count(c).alias("n")).first()
-    low, high, n = row["low"], row["high"], row["n"]
-    counts = histogram(df, column, bins, (low, high))
-    if low is None or not row["sd"]:
-        return counts.select(F.lit(0).alias("point"), F.lit(0.0).alias("x"), F.lit(0.0).alias("density")).where(F.lit(False))
-    h = row["sd"] * n ** -0.2
-    width, step = (high - low) / bins, (high - low) / (grid - 1)
-    centre = F.lit(low) + (F.col("bin") + 0.5) * F.lit(width)
-    x = F.lit(low) + F.col("point") * F.lit(step)
-    kernel = F.exp(-0.5 * F.pow((x - centre) / F.lit(h), F.lit(2))) / F.lit(h * math.sqrt(2 * math.pi))
+    own = {g: F.when(cond, c) for g, cond in groups.items()}
+    row = df.agg(*[f(v).alias(f"{k}{i}") for i, v in enumerate(own.values())
+                   for k, f in (("low", F.min), ("high", F.max), ("sd", F.stddev), ("n", F.count))]).first()
+    steps = [(g, row[f"low{i}"], row[f"high{i}"], row[f"sd{i}"], row[f"n{i}"]) for i, g in enumerate(own)]
+    entries = []
+    for g, low, high, sd, n in steps:
+        if low is not None and sd:
+            place = F.least(F.floor((own[g] - F.lit(low)) / F.lit((high - low) / bins)), F.lit(bins - 1)).cast("int")
+            entries.append(F.when(own[g].isNotNull(), F.struct(
+                F.lit(g).alias("group"), F.lit(low).alias("low"), F.lit((high - low) / bins).alias("width"),
+                F.lit((high - low) / (grid - 1)).alias("step"), F.lit(sd * n ** -0.2).alias("h"),
+                F.lit(n).alias("n"), place.alias("bin"))))
+    if not entries:
+        name = F.lit(next(iter(groups), ""))
+        return df.select(name.alias("group"), F.lit(0).alias("point"), F.lit(0.0).alias("x"),
+                         F.lit(0.0).alias("density")).where(F.lit(False))
+    counts = df.select(F.coalesce(*entries).alias("e")).where("e IS NOT NULL").groupBy("e").agg(
+        F.count(F.lit(1)).alias("count")).select("e.*", "count")
+    centre = F.col("low") + (F.col("bin") + 0.5) * F.col("width")
+    x = F.col("low") + F.col("point") * F.col("step")
+    kernel = F.exp(-0.5 * F.pow((x - centre) / F.col("h"), F.lit(2))) / (F.col("h") * math.sqrt(2 * math.pi))
     return (counts.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-            .groupBy("point", x.alias("x")).agg((F.sum(kernel * F.col("count")) / F.lit(n)).alias("density")))
+            .groupBy("group", "point", x.alias("x")).agg((F.sum(kernel * F.col("count") / F.col("n"))).alias("density")))
+
+
+def density(df: DataFrame, column: str, grid: int = 50, bins: int = 200) -> DataFrame:
+    """``densities`` of one group that holds all rows."""
+    return densities(df, column, {"all": F.lit(True)}, grid, bins).drop("group")
 
 
 def move_shares(df: DataFrame, price: str, listed: str, name: str) -> DataFrame:

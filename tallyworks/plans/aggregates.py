@@ -1,14 +1,12 @@
 """a01 - a38: grouped counts, sums and distribution statistics."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from tallyworks.functions.cells import int_or_zero
 from tallyworks.operators import quantiles, statistics as stats, tags, words as text
 from tallyworks.plans.filters import BAND_SQL
-from tallyworks.plans.inputs import (DAY_TAGS_SQL, LABELLED_SQL, STOP_SQL, TAGS_SQL, WORDS_SQL, basket_tags,
-                                     labelled_documents, order_tags, stop_words, stored_baskets,
+from tallyworks.plans.inputs import (DAY_TAGS_SQL, LABELLED_SQL, LABELLED_TEXT_SQL, STOP_SQL, TAGS_SQL, WORDS_SQL, basket_tags,
+                                     labelled_documents, order_tags, stop_words, stored_baskets, text_mark,
                                      user_counts)
 from tallyworks.plans.registry import query, rounded
 
@@ -87,13 +85,19 @@ def mean_by_group(t):
     return t.orders.groupBy("o_orderpriority").agg(rounded(F.avg("o_totalprice"), 4).alias("mean_price")).orderBy("mean_price")
 
 
+def shipped(t, first, last):
+    """Lines shipped from the start of one year to before that of another, as a range that reaches the scan."""
+    low, high = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (first, last))
+    return t.lineitem.where((F.col("l_shipdate") >= low) & (F.col("l_shipdate") < high))
+
+
 @query("a11_mean_difference", """SELECT
   round(avg(CASE WHEN year(l_shipdate) = 1997 THEN l_extendedprice - l_quantity * 1000 END), 4) AS mean_1997,
   round(avg(CASE WHEN year(l_shipdate) = 1998 THEN l_extendedprice - l_quantity * 1000 END), 4) AS mean_1998
   FROM lineitem""")
 def mean_difference(t):
     gap = F.col("l_extendedprice") - F.col("l_quantity") * 1000
-    return t.lineitem.agg(*[rounded(F.avg(F.when(F.year("l_shipdate") == y, gap)), 4).alias(f"mean_{y}")
+    return shipped(t, 1997, 1999).agg(*[rounded(F.avg(F.when(F.year("l_shipdate") == y, gap)), 4).alias(f"mean_{y}")
                             for y in (1997, 1998)])
 
 
@@ -150,20 +154,20 @@ def text_summary(t):
     return stats.text_summary(t.part, ["p_name", "p_brand", "p_type"])
 
 
-DOC_COLUMNS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 
 
 @query("a18_null_counts", " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", count(*) - count({c}) AS nulls FROM ({LABELLED_SQL}) d""" for c in DOC_COLUMNS))
+    f"""SELECT '{c}' AS "column", count(*) - count({c}) AS nulls FROM ({LABELLED_TEXT_SQL}) d""" for c in DOC_COLUMNS))
 def null_counts(t):
-    return stats.null_counts(labelled_documents(t))
+    return stats.null_counts(labelled_documents(t, text_mark()))
 
 
 @query("a19_null_percent", " UNION ALL ".join(
     f"""SELECT '{c}' AS "column", round(100.0 * (count(*) - count({c})) / count(*), 6)::DOUBLE AS null_percent
-    FROM ({LABELLED_SQL}) d""" for c in DOC_COLUMNS))
+    FROM ({LABELLED_TEXT_SQL}) d""" for c in DOC_COLUMNS))
 def null_percent(t):
-    return stats.null_percent(labelled_documents(t)).withColumn("null_percent", rounded("null_percent"))
+    return stats.null_percent(labelled_documents(t, text_mark())).withColumn("null_percent", rounded("null_percent"))
 
 
 @query("a20_shape", "SELECT count(*) AS rows, 11 AS columns FROM lineitem")
@@ -188,9 +192,7 @@ HISTOGRAM_SQL = """SELECT '{0}' AS "column", least(floor(({0} - low) / ((high -
 @query("a22_histogram", f"""{HISTOGRAM_SQL.format('l_extendedprice', 40, 39)}
   UNION ALL {HISTOGRAM_SQL.format('l_quantity', 20, 19)}""")
 def histogram(t):
-    parts = [stats.histogram(t.lineitem, c, bins).withColumn("column", F.lit(c))
-             for c, bins in (("l_extendedprice", 40), ("l_quantity", 20))]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return stats.histograms(t.lineitem, {"l_extendedprice": 40, "l_quantity": 20})
 
 
 @query("a23_box_statistics", """WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1,
@@ -218,10 +220,11 @@ DENSITY_SQL = """SELECT {0} AS year, point, round(x, 4) AS x, round(sum(exp(-0.5
 
 @query("a24_density", f"{DENSITY_SQL.format(1997)} UNION ALL {DENSITY_SQL.format(1998)}")
 def density(t):
-    parts = [stats.density(t.lineitem.where(F.year("l_shipdate") == year), "l_extendedprice")
-             .withColumn("year", F.lit(year)) for year in (1997, 1998)]
-    both = reduce(lambda a, b: a.unionByName(b), parts)
-    return both.withColumns({"x": rounded("x", 4), "density": rounded("density", 10)})
+    found = stats.densities(shipped(t, 1997, 1999), "l_extendedprice",
+                            {y: F.col("l_shipdate") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz")
+                             if y == 1997 else F.col("l_shipdate") >= F.lit(f"{y}-01-01").cast("timestamp_ntz")
+                             for y in (1997, 1998)})
+    return found.withColumnRenamed("group", "year").withColumns({"x": rounded("x", 4), "density": rounded("density", 10)})
 
 
 @query("a25_move_shares", """SELECT round(avg((l_extendedprice > l_quantity * 2000)::INT), 6) AS up,
@@ -241,7 +244,7 @@ CHANGE_SQL = """SELECT '{0}' AS "column", round((b - a) / a, 6) AS change FROM (
 @query("a26_mean_change", " UNION ALL ".join(CHANGE_SQL.format(c) for c in CORR_COLUMNS))
 def mean_change(t):
     year = F.year("l_shipdate")
-    return stats.mean_change(t.lineitem, CORR_COLUMNS, year == 1997, year == 1998).withColumn(
+    return stats.mean_change(shipped(t, 1997, 1999), CORR_COLUMNS, year == 1997, year == 1998).withColumn(
         "change", rounded("change"))
 
 

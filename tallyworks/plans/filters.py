@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tallyworks.functions.cells import letter_words, open_between, price_band, words
 from tallyworks.functions.fixed_values import FIRST_YEAR
 from tallyworks.operators import tables as ops
-from tallyworks.plans.inputs import LABELLED_SQL, WORDS_SQL, labelled_documents
+from tallyworks.plans.inputs import LABELLED_SQL, LABELLED_TEXT_SQL, WORDS_SQL, labelled_documents, text_mark
 from tallyworks.plans.registry import query, rounded
 
 BAND_SQL = """CASE WHEN {0} > 0 AND {0} < 10 THEN '10万以下' WHEN {0} > 10 AND {0} < 30 THEN '10-30万'
@@ -39,10 +39,10 @@ def replace_value(t):
         {"4-NOT SPECIFIED": "2023"}, subset=["o_orderpriority"])
 
 
-@query("p05_drop_null_rows", f"""SELECT * FROM ({LABELLED_SQL}) d
-  WHERE lang IS NOT NULL AND source IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL""")
+@query("p05_drop_null_rows", f"""SELECT * EXCLUDE (text) FROM ({LABELLED_TEXT_SQL}) d
+  WHERE text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL""")
 def drop_null_rows(t):
-    return labelled_documents(t).dropna("any")
+    return labelled_documents(t, text_mark()).dropna("any").drop("text")
 
 
 @query("p06_keep_not_null", f"SELECT doc_id, quality FROM ({LABELLED_SQL}) d WHERE quality IS NOT NULL")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.operators.joins import lookup_join
@@ -32,13 +32,19 @@ def stop_words(t: Tables) -> DataFrame:
     return t.spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
 
 
-def labelled_documents(t: Tables) -> DataFrame:
+def labelled_documents(t: Tables, *more: Column) -> DataFrame:
     """Documents with their labels; null where a document has none."""
-    return lookup_join(t.documents.select("doc_id", "lang", "source", "n_chars"), t.labels, ["doc_id"])
+    return lookup_join(t.documents.select("doc_id", *more, "lang", "source", "n_chars"), t.labels, ["doc_id"])
+
+
+def text_mark() -> Column:
+    """Stands for the text where only its presence matters, so that no text is moved."""
+    return F.when(F.col("text").isNotNull(), F.lit(True)).alias("text")
 
 
 LABELLED_SQL = ("SELECT doc_id, lang, source, n_chars, quality, toxic "
                 "FROM documents LEFT JOIN labels USING (doc_id)")
+LABELLED_TEXT_SQL = LABELLED_SQL.replace("doc_id,", "doc_id, text,", 1)
 
 
 def order_tags(t: Tables) -> DataFrame:

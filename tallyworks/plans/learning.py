@@ -7,7 +7,8 @@ from tallyworks.operators import evaluation, features, learners, words as text
 from tallyworks.operators.quantiles import exact_quantiles
 from tallyworks.plans.inputs import WEIGHTS_SQL, WORDS_SQL
 from tallyworks.plans.registry import query, rounded
-from tallyworks.session import materialize
+from tallyworks.session import fresh_path, materialize
+from tallyworks.sources import models
 
 PART_FEATURES = ["p_size", "p_brand_code", "p_type_code", "p_partkey_part"]
 
@@ -22,6 +23,20 @@ def part_rows(t):
     return materialize(vectors, "part-vectors")
 
 
+IMPORTANCE_SQL = """(SELECT 'p_size' AS feature, power(corr(p_size, p_retailprice), 2) AS importance FROM part
+  UNION ALL SELECT 'p_partkey_part', power(corr(p_partkey % 1000, p_retailprice), 2) FROM part
+  UNION ALL SELECT 'p_name_length', power(corr(length(p_name), p_retailprice), 2) FROM part
+  UNION ALL SELECT 'p_type_length', power(corr(length(p_type), p_retailprice), 2) FROM part) i"""
+
+
+def price_correlations(t):
+    """Importance of four columns for the price, by squared correlation."""
+    rows = t.part.select("p_size", "p_retailprice", (F.col("p_partkey") % 1000).alias("p_partkey_part"),
+                         F.length("p_name").alias("p_name_length"), F.length("p_type").alias("p_type_length"))
+    names = ["p_size", "p_partkey_part", "p_name_length", "p_type_length"]
+    return features.correlation_importances(rows, names, "p_retailprice")
+
+
 def part_importances(t):
     model = learners.boosted("p_retailprice", rounds=5, depth=4).fit(part_rows(t))
     return learners.importances(model, PART_FEATURES, t.part)
@@ -45,21 +60,29 @@ def decision_tree(t):
 
 @query("l03_boosted_trees")
 def boosted_trees(t):
-    return scores(t, learners.boosted("p_retailprice", rounds=10, step=0.3, depth=5))
+    """Depth and step of the boosting searched over shuffled folds."""
+    model = learners.boosted("p_retailprice", rounds=5, step=0.3, depth=5)
+    return scores(t, learners.searched(model, {"maxDepth": [3, 5], "stepSize": [0.1, 0.3]}, "p_retailprice"))
 
 
 @query("l04_lasso_search")
 def lasso_search(t):
-    return scores(t, learners.lasso("p_retailprice", [0.1, 1.0, 10.0]))
+    train, test = learners.split(part_rows(t), "p_partkey")
+    found = learners.powered_lasso(train, test, "p_retailprice", [0.1, 1.0, 10.0])
+    return evaluation.measures(found, "p_retailprice")
 
 
 @query("l05_grid_search")
 def grid_search(t):
-    search = learners.searched(learners.tree("p_retailprice"), {"maxDepth": [4, 8]}, "p_retailprice")
-    model = search.fit(part_rows(t))
-    rows = [(params[search.getEstimator().maxDepth], float(mse))
-            for params, mse in zip(search.getEstimatorParamMaps(), model.avgMetrics)]
-    return t.spark.createDataFrame(rows, "max_depth int, mse double")
+    """Mean squared error of each tried setting of a tree and of a forest."""
+    rows, found = part_rows(t), []
+    for name, estimator, grid in (("tree", learners.tree("p_retailprice"), {"maxDepth": [4, 8]}),
+                                  ("forest", learners.forest("p_retailprice", trees=5), {"maxDepth": [4, 8]})):
+        search = learners.searched(estimator, grid, "p_retailprice")
+        model = search.fit(rows)
+        found += [(name, params[estimator.maxDepth], float(mse))
+                  for params, mse in zip(search.getEstimatorParamMaps(), model.avgMetrics)]
+    return t.spark.createDataFrame(found, "model string, max_depth int, mse double")
 
 
 @query("l06_importances")
@@ -69,19 +92,25 @@ def feature_importances(t):
 
 @query("l07_stacked_model")
 def stacked(t):
-    """The out-of-fold forest prediction joins the more important features; a
-    boosted model learns from both on its own split."""
-    found = part_importances(t)
+    """A forest's prediction joins the more important features and a boosted model
+    learns from both. The test part is set aside first: training rows get the
+    prediction of a forest that has not seen them, test rows that of a forest fitted on
+    the training part."""
+    train, test = learners.split(part_rows(t), "p_partkey")
+    importance = learners.boosted("p_retailprice", rounds=5, depth=4).fit(train)
+    found = learners.importances(importance, PART_FEATURES, t.part)
     median = exact_quantiles(found, ["importance"], [0.5]).first()["quantiles"][0]
     names = [row["feature"] for row in features.important_features(found, median).orderBy("feature").collect()]
     forest = learners.forest("p_retailprice", depth=10, trees=5)
-    rows = learners.out_of_fold(part_rows(t), "p_partkey", forest).withColumn("v", vector_to_array("features"))
-    chosen = [F.col("v")[PART_FEATURES.index(n)].alias(n) for n in names]
-    flat = rows.select("p_partkey", "p_retailprice", "ensemble", *chosen)
-    stacked_rows = features.assemble(flat, [*names, "ensemble"])
-    train, test = learners.split(stacked_rows, "p_partkey", 0.8)
-    model = learners.boosted("p_retailprice", rounds=10, step=0.3, depth=5).fit(train)
-    return evaluation.measures(model.transform(test), "p_retailprice")
+    parts = [learners.out_of_fold(train, "p_partkey", forest),
+             forest.fit(train).transform(test).withColumnRenamed("prediction", "ensemble")]
+    stacked_parts = []
+    for part in parts:
+        flat = part.withColumn("v", vector_to_array("features")).select(
+            "p_partkey", "p_retailprice", "ensemble", *[F.col("v")[PART_FEATURES.index(n)].alias(n) for n in names])
+        stacked_parts.append(features.assemble(flat, [*names, "ensemble"]))
+    model = learners.boosted("p_retailprice", rounds=10, step=0.3, depth=5).fit(stacked_parts[0])
+    return evaluation.measures(model.transform(stacked_parts[1]), "p_retailprice")
 
 
 def embedding_columns(n):
@@ -140,8 +169,22 @@ def similar_sql(source: str) -> str:
     return f"WITH {WEIGHTS_SQL}, {SIMILAR_SQL.format(words=WORDS_SQL.format('text'), source=source)}"
 
 
+_text_models: dict[tuple[str, str], str] = {}
+
+
+def text_model(t):
+    """Weights and vocabulary of the documents, fitted once per application and
+    table folder; every later request reads the stored tables."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _text_models:
+        path = fresh_path(t.spark, "text-model")
+        models.save_text_model(*text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text"), path)
+        _text_models[key] = path
+    return models.load_text_model(t.spark, _text_models[key])
+
+
 def similar_documents(t, query_rows):
-    weights, idf = text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text")
+    weights, idf = text_model(t)
     found = text.most_similar(weights, "doc_id", text.query_weights(query_rows, "text", idf))
     return found.withColumn("similarity", rounded("similarity"))
 

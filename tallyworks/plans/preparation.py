@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyworks.operators import features, quantiles, words as text
 from tallyworks.operators.tables import fill_from_neighbours
 from tallyworks.plans.inputs import LABELLED_SQL, WEIGHTS_SQL, labelled_documents
-from tallyworks.plans.learning import part_importances
+from tallyworks.plans.learning import IMPORTANCE_SQL, price_correlations
 from tallyworks.plans.registry import query, rounded
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -157,11 +157,12 @@ def fill(t):
     return fill_from_neighbours(rows, "grade", ["lang", "source"])
 
 
-@query("m13_important_features")
+@query("m13_important_features", f"""SELECT feature, round(importance, 9) AS importance FROM {IMPORTANCE_SQL}
+  WHERE importance >= (SELECT median(importance) FROM {IMPORTANCE_SQL})""")
 def important(t):
-    found = part_importances(t)
+    found = price_correlations(t)
     median = quantiles.exact_quantiles(found, ["importance"], [0.5]).first()["quantiles"][0]
-    return features.important_features(found, median)
+    return features.important_features(found, median).withColumn("importance", rounded("importance", 9))
 
 
 @query("m14_text_weights", f"WITH {WEIGHTS_SQL} SELECT doc_id, word, round(weight, 6) AS weight FROM weights")

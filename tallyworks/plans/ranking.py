@@ -7,7 +7,7 @@ from tallyworks.operators.tables import match_text
 from tallyworks.operators.words import letter_word_counts
 from tallyworks.plans.aggregates import LETTER_COUNTS_SQL, SALES_SQL, sales_by_brand
 from tallyworks.plans.inputs import DAY_TAGS_SQL, user_counts
-from tallyworks.plans.learning import part_importances
+from tallyworks.plans.learning import IMPORTANCE_SQL, price_correlations
 from tallyworks.plans.registry import query, rounded
 
 
@@ -86,9 +86,10 @@ def row_cap(t):
     return ordering.first_rows(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], ASKED_ROWS)
 
 
-@query("t07_sorted_importances")
+@query("t07_sorted_importances", f"SELECT feature, round(importance, 9) AS importance FROM {IMPORTANCE_SQL}")
 def sorted_importances(t):
-    return part_importances(t).orderBy(F.desc("importance"), "feature")
+    return price_correlations(t).withColumn("importance", rounded("importance", 9)).orderBy(
+        F.desc("importance"), "feature")
 
 
 # Fences this near leave rows on both sides of the test prices.
