@@ -158,7 +158,7 @@ def fit_network(x: np.ndarray, y: np.ndarray, hidden: int = 24, rounds: int = 60
     width = x.shape[1]
     net = Network(np.zeros(width), np.ones(width), np.zeros((width, hidden)), np.zeros(hidden), np.zeros(hidden),
                   float(np.log(share / (1 - share))) if 0 < share < 1 else (40.0 if share == 1 else -40.0))
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         return net
     rng = np.random.default_rng(seed)
     aside = np.arange(len(y)) % 8 == 7

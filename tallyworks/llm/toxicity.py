@@ -7,6 +7,9 @@ toxic passage, so one insult in a long text is not averaged away. Embeddings and
 softmax are learned together, so a misspelt word shares most of its vectors with
 the word it comes from. The table of embeddings has a fixed size.
 
+A toxic text teaches from its ``TOP`` highest passages at first and from two in the
+end, as it is not known which of them made it toxic.
+
 Fitted on the driver on at most ``sample`` labelled rows; scoring needs only each
 bucket's share in the logit.
 
@@ -29,7 +32,7 @@ from tallyworks.llm.arrays import (
 )
 from tallyworks.llm.quality import crc_share, labelled_sample, scored
 
-BUCKETS, DIMS, SHORT, LONG, PASSAGE = 1 << 17, 8, 3, 6, 3
+BUCKETS, DIMS, SHORT, LONG, PASSAGE, TOP = 1 << 17, 8, 3, 6, 3, 8
 
 
 def _words(buf: np.ndarray, offs: np.ndarray):
@@ -117,8 +120,11 @@ def _training_words(texts: list[str]):
             np.concatenate(sizes or [np.zeros(0, np.int64)]))
 
 
-def fit_subwords(texts: list[str], y: np.ndarray, rounds: int = 12, seed: int = 5) -> Subwords:
-    """Adagrad over texts; each round learns from the passage that scores highest now."""
+def fit_subwords(texts: list[str], y: np.ndarray, rounds: int = 12, steps: int = 400, seed: int = 5) -> Subwords:
+    """Adagrad over texts; each round learns from the passages that score highest now.
+
+    At least ``rounds`` rounds, and as many as ``steps`` mini-batches need.
+    """
     share = float(y.mean()) if len(y) else 0.0
     if not 0 < share < 1:
         return Subwords(np.zeros(BUCKETS), 40.0 if share == 1 else -40.0)
@@ -127,19 +133,24 @@ def fit_subwords(texts: list[str], y: np.ndarray, rounds: int = 12, seed: int =
     vectors = rng.normal(0, 0.1, (BUCKETS, DIMS))
     head = rng.normal(0, 1, (DIMS, 2))
     bias = np.array([0.0, np.log(share / (1 - share))])
-    steps, head_steps, bias_steps = np.full(BUCKETS, 1e-8), np.full(head.shape, 1e-8), np.full(2, 1e-8)
+    seen, head_steps, bias_steps = np.full(BUCKETS, 1e-8), np.full(head.shape, 1e-8), np.full(2, 1e-8)
     at = np.cumsum(size) - size
     stop = np.append(begin[1:], len(which))
     full = np.flatnonzero(np.diff(edge))
     total = np.add.reduceat(size[which], begin)
+    rounds = max(rounds, -(-steps * 64 // len(texts)))
     for turn in range(rounds):
         scalar = vectors @ (head[:, 1] - head[:, 0])
         logit = np.add.reduceat(np.add.reduceat(scalar[bucket], at)[which], begin) / total
-        best = np.array([a + int(np.argmax(logit[a:b])) for a, b in zip(edge[full], edge[full + 1])])
-        # clean texts also teach from a passage picked at random
-        other = edge[full] + (rng.random(len(full)) * (edge[full + 1] - edge[full])).astype(np.int64)
-        chosen = np.concatenate((best, other[y[full] == 0]))
-        truth = np.concatenate((y[full], np.zeros(int((y[full] == 0).sum())))).astype(np.int64)
+        # a text teaches from its highest passages, clean ones also from some picked at random
+        high = max(2, TOP * (rounds - turn) // rounds)
+        best = [a + np.argsort(-logit[a:b])[:high] for a, b in zip(edge[full].tolist(), edge[full + 1].tolist())]
+        owner = np.repeat(np.arange(len(full)), [len(x) for x in best])
+        clean = np.flatnonzero(y[full] == 0)
+        clean = np.repeat(clean, 2)
+        other = edge[full][clean] + (rng.random(len(clean)) * np.diff(edge)[full][clean]).astype(np.int64)
+        chosen = np.concatenate((*best, other))
+        truth = np.concatenate((y[full][owner], np.zeros(len(other)))).astype(np.int64)
         order = rng.permutation(len(chosen))
         for lo in range(0, len(order), 64):
             pick = order[lo:lo + 64]
@@ -161,8 +172,8 @@ def fit_subwords(texts: list[str], y: np.ndarray, rounds: int = 12, seed: int =
             slope = np.zeros((len(used), DIMS))
             for k in range(DIMS):
                 slope[:, k] = np.bincount(place, back[row, k], len(used))
-            steps[used] += np.mean(slope * slope, axis=1)
-            vectors[used] -= 0.3 * slope / np.sqrt(steps[used])[:, None]
+            seen[used] += np.mean(slope * slope, axis=1)
+            vectors[used] -= 0.3 * slope / np.sqrt(seen[used])[:, None]
             up, low = mean.T @ error, error.sum(axis=0)
             head_steps += up * up
             head -= 0.05 * up / np.sqrt(head_steps)
