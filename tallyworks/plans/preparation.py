@@ -69,13 +69,13 @@ def scaled(t):
     return found.withColumns({c: rounded(c) for c in ("l_quantity", "l_extendedprice")})
 
 
-POWER_SQL = """SELECT '{0}' AS "column", lam AS power, round(fit, 2) AS fit FROM (
+POWER_SQL = """SELECT '{0}' AS "column", lam AS power, round(raw, 2) AS fit FROM (
   SELECT lam, -sum(n) / 2.0 * ln(sum(n * z * z) / sum(n) - power(sum(n * z) / sum(n), 2))
-      + (lam - 1) * sum(n * ln(1 + x)) AS fit FROM (
+      + (lam - 1) * sum(n * ln(1 + x)) AS raw FROM (
     SELECT lam, x, n, CASE WHEN abs(lam) < 1e-12 THEN ln(1 + x) ELSE (power(x + 1, lam) - 1) / lam END AS z
     FROM (SELECT {0}::DOUBLE AS x, count(*) AS n FROM lineitem GROUP BY 1) v,
       (SELECT unnest(range(-2000, 2001)) / 1000.0::DOUBLE AS lam) g) t
-  GROUP BY lam) f ORDER BY fit DESC LIMIT 1"""
+  GROUP BY lam) f ORDER BY raw DESC LIMIT 1"""
 
 
 @query("m08_best_powers", f"""SELECT * FROM ({POWER_SQL.format('l_quantity')}) UNION ALL
