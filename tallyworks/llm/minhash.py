@@ -9,9 +9,11 @@ for places that are equal by chance, estimates the similarity, and what could
 reach the threshold is confirmed on the full sets.
 
 Every class of a bucket is first held against the bucket's smallest one, so a
-large group of near copies costs a row per member, not per pair. Members that
-this leaves in different components are then compared with each other in their
-bucket, by signature inside the join: no link between them is lost.
+large group of near copies costs a row per member, not per pair. Buckets whose
+members this leaves in different components are joined to families; in a family every
+member outside its largest component is held against all members of other
+components. That is done in blocks of bounded size, by signatures and then by full sets
+inside the task, and only links leave the task: no link is lost and no pair is a row.
 
 Recall: a pair at similarity s shares a band with probability
 1 - (1 - s**rows)**bands; at 0.75 the standard 40 bands of 4 miss 2.5 in ten
@@ -145,6 +147,99 @@ def _confirm(words: int, percent: int):
     return run
 
 
+def _leftovers(words: int, percent: int, floor: float, count: int):
+    """Links between members that ask and members of other components, block pair by block pair.
+
+    Rows come sorted by (family, i, j); one such group is a block of askers and a block of members.
+    """
+    def group(rows: pa.Table):
+        parts = [shingles(b, o, words) for _, b, o in text_blocks(rows.combine_chunks().to_batches())]
+        sets = [x[p:q] for x, f in parts for p, q in zip(f[:-1].tolist(), f[1:].tolist())]
+        rep, root, n = (rows.column(c).to_numpy() for c in ("rep", "root", "n"))
+        asks, minor = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("asks", "minor"))
+        sign = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
+        local = dict.fromkeys(root.tolist())
+        local = {r: r for r in local}
+        now = root.copy()
+        out = []
+        for x in np.flatnonzero(asks):
+            other = ~asks & (now != local[int(root[x])]) & ~(minor & (rep < rep[x]))
+            other &= (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+            at = np.flatnonzero(other)
+            at = at[_similar(sign[at], sign[x], count) >= floor]
+            if not len(at):
+                continue
+            size = np.array([len(sets[y]) for y in at])
+            values, mine = np.concatenate([sets[y] for y in at]), sets[x]
+            hit = mine[np.minimum(np.searchsorted(mine, values), len(mine) - 1)] == values
+            shared = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+            for y in at[100 * shared >= percent * (size + len(mine) - shared)].tolist():
+                mine_now, theirs = local[int(root[x])], int(now[y])
+                if mine_now != theirs:
+                    out.append((int(rep[x]), int(rep[y])))
+                    local = {r: mine_now if c == theirs else c for r, c in local.items()}
+                    now[now == theirs] = mine_now
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables(
+                [held, pa.Table.from_batches([batch])])
+            keys = [table.column(c).to_numpy() for c in ("family", "i", "j")]
+            cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+            edges = [0, *cuts.tolist()]
+            for a, b in zip(edges[:-1], edges[1:]):
+                yield group(table.slice(a, b - a))
+            held = table.slice(edges[-1]) if table.num_rows else None
+        if held is not None and held.num_rows:
+            yield group(held)
+    return run
+
+
+def _similar(some: np.ndarray, one: np.ndarray, count: int) -> np.ndarray:
+    """``_estimate`` on arrays of packed longs."""
+    apart = (some ^ one).view(np.uint64)
+    ones = np.uint64(int("01" * (64 // BITS), 2))
+    differ = np.bitwise_count((apart | (apart >> np.uint64(1))) & ones).sum(axis=1)
+    chance = 2.0 ** -BITS
+    return (1 - differ / count - chance) / (1 - chance)
+
+
+def _family_links(split: DataFrame, marks: DataFrame, texts: DataFrame, words: int, percent: int, floor: float,
+                  count: int, askers: int = 256, block: int = 1024) -> DataFrame | None:
+    """Links between components that share a bucket; ``split`` has key, rep and root."""
+    parted = materialize(split.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                                  F.min("rep").alias("lead"))
+                         .where("low <> high").select("key", "lead"), "parted")
+    met = materialize(split.join(parted, "key").select("rep", "root", "lead").distinct(), "parted")
+    if met.isEmpty():
+        return None
+    family = components(met.where("lead <> rep").select(F.col("lead").alias("a"), F.col("rep").alias("b")))
+    people = met.select("rep", "root").distinct().join(
+        family.select(F.col("id").alias("rep"), F.col("root").alias("family")), "rep")
+    people = materialize(people, "people")
+    shares = people.groupBy("family", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = materialize(shares.groupBy("family").agg(
+        F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).select(
+        "family", F.col("top.root").alias("most"),
+        F.ceil((F.col("all") - F.col("top.n")) / askers).cast("int").alias("ni"),
+        F.ceil(F.col("all") / block).cast("int").alias("nj")).where("ni > 0"), "families")
+    full = people.join(largest, "family").withColumn("minor", F.col("root") != F.col("most")).join(marks, "rep").join(
+        texts.withColumnRenamed("doc_id", "rep"), "rep")
+    own_i, own_j = (F.pmod(F.xxhash64("rep", F.lit(k)), F.col(f"n{k}")).cast("int") for k in "ij")
+    every_i, every_j = (F.sequence(F.lit(0), F.col(f"n{k}") - 1) for k in "ij")
+    places = F.array_union(
+        F.transform(every_i, lambda i: F.struct(i.alias("i"), own_j.alias("j"), F.lit(False).alias("asks"))),
+        F.when(F.col("minor"), F.transform(every_j, lambda j: F.struct(own_i.alias("i"), j.alias("j"),
+                                                                       F.lit(True).alias("asks"))))
+        .otherwise(F.array().cast("array<struct<i:int,j:int,asks:boolean>>")))
+    placed = full.withColumn("place", F.explode(places)).select(
+        "family", "place.i", "place.j", "place.asks", "minor", "rep", "root", "n", "signature", "text")
+    return materialize(placed.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(
+        _leftovers(words, percent, floor, count), "a long, b long"), "confirmed")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root): smallest id reachable over ``links`` (a, b), for every id in them.
 
@@ -215,16 +310,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
     # what the stars left apart: members of one bucket in different components
     split = members.join(roots, members.rep == roots.id, "left").select(
         "key", "rep", F.coalesce("root", "rep").alias("root"))
-    parted = materialize(split.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                         .where("low <> high").select("key"), "parted")
-    left = materialize(split.join(parted, "key").join(marks, "rep"), "parted")
-    a, b = (left.select("key", *[F.col(x).alias(f"{x}_{c}") for x in ("rep", "root", "signature", "n")]) for c in "ab")
-    rest = a.join(b, "key").where(
-        (F.col("root_a") < F.col("root_b")) & (F.col("n_a") * 100 >= F.col("n_b") * percent)
-        & (F.col("n_b") * 100 >= F.col("n_a") * percent)
-        & (_estimate(F.col("signature_a"), F.col("signature_b"), count) >= floor))
-    more = confirmed(materialize(rest.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct(), "pairs"))
-    if not more.isEmpty():
+    more = _family_links(split, marks, some, words, percent, floor, count)
+    if more is not None and not more.isEmpty():
         roots = components(links.union(more))
     named = materialize(classes.join(roots, classes.rep == roots.id, "left").select(
         "set_a", "set_b", F.coalesce("root", "rep").alias("root")), "named")
