@@ -12,6 +12,9 @@ source coordinates of the first of them. Only where paths that share a core
 part ways does the first node of each path go on, cut into smaller nodes with
 longer cores (``steps``), down to single windows. Hulls are compared by 128 bits.
 
+Of exactly equal texts only the one with the smallest doc_id goes through the graph;
+what happens to the others follows from that (``Found.copies``).
+
 Nothing is held per key: groups are counted with partial sums and joined, so a
 passage that a third of all texts share is no single task's work.
 """
@@ -26,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.arrays import (
-    Rolling, byte_symbols, covered, longs, ranges, space_words, text_blocks, word_hashes, word_spans,
+    Rolling, byte_symbols, covered, longs, mixed, ranges, space_words, text_blocks, word_hashes, word_spans,
 )
-from tallyworks.session import materialize
+from tallyworks.session import discard, materialize
 
 
 @dataclass(frozen=True)
@@ -80,13 +83,17 @@ def _nodes(rule: Windows, roll: Rolling, first: np.ndarray):
 
 
 def _anchor_rows(rule: Windows):
+    """Anchors with their gram's hash, their place, and a mark of (text, place) that exact copies share."""
     def run(batches):
         for rows, buf, offs in text_blocks(batches):
             roll, _, first = _symbols(rule, buf, offs)
             anchor, _, _, text, gram = _nodes(rule, roll, first)
             ids = rows.column("doc_id").take(pa.array(text))
+            at = anchor - first[text]
+            whole = roll.of(first[:-1], first[1:])[text]
             yield pa.RecordBatch.from_arrays(
-                [ids, longs(gram), pa.array((anchor - first[text]).astype(np.int32))], ["doc_id", "core", "at"])
+                [ids, longs(gram), pa.array(at.astype(np.int32)), longs(mixed(whole + at.astype(np.uint64)))],
+                ["doc_id", "core", "at", "mark"])
     return run
 
 
@@ -152,38 +159,61 @@ def _decide(rows: DataFrame, rule: Windows, last: bool) -> DataFrame:
     met = rows.drop("core").join(kinds.drop("core"), ["hull", "guard"])
     is_first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("lo") == F.col("first.lo"))
     goes = ~is_first if rule.later else F.col("n") > 1
-    return materialize(met.select("doc_id", "at", "lo", "hi", goes.alias("goes"),
-                                  (is_first & F.col("parting")).alias("open")).where("goes OR open"), "decided")
+    decided = materialize(met.select("doc_id", "at", "lo", "hi", goes.alias("goes"),
+                                     (is_first & F.col("parting")).alias("open")).where("goes OR open"), "decided")
+    discard(paths)
+    return decided
+
+
+@dataclass(frozen=True)
+class Found:
+    """``texts``: texts in question; ``spans`` (doc_id, start, end) of their windows that go, in
+    symbols, overlapping, up to before ``end``; ``copies``: doc_ids of texts that go as
+    a whole, if they are as long as a window, because others equal them."""
+
+    texts: DataFrame
+    spans: DataFrame
+    copies: DataFrame
+
+
+def _equal_texts(texts: DataFrame) -> DataFrame:
+    """(doc_id, rep) of the texts that others equal; rep is the smallest doc_id."""
+    marked = texts.where("text <> ''").select("doc_id", F.md5("text").alias("digest"))
+    classes = materialize(marked.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
+                          .where("n > 1").select("digest", "rep"), "classes")
+    return materialize(marked.join(classes, "digest").select("doc_id", "rep"), "copies")
 
 
-def repeated_spans(docs: DataFrame, rule: Windows) -> tuple[DataFrame, DataFrame]:
-    """Texts with repeated anchors, and the spans (doc_id, start, end) of windows that go.
+def repeated_spans(docs: DataFrame, rule: Windows) -> Found:
+    """Repeated windows of all texts.
 
-    Spans are in symbols, may overlap, and end before ``end``. Rows without a
-    doc_id take no part. Rows that share a doc_id count as one text's rows:
-    none of them is earlier than another.
+    Rows without a doc_id take no part. Rows that share a doc_id count as one
+    text's rows: none of them is earlier than another.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    anchors = texts.mapInArrow(_anchor_rows(rule), "doc_id long, core long, at int")
-    again = materialize(anchors.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("core"),
-                        "anchors")
-    places = anchors.join(again, "core").groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
-    some = materialize(texts.join(places, "doc_id"), "candidates")
+    equal = _equal_texts(texts)
+    anchors = texts.mapInArrow(_anchor_rows(rule), "doc_id long, core long, at int, mark long")
+    again = materialize(anchors.groupBy("core").agg(F.min("mark").alias("a"), F.max("mark").alias("b"))
+                        .where("a <> b").select("core"), "anchors")
+    places = anchors.drop("mark").join(again, "core").groupBy("doc_id").agg(F.collect_list("at").alias("ats"))
+    others = equal.where("doc_id <> rep").select("doc_id").distinct()
+    some = materialize(texts.join(places.join(others, "doc_id", "left_anti"), "doc_id"), "candidates")
+    discard(again)
     rows = materialize(some.mapInArrow(_first_nodes(rule), _NODE), "nodes")
-    spans = []
+    some = some.drop("ats")
+    every = None
     for size in (*rule.steps, None):
         decided = _decide(rows, rule, last=size is None)
-        spans.append(decided.where("goes").select(
-            "doc_id", F.col("lo").alias("start"), (F.col("hi") + F.lit(rule.width)).alias("end")))
-        if size is None:
-            break
-        nodes = decided.where("open").groupBy("doc_id").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("nodes"))
-        rows = materialize(some.drop("ats").join(nodes, "doc_id").mapInArrow(_smaller_nodes(rule, size), _NODE),
-                           "nodes")
-    every = spans[0]
-    for more in spans[1:]:
-        every = every.union(more)
-    return some.drop("ats"), every
+        discard(rows)
+        spans = decided.where("goes").select(
+            "doc_id", F.col("lo").alias("start"), (F.col("hi") + F.lit(rule.width)).alias("end"))
+        every = spans if every is None else every.union(spans)
+        if size is not None:
+            nodes = decided.where("open").groupBy("doc_id").agg(
+                F.collect_list(F.struct("at", "lo", "hi")).alias("nodes"))
+            rows = materialize(some.join(nodes, "doc_id").mapInArrow(_smaller_nodes(rule, size), _NODE), "nodes")
+    gone = equal.where("doc_id <> rep") if rule.later else equal
+    return Found(some, every, gone.select("doc_id").distinct())
 
 
 def spans_by_text(spans: DataFrame) -> DataFrame:

@@ -23,14 +23,24 @@ from tallyworks.llm.arrays import covered, ranges, space_words, text_blocks, tex
 from tallyworks.llm.repeats import Windows, repeated_spans, span_mask, spans_by_text
 
 
+# End of the span of a text that goes as a whole.
+WHOLE = (1 << 31) - 1
+
+
 def word_windows(width: int = 20) -> Windows:
     """Windows of ``width`` words; the first place of equal windows stays."""
-    return Windows("word", width, max(1, min(6, width // 3)), True, (1,))
+    return Windows("word", width, max(1, min(8, width // 2)), True, (1,))
 
 
 def repeated_passages(docs: DataFrame, width: int = 20) -> DataFrame:
-    """(doc_id, spans): word ranges that windows starting earlier elsewhere cover. Spans may overlap."""
-    return spans_by_text(repeated_spans(docs, word_windows(width))[1])
+    """(doc_id, spans): word ranges that windows starting earlier elsewhere cover.
+
+    Spans may overlap. A text that equals an earlier one has the span up to ``WHOLE``;
+    it counts only if the text is as long as a window.
+    """
+    found = repeated_spans(docs, word_windows(width))
+    whole = found.copies.select("doc_id", F.lit(0).alias("start"), F.lit(WHOLE).alias("end"))
+    return spans_by_text(found.spans.union(whole))
 
 
 def _digests(batches):
@@ -57,21 +67,27 @@ _DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 def passage_digests(docs: DataFrame, width: int = 20) -> DataFrame:
     """Words, removed words and the hash of what is left, for every text."""
-    some, spans = repeated_spans(docs, word_windows(width))
-    cut = some.join(spans_by_text(spans), "doc_id").mapInArrow(_digests, _DIGEST)
-    return with_changes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                        .mapInArrow(_digests, _DIGEST), cut)
+    found = repeated_spans(docs, word_windows(width))
+    cut = found.texts.join(spans_by_text(found.spans), "doc_id").mapInArrow(_digests, _DIGEST)
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_digests, _DIGEST)
+    return with_changes(whole, cut, found.copies, F.col("n_words") >= width,
+                        {"n_removed": F.col("n_words"), "kept_sha256": F.lit(hashlib.sha256().hexdigest())})
 
 
-def with_changes(whole: DataFrame, changed: DataFrame) -> DataFrame:
-    """``whole`` with the values of ``changed`` where that has the doc_id."""
+def with_changes(whole: DataFrame, changed: DataFrame, copies: DataFrame, long_enough: Column,
+                 nothing_left: dict[str, Column]) -> DataFrame:
+    """``whole`` with the values of ``changed`` where that has the doc_id, and those of
+    ``nothing_left`` for the copies that are long enough."""
     values = [c for c in whole.columns if c != "doc_id"]
     new = changed.groupBy("doc_id").agg(F.min(F.struct(*values)).alias("new"))
-    return whole.join(new, "doc_id", "left").select(
-        "doc_id", *[F.when(F.col("new").isNull(), F.col(c)).otherwise(F.col(f"new.{c}")).alias(c) for c in values])
+    met = whole.join(new, "doc_id", "left").join(copies.withColumn("copy", F.lit(True)), "doc_id", "left")
+    gone = F.col("copy").isNotNull() & long_enough
+    return met.select("doc_id", *[
+        F.when(gone, nothing_left[c] if c in nothing_left else F.col(c)).when(F.col("new").isNull(), F.col(c))
+        .otherwise(F.col(f"new.{c}")).alias(c) for c in values])
 
 
-def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+def _cut(texts: pd.Series, spans: pd.Series, width: int) -> pd.Series:
     out = []
     for text, given in zip(texts, spans):
         if given is None or text is None or not len(given):
@@ -80,21 +96,24 @@ def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         buf, offs = text_bytes(pa.array([text]))
         starts, ends, _ = word_spans(buf, offs, space_words())
         n = len(starts)
-        gone = covered(np.minimum([s["start"] for s in given], n), np.minimum([s["end"] for s in given], n), n)
+        given = [(min(s["start"], n), min(s["end"], n)) for s in given if n >= width or s["end"] < WHOLE]
+        gone = covered([a for a, _ in given], [b for _, b in given], n)
         next_start = np.append(starts[1:], len(buf))
         away = covered(starts[gone], next_start[gone], len(buf))
         out.append(buf[~away].tobytes().decode("utf-8"))
     return pd.Series(out, dtype=object)
 
 
-def cut_words(text: Column, spans: Column) -> Column:
+def cut_words(text: Column, spans: Column, width: int = 20) -> Column:
     """``text`` without the words of ``spans`` and the white space after each; null spans change nothing."""
-    return F.pandas_udf(_cut, "string")(text, spans)
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return _cut(texts, spans, width)
+    return F.pandas_udf(cut, "string")(text, spans)
 
 
 def drop_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     """``docs`` with every passage removed that repeats an earlier one; all columns and rows stay."""
     spans = repeated_passages(docs, width).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
     met = docs.join(spans, F.col("doc_id") == F.col("__id"), "left")
-    new = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut_words(F.col("text"), F.col("__spans")))
+    new = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut_words(F.col("text"), F.col("__spans"), width))
     return met.withColumn("text", new).select(*docs.columns)

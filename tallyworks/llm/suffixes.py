@@ -1,6 +1,6 @@
 """Removal of byte strings that occur more than once (prefix doubling on anchors).
 
-Positions are ranked by the hash of a string around their anchor, first 32
+Positions are ranked by the hash of a string around their anchor, first 48
 bytes, then longer ones (185, then 200 bytes for the standard width). After each
 rank positions that are unique drop out, positions whose whole surroundings
 repeat are past the threshold and done, and the rest are ranked again.
@@ -21,19 +21,25 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.arrays import text_blocks
 from tallyworks.llm.repeats import Windows, repeated_spans, span_mask, spans_by_text
-from tallyworks.llm.substrings import with_changes
+from tallyworks.llm.substrings import WHOLE, with_changes
 
 
 def byte_windows(width: int = 200) -> Windows:
     """Strings of ``width`` bytes; every place of a repeated one goes."""
-    gram = max(1, min(32, width // 3))
+    gram = max(1, min(48, width // 3))
     steps = tuple(s for s in (16, 1) if s < width - gram)
     return Windows("byte", width, gram, False, steps or (1,))
 
 
 def repeated_strings(docs: DataFrame, width: int = 200) -> DataFrame:
-    """(doc_id, spans): byte ranges covered by strings that start anywhere else too. Spans may overlap."""
-    return spans_by_text(repeated_spans(docs, byte_windows(width))[1])
+    """(doc_id, spans): byte ranges covered by strings that start anywhere else too.
+
+    Spans may overlap. A text that another one equals has the span up to ``WHOLE``;
+    it counts only if the text is as long as a string.
+    """
+    found = repeated_spans(docs, byte_windows(width))
+    whole = found.copies.select("doc_id", F.lit(0).alias("start"), F.lit(WHOLE).alias("end"))
+    return spans_by_text(found.spans.union(whole))
 
 
 def _digests(batches):
@@ -53,12 +59,14 @@ def _digests(batches):
 
 def string_digests(docs: DataFrame, width: int = 200) -> DataFrame:
     """Bytes, removed bytes and runs, and the hash of what is left, for every text."""
-    some, spans = repeated_spans(docs, byte_windows(width))
-    cut = some.join(spans_by_text(spans), "doc_id").mapInArrow(
+    found = repeated_spans(docs, byte_windows(width))
+    cut = found.texts.join(spans_by_text(found.spans), "doc_id").mapInArrow(
         _digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     text = F.coalesce("text", F.lit(""))
     whole = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
         F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
         F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
-    return with_changes(whole, cut)
+    return with_changes(whole, cut, found.copies, F.col("n_bytes") >= width, {
+        "n_removed": F.col("n_bytes"), "n_spans": F.lit(1).cast("long"),
+        "kept_sha256": F.lit(hashlib.sha256().hexdigest())})
