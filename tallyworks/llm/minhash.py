@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.arrays import (
     Rolling, blocks, longs, lowered, mixed, space_words, text_blocks, text_bytes, word_hashes, word_spans,
 )
-from tallyworks.session import materialize
+from tallyworks.session import discard, materialize
 
 BITS = 2
 _PER_LONG = 64 // BITS
@@ -243,17 +243,11 @@ def _family_links(split: DataFrame, marks: DataFrame, texts: DataFrame, words: i
 def components(links: DataFrame) -> DataFrame:
     """(id, root): smallest id reachable over ``links`` (a, b), for every id in them.
 
-    Large-star and small-star steps, each stored; ends when every link goes to a root.
+    Large-star and small-star steps, each stored, until every link goes to a root.
     """
     edges = materialize(links.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m"))
                         .where("v <> m").distinct(), "links")
-    mark = None
-    while True:
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)"))).first()
-        if tuple(now) == mark:
-            return edges.select(F.col("v").alias("id"), F.col("m").alias("root")).union(
-                edges.select(F.col("m").alias("id"), F.col("m").alias("root"))).distinct()
-        mark = tuple(now)
+    while not _are_stars(edges):
         both = edges.union(edges.select(F.col("m").alias("v"), F.col("v").alias("m")))
         least = materialize(both.groupBy("v").agg(F.min("m").alias("low")).select(
             F.col("v").alias("u"), F.least("v", "low").alias("low")), "least")
@@ -265,6 +259,25 @@ def components(links: DataFrame) -> DataFrame:
         tied = star.join(low, "v")
         edges = materialize(tied.select("v", F.col("low").alias("m")).union(
             tied.select(F.col("m").alias("v"), F.col("low").alias("m"))).where("v <> m").distinct(), "links")
+    return edges.select(F.col("v").alias("id"), F.col("m").alias("root")).union(
+        edges.select(F.col("m").alias("id"), F.col("m").alias("root")).distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every id goes to one smaller id, which goes nowhere."""
+    ids = edges.select("v", F.lit(1).alias("out")).union(edges.select(F.col("m").alias("v"), F.lit(0)).distinct())
+    both = ids.groupBy("v").agg(F.sum("out").alias("out"), F.count(F.lit(1)).alias("n"))
+    return both.where("out > 1 OR (out = 1 AND n > 1)").isEmpty()
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after further links (a, b): only the roots that they tie are worked on again."""
+    a, b = (roots.select(F.col("id").alias(k), F.col("root").alias(f"r{k}")) for k in "ab")
+    tied = links.join(a, "a", "left").join(b, "b", "left").select(
+        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    more = materialize(components(tied), "roots").withColumnsRenamed({"id": "root", "root": "newer"})
+    moved = roots.join(more, "root", "left").select("id", F.coalesce("newer", "root").alias("root"))
+    return moved.union(more.select(F.col("root").alias("id"), F.col("newer").alias("root"))).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: int = 40, rows: int = 4) -> DataFrame:
@@ -312,9 +325,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
         "key", "rep", F.coalesce("root", "rep").alias("root"))
     more = _family_links(split, marks, some, words, percent, floor, count)
     if more is not None and not more.isEmpty():
-        roots = components(links.union(more))
+        roots = _joined(materialize(roots, "roots"), more)
     named = materialize(classes.join(roots, classes.rep == roots.id, "left").select(
         "set_a", "set_b", F.coalesce("root", "rep").alias("root")), "named")
+    for table in (classes, reps, buckets, members, some):
+        discard(table)
     return sets.drop("bands", "signature").join(named, ["set_a", "set_b"], "left").select(
         "doc_id", "n_shingles",
         F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("root"))
