@@ -52,7 +52,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offs[0]:offs[-1]], offs - offs[0]
 
 
-def blocks(offs: np.ndarray, size: int = 1 << 21) -> Iterator[tuple[int, int]]:
+def blocks(offs: np.ndarray, size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of whole texts of about ``size`` bytes; a longer text is a range of its own."""
     at, n = 0, len(offs) - 1
     while at < n:
@@ -62,7 +62,7 @@ def blocks(offs: np.ndarray, size: int = 1 << 21) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def text_blocks(batches, column: str = "text", size: int = 1 << 21):
+def text_blocks(batches, column: str = "text", size: int = 1 << 20):
     """(batch rows, bytes, offsets) for ranges of whole texts of each Arrow batch."""
     for batch in batches:
         buf, offs = text_bytes(batch.column(column))
