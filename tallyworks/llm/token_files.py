@@ -17,6 +17,7 @@ doc_id follow each other in text order; rows without doc_id come first.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 
@@ -32,20 +33,20 @@ from tallyworks.session import fresh_path, materialize
 
 
 class WordEncoder:
-    """Ids of texts by a word-splitting BPE tokenizer file, each distinct word encoded once.
+    """Ids of texts by a word-splitting BPE tokenizer file, each distinct part encoded once.
 
     Words are what ASCII white space parts; the tokenizer's own patterns never
     join across it. Words of printable ASCII and Latin-1 letters, without an
-    apostrophe, need no Unicode normalising: they are lower-cased and cut here
-    and only then go to the library's model, many in one call.
+    apostrophe, need no Unicode normalising: they are lower-cased and cut into runs of
+    letters, digits and runs of other signs as bytes, and the library's model gets
+    many such parts in one call. Any other word goes to the whole tokenizer.
     """
 
-    def __init__(self, path: str, held: int = 400_000):
+    def __init__(self, path: str, held: int = 250_000):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = None
+        self.plain = Tokenizer(self.whole.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         size = self.whole.get_vocab_size(with_added_tokens=True)
@@ -54,27 +55,24 @@ class WordEncoder:
         self.ends[[i for piece, i in self.whole.get_vocab().items() if piece.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.held = held
-        letters = "a-zß-öø-ÿ"
-        self.simple = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿß]+").fullmatch
-        self.pieces = re.compile(f"[{letters}]+|[0-9]|[^{letters}0-9 ]+")
-
-    def _encode(self, words: list[str]) -> None:
-        simple = [w for w in words if self.simple(w)]
-        rest = [w for w in words if not self.simple(w)]
-        for at in range(0, len(simple), 50_000):
-            part = simple[at:at + 50_000]
-            pieces = [self.pieces.findall(w.lower()) for w in part]
-            lines = [" ".join(" ".join(p) for p in pieces[i:i + 1000]) for i in range(0, len(part), 1000)]
-            got = self.plain.encode_batch_fast(lines, add_special_tokens=False)
+        self.simple = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ<]+").fullmatch
+
+    def _encode(self, parts: list[str]) -> None:
+        simple, rest = [], []
+        for p in parts:
+            plain = p.isascii() and p.isalnum() or self.simple(p) and "<|" not in p
+            (simple if plain else rest).append(p)
+        for at in range(0, len(simple), 20_000):
+            part = simple[at:at + 20_000]
+            got = self.plain.encode_batch_fast([" ".join(part[i:i + 500]) for i in range(0, len(part), 500)],
+                                               add_special_tokens=False)
             ids = np.concatenate([np.asarray(e.ids, self.kind) for e in got])
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            last = np.cumsum([len(p) for p in pieces])
-            cuts = np.concatenate(([0], stops[last - 1])).tolist()
-            if len(stops) != last[-1] or cuts[-1] != len(ids):
+            cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            if len(cuts) != len(part) + 1 or cuts[-1] != len(ids):
                 rest += part
                 continue
             data, wide = ids.tobytes(), self.kind.itemsize
-            self.known.update((w, data[a * wide:b * wide]) for w, a, b in zip(part, cuts[:-1], cuts[1:]))
+            self.known.update((p, data[a * wide:b * wide]) for p, a, b in zip(part, cuts[:-1], cuts[1:]))
         for at in range(0, len(rest), 5000):
             part = rest[at:at + 5000]
             for word, e in zip(part, self.whole.encode_batch_fast(part, add_special_tokens=False)):
@@ -82,25 +80,65 @@ class WordEncoder:
 
     def encode(self, buf: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end_id``, and how many each has."""
-        table = space_words()
-        starts, ends, first = word_spans(buf, offs, table)
+        buf, starts, ends, first = _parts(buf, offs)
         places = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
-        words = pa.LargeStringArray.from_buffers(
-            len(starts), pa.py_buffer(places.tobytes()), pa.py_buffer(buf[table[buf]].tobytes())).dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        # parts fill the words without a gap, so their bytes are all but the white space
+        parts = pa.LargeStringArray.from_buffers(
+            len(starts), pa.py_buffer(places), pa.py_buffer(buf[space_words()[buf]])).dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
         if len(self.known) > self.held:
             self.known = {}
-        self._encode([w for w in distinct if w not in self.known])
-        held = [self.known[w] for w in distinct] + [np.asarray([end_id], self.kind).tobytes()]
+        self._encode([p for p in distinct if p not in self.known])
+        held = [self.known[p] for p in distinct] + [np.asarray([end_id], self.kind).tobytes()]
         flat = np.frombuffer(b"".join(held), self.kind)
-        stop = np.cumsum([len(x) // self.kind.itemsize for x in held])
-        order = np.insert(words.indices.to_numpy(zero_copy_only=False).astype(np.int64), first[1:], len(distinct))
-        size = np.diff(np.concatenate(([0], stop)))
+        size = np.array([len(x) // self.kind.itemsize for x in held])
+        stop = np.cumsum(size)
+        order = np.insert(parts.indices.to_numpy(zero_copy_only=False).astype(np.int64), first[1:], len(distinct))
         total = np.concatenate(([0], np.cumsum(size[order])))
         take, _ = ranges((stop - size)[order], stop[order])
         return flat[take], np.diff(total[first + np.arange(len(first))])
 
 
+def _parts(buf: np.ndarray, offs: np.ndarray):
+    """Bytes with simple words in lower case, start and end of each part (a run of letters, a
+    digit, a run of other signs, or a whole word that is not simple), first part of each text."""
+    starts, ends, _ = word_spans(buf, offs, space_words())
+    n = len(buf)
+    if not len(starts):
+        return buf, starts, ends, np.zeros(len(offs), np.int64)
+    lead, after = buf == 0xC3, np.zeros(n, bool)
+    after[1:] = lead[:-1]
+    # the second byte of a Latin-1 letter; 0x97 and 0xB7 are no letters
+    letter2 = after & (buf >= 0x80) & (buf <= 0xBF) & (buf != 0x97) & (buf != 0xB7)
+    good2 = np.zeros(n, bool)
+    good2[:-1] = letter2[1:]
+    letter = ((buf | 0x20) >= 0x61) & ((buf | 0x20) <= 0x7A) & (buf < 0x80) | letter2 | (lead & good2)
+    digit = (buf >= 0x30) & (buf <= 0x39)
+    other = (buf > 0x20) & (buf < 0x7F) & ~letter & ~digit & (buf != 0x27)
+    hard_bytes = np.concatenate(([0], np.cumsum(~(letter | digit | other))))
+    hard = hard_bytes[ends] > hard_bytes[starts]
+    # the library's special strings start with <|
+    mark = np.zeros(n + 1, np.int64)
+    mark[1:n] = np.cumsum((buf[:-1] == 0x3C) & (buf[1:] == 0x7C))
+    mark[n] = mark[n - 1] if n else 0
+    hard |= mark[np.maximum(ends - 1, starts)] > mark[starts]
+    kind = np.where(letter, 1, np.where(digit, 2, 3)).astype(np.int8)
+    begin = np.zeros(n, bool)
+    begin[starts] = True
+    inside = space_words()[buf]
+    inside &= ~hard[np.maximum(np.cumsum(begin) - 1, 0)]
+    begin[:] = False
+    begin[1:] = inside[1:] & ((kind[1:] != kind[:-1]) | digit[1:])
+    begin[starts] = True
+    low = buf.copy()
+    upper = inside & (((buf >= 0x41) & (buf <= 0x5A)) | (letter2 & (buf >= 0x80) & (buf <= 0x9E)))
+    low[upper] += 0x20
+    part_start = np.flatnonzero(begin)
+    word = np.searchsorted(starts, part_start, "right") - 1
+    part_end = np.minimum(np.append(part_start[1:], n), ends[word])
+    return low, part_start, part_end, np.searchsorted(part_start, offs)
+
+
 def _stream(ids: np.ndarray, docs: list, sizes: list, length: int, part: int, number: int) -> bytes:
     """One file: ids in rows of ``length``, the last one padded."""
     rows = max(1, -(-len(ids) // length))
@@ -122,11 +160,13 @@ def _stream(ids: np.ndarray, docs: list, sizes: list, length: int, part: int, nu
     return out.getvalue().to_pybytes()
 
 
-def _files(path: str, end_id: int, length: int, file_ids: int):
+def _files(path: str, end_id: int, length: int, file_ids: int, threads: int):
     def run(batches):
+        # as many threads as the task has cores; more would only hold more memory
+        os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = str(threads), "true"
         encoder, part, number = WordEncoder(path), TaskContext.get().partitionId(), 0
         ids, docs, sizes, held = [], [], [], 0
-        for rows, buf, offs in text_blocks(batches):
+        for rows, buf, offs in text_blocks(batches, size=1 << 21):
             got, count = encoder.encode(buf, offs, end_id)
             ids.append(got)
             docs += rows.column("doc_id").to_pylist()
@@ -136,6 +176,7 @@ def _files(path: str, end_id: int, length: int, file_ids: int):
                 yield pa.RecordBatch.from_pydict({"file": pa.array(
                     [_stream(np.concatenate(ids), docs, sizes, length, part, number)], pa.binary())})
                 ids, docs, sizes, held, number = [], [], [], 0, number + 1
+                pa.default_memory_pool().release_unused()
         if docs:
             yield pa.RecordBatch.from_pydict({"file": pa.array(
                 [_stream(np.concatenate(ids), docs, sizes, length, part, number)], pa.binary())})
@@ -143,12 +184,13 @@ def _files(path: str, end_id: int, length: int, file_ids: int):
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int = 1, length: int = 2048,
-                      file_ids: int = 4 << 20, range_bytes: int = 32 << 20) -> None:
+                      file_ids: int = 2 << 20, range_bytes: int = 32 << 20) -> None:
     """Write the ids of all texts, in ascending doc_id order, as Arrow stream files under ``path``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ordered = texts.repartitionByRange(max(1, -(-size // range_bytes)), "doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(_files(tokenizer, end_id, length, file_ids), "file binary")
+    threads = int(docs.sparkSession.sparkContext.getConf().get("spark.task.cpus", "1"))
+    files = ordered.mapInArrow(_files(tokenizer, end_id, length, file_ids, threads), "file binary")
     files.select(F.col("file").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
 
 
