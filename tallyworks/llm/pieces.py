@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.llm.arrays import text_blocks
+
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -144,27 +146,30 @@ class Encoder:
         cut = [self.parts.findall(t) if self.parted else [t] * bool(t) for t in map(self.normalized, texts)]
         distinct = list({p for parts in cut for p in parts})
         known = dict(zip(distinct, self._ids(distinct)))
-        wrong: set[str] = set()
-        if check is not None:
-            front = self.model.dummy_prefix
-            plain = [p.replace(MARK, " ") for p in distinct]
-            # the library adds the marker itself; a part without one in front is checked as it is
-            asked = [p[1:] if front and p[0] == " " else p for p in plain]
-            for p, a, ids in zip(distinct, asked, check.encode(asked, num_threads=1)):
-                if front and p[0] != MARK:
-                    continue
-                # the library adds no marker to an empty text
-                if (ids or [check.piece_to_id(p)]) != known[p]:
-                    wrong.add(p)
+        wrong = self.disagreeing(known, check) if check is not None else set()
         return ([[i for p in parts for i in known[p]] for parts in cut],
                 [not any(p in wrong for p in parts) for parts in cut] if wrong else [True] * len(cut))
 
+    def disagreeing(self, known: dict[str, list[int]], check) -> set[str]:
+        """Parts to which ``check`` gives other ids. The library adds the marker in front
+        itself, but not to an empty text; a part without one in front is not asked for."""
+        front = self.model.dummy_prefix
+        asked = [p for p in known if p[0] == MARK or not front]
+        plain = [p[front:].replace(MARK, " ") for p in asked]
+        return {p for p, ids in zip(asked, check.encode(plain, num_threads=1))
+                if (ids or [check.piece_to_id(p)]) != known[p]}
+
+    def bytes_of(self, ids: list[int]) -> bytes:
+        """What ids stand for, markers as spaces."""
+        return b"".join(bytes([b]) if (b := int(self.bytes[i])) >= 0 else self.surface[i] for i in ids)
+
+    def text_of(self, data: bytes) -> str:
+        """Text of a decoded whole; bytes that are no UTF-8 become replacement characters."""
+        return data[self.model.dummy_prefix and data.startswith(b" "):].decode("utf-8", "replace")
+
     def decode(self, ids: list[int]) -> str:
-        """Text of ids; bytes that are no UTF-8 become replacement characters."""
-        data = b"".join(bytes([b]) if (b := int(self.bytes[i])) >= 0 else self.surface[i] for i in ids)
-        if self.model.dummy_prefix and data.startswith(b" "):
-            data = data[1:]
-        return data.decode("utf-8", "replace")
+        """Text of ids."""
+        return self.text_of(self.bytes_of(ids))
 
     def seen(self, text: str) -> str:
         """What decoding the encoded text must give."""
@@ -172,6 +177,10 @@ class Encoder:
         return text[1:] if self.model.dummy_prefix else text
 
 
+# Distinct parts that a task keeps, with their ids and text.
+HELD = 100_000
+
+
 def _encode(data: bytes, threads: int, size: int):
     def run(batches):
         import sentencepiece
@@ -179,31 +188,37 @@ def _encode(data: bytes, threads: int, size: int):
         os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = str(threads), "true"
         encoder = Encoder(parse_model(data))
         check = sentencepiece.SentencePieceProcessor(model_proto=data)
-        for batch in batches:
-            docs, texts, held = [], [], 0
-            rows = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-            for doc, text in rows:
-                docs.append(doc)
-                texts.append(text or "")
-                held += len(texts[-1])
-                if held >= size:
-                    yield _encoded(encoder, check, docs, texts)
-                    docs, texts, held = [], [], 0
-            if docs:
-                yield _encoded(encoder, check, docs, texts)
+        known: dict[str, tuple[bytes, bytes, bool]] = {}
+        for rows, _, _ in text_blocks(batches, size=size):
+            yield _encoded(encoder, check, rows, known)
     return run
 
 
-def _encoded(encoder: Encoder, check, docs: list, texts: list[str]) -> pa.RecordBatch:
-    ids, same = encoder.encode(texts, check)
-    back = [encoder.decode(x) == encoder.seen(t) for x, t in zip(ids, texts)]
-    crc = [zlib.crc32(np.asarray(x, "<u4")) for x in ids]
+def _encoded(encoder: Encoder, check, rows: pa.RecordBatch, known: dict) -> pa.RecordBatch:
+    """Ids of whole texts, put together from the ids of their parts."""
+    normal = [encoder.normalized(t or "") for t in rows.column("text").to_pylist()]
+    cut = [encoder.parts.findall(t) if encoder.parted else [t] * bool(t) for t in normal]
+    if len(known) > HELD:
+        known.clear()
+    fresh = list({p for parts in cut for p in parts if p not in known})
+    for at in range(0, len(fresh), 10_000):
+        some = dict(zip(fresh[at:at + 10_000], encoder._ids(fresh[at:at + 10_000])))
+        wrong = encoder.disagreeing(some, check)
+        known.update((p, (np.asarray(ids, "<i4").tobytes(), encoder.bytes_of(ids), p not in wrong))
+                     for p, ids in some.items())
+    data = [b"".join([known[p][0] for p in parts]) for parts in cut]
+    front = encoder.model.dummy_prefix
+    back = [encoder.text_of(b"".join([known[p][1] for p in parts])) == t.replace(MARK, " ")[front:]
+            for parts, t in zip(cut, normal)]
+    same = [all([known[p][2] for p in parts]) for parts in cut]
+    offs = np.concatenate(([0], np.cumsum([len(x) // 4 for x in data]))).astype(np.int32)
+    ids = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.frombuffer(b"".join(data), "<i4")))
     return pa.RecordBatch.from_arrays(
-        [pa.array(docs, pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(same), pa.array(back),
-         pa.array(crc, pa.int64())], ["doc_id", "ids", "parity", "restored", "ids_crc32"])
+        [rows.column("doc_id"), ids, pa.array(same, pa.bool_()), pa.array(back, pa.bool_()),
+         pa.array([zlib.crc32(x) for x in data], pa.int64())], ["doc_id", "ids", "parity", "restored", "ids_crc32"])
 
 
-def encode_texts(docs: DataFrame, model: bytes, size: int = 4 << 20) -> DataFrame:
+def encode_texts(docs: DataFrame, model: bytes, size: int = 1 << 20) -> DataFrame:
     """(doc_id, ids, parity, restored, ids_crc32) of every text.
 
     ``parity``: the sentencepiece library gives the same ids; ``restored``:
