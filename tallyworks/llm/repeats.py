@@ -12,7 +12,8 @@ source coordinates of the first of them. Only where paths that share a core
 part ways does the first node of each path go on, cut into smaller nodes with
 longer cores (``steps``), down to single windows. Hulls are compared by 128 bits.
 
-Of exactly equal texts only the one with the smallest doc_id goes through the graph;
+Of texts with equal symbols (for 'word' the words, whatever white space parts them; for
+'byte' the whole text) only the one with the smallest doc_id goes through the graph;
 what happens to the others follows from that (``Found.copies``).
 
 Nothing is held per key: groups are counted with partial sums and joined, so a
@@ -21,6 +22,7 @@ passage that a third of all texts share is no single task's work.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -83,7 +85,7 @@ def _nodes(rule: Windows, roll: Rolling, first: np.ndarray):
 
 
 def _anchor_rows(rule: Windows):
-    """Anchors with their gram's hash, their place, and a mark of (text, place) that exact copies share."""
+    """Anchors with their gram's hash, their place, and a mark of (symbols, place) that texts with equal symbols share."""
     def run(batches):
         for rows, buf, offs in text_blocks(batches):
             roll, _, first = _symbols(rule, buf, offs)
@@ -169,16 +171,35 @@ def _decide(rows: DataFrame, rule: Windows, last: bool) -> DataFrame:
 class Found:
     """``texts``: texts in question; ``spans`` (doc_id, start, end) of their windows that go, in
     symbols, overlapping, up to before ``end``; ``copies``: doc_ids of texts that go as
-    a whole, if they are as long as a window, because others equal them."""
+    a whole, if they are as long as a window, because others have the same symbols."""
 
     texts: DataFrame
     spans: DataFrame
     copies: DataFrame
 
 
-def _equal_texts(texts: DataFrame) -> DataFrame:
-    """(doc_id, rep) of the texts that others equal; rep is the smallest doc_id."""
-    marked = texts.where("text <> ''").select("doc_id", F.md5("text").alias("digest"))
+def _word_digests(batches):
+    """Digest of each text's words, each followed by one space; texts without words are left out."""
+    for rows, buf, offs in text_blocks(batches):
+        starts, ends, first = word_spans(buf, offs, space_words())
+        size = ends - starts + 1
+        stops = np.cumsum(size)
+        take, _ = ranges(starts, ends + 1)
+        joined = np.append(buf, np.uint8(0x20))[take]
+        joined[stops - 1] = 0x20
+        edge, data = np.concatenate(([0], stops))[first].tolist(), joined.tobytes()
+        some = np.flatnonzero(np.diff(first))
+        digests = [hashlib.md5(data[edge[i]:edge[i + 1]]).digest() for i in some.tolist()]
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id").take(pa.array(some)), pa.array(digests, pa.binary())],
+                                         ["doc_id", "digest"])
+
+
+def _equal_texts(texts: DataFrame, rule: Windows) -> DataFrame:
+    """(doc_id, rep) of the texts whose symbols others have too; rep is the smallest doc_id."""
+    if rule.unit == "word":
+        marked = texts.mapInArrow(_word_digests, "doc_id long, digest binary")
+    else:
+        marked = texts.where("text <> ''").select("doc_id", F.md5("text").alias("digest"))
     classes = materialize(marked.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
                           .where("n > 1").select("digest", "rep"), "classes")
     return materialize(marked.join(classes, "digest").select("doc_id", "rep"), "copies")
@@ -191,7 +212,7 @@ def repeated_spans(docs: DataFrame, rule: Windows) -> Found:
     text's rows: none of them is earlier than another.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
-    equal = _equal_texts(texts)
+    equal = _equal_texts(texts, rule)
     anchors = texts.mapInArrow(_anchor_rows(rule), "doc_id long, core long, at int, mark long")
     again = materialize(anchors.groupBy("core").agg(F.min("mark").alias("a"), F.max("mark").alias("b"))
                         .where("a <> b").select("core"), "anchors")

@@ -5,8 +5,8 @@ anchors; ``repeats`` compacts the edges that all continue alike into paths and
 decides whole paths by the coordinates of their first source.
 
 Defined results: a null or empty text has no words and stays as it is; a text
-with fewer words than a window loses none; equal texts all keep only the copy
-with the smallest doc_id; rows without doc_id are returned unchanged.
+with fewer words than a window loses none; of texts with equal words, whatever white
+space parts them, only the one with the smallest doc_id keeps them; rows without doc_id are returned unchanged.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def word_windows(width: int = 20) -> Windows:
 def repeated_passages(docs: DataFrame, width: int = 20) -> DataFrame:
     """(doc_id, spans): word ranges that windows starting earlier elsewhere cover.
 
-    Spans may overlap. A text that equals an earlier one has the span up to ``WHOLE``;
+    Spans may overlap. A text with the words of an earlier one has the span up to ``WHOLE``;
     it counts only if the text is as long as a window.
     """
     found = repeated_spans(docs, word_windows(width))

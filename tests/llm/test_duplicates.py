@@ -1,6 +1,7 @@
 """Near duplicates, substrings, suffixes and benchmark passages against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -105,6 +106,18 @@ def test_passages(spark, width):
     assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in got.items()} == passages_of(rows(), width)
 
 
+def test_passages_of_texts_that_differ_only_in_white_space(spark):
+    words = sentence(random.Random(5), 60).split()
+    forms = [" ".join(words), "  ".join(words), "\t".join(words), "\r\n".join(words), " " + " ".join(words) + "\n",
+             " ".join(words[:19]), "\n".join(words[:19])]
+    given = [(k + 2, t, "en", "x", 1, "k", k, 0) for k, t in enumerate(forms)]
+    got = by_id(substrings.passage_digests(documents(spark, given)))
+    assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in got.items()} == passages_of(given, 20)
+    assert [got[k].n_removed for k in range(2, 9)] == [0, 60, 60, 60, 60, 0, 0]
+    left = by_id(substrings.drop_repeats(documents(spark, given)))
+    assert [left[k].text.split() for k in range(3, 7)] == [[]] * 4 and left[2].text == forms[0]
+
+
 def strings_of(given, width=200):
     count = Counter(d[k:k + width] for r in given for d in [(r[1] or "").encode()] for k in range(len(d) - width + 1))
     out = {}
