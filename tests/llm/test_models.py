@@ -122,6 +122,36 @@ def test_band_keeps_prose_and_rejects_noise(spark):
     assert np.mean(good) > 0.98
 
 
+def test_word_order_and_other_scripts_count(spark):
+    """Shuffled words, and noise in letters beyond ASCII, lie outside the band of the prose they are made of."""
+    rng = np.random.default_rng(4)
+    latin = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 8))) for _ in range(800)]
+    cyrillic = ["".join(rng.choice(list("абвгдежзик"), rng.integers(2, 8))) for _ in range(800)]
+    given = []
+    for lang, words, gap in (("a", latin, " "), ("b", cyrillic, " "), ("c", [chr(0x4E00 + k) for k in range(800)], "")):
+        lines = [gap.join(rng.choice(words, 12)) for _ in range(60)]
+        texts = [" ".join(rng.choice(lines, 20, replace=False)) for _ in range(40)]
+        shuffled = list(texts[0].replace(" ", "")) if lang == "c" else texts[0].split()
+        rng.shuffle(shuffled)
+        if lang == "c":
+            noise = gap.join(chr(k) for k in rng.integers(0x5000, 0x9000, 240))
+            texts, shuffled = [t.replace(" ", " , ") for t in texts], [noise[k:k + 12] for k in range(0, 240, 12)]
+        given += [(len(given) + k, t, lang, "x", 1) for k, t in enumerate([*texts, " ".join(shuffled)])]
+    docs = spark.createDataFrame(given, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = by_id(perplexity.rule_table(docs))
+    for at in (0, 41, 82):
+        assert all(got[at + k].kept for k in range(40))
+        assert not got[at + 40].base_failed and not got[at + 40].kept
+
+
+def test_pair_words():
+    texts = ["", "ab  c", "中文x", "é\n", " "]
+    buf, offs = text_bytes(pa.array(texts))
+    starts, ends, first = perplexity.pair_words(buf, offs)
+    assert [buf[a:b].tobytes().decode() for a, b in zip(starts, ends)] == ["ab", "c", "中", "文", "x", "é"]
+    assert first.tolist() == [0, 0, 2, 5, 6, 6]
+
+
 def test_piece_encoding(spark):
     import sentencepiece
 
