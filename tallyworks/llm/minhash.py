@@ -275,7 +275,7 @@ def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
     a, b = (roots.select(F.col("id").alias(k), F.col("root").alias(f"r{k}")) for k in "ab")
     tied = links.join(a, "a", "left").join(b, "b", "left").select(
         F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-    more = materialize(components(tied), "roots").withColumnsRenamed({"id": "root", "root": "newer"})
+    more = materialize(components(tied), "roots").select(F.col("id").alias("root"), F.col("root").alias("newer"))
     moved = roots.join(more, "root", "left").select("id", F.coalesce("newer", "root").alias("root"))
     return moved.union(more.select(F.col("root").alias("id"), F.col("newer").alias("root"))).distinct()
 

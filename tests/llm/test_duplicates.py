@@ -211,3 +211,24 @@ def test_odd_rows_and_empty_tables(spark):
         assert run(odd).columns == odd.columns
         assert run(odd).where("doc_id IS NULL").count() == odd.where("doc_id IS NULL").count()
         assert run(none).count() == 0
+
+
+def test_families_just_above_the_threshold(spark):
+    """140 texts off one base, 5 or 6 of 300 words changed: links that buckets' leads do not show."""
+    rng = random.Random(8)
+    base = sentence(rng, 300).split()
+    given = []
+    for k in range(140):
+        words = list(base)
+        for at in rng.sample(range(300), rng.choice([5, 6])):
+            words[at] = f"new{k}x{at}"
+        given.append((500 - k, " ".join(words), None, None, None, None, None, None))
+    got = by_id(minhash.near_duplicates(documents(spark, given)))
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == components_of(given)
+
+
+def test_roots_joined_by_further_links(spark):
+    roots = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "id long, root long")
+    links = spark.createDataFrame([(6, 2), (20, 21), (9, 20)], "a long, b long")
+    got = {(r.id, r.root) for r in minhash._joined(roots, links).collect()}
+    assert got == {(1, 1), (2, 1), (5, 1), (6, 1), (8, 8), (9, 8), (20, 8), (21, 8)}
