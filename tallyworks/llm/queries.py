@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.llm import (
-    contamination, minhash, perplexity, pieces, quality, shards, substrings, suffixes, token_files, toxicity,
+    contamination, maxent, minhash, perplexity, pieces, quality, shards, substrings, suffixes, token_files, toxicity,
 )
 from tallyworks.session import fresh_path
 
@@ -120,3 +120,8 @@ SELECT doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""")
 def op10(spark, folder):
     return contamination.contamination_digests(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op11_language_scores")
+def op11(spark, folder):
+    return maxent.language_scores(table(spark, folder, "documents"))
