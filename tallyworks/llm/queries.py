@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.llm import (
-    contamination, maxent, minhash, perplexity, pieces, quality, shards, substrings, suffixes, token_files, toxicity,
+    collocations, contamination, maxent, minhash, perplexity, pieces, quality, shards, substrings, suffixes, token_files, toxicity,
 )
 from tallyworks.session import fresh_path
 
@@ -125,3 +125,25 @@ def op10(spark, folder):
 @query("op11_language_scores")
 def op11(spark, folder):
     return maxent.language_scores(table(spark, folder, "documents"))
+
+
+@query("op12_collocations", r"""
+WITH d AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, regexp_split_to_array(translate(
+             coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p FROM documents),
+q AS (SELECT lang, regexp_extract_all(unnest(p), '[^\x20\x09]+') AS w FROM d),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM q GROUP BY lang),
+g AS (SELECT lang, k, w[i:i + k - 1] AS p FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+      FROM q, (VALUES (1), (2), (3), (4)) v(k))),
+f AS (SELECT lang, k, p, count(*) AS a FROM g GROUP BY ALL HAVING a >= 30),
+c AS (SELECT f.lang, f.k, f.p, f.a, l.a AS l, r.a AS r, l.k AS cut, ((2000000::HUGEINT * f.a) // (l.a + r.a))::BIGINT AS score
+      FROM f JOIN f l ON l.lang = f.lang AND l.k < f.k AND l.p = f.p[1:l.k]
+             JOIN f r ON r.lang = f.lang AND r.k = f.k - l.k AND r.p = f.p[l.k + 1:f.k]),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+i AS (SELECT lang, p[o:o + k - 1] AS p, max(a) AS m FROM (
+        SELECT lang, p, a, v.k, unnest(range(1, f.k - v.k + 2)) AS o FROM f, (VALUES (2), (3)) v(k) WHERE v.k < f.k) GROUP BY ALL),
+t AS (SELECT b.lang, array_to_string(b.p, ' ') AS phrase, b.a, b.l, b.r, b.score
+      FROM b LEFT JOIN i ON i.lang = b.lang AND i.p = b.p WHERE i.m IS NULL OR 100 * i.m < 80 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM t JOIN n USING (lang) QUALIFY rank <= 2000""")
+def op12(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
