@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyworks.llm import (
-    collocations, contamination, maxent, minhash, perplexity, pieces, quality, shards, substrings, suffixes, token_files, toxicity,
+    alignment, collocations, contamination, maxent, minhash, perplexity, pieces, quality, shards, substrings, suffixes, token_files, toxicity,
 )
 from tallyworks.session import fresh_path
 
@@ -147,3 +147,9 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM t JOIN n USING (lang) QUALIFY rank <= 2000""")
 def op12(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query("op13_alignment")
+def op13(spark, folder):
+    return alignment.alignment_table(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
