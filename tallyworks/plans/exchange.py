@@ -134,6 +134,6 @@ def page_links(t):
 @query("s15_saved_model", f"WITH {WEIGHTS_SQL} SELECT doc_id, word, round(weight, 6) AS weight FROM weights")
 def saved_model(t):
     path = fresh_path(t.spark, "text-model")
-    models.save_text_model(*text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text"), path)
-    weights, _ = models.load_text_model(t.spark, path)
-    return weights.withColumn("weight", rounded("weight"))
+    weights, idf = text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text")
+    models.save_text_model(weights, "doc_id", idf, path)
+    return models.load_text_model(t.spark, path).weights().withColumn("weight", rounded("weight"))

@@ -8,7 +8,7 @@ from tallyworks.operators.quantiles import exact_quantiles
 from tallyworks.plans.inputs import WEIGHTS_SQL, WORDS_SQL
 from tallyworks.plans.registry import query, rounded
 from tallyworks.session import fresh_path, materialize
-from tallyworks.sources import models
+from tallyworks.sources import files, models
 
 PART_FEATURES = ["p_size", "p_brand_code", "p_type_code", "p_partkey_part"]
 
@@ -169,24 +169,31 @@ def similar_sql(source: str) -> str:
     return f"WITH {WEIGHTS_SQL}, {SIMILAR_SQL.format(words=WORDS_SQL.format('text'), source=source)}"
 
 
-_text_models: dict[tuple[str, str], str] = {}
+_text_models: dict[tuple, str] = {}
 
 
 def text_model(t):
-    """Weights and vocabulary of the documents, fitted once per application and
-    table folder; every later request reads the stored tables."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
+    """Index of the documents' weights, built once per application and state of the
+    table's files; every later request reads the stored index."""
+    key = (t.spark.sparkContext.applicationId, *files.listing(t.spark, f"{t.folder}/documents.parquet"))
     if key not in _text_models:
         path = fresh_path(t.spark, "text-model")
-        models.save_text_model(*text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text"), path)
+        weights, idf = text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text")
+        models.save_text_model(weights, "doc_id", idf, path)
         _text_models[key] = path
     return models.load_text_model(t.spark, _text_models[key])
 
 
 def similar_documents(t, query_rows):
-    weights, idf = text_model(t)
-    found = text.most_similar(weights, "doc_id", text.query_weights(query_rows, "text", idf))
-    return found.withColumn("similarity", rounded("similarity"))
+    index = text_model(t)
+    return index.search(index.query(query_rows, "text")).withColumn("similarity", rounded("similarity"))
+
+
+@query("l13_word_bounds", f"""WITH {WEIGHTS_SQL} SELECT word, count(*) AS texts, round(max(weight), 6) AS top
+  FROM weights GROUP BY word""")
+def word_bounds(t):
+    """What the index knows of each word: the texts that hold it, and its highest weight."""
+    return text_model(t).word_bounds().withColumn("top", rounded("top"))
 
 
 @query("l13_similar_to_text", similar_sql(f"(SELECT '{QUERY_TEXT}' AS text) t"))

@@ -61,7 +61,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """Hadoop's path object and the file system that holds it."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -87,12 +87,12 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
 
 def discard(stored: DataFrame) -> None:
     """Delete a materialized table that nothing will read again."""
-    path, files = _file_system(stored.sparkSession, stored.stored_path)
+    path, files = file_system(stored.sparkSession, stored.stored_path)
     files.delete(path, True)
 
 
 def _sweep(spark: SparkSession, folder: str) -> None:
     """Delete this application's folder; a session that is already stopped leaves it to its owner."""
     with contextlib.suppress(Exception):
-        path, files = _file_system(spark, folder)
+        path, files = file_system(spark, folder)
         files.delete(path, True)

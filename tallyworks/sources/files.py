@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.session import file_system
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line."""
@@ -54,6 +56,16 @@ def load(spark: SparkSession, path: str, form: str = "parquet", **options: str)
     return spark.read.format(form).options(**options).load(path)
 
 
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, size and time of change of every file under a path, in order of names."""
+    place, system = file_system(spark, path)
+    found, out = system.listFiles(place, True), []
+    while found.hasNext():
+        file = found.next()
+        out.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return sorted(out)
+
+
 def append(df: DataFrame, path: str, form: str = "parquet", **options: str) -> None:
     df.write.format(form).options(**options).mode("append").save(path)
 

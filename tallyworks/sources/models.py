@@ -7,15 +7,16 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyworks.operators import inverted
 
-def save_text_model(weights: DataFrame, idf: DataFrame, path: str) -> None:
-    """Text weights with their keys, and the vocabulary."""
-    weights.write.parquet(f"{path}/weights")
-    idf.write.parquet(f"{path}/idf")
 
+def save_text_model(weights: DataFrame, key: str, idf: DataFrame, path: str) -> None:
+    """Text weights with their keys, and the vocabulary, as an inverted index."""
+    inverted.build(weights, key, idf, path)
 
-def load_text_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/idf")
+
+def load_text_model(spark: SparkSession, path: str) -> inverted.Index:
+    return inverted.Index(spark, path)
 
 
 def save_fitted(model: PipelineModel, features: Sequence[str], path: str, spark: SparkSession) -> None:

@@ -54,9 +54,9 @@ def test_missing_html_field_is_null(spark):
 def test_saved_text_model(spark, tmp_path):
     df = spark.createDataFrame([(1, "x y"), (2, "x z")], "id int, t string")
     weights, idf = words.text_weights(df, "id", "t")
-    models.save_text_model(weights, idf, f"{tmp_path}/m")
-    again, frequencies = models.load_text_model(spark, f"{tmp_path}/m")
-    assert texts(again) == texts(weights) and texts(frequencies) == texts(idf)
+    models.save_text_model(weights, "id", idf, f"{tmp_path}/m")
+    index = models.load_text_model(spark, f"{tmp_path}/m")
+    assert texts(index.weights()) == texts(weights) and texts(index.vocabulary()) == texts(idf)
 
 
 def test_saved_pipeline(spark, tmp_path):
