@@ -56,11 +56,20 @@ def build(weights: DataFrame, key: str, idf: DataFrame, path: str) -> None:
     placed = weights.join(sizes, key).select(
         _hash(F.col("word")).alias("h"), block.alias("block"), key, "word", "weight")
     _store(placed, ["h", "block", key], bits, f"{path}/postings")
-    stored = weights.sparkSession.read.parquet(f"{path}/postings")
-    bounds = stored.groupBy("h", "word", "block").agg(F.max("weight").alias("top"), F.count(F.lit(1)).alias("n"))
+    stored = weights.sparkSession.read.schema(_schemas(key, weights.schema[key].dataType.simpleString())["postings"])
+    bounds = stored.parquet(f"{path}/postings").groupBy("h", "word", "block").agg(F.max("weight").alias("top"), F.count(F.lit(1)).alias("n"))
     _store(bounds, ["h", "block"], bits, f"{path}/bounds")
     _store(idf.select(_hash(F.col("word")).alias("h"), "word", "df", "idf"), ["h"], bits, f"{path}/vocabulary")
-    weights.sparkSession.createDataFrame([(bits, key)], "bits int, key string").coalesce(1).write.parquet(f"{path}/about")
+    kind = weights.schema[key].dataType.simpleString()
+    weights.sparkSession.createDataFrame([(bits, key, kind)], "bits int, key string, kind string").coalesce(1).write.parquet(
+        f"{path}/about")
+
+
+def _schemas(key: str, kind: str) -> dict[str, str]:
+    """Schemas of the parts; an empty part has no file to tell one."""
+    return {"postings": f"h long, block long, `{key}` {kind}, word string, weight double, range int",
+            "bounds": "h long, word string, block long, top double, n long, range int",
+            "vocabulary": "h long, word string, df long, idf double, range int"}
 
 
 def _store(rows: DataFrame, order: Sequence[str], bits: int, path: str) -> None:
@@ -92,23 +101,27 @@ class Index:
         self.spark, self.path = spark, path
         about = spark.read.parquet(f"{path}/about").first()
         self.bits, self.key = about["bits"], about["key"]
+        self.schemas = _schemas(self.key, about["kind"])
+
+    def _part(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.path}/{name}")
 
     def _read(self, part: str, hashes: Sequence[int]) -> DataFrame:
         """Rows of the words with these hashes: folders, row groups and rows of other words are left out."""
         ranges = sorted({(h & (1 << 64) - 1) >> (64 - self.bits) if self.bits else 0 for h in hashes})
-        return self.spark.read.parquet(f"{self.path}/{part}").where(
+        return self._part(part).where(
             F.col("range").isin(ranges) & _within("h", intervals(hashes)) & F.col("h").isin(list(hashes)))
 
     def weights(self) -> DataFrame:
         """(key, word, weight) as given."""
-        return self.spark.read.parquet(f"{self.path}/postings").select(self.key, "word", "weight")
+        return self._part("postings").select(self.key, "word", "weight")
 
     def vocabulary(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/vocabulary").select("word", "df", "idf")
+        return self._part("vocabulary").select("word", "df", "idf")
 
     def word_bounds(self) -> DataFrame:
         """(word, texts, top): texts that hold a word, and its highest weight."""
-        return self.spark.read.parquet(f"{self.path}/bounds").groupBy("word").agg(
+        return self._part("bounds").groupBy("word").agg(
             F.sum("n").alias("texts"), F.max("top").alias("top"))
 
     def query(self, texts: DataFrame, text: str, cut: Callable[[Column], Column] = words) -> list[tuple[str, int, float]]:
