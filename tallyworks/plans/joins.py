@@ -11,7 +11,8 @@ from tallyworks.operators.words import explode_words
 from tallyworks.plans.filters import BAND_SQL
 from tallyworks.plans.inputs import STOP_SQL, TAGS_SQL, WORDS_SQL, stop_words, stored_baskets
 from tallyworks.plans.registry import query, rounded
-from tallyworks.session import materialize
+from tallyworks.session import fresh_path, materialize
+from tallyworks.sources import keyed
 from tallyworks.sources.files import union_tables
 
 # A relation request names its tags; here all types of the part table.
@@ -56,6 +57,28 @@ def update(t):
                              "o_orderkey", ["o_totalprice"])
 
 
+@query("j03_versioned_update", """WITH raised AS (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS price
+    FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+  v1 AS (SELECT o_orderkey, o_orderstatus, CASE WHEN l_orderkey IS NULL THEN o_totalprice ELSE price END AS o_totalprice
+         FROM orders LEFT JOIN raised ON o_orderkey = l_orderkey)
+  SELECT 0 AS version, o_orderkey, o_orderstatus, o_totalprice FROM orders
+  UNION ALL SELECT 1, * FROM v1
+  UNION ALL SELECT 2, o_orderkey, CASE WHEN o_orderkey % 100 = 7 THEN NULL ELSE o_orderstatus END, o_totalprice FROM v1
+  UNION ALL SELECT 2, -c_custkey, 'N', c_acctbal FROM customer WHERE c_acctbal > 9900""")
+def versioned_update(t):
+    """All versions of a stored table: two updates in place, the second one with nulls and new keys."""
+    table = keyed.KeyedTable.create(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"),
+                                    fresh_path(t.spark, "orders"), "o_orderkey")
+    raised = t.lineitem.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        rounded(F.sum("l_extendedprice"), 2).alias("o_totalprice"))
+    table.update(raised, ["o_totalprice"])
+    closed = table.read().where("o_orderkey % 100 = 7").withColumn("o_orderstatus", F.lit(None).cast("string"))
+    added = t.customer.where("c_acctbal > 9900").select(
+        (-F.col("c_custkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), F.col("c_acctbal").alias("o_totalprice"))
+    table.append(closed.union(added))
+    return union_tables([table.read(v).withColumn("version", F.lit(v)) for v in table.versions()])
+
+
 @query("j04_earlier_pairs", """WITH lines AS (SELECT l_orderkey AS basket, p_type AS tag,
       row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS i
     FROM lineitem JOIN part ON l_partkey = p_partkey)
