@@ -6,17 +6,18 @@ of its class, given the three words before it, times its share of the class:
 * Classes hold words of alike count and language (from the corpus-wide counts), all
   of about the same mass; the end and the unseen word are classes of their own. Every
   word of the training texts is in the model: its share is (count - D) / mass of its class.
-* The class softmax adds up weight rows, one per active feature: class n-grams of
-  the words before (one, two and three back, the last two together) and hashed word features,
-  the word before (bigram), the one before that (skip) and both (trigram).
+* The class softmax adds up weight rows, one per active feature: the classes of the last two
+  words together, the class three words back (skip), and hashed word features: the word
+  before (bigram), the one before that (skip) and both (trigram).
   The hashed rows number about ``8 * sqrt(distinct words)``, so the table follows the corpus
   and is still some 100 MB for 10^10 distinct words; it is what is sent to the tasks.
 * D is the discount n1 / (n1 + 2 n2). A training token of count c counts as unseen for
   D / c of its weight, so unseen words get the mass that the corpus itself shows for them.
 
 Training walks the training texts once, in waves of 1, 1, 2, 4 and 8 sixteenths. In a
-wave every task sums gradients and expected counts per weight row; Spark adds them up; a step
-divides the gradient by the curvature met so far. Scoring works on blocks in sparse batches.
+wave every task sums observed and expected counts per weight row, whose difference is the
+gradient; Spark adds them up; a step divides the gradient by the expected counts so far, which
+bound the curvature. Scoring works on blocks in sparse batches.
 
 The model is a proper distribution over the training words, the end, and one symbol
 for all unseen words, the same events as those of the base score.
@@ -24,7 +25,8 @@ for all unseen words, the same events as those of the base score.
 Defined results: a null or empty text is one end token; every row gets a row, repeated
 rows and doc_ids included, and counts as a text of its own; a null doc_id counts as not held
 out; equal counts are equal classes, whatever their order; without training texts all is unseen and
-every score is 0; other columns are not read, but for ``lang``, which only orders words into classes.
+every score is 0; an empty table gives no rows; a very long text is a block of its own; other
+columns are not read, but for ``lang``, which only orders words into classes.
 """
 
 from __future__ import annotations
@@ -36,25 +38,43 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.arrays import lowered, mixed, space_words, text_blocks, word_hashes
-from tallyworks.llm.vocabulary import BlockNumbers, answers, dictionary, known_values, packed, unpacked
+from tallyworks.llm.arrays import lowered, mixed, ranges, space_words, text_blocks, word_hashes
+from tallyworks.llm.vocabulary import BlockNumbers, dealt, dictionary, packed, unpacked, word_bytes, words_of
 from tallyworks.session import discard, materialize
 
 CLASSES = 32
 LANGS = 64
 BINS = 4
 WAVES = ((0, 1), (1, 2), (2, 4), (4, 8), (8, 16))
-BATCH = 8192
-# Rows of a block's texts that are at work at one time.
-_TEXT_BYTES = 2 << 20
+BATCH = 2048
+CHUNK = 1 << 16
+# Bytes of texts in a block, and of the corpus per hash range of words.
+BLOCK_BYTES, RANGE_BYTES = 4 << 20, 16 << 20
 
 _BLOCK = ("block long, doc_id array<long>, train array<boolean>, n array<long>, ids binary, hashes binary, size long, "
-          "words array<string>, counted array<struct<i:int,lang:int,n:long>>")
+          "words binary, bytes long, sizes binary, pairs long, pair_word binary, pair_lang binary, pair_n binary, text_bytes long")
+
+
+def _whole(values):
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _row(**values) -> pa.RecordBatch:
+    """One row; bytes become binary, whole numbers long, arrays one list."""
+    kinds = {bytes: pa.binary(), int: pa.int64()}
+    columns = [pa.array([v], kinds[type(v)]) if type(v) in kinds else _whole(v) for v in values.values()]
+    return pa.RecordBatch.from_arrays(columns, list(values))
+
+
+def _rows(batches):
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {c: batch.column(c)[k] for c in batch.schema.names}
 
 
 def _blocks(batches):
     numbers = BlockNumbers()
-    for rows, buf, offs in text_blocks(batches, size=_TEXT_BYTES):
+    for rows, buf, offs in text_blocks(batches, size=BLOCK_BYTES):
         buf = lowered(buf)
         words, ids, starts, ends, first = dictionary(buf, offs, space_words())
         n = np.diff(first)
@@ -64,17 +84,92 @@ def _blocks(batches):
         pair, count = np.unique(ids[some] * LANGS + lang[some], return_counts=True)
         hashes = np.zeros(len(words), np.uint64)
         hashes[ids] = word_hashes(buf, starts, ends)
-        counted = pa.StructArray.from_arrays(
-            [pa.array((pair // LANGS).astype(np.int32)), pa.array((pair % LANGS).astype(np.int32)), pa.array(count)],
-            ["i", "lang", "n"])
+        data, sizes = word_bytes(words)
+        yield _row(block=numbers.next(), doc_id=rows.column("doc_id"), train=rows.column("train"), n=pa.array(n),
+                   ids=packed(ids.astype(np.uint32)), hashes=packed(hashes), size=len(words), words=packed(data),
+                   bytes=len(data), sizes=packed(sizes.astype(np.uint32)), pairs=len(pair),
+                   pair_word=packed((pair // LANGS).astype(np.uint32)), pair_lang=packed((pair % LANGS).astype(np.uint8)),
+                   pair_n=packed(count.astype(np.uint32)), text_bytes=len(buf))
+
+
+_RUN = ("block long, part long, n long, words binary, bytes long, sizes binary, pairs long, pair_word binary, "
+        "pair_lang binary, pair_n binary")
+
+
+def _runs(parts: int):
+    """A block's dictionary by hash range: words, and their training counts per language."""
+    def run(batches):
+        for row in _rows(batches):
+            n, pairs = row["size"].as_py(), row["pairs"].as_py()
+            order, found, first = dealt(unpacked(row["hashes"].as_py(), n, np.uint64), parts)
+            sizes = unpacked(row["sizes"].as_py(), n, np.uint32).astype(np.int64)
+            stop = np.cumsum(sizes)
+            take, _ = ranges((stop - sizes)[order], stop[order])
+            data, sizes = unpacked(row["words"].as_py(), row["bytes"].as_py(), np.uint8)[take], sizes[order]
+            edge = np.concatenate(([0], np.cumsum(sizes)))
+            place = np.empty(n, np.int64)
+            place[order] = np.arange(n)
+            at = place[unpacked(row["pair_word"].as_py(), pairs, np.uint32)]
+            by = np.argsort(at, kind="stable")
+            at = at[by]
+            lang, count = (unpacked(row[c].as_py(), pairs, k)[by] for c, k in (("pair_lang", np.uint8), ("pair_n", np.uint32)))
+            for k, i, j in zip(found.tolist(), first[:-1].tolist(), first[1:].tolist()):
+                p, q = np.searchsorted(at, (i, j)).tolist()
+                yield _row(block=row["block"].as_py(), part=k, n=j - i, words=packed(data[edge[i]:edge[j]]),
+                           bytes=int(edge[j] - edge[i]), sizes=packed(sizes[i:j].astype(np.uint32)), pairs=q - p,
+                           pair_word=packed((at[p:q] - i).astype(np.uint32)), pair_lang=packed(lang[p:q]),
+                           pair_n=packed(count[p:q]))
+    return run
+
+
+_COUNTED = ("block long, part long, n long, counts binary, langs binary, "
+            "cells array<struct<lang:int,bin:int,c:long,n:long,one:long,two:long>>")
+
+
+def _bin(count: np.ndarray) -> np.ndarray:
+    return (np.log2(count) * BINS).astype(np.int64)
 
-        def whole(values):
-            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([numbers.next()]), whole(rows.column("doc_id")), whole(rows.column("train")), whole(pa.array(n)),
-             pa.array([packed(ids.astype(np.uint32))], pa.binary()), pa.array([packed(hashes)], pa.binary()),
-             pa.array([len(words)]), whole(words.cast(pa.string())), whole(counted)],
-            ["block", "doc_id", "train", "n", "ids", "hashes", "size", "words", "counted"])
+
+def _counted(table: pa.Table) -> pa.Table:
+    """Of one hash range: for each run its words' training counts and main languages; a row without block for the classes."""
+    rows = list(_rows(table.to_batches()))
+    every, at, keys, counts = [], 0, [], []
+    for row in rows:
+        n, pairs = row["n"].as_py(), row["pairs"].as_py()
+        every.append(words_of(unpacked(row["words"].as_py(), row["bytes"].as_py(), np.uint8),
+                              unpacked(row["sizes"].as_py(), n, np.uint32)))
+        word = unpacked(row["pair_word"].as_py(), pairs, np.uint32).astype(np.int64) + at
+        keys.append(word * LANGS + unpacked(row["pair_lang"].as_py(), pairs, np.uint8))
+        counts.append(unpacked(row["pair_n"].as_py(), pairs, np.uint32).astype(np.int64))
+        at += n
+    coded = pa.concat_arrays(every).dictionary_encode()
+    index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    pair, which = np.unique(index[keys // LANGS] * LANGS + keys % LANGS, return_inverse=True)
+    n = np.bincount(which, counts, minlength=len(pair)).astype(np.int64)
+    word, lang_of = pair // LANGS, pair % LANGS
+    c = np.bincount(word, n, minlength=len(coded.dictionary)).astype(np.int64)
+    lang = np.zeros(len(coded.dictionary), np.uint8)
+    # of a word's languages the one with most of it, ties to the smaller one
+    best = np.lexsort((lang_of, -n, word))
+    best = best[np.unique(word[best], return_index=True)[1]]
+    lang[word[best]] = lang_of[best]
+    seen = c > 0
+    cell, of = np.unique(lang[seen].astype(np.int64) * 64 * BINS + _bin(c[seen]), return_inverse=True)
+    sums = [np.bincount(of, x, minlength=len(cell)).astype(np.int64) for x in (c[seen], c[seen] > 0, c[seen] == 1, c[seen] == 2)]
+    cells = pa.StructArray.from_arrays(
+        [pa.array((cell // (64 * BINS)).astype(np.int32)), pa.array((cell % (64 * BINS)).astype(np.int32)),
+         *[pa.array(x) for x in sums]], ["lang", "bin", "c", "n", "one", "two"])
+    out, at = [(None, None, None, None, None)], 0
+    for row in rows:
+        n = row["n"].as_py()
+        some = index[at:at + n]
+        out.append((row["block"].as_py(), row["part"].as_py(), n, packed(c[some]), packed(lang[some])))
+        at += n
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    lists = pa.ListArray.from_arrays(pa.array([0, *[len(cells)] * len(out)], pa.int32()), cells)
+    return pa.table([*[pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], lists],
+                    ["block", "part", "n", "counts", "langs", "cells"])
 
 
 @dataclass
@@ -102,24 +197,10 @@ class Vocabulary:
         return np.where(count > 0, out, self.unseen)
 
 
-def _bin(count: np.ndarray) -> np.ndarray:
-    return (np.log2(count) * BINS).astype(np.int64)
-
-
-def word_counts(blocks: DataFrame) -> DataFrame:
-    """(word, c, lang): training count of each word, and the language where it is most frequent."""
-    each = blocks.select("words", F.explode("counted").alias("e")).select(
-        F.col("words")[F.col("e.i")].alias("word"), F.col("e.lang").alias("lang"), F.col("e.n").alias("n"))
-    by_lang = each.groupBy("word", "lang").agg(F.sum("n").alias("n"))
-    return by_lang.groupBy("word").agg(F.sum("n").alias("c"), F.max(F.struct("n", -F.col("lang"))).alias("top")).select(
-        "word", "c", (-F.col("top.col2")).alias("lang"))
-
-
-def vocabulary(counts: DataFrame, texts: int, classes: int = CLASSES) -> Vocabulary:
+def vocabulary(counted: DataFrame, texts: int, classes: int = CLASSES) -> Vocabulary:
     """Classes of about equal mass over (language, count) cells, most frequent words first."""
-    found = counts.groupBy("lang", F.floor(F.log2("c") * BINS).cast("int").alias("bin")).agg(
-        F.sum("c").alias("c"), F.count(F.lit(1)).alias("n"), F.sum((F.col("c") == 1).cast("long")).alias("one"),
-        F.sum((F.col("c") == 2).cast("long")).alias("two")).collect()
+    found = counted.where("block IS NULL").select(F.inline("cells")).groupBy("lang", "bin").agg(
+        *[F.sum(k).alias(k) for k in ("c", "n", "one", "two")]).collect()
     total, distinct = sum(r.c for r in found), sum(r.n for r in found)
     one, two = sum(r.one for r in found), sum(r.two for r in found)
     discount = min(0.95, max(0.05, one / (one + 2 * two))) if one + two else 0.5
@@ -133,20 +214,22 @@ def vocabulary(counts: DataFrame, texts: int, classes: int = CLASSES) -> Vocabul
     return Vocabulary(total + texts, distinct + bool(texts), texts, discount, cells, mass)
 
 
-def _coded(voc: Vocabulary):
+def _coded(voc: Vocabulary, parts: int):
     """Blocks with the counts and classes of their words in place of the words."""
     def run(batches):
-        for batch in batches:
-            known = batch.column("known")
-            out = []
-            for k, size in enumerate(batch.column("size").to_pylist()):
-                given = known[k].values if known[k].is_valid else None
-                count, lang = known_values(given, size, ["c", "lang"])
-                out.append((packed(count), packed(voc.classes(count, lang).astype(np.uint8))))
-            names = ["doc_id", "train", "n", "ids", "hashes", "size"]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in names] + [pa.array([o[i] for o in out], pa.binary()) for i in (0, 1)],
-                [*names, "counts", "classes"])
+        for row in _rows(batches):
+            size = row["size"].as_py()
+            order, _, _ = dealt(unpacked(row["hashes"].as_py(), size, np.uint64), parts)
+            count, lang = np.zeros(size, np.int64), np.zeros(size, np.int64)
+            if size:
+                known = row["known"].values
+                by = np.argsort(known.field("part").to_numpy())
+                n = known.field("n").to_pylist()
+                for out, name, kind in ((count, "counts", np.int64), (lang, "langs", np.uint8)):
+                    held = known.field(name).to_pylist()
+                    out[order] = np.concatenate([unpacked(held[k], n[k], kind) for k in by.tolist()])
+            yield _row(**{c: row[c].values for c in ("doc_id", "train", "n")}, ids=row["ids"].as_py(), hashes=row["hashes"].as_py(),
+                       size=size, counts=packed(count), classes=packed(voc.classes(count, lang).astype(np.uint8)))
     return run
 
 
@@ -162,104 +245,109 @@ def hashed_rows(distinct: int) -> int:
 class Features:
     """Weight rows that are active at each token of a block."""
 
+    active = 5
+
     def __init__(self, classes: int, hashed: int):
-        self.classes, self.hashed = classes, hashed
+        self.outside = classes
         k = classes + 1
-        self.at = np.cumsum([0, 1, k, k, k, k * k])
-        self.rows = int(self.at[-1]) + hashed
-
-    def of(self, cls: np.ndarray, hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """(features, tokens) rows; ``place``: each token's number in its text."""
-        k = self.classes + 1
-        back = [self._back(cls, place, j, self.classes) for j in (1, 2, 3)]
-        u, t = (self._back(hashes, place, j, np.uint64(j)) for j in (1, 2))
-        words = (mixed(u * np.uint64(3) + np.uint64(1)), mixed(t * np.uint64(5) + np.uint64(2)),
-                 mixed(mixed(u) * np.uint64(7) + t))
-        mask = np.uint64(self.hashed - 1)
-        return np.stack([np.zeros(len(cls), np.int64), *[back[j] + self.at[1 + j] for j in range(3)],
-                         back[0] * k + back[1] + self.at[4],
-                         *[(h & mask).astype(np.int64) + self.at[5] for h in words]]).astype(np.int32)
+        self.sizes = [k * k, k, hashed, hashed, hashed]
+        self.at = [0, k * k, k * k + k, k * k + k, k * k + k]
+        self.rows = k * k + k + hashed
+        self.mask = np.uint64(hashed - 1)
+
+    def of(self, cls: np.ndarray, hashes: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
+        """Rows per feature, of every token; ``place``: each token's number in its text."""
+        one, two, three = (self._back(cls, place, j, self.outside) for j in (1, 2, 3))
+        mixes = mixed(hashes)
+        u, t = (self._back(mixes, place, j, np.uint64(j)) for j in (1, 2))
+        hashed = (u, t * np.uint64(3) + np.uint64(1), (u + t * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(17))
+        return [one * (self.outside + 1) + two, three + self.at[1],
+                *[(h & self.mask).astype(np.int64) + self.at[2] for h in hashed]]
 
     @staticmethod
     def _back(values, place, j, outside):
-        out = np.full(len(values), outside, values.dtype)
+        out = np.empty_like(values)
         out[j:] = values[:-j] if j < len(values) else outside
+        out[:j] = outside
         out[place < j] = outside
         return out
 
 
-def _probabilities(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = weights[rows[0]]
+def _exponentials(weights: np.ndarray, rows: list[np.ndarray], out: np.ndarray, spare: np.ndarray, targets: np.ndarray):
+    """Into ``out`` the exponentials of each class's summed weights; returns the targets' sums and the totals."""
+    np.take(weights, rows[0], axis=0, out=out, mode="clip")
     for r in rows[1:]:
-        z += weights[r]
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
+        np.take(weights, r, axis=0, out=spare, mode="clip")
+        out += spare
+    target = out[np.arange(len(out)), targets]
+    np.exp(out, out=out)
+    return target, out @ np.ones(out.shape[1], np.float32)
+
 
+def _tokens(row: dict, voc: Vocabulary, texts: np.ndarray | None = None):
+    """Per token of a stored block, ends included: class, count, hash, number in its text; tokens per text.
 
-def _tokens(row: dict, voc: Vocabulary):
-    """Per token of a stored block, ends included: class, count, hash, number in its text; tokens per text."""
+    ``texts``: which of the block's texts are wanted.
+    """
     n = row["n"].values.to_numpy()
-    ids = unpacked(row["ids"].as_py(), int(n.sum()), np.uint32).astype(np.int64)
+    ids = unpacked(row["ids"].as_py(), int(n.sum()), np.uint32)
+    if texts is not None:
+        ids, n = ids[np.repeat(texts, n)], n[texts]
     size = row["size"].as_py()
     cls, count, hashes = (unpacked(row[c].as_py(), size, k) for c, k in (
         ("classes", np.uint8), ("counts", np.int64), ("hashes", np.uint64)))
-    stop = np.cumsum(n)
     per = n + 1
-    place = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)
-
-    def with_ends(values, end):
-        return np.insert(values[ids] if size else values, stop, end)
-    return (with_ends(cls, voc.end).astype(np.int64), with_ends(count, voc.texts), with_ends(hashes, np.uint64(0)), place, per)
-
-
-def _rows(batches, names):
-    for batch in batches:
-        for k in range(batch.num_rows):
-            yield {c: batch.column(c)[k] for c in names}
-
-
-_NAMES = ("doc_id", "train", "n", "ids", "hashes", "size", "counts", "classes")
+    stop = np.cumsum(per)
+    place = np.arange(int(per.sum())) - np.repeat(stop - per, per)
+    inner = np.ones(len(place), bool)
+    inner[stop - 1] = False
+
+    def with_ends(values, end, kind):
+        out = np.full(len(place), end, kind)
+        out[inner] = values[ids]
+        return out
+    return (with_ends(cls, voc.end, np.int64), with_ends(count, voc.texts, np.int64),
+            with_ends(hashes, 0, np.uint64), place, per)
 
 
 def _gradients(voc: Vocabulary, features: Features, weights, wave: tuple[int, int]):
-    """Gradient and expected count per weight row, over the texts of a wave, summed in the task."""
-    k = features.classes
+    """Observed minus expected counts, and expected counts, per weight row over the texts of a wave, summed in the task."""
+    k = len(voc.mass)
 
     def run(batches):
         w = weights.value
-        sums = np.zeros((features.rows, 2 * k), np.float32)
-        seen = np.zeros(features.rows, np.int64)
-        for row in _rows(batches, _NAMES):
-            cls, count, hashes, place, per = _tokens(row, voc)
-            slot = np.arange(len(per)) % 16
-            use = row["train"].values.to_numpy(zero_copy_only=False).astype(bool) & (slot >= wave[0]) & (slot < wave[1])
-            at = np.flatnonzero(np.repeat(use, per))
-            if not len(at):
+        expected, gap = np.zeros((k, features.rows), np.float32), np.zeros(features.rows * k, np.float32)
+        out, spare = np.empty((BATCH, k), np.float32), np.empty((BATCH, k), np.float32)
+        chunk = np.empty((k, CHUNK), np.float32)
+        for row in _rows(batches):
+            trains = row["train"].values.to_numpy(zero_copy_only=False).astype(bool)
+            slot = np.arange(len(trains)) % 16
+            cls, count, hashes, place, per = _tokens(row, voc, trains & (slot >= wave[0]) & (slot < wave[1]))
+            if not len(cls):
                 continue
             every = features.of(cls, hashes, place)
             lost = np.where(cls == voc.end, 0, voc.discount / np.maximum(count, 1)).astype(np.float32)
-            for i in range(0, len(at), BATCH):
-                some = at[i:i + BATCH]
-                p = _probabilities(w, every[:, some])
-                both = np.concatenate((p, p * (1 - p)), axis=1)
-                line = np.arange(len(some))
-                both[line, cls[some]] -= 1 - lost[some]
-                both[line, voc.unseen] -= lost[some]
-                for r in every[:, some]:
-                    if r[0] == 0 and not r.any():
-                        sums[0] += both.sum(axis=0)
-                        seen[0] += len(r)
-                        continue
-                    order = np.argsort(r, kind="stable")
-                    rs = r[order]
-                    first = np.flatnonzero(np.concatenate(([True], rs[1:] != rs[:-1])))
-                    sums[rs[first]] += np.add.reduceat(both[order], first, axis=0)
-                    seen[rs[first]] += np.diff(np.append(first, len(rs)))
-        got = np.flatnonzero(seen)
+            for a in range(0, len(cls), CHUNK):
+                b = min(len(cls), a + CHUNK)
+                for i in range(a, b, BATCH):
+                    j = min(b, i + BATCH)
+                    p = out[:j - i]
+                    _, total = _exponentials(w, [r[i:j] for r in every], p, spare[:j - i], cls[i:j])
+                    p /= total[:, None]
+                    chunk[:, i - a:j - a] = p.T
+                for r, at, size in zip(every, features.at, features.sizes):
+                    some = r[a:b] - at
+                    for c in range(k):
+                        expected[c, at:at + size] += np.bincount(some, chunk[c, :b - a], minlength=size)
+                    held = np.bincount(some * k + cls[a:b], 1 - lost[a:b], minlength=size * k)
+                    held += np.bincount(some * k + voc.unseen, lost[a:b], minlength=size * k)
+                    gap[at * k:(at + size) * k] += held
+        expected = expected.T
+        gap = gap.reshape(-1, k) - expected
+        got = np.flatnonzero(expected.any(axis=1))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(got.astype(np.int32)), *[pa.array(sums[got, j]) for j in range(2 * k)]],
+            [pa.array(got.astype(np.int32)),
+             *[pa.array(np.ascontiguousarray(x[got, j])) for x in (gap, expected) for j in range(k)]],
             ["row", *[f"v{j}" for j in range(2 * k)]])
     return run
 
@@ -271,45 +359,45 @@ def train(coded: DataFrame, voc: Vocabulary, prior: float = 2.0) -> tuple[Featur
     features = Features(k, hashed_rows(voc.distinct))
     total = max(voc.mass.sum(), 1.0)
     weights = np.zeros((features.rows, k), np.float32)
-    weights[0] = np.log(np.maximum(voc.mass, 1e-9 * total) / total)
-    curvature = np.zeros((features.rows, k))
+    weights[:features.sizes[0]] = np.log(np.maximum(voc.mass, 1e-9 * total) / total)
+    met = np.zeros((features.rows, k))
     columns = [f"v{j}" for j in range(2 * k)]
-    active = 8
     for wave in WAVES if voc.texts else ():
         sent = spark.sparkContext.broadcast(weights)
         found = coded.mapInArrow(_gradients(voc, features, sent, wave), "row int, " + ", ".join(f"{c} float" for c in columns)) \
             .groupBy("row").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
         sent.destroy()
-        if not found.num_rows:
-            continue
         row = found.column("row").to_numpy()
         values = np.stack([found.column(c).to_numpy() for c in columns], axis=1)
-        curvature[row] += values[:, k:]
+        met[row] += values[:, k:]
         weights = weights.copy()
-        weights[row] -= (values[:, :k] / (active * curvature[row] / 2 + prior)).astype(np.float32)
+        step = values[:, :k] / (features.active * met[row] / 2 + prior)
+        weights[row] = np.clip(weights[row] + step, -15, 15)
     return features, weights
 
 
 def _scores(voc: Vocabulary, features: Features, weights):
     def run(batches):
         w = weights.value
-        with np.errstate(divide="ignore"):
-            mass = np.log(np.maximum(voc.mass, 1e-300))
-        for row in _rows(batches, _NAMES):
+        mass = np.log(np.maximum(voc.mass, 1e-300))
+        out, spare = np.empty((BATCH, len(mass)), np.float32), np.empty((BATCH, len(mass)), np.float32)
+        for row in _rows(batches):
             cls, count, hashes, place, per = _tokens(row, voc)
             every = features.of(cls, hashes, place)
             logs = np.empty(len(cls))
             for i in range(0, len(cls), BATCH):
-                p = _probabilities(w, every[:, i:i + BATCH])
-                logs[i:i + BATCH] = np.log(np.maximum(p[np.arange(len(p)), cls[i:i + BATCH]], 1e-30))
+                j = min(len(cls), i + BATCH)
+                target, total = _exponentials(w, [r[i:j] for r in every], out[:j - i], spare[:j - i], cls[i:j])
+                logs[i:j] = target - np.log(total)
             known = (count > 0) & (cls != voc.end)
             share = np.where(known, np.log(np.maximum(count - voc.discount, 1e-9)) - mass[cls], 0.0)
             base = np.log(count + 1.0) - np.log(float(voc.tokens + voc.distinct + 1))
             first = np.cumsum(per) - per
-            sums = [np.add.reduceat(x, first) / np.log(10.0) if len(x) else x for x in (base, logs + share)]
-            train_ = row["train"].values.to_numpy(zero_copy_only=False).astype(bool)
+            sums = [np.add.reduceat(x, first) / np.log(10.0) for x in (base, logs + share)]
+            trains = row["train"].values.to_numpy(zero_copy_only=False).astype(bool)
             yield pa.RecordBatch.from_arrays(
-                [row["doc_id"].values, pa.array(~train_), pa.array(per), pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
+                [row["doc_id"].values, pa.array(~trains), pa.array(per),
+                 pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
                  pa.array(np.full(len(per), voc.tokens)), *[pa.array(s) for s in sums]],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
@@ -329,13 +417,16 @@ def language_scores(docs: DataFrame, parts: int = 7, which: int = 2) -> DataFram
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                         (~held_out(F.col("doc_id"), parts, which)).alias("train"), lang.cast("int").alias("lang"))
     blocks = materialize(given.mapInArrow(_blocks, _BLOCK), "blocks")
-    counts = materialize(word_counts(blocks), "counts")
-    texts = blocks.select(F.explode("train").alias("t")).where("t").count()
-    voc = vocabulary(counts, texts)
-    entries = blocks.select("block", F.posexplode("words").alias("i", "word"))
-    known = answers(entries, counts, ["word"], ["c", "lang"])
-    coded = materialize(blocks.drop("words", "counted").join(known, "block", "left").mapInArrow(_coded(voc), _CODED), "coded")
+    about = blocks.agg(F.sum("text_bytes").alias("bytes"), F.sum(F.size(F.filter("train", lambda t: t))).alias("texts")).first()
+    hash_ranges = max(8, -(-(about.bytes or 0) // RANGE_BYTES))
+    runs = blocks.select("block", "size", "hashes", "words", "bytes", "sizes", "pairs", "pair_word", "pair_lang", "pair_n")
+    counted = materialize(runs.mapInArrow(_runs(hash_ranges), _RUN).groupBy("part").applyInArrow(_counted, _COUNTED), "counted")
+    voc = vocabulary(counted, about.texts or 0)
+    known = counted.where("block IS NOT NULL").groupBy("block").agg(
+        F.collect_list(F.struct("part", "n", "counts", "langs")).alias("known"))
+    coded = materialize(blocks.select("block", "doc_id", "train", "n", "ids", "hashes", "size").join(known, "block", "left")
+                        .mapInArrow(_coded(voc, hash_ranges), _CODED), "coded")
     discard(blocks)
-    discard(counts)
+    discard(counted)
     features, weights = train(coded, voc)
     return coded.mapInArrow(_scores(voc, features, docs.sparkSession.sparkContext.broadcast(weights)), _SCORE)

@@ -2,8 +2,10 @@
 
 A block is a few megabytes of whole texts in one stored row, its words coded by
 their place in the block's own dictionary. The dictionaries, not the texts, meet
-the corpus-wide table (``answers``), so a word is one row per block however often
-it stands there, and neither side is broadcast or gathered.
+the corpus-wide table, so a word is one entry per block however often it stands there, and
+neither side is broadcast or gathered. ``answers`` does that by rows; ``dealt`` cuts a
+dictionary into packed runs, one per hash range of the words, for tables that a task can sum
+up range by range: what comes back for a run is in the run's own order.
 """
 
 from __future__ import annotations
@@ -48,6 +50,27 @@ class BlockNumbers:
         return self.at
 
 
+def dealt(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order that sorts a dictionary by hash range, the ranges that occur, and where each begins (one more at the end)."""
+    part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    found, first = np.unique(part[order], return_index=True)
+    return order, found, np.append(first, len(order))
+
+
+def word_bytes(words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of words one after the other, and their lengths."""
+    offs = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    held = np.frombuffer(data, np.uint8)[offs[0]:offs[-1]] if data is not None and len(words) else np.zeros(0, np.uint8)
+    return held, np.diff(offs)
+
+
+def words_of(data: np.ndarray, sizes: np.ndarray) -> pa.LargeStringArray:
+    places = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data)))
+
+
 def answers(entries: DataFrame, table: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """(block, known): for each block's entries (block, i, keys) the values of ``table``, which has a row per key.
 
