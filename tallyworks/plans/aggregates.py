@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from tallyworks.functions.cells import int_or_zero
-from tallyworks.operators import quantiles, statistics as stats, tags, words as text
+from tallyworks.operators import quantiles, sketches, statistics as stats, tags, words as text
 from tallyworks.plans.filters import BAND_SQL
 from tallyworks.plans.inputs import (DAY_TAGS_SQL, LABELLED_SQL, LABELLED_TEXT_SQL, STOP_SQL, TAGS_SQL, WORDS_SQL, basket_tags,
                                      labelled_documents, order_tags, stop_words, stored_baskets, text_mark,
                                      user_counts)
 from tallyworks.plans.registry import query, rounded
+from tallyworks.session import materialize
 
 SALES_SQL = """SELECT p_brand, sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity::BIGINT END)::BIGINT AS sales
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand"""
@@ -74,6 +75,18 @@ def distinct_numbers(t):
                       F.countDistinct("p_size").alias("sizes"))
 
 
+@query("a08_distinct_sketches", """SELECT l_returnflag, count(DISTINCT l_partkey) AS parts, true AS within_bound
+  FROM lineitem GROUP BY 1""")
+def distinct_by_sketch(t):
+    """Distinct parts per flag, merged from a stored sketch per flag and line status, held against the exact numbers."""
+    stored = materialize(sketches.distinct_sketches(t.lineitem, ["l_returnflag", "l_linestatus"], "l_partkey"), "sketches")
+    found = sketches.distinct_estimates(sketches.merged_sketches(stored, ["l_returnflag"]), to="estimate")
+    exact = t.lineitem.groupBy("l_returnflag").agg(F.countDistinct("l_partkey").alias("parts"))
+    gap = F.abs(F.col("estimate") - F.col("parts")) / F.col("parts")
+    return exact.join(found, "l_returnflag").select(
+        "l_returnflag", "parts", (gap <= sketches.distinct_bound()).alias("within_bound"))
+
+
 @query("a09_distinct_values", "SELECT DISTINCT p_brand FROM part")
 def distinct_values(t):
     return t.part.select("p_brand").distinct()

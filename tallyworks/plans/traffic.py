@@ -6,7 +6,7 @@ These jobs are known by name only; their definition is this library's own.
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tallyworks.operators import features, graphs, joins, learners, statistics as stats
+from tallyworks.operators import features, graphs, joins, learners, sketches, statistics as stats
 from tallyworks.plans.learning import embedding_columns
 from tallyworks.plans.registry import query, rounded
 from tallyworks.session import fresh_path
@@ -34,8 +34,31 @@ def unique_visitors(t):
     return _by_day(streams.unique_visitors(seen))
 
 
-@query("n03_most_frequent_keys", """SELECT * FROM (SELECT event_type, user_id, count(*) AS count FROM events GROUP BY ALL) c
-  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY count DESC, user_id) <= 10""")
+@query("n02_visitor_sketches", """SELECT ts::DATE AS day, count(DISTINCT user_id) AS visitors, true AS within_bound
+  FROM events GROUP BY 1""")
+def visitor_sketches(t):
+    """Visitors per day from stored sketches that each batch of the stream merges into, held against exact numbers."""
+    table = streams.SketchTable(t.spark, fresh_path(t.spark, "visitor-sketches"))
+    stream = event_stream(t).select(F.to_date("ts").alias("day"), "user_id")
+    streams.run_batches(stream, lambda batch: table.merge(batch, "user_id"))
+    exact = t.events.groupBy(F.to_date("ts").alias("day")).agg(F.countDistinct("user_id").alias("visitors"))
+    gap = F.abs(F.col("estimate") - F.col("visitors")) / F.col("visitors")
+    return exact.join(table.estimates("estimate"), "day", "left").select(
+        "day", "visitors", F.coalesce(gap <= sketches.distinct_bound(), F.lit(False)).alias("within_bound"))
+
+
+N03_SQL = """SELECT * FROM (SELECT event_type, user_id, count(*) AS count FROM events GROUP BY ALL) c
+  QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY count DESC, user_id) <= 10"""
+
+
+@query("n03_heavy_hitters", N03_SQL)
+def heavy_hitters(t):
+    """The same rows from a bounded state per event type and day, merged, and an exact count of its candidates."""
+    days = t.events.select("event_type", "user_id", F.to_date("ts").alias("day"))
+    return sketches.most_frequent(days, "event_type", "user_id", 10, ["day"]).drop("rank")
+
+
+@query("n03_most_frequent_keys", N03_SQL)
 def most_frequent(t):
     counts = t.events.groupBy("event_type", "user_id").agg(F.count(F.lit(1)).alias("count"))
     return stats.top_per_group(counts, "event_type", [F.desc("count"), "user_id"], 10).drop("rank")
@@ -80,10 +103,12 @@ def membership(t):
 @query("n07_discard_repeats", """SELECT DISTINCT user_id, event_type, ts::DATE AS day FROM events
   WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 40)""")
 def discard(t):
+    """First row of each user, type and day, of users that are not known; keys leave the state a day later."""
     known = t.events.where("event_type = 'error' and value > 40")
-    seen = streams.first_seen(event_stream(t), ["user_id", "event_type"])
-    kept = streams.run_to_table(seen, "update", lambda batch: streams.discard_known(batch, known, "user_id"))
-    return _by_day(kept).select("user_id", "event_type", "day").distinct()
+    events = event_stream(t).withColumn("day", F.to_date("ts"))
+    seen = streams.seen_once(events, ["user_id", "event_type", "day"])
+    kept = streams.run_to_table(seen, "append", lambda batch: streams.discard_known(batch, known, "user_id"))
+    return kept.select("user_id", "event_type", "day")
 
 
 @query("n08_libsvm", """SELECT label::DOUBLE AS label, round(embedding[1]::DOUBLE, 6) AS first,
