@@ -13,9 +13,11 @@ from tallyworks.operators.joins import lookup_join
 from tallyworks.operators.ordering import number_rows
 from tallyworks.session import materialize
 
-# Columns that a caller of the dummy functions usually wants at most; a wider
-# result comes in a sparse form.
+# A result with one column per value has at most so many, unless the caller allows more; a
+# column with more values is an error there. The sparse forms have no such limit.
 WIDTH = 1000
+# Length of the pieces by which texts are searched for tokens.
+PIECE = 3
 
 
 def category_codes(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -26,10 +28,17 @@ def category_codes(df: DataFrame, column: str, name: str | None = None) -> DataF
     return lookup_join(df, codes, [column]).withColumn(name, F.coalesce(name, F.lit(-1)).cast("int"))
 
 
-def _up_to(values: DataFrame, width: int) -> list | None:
-    """The values, or None if there are more than ``width``."""
+def _up_to(values: DataFrame, width: int, column: str, other: str) -> list:
+    """The values; more than ``width`` are an error."""
     rows = values.limit(width + 1).collect()
-    return None if len(rows) > width else [row[0] for row in rows]
+    if len(rows) > width:
+        raise ValueError(f"column {column} has more than {width} values: allow more, or ask for form={other!r}")
+    return [row[0] for row in rows]
+
+
+def _known_form(form: str, *forms: str) -> None:
+    if form not in forms:
+        raise ValueError(f"form is one of {forms}, not {form!r}")
 
 
 def code_vector(df: DataFrame, code: str, name: str) -> DataFrame:
@@ -39,35 +48,37 @@ def code_vector(df: DataFrame, code: str, name: str) -> DataFrame:
     return encoder.fit(shifted).transform(shifted).drop("__place", code)
 
 
-def one_hot_by_appearance(df: DataFrame, column: str, key: str, width: int = WIDTH) -> DataFrame:
+def one_hot_by_appearance(df: DataFrame, column: str, key: str, form: str = "columns", width: int = WIDTH) -> DataFrame:
     """0/1 columns numbered by first appearance in key order; the source column goes.
 
-    Over ``width`` values make one sparse vector ``<column>_vector`` instead, in
-    the same order.
+    ``form`` "columns" gives a column per value, "vector" one sparse vector
+    ``<column>_vector`` in the same order, whatever the number of values.
     """
+    _known_form(form, "columns", "vector")
     seen = df.groupBy(column).agg(F.min(key).alias("__first"))
-    values = _up_to(seen.orderBy("__first").select(column), width)
-    if values is None:
+    if form == "vector":
         codes = number_rows(seen.where(F.col(column).isNotNull()), ["__first", column], "__code", first=0)
         coded = lookup_join(df, codes.select(column, "__code"), [column])
         return code_vector(coded.withColumn("__code", F.coalesce("__code", F.lit(-1))), "__code",
                            f"{column}_vector").drop(column)
+    values = _up_to(seen.orderBy("__first").select(column), width, column, "vector")
     dummies = {f"{column}_{i + 1}": F.col(column).eqNullSafe(F.lit(v)).cast("int") for i, v in enumerate(values)}
     return df.withColumns(dummies).drop(column)
 
 
-def dummies_by_value(df: DataFrame, columns: Sequence[str], width: int = WIDTH) -> DataFrame:
+def dummies_by_value(df: DataFrame, columns: Sequence[str], form: str = "columns", width: int = WIDTH) -> DataFrame:
     """0/1 columns named after the value, in sorted order; null gives all 0.
 
-    A column with over ``width`` values becomes one sparse vector
-    ``<column>_vector`` over its values in sorted order instead.
+    ``form`` "columns" gives a column per value, "vector" one sparse vector
+    ``<column>_vector`` per column, over its values in sorted order.
     """
+    _known_form(form, "columns", "vector")
     out = df
     for column in columns:
-        values = _up_to(df.select(column).where(F.col(column).isNotNull()).distinct(), width)
-        if values is None:
+        if form == "vector":
             out = code_vector(category_codes(out, column, "__code"), "__code", f"{column}_vector").drop(column)
             continue
+        values = _up_to(df.select(column).where(F.col(column).isNotNull()).distinct(), width, column, "vector")
         out = out.withColumns({f"{column}_{v}": F.coalesce(F.col(column) == F.lit(v), F.lit(False)).cast("int")
                                for v in sorted(values)}).drop(column)
     return out
@@ -77,30 +88,57 @@ def distinct_tokens(df: DataFrame, column: str, separator: str = " ") -> DataFra
     return df.select(F.explode(F.split(column, separator)).alias("token")).distinct()
 
 
-def dummies_by_token(df: DataFrame, column: str, width: int = WIDTH) -> DataFrame:
+def dummies_by_token(df: DataFrame, column: str, form: str = "columns", width: int = WIDTH) -> DataFrame:
     """One 0/1 column per token of any row: 1 where the text *contains* it.
 
-    Over ``width`` tokens make one column ``<column>_tokens`` instead, the sorted
-    list of the tokens that the text contains (null for a null text).
+    ``form`` "columns" gives a column per token, "list" one column ``<column>_tokens``,
+    the sorted list of the tokens that the text contains (null for a null text).
     """
-    tokens = _up_to(distinct_tokens(df, column), width)
-    if tokens is None:
+    _known_form(form, "columns", "list")
+    if form == "list":
         return _contained_tokens(df, column)
+    tokens = _up_to(distinct_tokens(df, column), width, column, "list")
     return df.withColumns({f"{column}_{t}": F.coalesce(F.col(column).contains(t), F.lit(False)).cast("int")
                            for t in sorted(tokens)}).drop(column)
 
 
+def _pieces(text: Column, size: int) -> Column:
+    """Distinct runs of ``size`` characters."""
+    at = F.when(F.char_length(text) >= size, F.sequence(F.lit(1), F.char_length(text) - size + 1))
+    return F.array_distinct(F.transform(F.coalesce(at, F.array().cast("array<int>")), lambda i: F.substring(text, i, F.lit(size))))
+
+
+def containing(texts: DataFrame, needles: DataFrame) -> DataFrame:
+    """(text, needle) for every distinct text and needle it contains; both tables have one column of distinct strings.
+
+    Texts are indexed by their distinct pieces of ``PIECE`` characters, which are no more than
+    their characters. A needle is looked up by the one of its pieces that the fewest texts have, and what that
+    finds is checked. Shorter needles are looked up whole, among pieces of their size; an empty one is in all texts.
+    """
+    text, needle = texts.columns[0], needles.columns[0]
+    sized = materialize(needles.select(F.col(needle).alias("__n"), F.char_length(needle).alias("__c")), "needles")
+    small = sorted(r[0] for r in sized.where(F.col("__c") < PIECE).select("__c").distinct().collect())
+    sizes = [PIECE, *[c for c in small if c > 0]]
+    index = texts.select(F.col(text).alias("__t"), F.explode(F.flatten(F.array(*[_pieces(F.col(text), c) for c in sizes]))).alias("__p"))
+    index = materialize(index, "pieces")
+    held = index.groupBy("__p").agg(F.count(F.lit(1)).alias("__held"))
+    asked = sized.where("__c > 0").select(
+        "__n", F.explode(F.when(F.col("__c") < PIECE, F.array("__n")).otherwise(_pieces(F.col("__n"), PIECE))).alias("__p"))
+    # a piece that no text has rules its needle out
+    rarest = asked.join(held, "__p", "left").groupBy("__n").agg(
+        F.min(F.struct(F.coalesce("__held", F.lit(0)).alias("held"), F.col("__p"))).alias("r")).where("r.held > 0")
+    found = rarest.select("__n", F.col("r.__p").alias("__p")).join(index, "__p").where(F.contains(F.col("__t"), F.col("__n")))
+    pairs = found.select(F.col("__t").alias("text"), F.col("__n").alias("needle"))
+    if 0 in small:
+        pairs = pairs.union(texts.select(F.col(text), F.lit("")))
+    return pairs
+
+
 def _contained_tokens(df: DataFrame, column: str) -> DataFrame:
-    """A text contains a token exactly if one of its own tokens does, so each
-    distinct token's substrings are looked up once among the tokens."""
+    """A text contains a token exactly if one of its own tokens does, so distinct tokens are searched, not texts."""
     rows = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
     tokens = materialize(distinct_tokens(rows, column), "tokens")
-    size = F.length("token")
-    parts = tokens.withColumn("__from", F.explode(F.sequence(F.lit(0), size))).withColumn(
-        "__size", F.explode(F.sequence(F.lit(0), size - F.col("__from"))))
-    inner = parts.select(F.col("token").alias("__own"),
-                         F.substring("token", F.col("__from") + 1, F.col("__size")).alias("token")).distinct()
-    found = inner.join(tokens, "token")
+    found = containing(tokens, tokens).withColumnsRenamed({"text": "__own", "needle": "token"})
     own = rows.select("__row", F.explode(F.split(column, " ")).alias("__own")).distinct()
     lists = own.join(found, "__own").groupBy("__row").agg(F.sort_array(F.collect_set("token")).alias(f"{column}_tokens"))
     return rows.join(lists, "__row", "left").drop("__row", column)
@@ -171,16 +209,13 @@ def power_grid(df: DataFrame, powers: Mapping[str, Sequence[float]]) -> DataFram
     return tried.groupBy("column", "power").agg((fit + jacobian).alias("fit"))
 
 
-# Powers beyond this overflow for all but the narrowest columns.
-POWER_LIMIT = 64
-
-
 def best_powers(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame:
     """Power with the highest likelihood per column, to ``digits`` decimals.
 
     Whole powers are tried first, on and on while the best one is the last one
-    tried; then the neighbourhood of the best at a tenth of the step, until the step is
-    as fine as asked. Every pass is one aggregate over all columns.
+    tried and the likelihood is finite beyond it; then the neighbourhood of the best at a tenth of the step, until the step is
+    as fine as asked. Every pass is one aggregate over all columns. ``at_end``: powers
+    beyond the one found overflow, so a better one may lie there.
     """
     tried: dict[str, dict[float, float]] = {c: {} for c in columns}
     places = dict.fromkeys(columns, 0)
@@ -194,18 +229,17 @@ def best_powers(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataF
             if not tried[c]:
                 continue
             best = max(tried[c], key=lambda p: (tried[c][p], -abs(p)))
-            end = best in (min(asked[c]), max(asked[c])) and places[c] == 0 and abs(best) < POWER_LIMIT
-            if end:
+            if best in (min(asked[c]), max(asked[c])) and places[c] == 0 and abs(best) > 1:
                 side = 1 if best > 0 else -1
-                following[c] = [best + side * k for k in range(-1, 5)]
+                following[c] = [best + side * k for k in range(-1, int(min(64, max(5, abs(best)))))]
             elif places[c] < digits:
                 places[c] += 1
                 step = 10.0 ** -places[c]
                 following[c] = [round(best + k * step, places[c]) for k in range(-10, 11)]
         asked = following
-    rows = [(c, best, tried[c][best]) for c in columns if tried[c]
+    rows = [(c, best, tried[c][best], best in (min(tried[c]), max(tried[c]))) for c in columns if tried[c]
             for best in [max(tried[c], key=lambda p: (tried[c][p], -abs(p)))]]
-    return df.sparkSession.createDataFrame(rows, "column string, power double, fit double")
+    return df.sparkSession.createDataFrame(rows, "column string, power double, fit double, at_end boolean")
 
 
 def power_transformed(df: DataFrame, columns: Sequence[str]) -> DataFrame:

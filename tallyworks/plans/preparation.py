@@ -82,7 +82,7 @@ POWER_SQL = """SELECT '{0}' AS "column", lam AS power, round(raw, 2) AS fit FROM
   SELECT * FROM ({POWER_SQL.format('l_extendedprice')})""")
 def best_powers(t):
     found = features.best_powers(t.lineitem, ["l_quantity", "l_extendedprice"])
-    return found.withColumn("fit", rounded("fit", 2))
+    return found.drop("at_end").withColumn("fit", rounded("fit", 2))
 
 
 POWERED_SQL = """(CASE WHEN abs(power_{0}) < 1e-12 THEN ln(1 + {0})

@@ -164,6 +164,19 @@ def leg_distances(t):
     return graphs.leg_table(routes(t), "vec_id", "stops").withColumn("distance", rounded("distance"))
 
 
+NEAR = 0.02
+
+
+@query("n11_within_radius", f"""WITH p AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+  d AS (SELECT a.vec_id AS key_a, b.vec_id AS key_b, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS distance
+        FROM p a JOIN p b ON a.vec_id < b.vec_id)
+  SELECT key_a, key_b, round(distance, 6) AS distance FROM d WHERE distance <= {NEAR}""")
+def within_radius(t):
+    """Distances of all points of a plane that are near each other."""
+    points = t.embeddings.select("vec_id", F.col("embedding")[0].alias("x"), F.col("embedding")[1].alias("y"))
+    return graphs.pairs_within(points, "vec_id", "x", "y", NEAR).withColumn("distance", rounded("distance"))
+
+
 def lengths(t):
     return routes(t).select("vec_id", "label", graphs.route_length(F.col("stops")).alias("length"))
 

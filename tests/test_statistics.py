@@ -106,22 +106,46 @@ def test_token_dummies_contain(spark):
     assert rows(got) == [(1, 1, 1, 0), (2, 1, 1, 1)]
 
 
-def test_more_values_than_columns_wanted(spark):
-    """1,001 values: nothing is refused or dropped, the result is one sparse vector."""
+def test_form_of_dummies_is_the_callers_choice(spark):
+    """1,001 values: columns are refused with a word, never switched; the vector holds them all, and few ones too."""
     df = spark.range(1002).select("id", F.when(F.col("id") < 1001, F.format_string("v%04d", F.col("id"))).alias("c"))
-    for made in (features.dummies_by_value(df, ["c"]), features.one_hot_by_appearance(df, "c", "id")):
+    for make in (lambda f: features.dummies_by_value(df, ["c"], f), lambda f: features.one_hot_by_appearance(df, "c", "id", f)):
+        with pytest.raises(ValueError, match="more than 1000 values"):
+            make("columns")
+        with pytest.raises(ValueError, match="form is one of"):
+            make("list")
+        made = make("vector")
         assert made.columns == ["id", "c_vector"]
         for row in made.collect():
             assert row["c_vector"].size == 1002
             assert row["c_vector"].indices.tolist() == [0 if row["id"] == 1001 else row["id"] + 1]
+    few = spark.createDataFrame([(1, "b"), (2, "a"), (3, None)], "id int, c string")
+    assert {r["id"]: r["c_vector"].indices.tolist() for r in features.dummies_by_value(few, ["c"], "vector").collect()} == {
+        1: [2], 2: [1], 3: [0]}
+    assert len(features.dummies_by_value(df, ["c"], width=1001).columns) == 1002
 
 
-def test_more_tokens_than_columns_wanted(spark):
-    df = spark.createDataFrame([(1, "south east"), (2, "southeast"), (3, None), (4, "a  b")], "id int, c string")
-    got = {r["id"]: r["c_tokens"] for r in features.dummies_by_token(df, "c", width=2).collect()}
-    tokens = {"south", "east", "southeast", "a", "", "b"}
-    assert got == {i: None if t is None else sorted(x for x in tokens if x in t)
-                   for i, t in ((1, "south east"), (2, "southeast"), (3, None), (4, "a  b"))}
+def test_token_lists(spark):
+    df = spark.createDataFrame([(1, "south east"), (2, "southeast"), (3, None), (4, "a  b"), (5, "ab b"), (6, "")],
+                               "id int, c string")
+    got = {r["id"]: r["c_tokens"] for r in features.dummies_by_token(df, "c", "list").collect()}
+    tokens = {"south", "east", "southeast", "a", "", "b", "ab"}
+    assert got == {r["id"]: None if r["c"] is None else sorted(x for x in tokens if x in r["c"]) for r in df.collect()}
+
+
+def test_needles_in_one_very_long_token_among_many(spark):
+    """5,000 tokens, one of 10,000 characters: every one is found where it is contained."""
+    import random
+
+    rng = random.Random(3)
+    tokens = {"".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(6000)}
+    tokens = sorted(tokens)[:4999] + ["".join(rng.choices("abcdefgh", k=10_000))]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    got = {(r["text"], r["needle"]) for r in features.containing(df, df).where(F.length("text") > 100).collect()}
+    assert got == {(tokens[-1], t) for t in tokens if t in tokens[-1]}
+    some = set(rng.sample(tokens, 60))
+    short = features.containing(df.where(F.length("t") <= 100), df.where(F.col("t").isin(list(some)))).collect()
+    assert {(r["text"], r["needle"]) for r in short} == {(t, n) for t in tokens[:-1] for n in some if n in t}
 
 
 @pytest.mark.parametrize("power", [0.0, 0.333, 4.5, -3.25])
@@ -217,3 +241,13 @@ def test_selection_shares(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 3.0)], "id int, f double")
     got = selection_shares(df, "id", "f").orderBy("id").collect()
     assert [(r["probability"], r["running"]) for r in got] == [(0.25, 0.25), (0.75, 1.0)]
+
+
+def test_power_beyond_which_the_likelihood_overflows_is_marked(spark):
+    """A narrow column far to the right: the best power is not held at any limit."""
+    import numpy as np
+    values = 20 + np.random.default_rng(1).beta(30, 1, 800)
+    found = features.best_powers(spark.createDataFrame([(float(v),) for v in values], "v double"), ["v"]).first()
+    assert found["power"] > 64
+    flat = features.best_powers(spark.createDataFrame([(float(k),) for k in range(1, 400)], "v double"), ["v"]).first()
+    assert not flat["at_end"]
