@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,12 +33,73 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
     Returns ``by``, ``column``, ``n`` and ``quantiles`` (one value per share).
     """
-    return _quantiles(df, columns, probs, by)[0]
+    if by:
+        return _grouped_quantiles(df, columns, probs, by)
+    found = [(c, f.n, f.quantiles) for c, f in column_figures(df, columns, probs).items()]
+    return df.sparkSession.createDataFrame(found, "column string, n bigint, quantiles array<double>")
 
 
-def _quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-               by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Quantiles, and the sketch table with the moments of every group.
+@dataclass(frozen=True)
+class Figures:
+    """What is known of one column: values that are not null, quantiles, and moments if asked for."""
+
+    n: int
+    quantiles: list[float]
+    mean: float | None = None
+    std: float | None = None
+    least: float | None = None
+    most: float | None = None
+
+
+def column_figures(df: DataFrame, columns: Sequence[str], probs: Sequence[float], moments: bool = False) -> dict[str, Figures]:
+    """Exact quantiles of ungrouped columns as numbers; columns without values are left out.
+
+    Two reads of ``df`` and nothing stored. The first one gives two values around each wanted
+    position. In the second one all values are moved into that bracket, which keeps what
+    stands at the position and leaves few distinct values to the built-in ``percentile``; counts
+    on both sides of the bracket show whether the position lies in it, and a bracket that missed is widened.
+    Values keep their type until they are interpolated.
+    """
+    names = {c: f"c{i}" for i, c in enumerate(columns)}
+    known, margin = {}, BRACKET_MARGIN
+    asked = list(columns)
+    out: dict[str, Figures] = {}
+    while asked:
+        ends = F.array(*[F.lit(min(max(p + side, 0.0), 1.0)) for p in probs for side in (-margin, margin)])
+        first = []
+        for c in asked:
+            v = F.col(c)
+            first.append(F.struct(F.count(v).alias("n"), F.percentile_approx(v, ends, SKETCH_ACCURACY).alias("ends"), *(
+                [F.avg(v).alias("mean"), F.stddev(v).alias("std"), F.min(v).cast("double").alias("least"),
+                 F.max(v).cast("double").alias("most")] if moments else [])).alias(names[c]))
+        row = df.agg(*first).first()
+        known = {c: row[names[c]] for c in asked if row[names[c]]["n"]}
+        if not known:
+            break
+        second = []
+        for c, k in known.items():
+            v, kind = F.col(c), df.schema[c].dataType
+            for i, p in enumerate(probs):
+                low, high = (F.lit(k["ends"][2 * i + j]).cast(kind) for j in (0, 1))
+                held = F.when(v < low, low).when(v > high, high).otherwise(v)
+                second.append(F.struct(F.percentile(held, float(p)).alias("q"), F.count_if(v < low).alias("below"),
+                                       F.count_if(v <= high).alias("upto")).alias(f"{names[c]}_{i}"))
+        row = df.agg(*second).first()
+        missed = []
+        for c, k in known.items():
+            met = [row[f"{names[c]}_{i}"] for i in range(len(probs))]
+            places = [(k["n"] - 1) * float(p) for p in probs]
+            if margin < 1 and not all(m["below"] <= math.floor(at) and math.ceil(at) < m["upto"] for m, at in zip(met, places)):
+                missed.append(c)
+                continue
+            extra = {m: k[m] for m in ("mean", "std", "least", "most")} if moments else {}
+            out[c] = Figures(k["n"], [m["q"] for m in met], **extra)
+        asked, margin = missed, min(1.0, margin * 30)
+    return {c: out[c] for c in columns if c in out}
+
+
+def _grouped_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Quantiles per group.
 
     One read of ``df`` sketches all columns at once, a second one counts the values in the
     brackets. Whether each wanted position lies in its bracket is checked by those
@@ -46,22 +109,21 @@ def _quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     while True:
         sketch = materialize(_sketch(df, columns, probs, by, margin), "sketch")
         found = materialize(_from_brackets(_long(df, columns, by), sketch, keys, probs), "quantiles")
-        if margin >= 1 or not found.where("NOT sure").limit(1).collect():
-            return found.drop("sure"), sketch
+        if margin >= 1 or found.where("NOT sure").isEmpty():
+            return found.drop("sure")
         margin = min(1.0, margin * 30)
 
 
 def _sketch(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str],
             margin: float) -> DataFrame:
-    """Per group and column: moments, and two values around each wanted position
-    with a margin far over the sketch's error. One aggregate over wide rows."""
+    """Per group and column: two values around each wanted position with a
+    margin far over the sketch's error. One aggregate over wide rows."""
     ends = F.array(*[F.lit(min(max(p + side, 0.0), 1.0)) for p in probs for side in (-margin, margin)])
     parts = []
     for i, c in enumerate(columns):
         v = F.col(c).cast("double")
         parts.append(F.struct(
-            F.count(v).alias("__n"), F.avg(v).alias("mean"), F.stddev(v).alias("std"), F.min(v).alias("min"),
-            F.max(v).alias("max"), F.percentile_approx(v, ends, SKETCH_ACCURACY).alias("__ends")).alias(f"__s{i}"))
+            F.count(v).alias("__n"), F.percentile_approx(v, ends, SKETCH_ACCURACY).alias("__ends")).alias(f"__s{i}"))
     wide = df.groupBy(*by).agg(*parts)
     named = [F.struct(F.lit(c).alias("column"), F.col(f"__s{i}.*")) for i, c in enumerate(columns)]
     return wide.select(*by, F.inline(F.array(*named))).where("__n > 0")
@@ -106,8 +168,13 @@ def iqr_fences(df: DataFrame, columns: Sequence[str], whis: float = 1.5, by: Seq
 
 def fence_values(df: DataFrame, column: str, whis: float = 1.5) -> tuple[float | None, float | None]:
     """The two fences of one column as numbers (None for an empty column)."""
-    row = iqr_fences(df, [column], whis).first()
-    return (row["lower"], row["upper"]) if row else (None, None)
+    return column_fences(df, [column], whis).get(column, (None, None))
+
+
+def column_fences(df: DataFrame, columns: Sequence[str], whis: float = 1.5) -> dict[str, tuple[float, float]]:
+    """Lower and upper fence of each column that has values."""
+    return {c: (q1 - whis * (q3 - q1), q3 + whis * (q3 - q1))
+            for c, f in column_figures(df, columns, [0.25, 0.75]).items() for q1, q3 in [f.quantiles]}
 
 
 def box_statistics(df: DataFrame, column: str, by: str) -> DataFrame:
@@ -125,11 +192,11 @@ def box_statistics(df: DataFrame, column: str, by: str) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max, one row per column."""
-    quartiles, sketch = _quantiles(df, columns, [0.25, 0.5, 0.75])
-    return sketch.join(quartiles, "column").select(
-        "column", F.col("n").alias("count"), "mean", "std", "min", "max", F.col("quantiles")[0].alias("p25"),
-        F.col("quantiles")[1].alias("p50"), F.col("quantiles")[2].alias("p75"))
+    """count, mean, std, min, quartiles and max, one row per column that has values."""
+    rows = [(c, f.n, f.mean, f.std, f.least, f.most, *f.quantiles)
+            for c, f in column_figures(df, columns, [0.25, 0.5, 0.75], moments=True).items()]
+    return df.sparkSession.createDataFrame(
+        rows, "column string, count bigint, mean double, std double, min double, max double, p25 double, p50 double, p75 double")
 
 
 def mode_of(df: DataFrame, column: str, by: Sequence[str] = (), name: str = "mode") -> DataFrame:
@@ -143,13 +210,14 @@ def mode_of(df: DataFrame, column: str, by: Sequence[str] = (), name: str = "mod
 
 
 def outlier_counts(df: DataFrame, columns: Sequence[str], whis: float = 1.5) -> DataFrame:
-    """Rows above and below the fences, per column."""
-    fences = {row["column"]: row for row in iqr_fences(df, columns, whis).collect()}
-    rows = _long(df, columns, ())
-    pick = lambda end: F.coalesce(*[F.when(F.col("column") == c, F.lit(f[end])) for c, f in fences.items()])
-    return rows.groupBy("column").agg(
-        F.count_if(F.col("value") > pick("upper")).alias("above"),
-        F.count_if(F.col("value") < pick("lower")).alias("below"))
+    """Rows above and below the fences, per column that has values."""
+    fences = column_fences(df, columns, whis)
+    if not fences:
+        return df.sparkSession.createDataFrame([], "column string, above bigint, below bigint")
+    counts = [F.struct(F.lit(c).alias("column"), F.count_if(F.col(c) > F.lit(upper)).alias("above"),
+                       F.count_if(F.col(c) < F.lit(lower)).alias("below")).alias(f"c{i}")
+              for i, (c, (lower, upper)) in enumerate(fences.items())]
+    return df.agg(*counts).select(F.inline(F.array(*[f"c{i}" for i in range(len(fences))])))
 
 
 def drop_outliers(df: DataFrame, columns: Sequence[str], whis: float = 1.5) -> DataFrame:

@@ -115,17 +115,17 @@ def test_quantiles_by_every_path(spark, monkeypatch, accuracy, bracket_rows):
 def test_summary_reads_the_facts_twice(spark):
     facts = materialize(spark.range(1000).select((F.col("id") % 97).cast("double").alias("v")), "facts")
     reads = []
-    original = quantiles.materialize
+    kind, original = type(facts), type(facts).agg
 
-    def counted(df, label="table"):
-        reads.append(df._jdf.queryExecution().executedPlan().toString().count("v#"))
-        return original(df, label)
-    quantiles.materialize, back = counted, quantiles.materialize
+    def counted(df, *columns):
+        reads.append(df)
+        return original(df, *columns)
+    kind.agg = counted
     try:
         row = quantiles.numeric_summary(facts, ["v"]).first()
     finally:
-        quantiles.materialize = back
-    assert len([n for n in reads if n]) == 2
+        kind.agg = original
+    assert len(reads) == 2 and all(df is facts for df in reads)
     assert (row["count"], row["min"], row["p50"], row["max"]) == (1000, 0, 46.5, 96)
 
 
@@ -209,3 +209,40 @@ def test_cooccurrence_of_any_lists(spark, lists):
     rows = spark.createDataFrame([(i, ",".join(x)) for i, x in enumerate(lists)], "basket int, tag string")
     counts = tags.basket_counts(tags.explode_tags(rows, "tag"), "basket")
     assert pair_table(tags.cooccurrence(counts, "basket", list("abcd"))) == brute_pairs(lists)
+
+
+@pytest.mark.parametrize("accuracy", [20, 100_000])
+def test_ungrouped_quantiles_read_twice_and_store_nothing(spark, monkeypatch, accuracy):
+    """A poor sketch only widens the bracket; types, ties, nulls, an empty column."""
+    import random
+
+    def stored(*_):
+        raise AssertionError("a table was stored")
+    monkeypatch.setattr(quantiles, "materialize", stored)
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "BRACKET_MARGIN", 10 / accuracy if accuracy > 100 else 0.001)
+    rng = random.Random(3)
+    values = [rng.choice([None, 7, rng.randint(0, 10**6)]) for _ in range(5000)]
+    df = spark.createDataFrame([(v, None if v is None else v / 3, None) for v in values], "a long, b double, c int").withColumn(
+        "d", F.col("a").cast("decimal(12,2)"))
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = quantiles.column_figures(df, ["a", "b", "c", "d"], probs, moments=True)
+    known = sorted(v for v in values if v is not None)
+
+    def at(p):
+        x = (len(known) - 1) * p
+        low = known[int(x)]
+        return low + (x - int(x)) * (known[min(int(x) + 1, len(known) - 1)] - low)
+    assert list(got) == ["a", "b", "d"] and got["a"].n == len(known)
+    assert got["a"].quantiles == pytest.approx([at(p) for p in probs])
+    assert got["d"].quantiles == pytest.approx(got["a"].quantiles)
+    assert got["b"].quantiles == pytest.approx([at(p) / 3 for p in probs])
+    assert got["a"].mean == pytest.approx(sum(known) / len(known)) and got["a"].most == known[-1]
+
+
+def test_whole_numbers_beyond_53_bits_are_told_apart(spark):
+    base = 2**60
+    df = spark.createDataFrame([(base + k,) for k in (1, 2, 3)], "v long")
+    row = df.agg(F.count_if(F.col("v") > F.lit(base + 2)).alias("n")).first()
+    assert row["n"] == 1 and quantiles.outlier_counts(df, ["v"]).first()["above"] == 0
+    assert quantiles.column_figures(df, ["v"], [0.5])["v"].quantiles == [float(base + 2)]
