@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,10 +104,16 @@ def _tables(n: int, which: int):
     return _powers[which]
 
 
+# Runs of so many symbols get a digest: sums modulo 2**64 are equal for some regular strings of
+# two symbols (such as Thue-Morse), for any odd base, from about 1,024 symbols on.
+DIGEST_FROM = 512
+
+
 class Rolling:
-    """Hashes of any run of a sequence of 64-bit symbols, from prefix sums modulo 2**64."""
+    """Hashes of any run of a sequence of 64-bit symbols, from prefix sums modulo 2**64; long runs by a digest."""
 
     def __init__(self, symbols: np.ndarray, which: int = 0):
+        self.symbols, self.person = symbols, bytes([which])
         up, self.down = _tables(len(symbols) + 1, which)
         self.sums = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum(symbols * up[:len(symbols)], out=self.sums[1:])
@@ -114,7 +121,11 @@ class Rolling:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of the symbols from ``start`` up to ``end`` (exclusive)."""
         length = (np.asarray(end) - start).astype(np.uint64)
-        return mixed((self.sums[end] - self.sums[start]) * self.down[start] + length)
+        out = mixed((self.sums[end] - self.sums[start]) * self.down[start] + length)
+        for i in np.flatnonzero(length >= DIGEST_FROM).tolist():
+            data = np.ascontiguousarray(self.symbols[start[i]:end[i]]).tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(data, digest_size=8, person=self.person).digest(), "little")
+        return out
 
 
 def byte_symbols(buf: np.ndarray, which: int = 0) -> np.ndarray:

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.llm.rowkeys import free_name
 from tallyworks.llm.arrays import lowered, plain_words, ranges, text_blocks, text_bytes, word_hashes, word_spans
 
 _SPANS = "array<struct<start:int,end:int>>"
@@ -233,6 +234,7 @@ def contamination_digests(docs: DataFrame, benchmark: DataFrame, width: int = 13
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
     """``docs`` without contaminated ones; other rows and all columns stay as they are."""
+    name = free_name(docs, "bad")
     bad = contamination_digests(docs, benchmark, width).where("contaminated AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("__id"), "left_anti")
+        F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, docs["doc_id"] == F.col(name), "left_anti")

@@ -21,8 +21,10 @@ million pairs. The estimate rejects only six standard deviations below the thres
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; fewer words than a shingle are one shingle; rows
-without doc_id stay alone, with a null component; rows that share a doc_id are
-one document that has the links of each.
+without doc_id stay alone, with a null component; rows that share a doc_id, repeated rows
+among them, are one document that has the links of each, and each row gets its own set's size; of equal
+sets, and of ties in a bucket, the smallest doc_id leads; a text of any length is one set; an
+empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.arrays import (
     Rolling, blocks, longs, lowered, mixed, space_words, text_blocks, text_bytes, word_hashes, word_spans,
 )
+from tallyworks.llm.rowkeys import as_ids, by_text, free_name, keyed_texts, shared_ids, texts_of
 from tallyworks.session import discard, materialize
 
 BITS = 2
@@ -285,8 +288,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
 
     Two documents are linked if 100 * shared shingles >= ``percent`` * shingles of either.
     """
+    texts = texts_of(docs)
+    if not shared_ids(texts):
+        return _near_duplicates(texts, words, percent, bands, rows)
+    # texts are told apart by number; then documents are tied by what their texts are tied to
+    keyed = keyed_texts(texts)
+    found = materialize(_near_duplicates(as_ids(keyed), words, percent, bands, rows), "found")
+    ids = keyed.select("key", F.col("doc_id").alias("id"))
+    tied = found.join(ids, F.col("doc_id") == F.col("key")).select("component_id", F.col("id").alias("a")).join(
+        ids, F.col("component_id") == F.col("key")).select("a", F.col("id").alias("b"))
+    roots = materialize(components(tied), "roots")
+    each = by_text(texts, found.select("doc_id", "n_shingles"), keyed).join(
+        roots, F.col("doc_id") == F.col("id"), "left").select(
+        "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    named = each.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return named.union(_near_duplicates(texts.where("doc_id IS NULL"), words, percent, bands, rows))
+
+
+def _near_duplicates(texts: DataFrame, words: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``near_duplicates`` of texts with distinct doc_ids."""
     count = bands * rows
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = materialize(texts.mapInArrow(
         _signatures(words, bands, rows), "doc_id long, n_shingles long, set_a long, set_b long, "
         "bands array<long>, signature array<long>"), "sets")
@@ -339,5 +360,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, bands: i
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest doc_id; all columns stay."""
-    gone = near_duplicates(docs, words, percent).where("NOT kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    name = free_name(docs, "gone")
+    gone = near_duplicates(docs, words, percent).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col(name), "left_anti")

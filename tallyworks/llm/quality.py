@@ -1,6 +1,6 @@
 """Quality scores from random-indexing word vectors and a small numpy network.
 
-Every token (a run of letters, digits or other signs) falls into one of a fixed
+Every token (a run of letters, of digits, or of one other sign) falls into one of a fixed
 number of buckets. A bucket has a sparse random index vector; its word vector is
 the sum of the index vectors of the tokens that stand up to two places from its
 own occurrences, counted over all documents by Spark. The table of vectors has a
@@ -11,7 +11,10 @@ makes its outputs probabilities.
 
 Defined results: null and empty texts have the features of no token and get the
 network's score for that; without labels, or with one kind only, every score is
-the share of label 1 (0.5 if there are none); null labels and ids teach nothing.
+the share of label 1 (0.5 if there are none); null labels and ids teach nothing; rows that
+share a doc_id, repeated ones too, each get their own text's score and each teach the id's labels; of
+rows with equal hashes at the sample's edge the smaller label stays; a text of any length is scored
+whole; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.arrays import text_blocks, word_hashes
+from tallyworks.llm.rowkeys import free_name
 from tallyworks.session import materialize
 
 BUCKETS, DIMS, NONZERO, REACH = 1 << 15, 32, 4, 2
@@ -46,12 +50,12 @@ def _tokens(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     kind = _kinds()[buf]
     edge = np.zeros(len(buf) + 1, bool)
     edge[offs] = edge[-1] = True
-    change = edge[:-1] | np.concatenate(([True], kind[1:] != kind[:-1]))[:len(buf)]
+    change = edge[:-1] | np.concatenate(([True], (kind[1:] != kind[:-1]) | ((kind[1:] == 4) & (buf[1:] != buf[:-1]))))[:len(buf)]
     starts = np.flatnonzero(change)
     ends = np.append(starts[1:], len(buf))
     use = kind[starts] > 0 if len(starts) else np.zeros(0, bool)
     starts, ends = starts[use], ends[use]
-    # a long run of one sign counts as its first three
+    # a run of one sign counts as its first three; another sign is another token
     ends = np.where(kind[starts] == 4, np.minimum(ends, starts + 3), ends)
     hashes = word_hashes(buf, starts, ends)
     return (hashes >> np.uint64(64 - 15)).astype(np.int64), np.searchsorted(starts, offs)
@@ -254,6 +258,7 @@ def quality_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """``docs`` without texts that score below ``threshold``; all columns stay."""
     vectors, net = fit_quality(docs, labels, crc_share(5, 0))
+    name = free_name(docs, "bad")
     bad = quality_scores(docs, vectors, net).where((F.col("score") < threshold) & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("__id"), "left_anti")
+        F.col("doc_id").alias(name)).distinct()
+    return docs.join(bad, docs["doc_id"] == F.col(name), "left_anti")

@@ -1,4 +1,4 @@
-"""Repeated windows of a sequence, found on a compacted graph of anchors.
+"""Repeated windows of a sequence, found by hashing their anchors.
 
 Shared by the substring operators on words and on bytes. A window is ``width``
 consecutive symbols of one text. Its anchor is the ``gram`` of lowest hash in
@@ -208,8 +208,7 @@ def _equal_texts(texts: DataFrame, rule: Windows) -> DataFrame:
 def repeated_spans(docs: DataFrame, rule: Windows) -> Found:
     """Repeated windows of all texts.
 
-    Rows without a doc_id take no part. Rows that share a doc_id count as one
-    text's rows: none of them is earlier than another.
+    Rows without a doc_id take no part. doc_ids have to be distinct.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL")
     equal = _equal_texts(texts, rule)

@@ -1,12 +1,15 @@
-"""Removal of word passages that repeat an earlier place (De Bruijn compaction).
+"""Removal of word passages that repeat an earlier place, by anchor hashing.
 
-Edges of the graph are windows of ``width`` words, told apart by the windows'
-anchors; ``repeats`` compacts the edges that all continue alike into paths and
-decides whole paths by the coordinates of their first source.
+Windows of ``width`` words are told apart by their anchors; ``repeats`` decides runs of
+windows that all continue alike together, by the coordinates of their first source. No De
+Bruijn graph is built (see the README).
 
 Defined results: a null or empty text has no words and stays as it is; a text
 with fewer words than a window loses none; of texts with equal words, whatever white
-space parts them, only the one with the smallest doc_id keeps them; rows without doc_id are returned unchanged.
+space parts them, only the one with the smallest doc_id keeps them; rows without doc_id are returned
+unchanged; of different texts that share a doc_id the one with the smaller bytes counts as earlier, and
+repeated rows (doc_id and text) are one text and get one result; a text of any length is judged
+whole; an empty table gives no rows; other columns are kept by ``drop_repeats`` and not read.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.arrays import covered, ranges, space_words, text_blocks, text_bytes, word_spans
 from tallyworks.llm.repeats import Windows, repeated_spans, span_mask, spans_by_text
+from tallyworks.llm.rowkeys import as_ids, by_text, free_name, keyed_texts, per_text, shared_ids, texts_of
 
 
 # End of the span of a text that goes as a whole.
@@ -67,9 +71,13 @@ _DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 def passage_digests(docs: DataFrame, width: int = 20) -> DataFrame:
     """Words, removed words and the hash of what is left, for every text."""
+    return per_text(docs, lambda texts: _passage_digests(texts, width))
+
+
+def _passage_digests(docs: DataFrame, width: int) -> DataFrame:
     found = repeated_spans(docs, word_windows(width))
     cut = found.texts.join(spans_by_text(found.spans), "doc_id").mapInArrow(_digests, _DIGEST)
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_digests, _DIGEST)
+    whole = docs.mapInArrow(_digests, _DIGEST)
     return with_changes(whole, cut, found.copies, F.col("n_words") >= width,
                         {"n_removed": F.col("n_words"), "kept_sha256": F.lit(hashlib.sha256().hexdigest())})
 
@@ -113,7 +121,14 @@ def cut_words(text: Column, spans: Column, width: int = 20) -> Column:
 
 def drop_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     """``docs`` with every passage removed that repeats an earlier one; all columns and rows stay."""
-    spans = repeated_passages(docs, width).select(F.col("doc_id").alias("__id"), F.col("spans").alias("__spans"))
-    met = docs.join(spans, F.col("doc_id") == F.col("__id"), "left")
-    new = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut_words(F.col("text"), F.col("__spans"), width))
-    return met.withColumn("text", new).select(*docs.columns)
+    name = free_name(docs, "cut_spans")
+    texts = texts_of(docs)
+    if shared_ids(texts):
+        keyed = keyed_texts(texts)
+        met = by_text(docs, repeated_passages(as_ids(keyed), width).withColumnRenamed("spans", name), keyed, "left")
+    else:
+        key = free_name(docs, "cut_id")
+        spans = repeated_passages(texts, width).select(F.col("doc_id").alias(key), F.col("spans").alias(name))
+        met = docs.join(spans, docs["doc_id"] == F.col(key), "left")
+    new = F.when(F.col(name).isNull(), F.col("text")).otherwise(cut_words(F.col("text"), F.col(name), width))
+    return met.withColumn("text", new).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -1,13 +1,15 @@
-"""Removal of byte strings that occur more than once (prefix doubling on anchors).
+"""Removal of byte strings that occur more than once, by anchor hashing.
 
-Positions are ranked by the hash of a string around their anchor, first 48
+Positions are told apart by the hash of a string around their anchor, first 48
 bytes, then longer ones (185, then 200 bytes for the standard width). After each
-rank positions that are unique drop out, positions whose whole surroundings
-repeat are past the threshold and done, and the rest are ranked again.
+step positions that are unique drop out, positions whose whole surroundings
+repeat are past the threshold and done, and the rest go on. No suffixes are ranked (see the README).
 
 Defined results: a null text counts as empty; a text shorter than the width
 loses nothing; of equal strings all copies go, the first included; matches never
-cross texts; rows without doc_id are returned unchanged.
+cross texts; rows without doc_id are returned unchanged; different texts that share a doc_id
+are texts of their own, and repeated rows (doc_id and text) are one text and get one result; a text of any
+length is judged whole; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.arrays import text_blocks
 from tallyworks.llm.repeats import Windows, repeated_spans, span_mask, spans_by_text
+from tallyworks.llm.rowkeys import per_text
 from tallyworks.llm.substrings import WHOLE, with_changes
 
 
@@ -59,12 +62,16 @@ def _digests(batches):
 
 def string_digests(docs: DataFrame, width: int = 200) -> DataFrame:
     """Bytes, removed bytes and runs, and the hash of what is left, for every text."""
+    return per_text(docs, lambda texts: _string_digests(texts, width))
+
+
+def _string_digests(docs: DataFrame, width: int) -> DataFrame:
     found = repeated_spans(docs, byte_windows(width))
     cut = found.texts.join(spans_by_text(found.spans), "doc_id").mapInArrow(
         _digests, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     text = F.coalesce("text", F.lit(""))
     whole = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
+        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
         F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),
         F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
     return with_changes(whole, cut, found.copies, F.col("n_bytes") >= width, {

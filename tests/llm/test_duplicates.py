@@ -232,3 +232,73 @@ def test_roots_joined_by_further_links(spark):
     links = spark.createDataFrame([(6, 2), (20, 21), (9, 20)], "a long, b long")
     got = {(r.id, r.root) for r in minhash._joined(roots, links).collect()}
     assert got == {(1, 1), (2, 1), (5, 1), (6, 1), (8, 8), (9, 8), (20, 8), (21, 8)}
+
+
+THUE = "".join("ab"[bin(k).count("1") & 1] for k in range(2048))
+SWAPPED = THUE.translate(str.maketrans("ab", "ba"))
+
+
+def test_regular_long_words_are_told_apart(spark):
+    """Two words of 2,048 letters whose sums modulo 2**64 are equal for every odd base."""
+    rows_ = [(1, THUE, None, None, None, None, None, None), (2, SWAPPED, None, None, None, None, None, None)]
+    got = by_id(minhash.near_duplicates(documents(spark, rows_)))
+    assert {i: r.component_id for i, r in got.items()} == {1: 1, 2: 2}
+
+
+def shared_rows():
+    """Different texts under one doc_id, repeated rows, and rows without doc_id; columns named like helpers."""
+    rng = random.Random(9)
+    a, b, c = (sentence(rng, 40) for _ in range(3))
+    near = " ".join(["new"] + a.split()[1:])
+    return [(1, a), (1, b), (2, near), (3, b + " more"), (4, a), (4, c), (4, c), (5, a + " " + c), (None, a), (6, None)]
+
+
+def shared_table(spark):
+    return spark.createDataFrame([(i, t, k, "g", None) for k, (i, t) in enumerate(shared_rows())],
+                                 "doc_id long, text string, cut_id int, gone string, bad string")
+
+
+def test_near_duplicates_of_shared_ids_have_the_links_of_each_text(spark):
+    got = minhash.near_duplicates(shared_table(spark)).collect()
+    sets = [(i, {tuple(w[k:k + 5]) for w in [WORD.findall(lower(t))] for k in range(len(w) - 4)}) for i, t in shared_rows()]
+    root = {i: i for i, _ in sets if i is not None}
+    for _ in sets:
+        for i, x in sets:
+            for j, y in sets:
+                if None not in (i, j) and x and y and 100 * len(x & y) >= 75 * len(x | y):
+                    root[i] = root[j] = min(root[i], root[j])
+    assert sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got) == sorted(
+        (i or 0, len(x), root.get(i) or 0, i is None or root[i] == i) for i, x in sets)
+    assert root == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 6}
+
+
+def test_repeats_of_shared_ids_are_cut_from_their_own_text(spark):
+    texts_in_order = sorted({(i, t or "") for i, t in shared_rows() if i is not None})
+    want = passages_of([(k, t) for k, (_, t) in enumerate(texts_in_order)])
+    by = {key: want[k] for k, key in enumerate(texts_in_order)}
+    got = substrings.passage_digests(shared_table(spark)).collect()
+    expected = [(i or 0, *(by[i, t or ""] if i is not None else (len(t.split()), 0, sha(t)))) for i, t in shared_rows()]
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed, r.kept_sha256) for r in got) == sorted(expected)
+    left = substrings.drop_repeats(shared_table(spark)).collect()
+    assert sorted((r.doc_id or 0, sha(" ".join((r.text or "").split()))) for r in left) == sorted((e[0], e[3]) for e in expected)
+    strings = {key: x for key, x in zip(texts_in_order, strings_of([(k, t) for k, (_, t) in enumerate(texts_in_order)]).values())}
+    found = suffixes.string_digests(shared_table(spark)).where("doc_id IS NOT NULL").collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == sorted(
+        (i, *strings[i, t or ""]) for i, t in shared_rows() if i is not None)
+
+
+def test_text_longer_than_a_block(spark):
+    """Several megabytes in one text: a passage of it stands in a short one, and a near copy of all of it in a third."""
+    rng = random.Random(2)
+    pool = [sentence(rng, 50) for _ in range(200)]
+    long = " ".join(f"{pool[rng.randrange(200)]} n{k}" for k in range(15_000))
+    assert len(long) > 4 << 20
+    words = long.split()
+    given = [(1, long), (2, " ".join(words[5000:5060])), (3, " ".join(words[:-3])), (4, "short")]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in by_id(substrings.passage_digests(df)).items()} == passages_of(given)
+    got = by_id(minhash.near_duplicates(df))
+    assert {i: r.component_id for i, r in got.items()} == {1: 1, 2: 2, 3: 1, 4: 4}
+    items = [(1, " ".join(PLAIN.findall(long)[70_000:70_030]))]
+    found = by_id(contamination.contamination_digests(df, spark.createDataFrame(items, "item_id long, text string")))
+    assert {i: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for i, r in found.items()} == hits_of(given, items)
