@@ -3,12 +3,15 @@
 The model's protobuf is parsed here; normaliser, metaspace marker, scores and
 byte fallback are rebuilt as a ``tokenizers`` tokenizer. A unigram model keeps its
 scores, a BPE model's scores become the order of its merges. Texts are cut before
-runs of the marker (checked to be exact for the vocabulary), each distinct part of a
-batch is encoded once in one multithreaded call, and compared there with the
-sentencepiece library (``parity``).
+runs of spaces (checked to be exact for the vocabulary), each distinct part of a block is
+encoded once in multithreaded calls (threads as many as ``spark.task.cpus``), and the ids are put
+together by index. The sentencepiece library then encodes the whole raw texts, and all ids are
+compared (``parity``).
 
 Defined results: a null or empty text has no ids; decoding returns the text as
-the model normalises it, with any white space in front that its marker hides.
+the model normalises it, with any white space in front that its marker hides; every row gets a
+row, whatever its doc_id, null and repeated ones included; a text of any length is encoded whole; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,13 +22,15 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.arrays import text_blocks
+from tallyworks.llm.arrays import ranges, text_blocks, text_bytes
 
 MARK = "▁"
 # Fixed values of the model format: piece types and model types.
@@ -177,8 +182,8 @@ class Encoder:
         return text[1:] if self.model.dummy_prefix else text
 
 
-# Distinct parts that a task keeps, with their ids and text.
-HELD = 100_000
+# Distinct parts that a task keeps at most; beyond that those of the last block stay.
+HELD = 400_000
 
 
 def _encode(data: bytes, threads: int, size: int):
@@ -186,42 +191,124 @@ def _encode(data: bytes, threads: int, size: int):
         import sentencepiece
 
         os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = str(threads), "true"
-        encoder = Encoder(parse_model(data))
+        parts = Parts(Encoder(parse_model(data)))
         check = sentencepiece.SentencePieceProcessor(model_proto=data)
-        known: dict[str, tuple[bytes, bytes, bool]] = {}
         for rows, _, _ in text_blocks(batches, size=size):
-            yield _encoded(encoder, check, rows, known)
+            yield _encoded(parts, check, rows)
     return run
 
 
-def _encoded(encoder: Encoder, check, rows: pa.RecordBatch, known: dict) -> pa.RecordBatch:
-    """Ids of whole texts, put together from the ids of their parts."""
-    normal = [encoder.normalized(t or "") for t in rows.column("text").to_pylist()]
-    cut = [encoder.parts.findall(t) if encoder.parted else [t] * bool(t) for t in normal]
-    if len(known) > HELD:
-        known.clear()
-    fresh = list({p for parts in cut for p in parts if p not in known})
-    for at in range(0, len(fresh), 10_000):
-        some = dict(zip(fresh[at:at + 10_000], encoder._ids(fresh[at:at + 10_000])))
-        wrong = encoder.disagreeing(some, check)
-        known.update((p, (np.asarray(ids, "<i4").tobytes(), encoder.bytes_of(ids), p not in wrong))
-                     for p, ids in some.items())
-    data = [b"".join([known[p][0] for p in parts]) for parts in cut]
-    front = encoder.model.dummy_prefix
-    back = [encoder.text_of(b"".join([known[p][1] for p in parts])) == t.replace(MARK, " ")[front:]
-            for parts, t in zip(cut, normal)]
-    same = [all([known[p][2] for p in parts]) for parts in cut]
-    offs = np.concatenate(([0], np.cumsum([len(x) // 4 for x in data]))).astype(np.int32)
-    ids = pa.ListArray.from_arrays(pa.array(offs), pa.array(np.frombuffer(b"".join(data), "<i4")))
+class Parts:
+    """Ids of distinct parts of texts, as the encoder's model gives them."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+        self.known: dict[bytes, tuple[bytes, bool]] = {}
+        names = [p for p, _, _ in encoder.model.pieces]
+        self.size = np.array([1 if b >= 0 else len(p.encode()) for p, b in zip(names, encoder.bytes.tolist())])
+        # with a byte fallback every id stands for known bytes, so many parts can be encoded in one go
+        self.joined = encoder.model.byte_fallback and encoder.parted and encoder.model.kind == BPE
+
+    def cut(self, column: pa.Array):
+        """Texts as the model sees them, spaces as spaces: bytes, first byte of each part, first part of each text."""
+        front = self.encoder.model.dummy_prefix
+        if self.encoder.normalizer is None:
+            column = pc.fill_null(column, "")
+            seen = pc.if_else(pc.equal(pc.binary_length(column), 0), "", pc.binary_join_element_wise(
+                " " if front else "", column, ""))
+        else:
+            seen = pa.array([self.encoder.normalized(t or "").replace(MARK, " ") for t in column.to_pylist()], pa.string())
+        buf, offs = text_bytes(seen)
+        begin = np.zeros(len(buf) + 1, bool)
+        if self.encoder.parted and len(buf):
+            space = buf == 0x20
+            begin[1:-1] = space[1:] & ~space[:-1]
+            # a marker that stands in the text counts as a space to the model
+            mark = np.flatnonzero((buf[:-2] == 0xE2) & (buf[1:-1] == 0x96) & (buf[2:] == 0x81)) + 3
+            begin[mark] = False
+        begin[offs[:-1]] = True
+        starts = np.flatnonzero(begin[:len(buf)])
+        return buf, np.append(starts, len(buf)), np.searchsorted(starts, offs)
+
+    def learn(self, parts: list[bytes]) -> None:
+        """Encode parts that are not known yet."""
+        parts = [p for p in parts if p not in self.known]
+        texts = [p.decode().replace(" ", MARK) for p in parts]
+        groups = [list(range(i, min(i + 200, len(parts)))) for i in range(0, len(parts), 200)] if self.joined else \
+            [[i] for i in range(len(parts))]
+        alone = []
+        for at in range(0, len(groups), 10_000 if not self.joined else 500):
+            some = groups[at:at + (10_000 if not self.joined else 500)]
+            for group, ids in zip(some, self.encoder._ids(["".join([texts[i] for i in g]) for g in some])):
+                if len(group) == 1:
+                    self._keep(parts[group[0]], texts[group[0]], ids)
+                    continue
+                flat = np.asarray(ids, "<i4")
+                ends = np.cumsum(self.size[flat])
+                stops = np.cumsum([len(texts[i].encode()) for i in group])
+                cuts = np.searchsorted(ends, stops)
+                if len(ends) and ends[-1] == stops[-1] and (ends[np.minimum(cuts, len(ends) - 1)] == stops).all():
+                    edges = [0, *(cuts + 1).tolist()]
+                    for i, a, b in zip(group, edges[:-1], edges[1:]):
+                        self._keep(parts[i], texts[i], ids[a:b])
+                else:
+                    alone += group
+        if alone:
+            for i, ids in zip(alone, self.encoder._ids([texts[i] for i in alone])):
+                self._keep(parts[i], texts[i], ids)
+
+    def _keep(self, part: bytes, text: str, ids: list[int]) -> None:
+        restored = self.encoder.bytes_of(ids) == text.replace(MARK, " ").encode()
+        self.known[part] = np.asarray(ids, "<i4").tobytes(), restored
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts, the first id of each, and whether decoding gives the text as the model sees it."""
+        buf, edges, first = self.cut(column)
+        coded = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(buf))]
+        ).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self.learn(distinct)
+        held = [self.known[p] for p in distinct]
+        if len(self.known) > HELD:
+            self.known = dict(zip(distinct, held))
+        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = np.frombuffer(b"".join([h[0] for h in held]), "<i4")
+        size = np.array([len(h[0]) // 4 for h in held], np.int64)
+        stop = np.cumsum(size)
+        take, _ = ranges((stop - size)[index], stop[index])
+        total = np.concatenate(([0], np.cumsum(size[index])))[first]
+        bad = np.concatenate(([0], np.cumsum(~np.array([h[1] for h in held], bool)[index])))[first]
+        return flat[take], total, np.diff(bad) == 0
+
+
+def _encoded(parts: Parts, check, rows: pa.RecordBatch) -> pa.RecordBatch:
+    """Ids of whole texts, held against the library's ids of the raw texts."""
+    texts = rows.column("text")
+    ids, first, restored = parts.encode(texts)
+    theirs = check.encode([t or "" for t in texts.to_pylist()], num_threads=1)
+    sizes = np.array([len(x) for x in theirs], np.int64)
+    flat = np.fromiter(chain.from_iterable(theirs), np.int32, int(sizes.sum()))
+    same = np.diff(first) == sizes
+    if same.all():
+        wrong = np.concatenate(([0], np.cumsum(ids != flat)))[first]
+        same = np.diff(wrong) == 0
+    else:
+        stop = np.cumsum(sizes)
+        same = np.array([ok and np.array_equal(ids[first[k]:first[k + 1]], flat[stop[k] - sizes[k]:stop[k]])
+                         for k, ok in enumerate(same.tolist())], bool)
+    data = ids.tobytes()
+    crc = [zlib.crc32(data[4 * a:4 * b]) for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
     return pa.RecordBatch.from_arrays(
-        [rows.column("doc_id"), ids, pa.array(same, pa.bool_()), pa.array(back, pa.bool_()),
-         pa.array([zlib.crc32(x) for x in data], pa.int64())], ["doc_id", "ids", "parity", "restored", "ids_crc32"])
+        [rows.column("doc_id"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids)),
+         pa.array(same, pa.bool_()), pa.array(restored, pa.bool_()), pa.array(crc, pa.int64())],
+        ["doc_id", "ids", "parity", "restored", "ids_crc32"])
 
 
-def encode_texts(docs: DataFrame, model: bytes, size: int = 1 << 20) -> DataFrame:
+def encode_texts(docs: DataFrame, model: bytes, size: int = 4 << 20) -> DataFrame:
     """(doc_id, ids, parity, restored, ids_crc32) of every text.
 
-    ``parity``: the sentencepiece library gives the same ids; ``restored``:
+    ``parity``: the sentencepiece library gives the same ids to the whole raw text; ``restored``:
     decoding gives the normalised text. ``model`` is the model file's content.
     """
     threads = int(docs.sparkSession.sparkContext.getConf().get("spark.task.cpus", "1"))
