@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 
@@ -91,6 +92,16 @@ def discard(stored: DataFrame) -> None:
     files.delete(path, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Spark does so when the driver's objects are collected, which may be long after; a job in
+    several passes calls this between them, so that their files do not add up.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _sweep(spark: SparkSession, folder: str) -> None:
     """Delete this application's folder; a session that is already stopped leaves it to its owner."""
     with contextlib.suppress(Exception):
