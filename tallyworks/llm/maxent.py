@@ -189,7 +189,8 @@ class Vocabulary:
 
     @property
     def end(self) -> int:
-        return len(self.mass) - 2
+        """Class of the end of a text; without training texts that is unseen too."""
+        return len(self.mass) - (2 if self.texts else 1)
 
     def classes(self, count: np.ndarray, lang: np.ndarray) -> np.ndarray:
         """Class of words with these counts (0: unseen) and languages."""
@@ -210,7 +211,7 @@ def vocabulary(counted: DataFrame, texts: int, classes: int = CLASSES) -> Vocabu
         cells[r.lang, r.bin] = k
         mass[k] += r.c - discount * r.n
         at += r.c
-    mass[-2], mass[-1] = texts, discount * distinct
+    mass[-2], mass[-1] = texts, discount * distinct if distinct or texts else 1.0
     return Vocabulary(total + texts, distinct + bool(texts), texts, discount, cells, mass)
 
 
@@ -359,7 +360,7 @@ def train(coded: DataFrame, voc: Vocabulary, prior: float = 2.0) -> tuple[Featur
     features = Features(k, hashed_rows(voc.distinct))
     total = max(voc.mass.sum(), 1.0)
     weights = np.zeros((features.rows, k), np.float32)
-    weights[:features.sizes[0]] = np.log(np.maximum(voc.mass, 1e-9 * total) / total)
+    weights[:features.sizes[0]] = np.log(np.maximum(voc.mass, 1e-20 * total) / total)
     met = np.zeros((features.rows, k))
     columns = [f"v{j}" for j in range(2 * k)]
     for wave in WAVES if voc.texts else ():
