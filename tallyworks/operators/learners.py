@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tallyworks.functions.cells import words
-from tallyworks.operators.features import assemble, best_powers, in_training_part, scaled_like, yeo_johnson
+from tallyworks.operators import lasso as lasso_path
+from tallyworks.operators.features import best_powers, in_training_part, scaled_like, yeo_johnson
+from tallyworks.session import materialize
 
 SEED = 42
 
@@ -70,7 +72,8 @@ def lasso(label: str, alphas: Sequence[float], folds: int = 3) -> Pipeline:
 def powered_lasso(train: DataFrame, test: DataFrame, label: str, alphas: Sequence[float], folds: int = 3) -> DataFrame:
     """Predictions of ``test``: degree-2 terms, scaling, power transform, scaling, L1 regression.
 
-    Means, deviations and powers come from the training part alone.
+    Means, deviations and powers come from the training part alone. All folds and strengths are
+    fitted on the moments of one read (``operators.lasso``).
     """
     expand = PolynomialExpansion(degree=2, inputCol="features", outputCol="__terms")
     size = expand.transform(train.limit(1)).first()
@@ -86,9 +89,8 @@ def powered_lasso(train: DataFrame, test: DataFrame, label: str, alphas: Sequenc
     powers = {row["column"]: row["power"] for row in best_powers(train, names, digits=2).collect()}
     train, test = (d.withColumns({n: yeo_johnson(F.col(n), F.lit(p)) for n, p in powers.items()})
                    for d in (train, test))
-    train, test = (assemble(d, names, "scaled") for d in scaled_like(train, names, train, test))
-    line = LinearRegression(featuresCol="scaled", labelCol=label, elasticNetParam=1.0)
-    return searched(line, {"regParam": alphas}, label, folds).fit(train).transform(test)
+    train, test = (materialize(d, "scaled") for d in scaled_like(train, names, train, test))
+    return lasso_path.search(train, names, label, alphas, folds).predicted(test, names)
 
 
 def importances(model: Model, names: Sequence[str], df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from tallyworks.operators.statistics import value_counts
 from tallyworks.plans.inputs import LABELLED_SQL, WEIGHTS_SQL, labelled_documents
 from tallyworks.plans.registry import query, rounded
 from tallyworks.session import fresh_path
-from tallyworks.sources import files, models, pages
+from tallyworks.sources import documents, files, models, pages
 
 PART_SCHEMA = ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
                "p_retailprice double")
@@ -61,6 +61,40 @@ def load_collection(t):
     return files.load(t.spark, f"{t.folder}/documents.parquet").select("doc_id", "lang", "source", "n_chars")
 
 
+def varied_documents(t):
+    """Three shapes of documents in one folder; ids, sizes and makers change their types."""
+    path = fresh_path(t.spark, "varied")
+    shapes = [t.part.select(F.col("p_partkey").alias("id"), F.lit("part").alias("kind"), F.col("p_size").alias("size"),
+                            F.struct(F.col("p_brand").alias("brand")).alias("maker")),
+              t.nation.select(F.col("n_name").alias("id"), F.lit("nation").alias("kind"), F.col("n_regionkey").alias("region")),
+              t.supplier.select(F.col("s_suppkey").alias("id"), F.lit("supplier").alias("kind"), F.col("s_name").alias("size"),
+                                F.struct(F.col("s_nationkey").alias("brand")).alias("maker"))]
+    for rows in shapes:
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(path)
+    return documents.read_documents(t.spark, path)
+
+
+@query("s06_documents_of_any_schema", """SELECT 'part' AS kind, p_partkey::VARCHAR AS id, 'BIGINT' AS id_type, p_size::VARCHAR AS size,
+    p_brand AS brand, NULL::BIGINT AS region FROM part
+  UNION ALL SELECT 'nation', n_name, 'STRING', NULL, NULL, n_regionkey::BIGINT FROM nation
+  UNION ALL SELECT 'supplier', s_suppkey::VARCHAR, 'BIGINT', s_name, s_nationkey::VARCHAR, NULL FROM supplier""")
+def documents_of_any_schema(t):
+    """Fields found in the documents themselves; those of changing type keep each value as it is."""
+    found = documents.flattened(varied_documents(t))
+    return found.select("kind", documents.as_text(F.col("id")).alias("id"), documents.type_name(F.col("id")).alias("id_type"),
+                        documents.as_text(F.col("size")).alias("size"), documents.as_text(F.col("maker.brand")).alias("brand"),
+                        F.col("region").cast("bigint").alias("region"))
+
+
+@query("s06_field_types", """WITH n AS (SELECT (SELECT count(*) FROM part) AS p, (SELECT count(*) FROM nation) AS n,
+    (SELECT count(*) FROM supplier) AS s)
+  SELECT field, type, documents FROM n, LATERAL (VALUES ('id', 'BIGINT', p + s), ('id', 'STRING', n), ('kind', 'STRING', p + n + s),
+    ('size', 'BIGINT', p), ('size', 'STRING', s), ('maker', 'OBJECT', p + s), ('maker.brand', 'STRING', p),
+    ('maker.brand', 'BIGINT', s), ('region', 'BIGINT', n)) v(field, type, documents)""")
+def field_types(t):
+    return documents.field_types(varied_documents(t))
+
+
 @query("s07_append_rows", "SELECT p_type, p_size, count(*) AS count FROM part GROUP BY ALL")
 def append_rows(t):
     path = fresh_path(t.spark, "counts")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyworks.functions import cells
+from tallyworks.operators import cutting
 from tallyworks.plans.inputs import CUT_SQL
 from tallyworks.plans.registry import query, rounded
 from tallyworks.sources.pages import id_names
@@ -104,6 +105,15 @@ def cut_words(t):
         "doc_id", F.size("w").cast("bigint").alias("words"), F.md5(F.array_join("w", " ")).alias("digest"))
 
 
+@query("f12_dictionary_cut", "SELECT p_partkey, p_name AS words FROM part")
+def dictionary_cut(t):
+    """Part names written without spaces, cut again by a dictionary of the words and their counts."""
+    dictionary = t.part.select(F.explode(F.split("p_name", " ")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    joined = t.part.select("p_partkey", F.replace("p_name", F.lit(" "), F.lit("")).alias("words"))
+    found = cutting.cut_texts(joined, "words", cutting.read_dictionary(dictionary), "[a-z]+")
+    return found.select("p_partkey", F.array_join(cutting.split_words(F.col("words")), " ").alias("words"))
+
+
 @query("f13_range_midpoint", """SELECT o_orderkey, CASE o_orderstatus
     WHEN 'F' THEN ((o_custkey % 9000 + 1000) + (o_orderkey % 9000 + 1000)) / 2
     WHEN 'O' THEN o_custkey % 9000 + 1000 END::DOUBLE AS speed FROM orders""")
