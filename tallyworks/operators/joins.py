@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.sources.keyed import newest_per_key
+
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join facts to a lookup with at most one row per key, reading each side once.
@@ -41,8 +43,12 @@ def lookup_or_zero(keys_table: DataFrame, lookup: DataFrame, keys: Sequence[str]
 
 
 def update_by_key(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Replace columns by a newer batch; rows without an update keep their values."""
-    fresh = new.select(key, *[F.col(c).alias(f"__new_{c}") for c in columns])
+    """Replace columns by a newer batch; rows without an update, and nulls in the batch, keep the old values.
+
+    If the batch repeats a key its highest values count, so no row is doubled. ``sources.keyed``
+    updates a stored table in place and can set nulls.
+    """
+    fresh = newest_per_key(new.select(key, *columns), key).select(key, *[F.col(c).alias(f"__new_{c}") for c in columns])
     joined = lookup_join(old, fresh, [key])
     merged = {c: F.coalesce(F.col(f"__new_{c}"), F.col(c)) for c in columns}
     return joined.withColumns(merged).select(*old.columns)
