@@ -7,12 +7,15 @@ prefix doubling, and the Burrows-Wheeler sequence goes into a wavelet matrix.
 All test phrases are searched backwards at once through its ranks; places are
 located by walking to sampled suffix positions, and merged into word spans.
 
-The benchmark is read in blocks of bounded size, each broadcast and held against
-all documents, so neither side ever has to fit anywhere as a whole.
+The benchmark is read in blocks of bounded size, each sent to the tasks and held against
+all documents. With more than one block each block's hits are stored before the next block is
+read, so the driver holds one block at a time; every block costs a scan of the documents.
 
 Defined results: null and empty texts have no words, no hits and are clean; an
-item without words or item_id takes no part; rows keep their own result also if
-they share a doc_id, but if the benchmark needs several blocks such rows become one.
+item without words or item_id takes no part; items that share an item_id count as one; rows keep their
+own result also if they share a doc_id, repeated rows too, but if the benchmark needs several blocks such
+rows become one; a text of any length is searched whole; without documents there are no rows, without
+benchmark no hits; other columns are kept by ``drop_contaminated`` and not read.
 """
 
 from __future__ import annotations
@@ -25,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.rowkeys import free_name
 from tallyworks.llm.arrays import lowered, plain_words, ranges, text_blocks, text_bytes, word_hashes, word_spans
+from tallyworks.llm.rowkeys import free_name
+from tallyworks.session import materialize
 
 _SPANS = "array<struct<start:int,end:int>>"
 _SAMPLE = 8
@@ -190,11 +194,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_
     occurring windows of ``width`` item words cover, and the items they come from."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = f"doc_id long, n_words long, spans {_SPANS}, items array<string>"
-    found = [texts.mapInArrow(_search(Phrases(block, width)), schema) for block in _item_blocks(benchmark, block_bytes)]
-    if not found:
-        return texts.mapInArrow(_search(Phrases([], width)), schema)
-    if len(found) == 1:
-        return found[0]
+    blocks, found = _item_blocks(benchmark, block_bytes), []
+    block, following = next(blocks, []), next(blocks, None)
+    if following is None:
+        return texts.mapInArrow(_search(Phrases(block, width)), schema)
+    while block:
+        found.append(materialize(texts.mapInArrow(_search(Phrases(block, width)), schema), "hits"))
+        block, following = following, next(blocks, None)
     every = found[0]
     for more in found[1:]:
         every = every.unionAll(more)

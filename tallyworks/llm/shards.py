@@ -1,14 +1,16 @@
 """Even shards through fixed virtual slots and a versioned map.
 
-A record's slot is a hash of its doc_id modulo a fixed number of slots, so it
-never changes. Bytes are summed per slot, and a table (version, slot, shard)
+A record's slot is a hash of its doc_id modulo a fixed number of slots (of its text, where it has
+no doc_id), so it never changes. Bytes are summed per slot, and a table (version, slot, shard)
 says where each slot lives: the first version fills the shards evenly, heaviest
 slot first; a later version moves as few slots as level the shards again. The
 map has one row per slot, whatever the number of documents.
 
 Defined results: a null text has no bytes, so its size is the constant overhead
-alone; rows without doc_id share one slot; rows that share a doc_id share a slot
-and follow each other in the shard.
+alone; rows without doc_id lie where their texts put them; rows that share a doc_id, repeated ones too,
+share a slot and follow each other in the shard; equal texts under different doc_ids lie where their
+doc_ids put them (a group of copies may be a third of all rows, and the law is that of bytes), and
+``text_crc32`` brings them together; an empty table gives no rows and an even map; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ def with_slots(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(slots)).alias("slot"))
+        F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.xxhash64(F.col("doc_id").cast("long"))),
+               F.lit(slots)).alias("slot"))
 
 
 def slot_sizes(records: DataFrame) -> dict[int, int]:

@@ -12,7 +12,8 @@ The files are written and read by Spark (one binary row per file), hence on any
 file system that Spark reaches, with Spark's commit for retried tasks.
 
 Defined results: a null or empty text has only the end id; rows that share a
-doc_id follow each other in text order; rows without doc_id come first.
+doc_id, repeated ones too, follow each other in text order; rows without doc_id come first; a text of any length
+lies whole in one file; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -15,7 +15,10 @@ bucket's share in the logit.
 
 Defined results: null and empty texts score as a passage without subwords (the
 softmax's bias); without labels, or with one kind only, every score is the share
-of label 1 (0 if there are none); null labels and ids teach nothing.
+of label 1 (0 if there are none); null labels and ids teach nothing; rows that share a doc_id, repeated ones
+too, each get their own text's score and each teach the id's labels; of rows with equal hashes at the sample's
+edge the smaller label stays; a text of any length is scored whole; an empty table gives no rows; other columns
+are not read.
 """
 
 from __future__ import annotations
