@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.arrays import lowered, mixed, ranges, space_words, text_blocks, word_hashes
 from tallyworks.llm.vocabulary import BlockNumbers, dealt, dictionary, packed, unpacked, word_bytes, words_of
-from tallyworks.session import discard, materialize
+from tallyworks.session import discard, free_shuffles, materialize
 
 CLASSES = 32
 LANGS = 64
@@ -72,6 +72,11 @@ def _rows(batches):
             yield {c: batch.column(c)[k] for c in batch.schema.names}
 
 
+def _high(data: bytes, n: int) -> np.ndarray:
+    """Stored word hashes (their upper 32 bits) as 64-bit ones."""
+    return unpacked(data, n, np.uint32).astype(np.uint64) << np.uint64(32)
+
+
 def _blocks(batches):
     numbers = BlockNumbers()
     for rows, buf, offs in text_blocks(batches, size=BLOCK_BYTES):
@@ -86,7 +91,8 @@ def _blocks(batches):
         hashes[ids] = word_hashes(buf, starts, ends)
         data, sizes = word_bytes(words)
         yield _row(block=numbers.next(), doc_id=rows.column("doc_id"), train=rows.column("train"), n=pa.array(n),
-                   ids=packed(ids.astype(np.uint32)), hashes=packed(hashes), size=len(words), words=packed(data),
+                   ids=packed(ids.astype(np.uint32)), hashes=packed((hashes >> np.uint64(32)).astype(np.uint32)),
+                   size=len(words), words=packed(data),
                    bytes=len(data), sizes=packed(sizes.astype(np.uint32)), pairs=len(pair),
                    pair_word=packed((pair // LANGS).astype(np.uint32)), pair_lang=packed((pair % LANGS).astype(np.uint8)),
                    pair_n=packed(count.astype(np.uint32)), text_bytes=len(buf))
@@ -101,7 +107,7 @@ def _runs(parts: int):
     def run(batches):
         for row in _rows(batches):
             n, pairs = row["size"].as_py(), row["pairs"].as_py()
-            order, found, first = dealt(unpacked(row["hashes"].as_py(), n, np.uint64), parts)
+            order, found, first = dealt(_high(row["hashes"].as_py(), n), parts)
             sizes = unpacked(row["sizes"].as_py(), n, np.uint32).astype(np.int64)
             stop = np.cumsum(sizes)
             take, _ = ranges((stop - sizes)[order], stop[order])
@@ -220,7 +226,7 @@ def _coded(voc: Vocabulary, parts: int):
     def run(batches):
         for row in _rows(batches):
             size = row["size"].as_py()
-            order, _, _ = dealt(unpacked(row["hashes"].as_py(), size, np.uint64), parts)
+            order, _, _ = dealt(_high(row["hashes"].as_py(), size), parts)
             count, lang = np.zeros(size, np.int64), np.zeros(size, np.int64)
             if size:
                 known = row["known"].values
@@ -296,7 +302,7 @@ def _tokens(row: dict, voc: Vocabulary, texts: np.ndarray | None = None):
         ids, n = ids[np.repeat(texts, n)], n[texts]
     size = row["size"].as_py()
     cls, count, hashes = (unpacked(row[c].as_py(), size, k) for c, k in (
-        ("classes", np.uint8), ("counts", np.int64), ("hashes", np.uint64)))
+        ("classes", np.uint8), ("counts", np.int64), ("hashes", np.uint32)))
     per = n + 1
     stop = np.cumsum(per)
     place = np.arange(int(per.sum())) - np.repeat(stop - per, per)
@@ -422,6 +428,7 @@ def language_scores(docs: DataFrame, parts: int = 7, which: int = 2) -> DataFram
     hash_ranges = max(8, -(-(about.bytes or 0) // RANGE_BYTES))
     runs = blocks.select("block", "size", "hashes", "words", "bytes", "sizes", "pairs", "pair_word", "pair_lang", "pair_n")
     counted = materialize(runs.mapInArrow(_runs(hash_ranges), _RUN).groupBy("part").applyInArrow(_counted, _COUNTED), "counted")
+    free_shuffles(docs.sparkSession)
     voc = vocabulary(counted, about.texts or 0)
     known = counted.where("block IS NOT NULL").groupBy("block").agg(
         F.collect_list(F.struct("part", "n", "counts", "langs")).alias("known"))
@@ -429,5 +436,6 @@ def language_scores(docs: DataFrame, parts: int = 7, which: int = 2) -> DataFram
                         .mapInArrow(_coded(voc, hash_ranges), _CODED), "coded")
     discard(blocks)
     discard(counted)
+    free_shuffles(docs.sparkSession)
     features, weights = train(coded, voc)
     return coded.mapInArrow(_scores(voc, features, docs.sparkSession.sparkContext.broadcast(weights)), _SCORE)
