@@ -288,11 +288,11 @@ def test_repeats_of_shared_ids_are_cut_from_their_own_text(spark):
 
 
 def test_text_longer_than_a_block(spark):
-    """Several megabytes in one text: a passage of it stands in a short one, and a near copy of all of it in a third."""
+    """More than a block (1 MB) in one text: a passage of it stands in a short one, and a near copy of all of it in a third."""
     rng = random.Random(2)
     pool = [sentence(rng, 50) for _ in range(200)]
-    long = " ".join(f"{pool[rng.randrange(200)]} n{k}" for k in range(15_000))
-    assert len(long) > 4 << 20
+    long = " ".join(f"{pool[rng.randrange(200)]} n{k}" for k in range(5_000))
+    assert len(long) > 1 << 20
     words = long.split()
     given = [(1, long), (2, " ".join(words[5000:5060])), (3, " ".join(words[:-3])), (4, "short")]
     df = spark.createDataFrame(given, "doc_id long, text string")

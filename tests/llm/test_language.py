@@ -254,11 +254,13 @@ def test_lockstep_finds_every_common_end(sizes):
     assert got == want
 
 
-def test_text_longer_than_a_block(spark):
+def test_text_longer_than_a_block(spark, monkeypatch):
+    for module, name in ((maxent, "BLOCK_BYTES"), (collocations, "_TEXT_BYTES"), (alignment, "_TEXT_BYTES")):
+        monkeypatch.setattr(module, name, 1 << 20)
     rng = random.Random(4)
     pool = [sentence(rng, 50) for _ in range(200)]
-    long = ". ".join(pool[rng.randrange(200)] for _ in range(15_000))
-    assert len(long) > 4 << 20
+    long = ". ".join(pool[rng.randrange(200)] for _ in range(5_000))
+    assert len(long) > 1 << 20
     given_ = [(1, long), (3, "a b"), (4, long[:300])]
     df = spark.createDataFrame([(*g, "en") for g in given_], "doc_id long, text string, lang string")
     assert base_columns(maxent.language_scores(df).collect()) == sorted(base_of(given_))
