@@ -183,7 +183,7 @@ class Encoder:
 
 
 # Distinct parts that a task keeps at most; beyond that those of the last block stay.
-HELD = 400_000
+HELD = 150_000
 
 
 def _encode(data: bytes, threads: int, size: int):
@@ -195,6 +195,7 @@ def _encode(data: bytes, threads: int, size: int):
         check = sentencepiece.SentencePieceProcessor(model_proto=data)
         for rows, _, _ in text_blocks(batches, size=size):
             yield _encoded(parts, check, rows)
+            pa.default_memory_pool().release_unused()
     return run
 
 
@@ -237,8 +238,8 @@ class Parts:
         groups = [list(range(i, min(i + 200, len(parts)))) for i in range(0, len(parts), 200)] if self.joined else \
             [[i] for i in range(len(parts))]
         alone = []
-        for at in range(0, len(groups), 10_000 if not self.joined else 500):
-            some = groups[at:at + (10_000 if not self.joined else 500)]
+        for at in range(0, len(groups), 5_000 if not self.joined else 100):
+            some = groups[at:at + (5_000 if not self.joined else 100)]
             for group, ids in zip(some, self.encoder._ids(["".join([texts[i] for i in g]) for g in some])):
                 if len(group) == 1:
                     self._keep(parts[group[0]], texts[group[0]], ids)
@@ -305,7 +306,7 @@ def _encoded(parts: Parts, check, rows: pa.RecordBatch) -> pa.RecordBatch:
         ["doc_id", "ids", "parity", "restored", "ids_crc32"])
 
 
-def encode_texts(docs: DataFrame, model: bytes, size: int = 4 << 20) -> DataFrame:
+def encode_texts(docs: DataFrame, model: bytes, size: int = 1 << 20) -> DataFrame:
     """(doc_id, ids, parity, restored, ids_crc32) of every text.
 
     ``parity``: the sentencepiece library gives the same ids to the whole raw text; ``restored``:
