@@ -81,15 +81,16 @@ def _blocks(batches):
     numbers = BlockNumbers()
     for rows, buf, offs in text_blocks(batches, size=BLOCK_BYTES):
         buf = lowered(buf)
-        words, ids, starts, ends, first = dictionary(buf, offs, space_words())
+        words, ids, _, _, first = dictionary(buf, offs, space_words())
         n = np.diff(first)
         train = rows.column("train").to_numpy(zero_copy_only=False)
         lang = np.repeat(rows.column("lang").to_numpy(zero_copy_only=False).astype(np.int64), n)
         some = np.repeat(train, n)
         pair, count = np.unique(ids[some] * LANGS + lang[some], return_counts=True)
-        hashes = np.zeros(len(words), np.uint64)
-        hashes[ids] = word_hashes(buf, starts, ends)
         data, sizes = word_bytes(words)
+        # of the distinct words alone: hashes of a whole block take some 50 bytes for each of its bytes
+        stop = np.cumsum(sizes)
+        hashes = word_hashes(data, stop - sizes, stop)
         yield _row(block=numbers.next(), doc_id=rows.column("doc_id"), train=rows.column("train"), n=pa.array(n),
                    ids=packed(ids.astype(np.uint32)), hashes=packed((hashes >> np.uint64(32)).astype(np.uint32)),
                    size=len(words), words=packed(data),

@@ -4,18 +4,21 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tallyworks.llm import alignment, collocations, maxent
+from tallyworks.llm import alignment, collocations, maxent, vocabulary
 from tallyworks.llm.collocations import HatTrie
 from tests.llm.small import documents, odd_documents, rows, sentence
 from tests.llm.test_duplicates import SWAPPED, THUE, WORD, lower
@@ -53,6 +56,21 @@ def test_base_scores_on_odd_rows(spark, monkeypatch, block):
     assert all(r.score < 0 for r in got)
 
 
+def test_a_block_takes_little_memory_beside_its_texts(monkeypatch):
+    """Stage by stage, two workers and the heap share an executor; hashing whole blocks took it over its limit."""
+    monkeypatch.setattr(vocabulary, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    text = " ".join(f"word{i % 5000}" for i in range(200_000))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text], "train": [True], "lang": [0]})
+    tracemalloc.start()
+    try:
+        found = list(maxent._blocks([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found[0]["size"].to_pylist() == [5000]
+    assert peak < 20 * len(text)
+
+
 def test_scores_without_training_rows_and_of_no_rows(spark):
     ids = [i for i in range(60) if held(i)]
     only = spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string")
