@@ -182,10 +182,6 @@ class Encoder:
         return text[1:] if self.model.dummy_prefix else text
 
 
-# Distinct parts that a task keeps at most; beyond that those of the last block stay.
-HELD = 150_000
-
-
 def _encode(data: bytes, threads: int, size: int):
     def run(batches):
         import sentencepiece
@@ -204,9 +200,12 @@ class Parts:
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
-        self.known: dict[bytes, tuple[bytes, bool]] = {}
         names = [p for p, _, _ in encoder.model.pieces]
         self.size = np.array([1 if b >= 0 else len(p.encode()) for p, b in zip(names, encoder.bytes.tolist())])
+        # what each id stands for, as ``bytes_of`` gives it
+        surface = [encoder.bytes_of([i]) for i in range(len(names))]
+        self.surface = np.frombuffer(b"".join(surface), np.uint8)
+        self.surface_at = np.concatenate(([0], np.cumsum([len(x) for x in surface])))
         # with a byte fallback every id stands for known bytes, so many parts can be encoded in one go
         self.joined = encoder.model.byte_fallback and encoder.parted and encoder.model.kind == BPE
 
@@ -231,36 +230,55 @@ class Parts:
         starts = np.flatnonzero(begin[:len(buf)])
         return buf, np.append(starts, len(buf)), np.searchsorted(starts, offs)
 
-    def learn(self, parts: list[bytes]) -> None:
-        """Encode parts that are not known yet."""
-        parts = [p for p in parts if p not in self.known]
-        texts = [p.decode().replace(" ", MARK) for p in parts]
-        groups = [list(range(i, min(i + 200, len(parts)))) for i in range(0, len(parts), 200)] if self.joined else \
-            [[i] for i in range(len(parts))]
-        alone = []
-        for at in range(0, len(groups), 5_000 if not self.joined else 100):
-            some = groups[at:at + (5_000 if not self.joined else 100)]
-            for group, ids in zip(some, self.encoder._ids(["".join([texts[i] for i in g]) for g in some])):
-                if len(group) == 1:
-                    self._keep(parts[group[0]], texts[group[0]], ids)
-                    continue
+    def _alone(self, data: bytes, places: list[int]) -> list[np.ndarray]:
+        """Ids of each part by itself."""
+        texts = [data[a:b].decode().replace(" ", MARK) for a, b in zip(places[:-1], places[1:])]
+        return [np.asarray(ids, "<i4") for at in range(0, len(texts), 5_000) for ids in self.encoder._ids(texts[at:at + 5_000])]
+
+    def _groups(self, data: bytes, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of consecutive parts, many parts in one go, and how many each has."""
+        # bytes up to each part's end with spaces as markers
+        spaces = np.concatenate(([0], np.cumsum(np.frombuffer(data, np.uint8) == 0x20)))
+        marked = places + (len(MARK.encode()) - 1) * spaces[places]
+        out, counts, n = [], [], len(places) - 1
+        for at in range(0, n, 20_000):
+            edges = [*range(at, min(at + 20_000, n), 200), min(at + 20_000, n)]
+            texts = [data[places[i]:places[j]].decode().replace(" ", MARK) for i, j in zip(edges[:-1], edges[1:])]
+            for i, j, ids in zip(edges[:-1], edges[1:], self.encoder._ids(texts)):
                 flat = np.asarray(ids, "<i4")
                 ends = np.cumsum(self.size[flat])
-                stops = np.cumsum([len(texts[i].encode()) for i in group])
+                stops = marked[i + 1:j + 1] - marked[i]
                 cuts = np.searchsorted(ends, stops)
-                if len(ends) and ends[-1] == stops[-1] and (ends[np.minimum(cuts, len(ends) - 1)] == stops).all():
-                    edges = [0, *(cuts + 1).tolist()]
-                    for i, a, b in zip(group, edges[:-1], edges[1:]):
-                        self._keep(parts[i], texts[i], ids[a:b])
+                if len(ends) and ends[-1] == stops[-1] and (ends[cuts] == stops).all():
+                    out.append(flat)
+                    counts.append(np.diff(cuts, prepend=-1))
                 else:
-                    alone += group
-        if alone:
-            for i, ids in zip(alone, self.encoder._ids([texts[i] for i in alone])):
-                self._keep(parts[i], texts[i], ids)
-
-    def _keep(self, part: bytes, text: str, ids: list[int]) -> None:
-        restored = self.encoder.bytes_of(ids) == text.replace(MARK, " ").encode()
-        self.known[part] = np.asarray(ids, "<i4").tobytes(), restored
+                    each = self._alone(data, places[i:j + 1].tolist())
+                    out += each
+                    counts.append([len(x) for x in each])
+        return np.concatenate(out), np.concatenate(counts).astype(np.int64)
+
+    def learn(self, parts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all parts one after the other, how many each has, and whether decoding gives the part back."""
+        buf, places = text_bytes(parts)
+        if not len(parts):
+            return np.zeros(0, "<i4"), np.zeros(0, np.int64), np.zeros(0, bool)
+        data = buf.tobytes()
+        if self.joined:
+            flat, count = self._groups(data, places)
+        else:
+            each = self._alone(data, places.tolist())
+            flat, count = np.concatenate(each), np.array([len(x) for x in each], np.int64)
+        first = self.surface_at[flat]
+        length = self.surface_at[flat + 1] - first
+        back = self.surface[ranges(first, first + length)[0]]
+        stop = np.concatenate(([0], np.cumsum(length)))[np.concatenate(([0], np.cumsum(count)))]
+        if np.array_equal(stop, places) and MARK.encode() not in data:
+            wrong = np.concatenate(([0], np.cumsum(back != buf)))
+            return flat, count, wrong[places[1:]] == wrong[places[:-1]]
+        back, mark = back.tobytes(), MARK.encode()
+        return flat, count, np.array([back[a:b] == data[i:j].replace(mark, b" ") for a, b, i, j in zip(
+            stop[:-1].tolist(), stop[1:].tolist(), places[:-1].tolist(), places[1:].tolist())], bool)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, the first id of each, and whether decoding gives the text as the model sees it."""
@@ -268,18 +286,12 @@ class Parts:
         coded = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(buf))]
         ).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        self.learn(distinct)
-        held = [self.known[p] for p in distinct]
-        if len(self.known) > HELD:
-            self.known = dict(zip(distinct, held))
+        flat, size, restored = self.learn(coded.dictionary)
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = np.frombuffer(b"".join([h[0] for h in held]), "<i4")
-        size = np.array([len(h[0]) // 4 for h in held], np.int64)
         stop = np.cumsum(size)
         take, _ = ranges((stop - size)[index], stop[index])
         total = np.concatenate(([0], np.cumsum(size[index])))[first]
-        bad = np.concatenate(([0], np.cumsum(~np.array([h[1] for h in held], bool)[index])))[first]
+        bad = np.concatenate(([0], np.cumsum(~restored[index])))[first]
         return flat[take], total, np.diff(bad) == 0
 
 
@@ -334,6 +346,9 @@ def read_model(path: str) -> bytes:
 
 
 def encoding_digests(docs: DataFrame, path: str) -> DataFrame:
-    """Number and hash of the ids of every text, parity and round trip."""
-    return encode_texts(docs, read_model(path)).select(
+    """Number and hash of the ids of every text, parity and round trip.
+
+    Larger blocks have fewer distinct parts; behind other stages, whose memory the workers still hold, they would be too large.
+    """
+    return encode_texts(docs, read_model(path), size=2 << 20).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_crc32", "parity", "restored")

@@ -168,6 +168,27 @@ def test_piece_encoding(spark):
     assert pieces.encode_texts(documents(spark).limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("joined", [True, False])
+def test_parts_need_no_call_each(monkeypatch, joined):
+    """Most parts of a corpus are rare words, so no step may run once for each of them; ids and round trips stay."""
+    encoder = pieces.Encoder(pieces.parse_model(pieces.read_model(PIECES)))
+    parts = pieces.Parts(encoder)
+    parts.joined = joined
+    given = [None, "", *STRANGE, " ".join(f"wört{i}x" for i in range(30_000)), *STRANGE, "x" * 5000]
+    ids, _ = encoder.encode([t or "" for t in given])
+    calls = []
+    monkeypatch.setattr(encoder, "bytes_of", lambda x, of=encoder.bytes_of: calls.append(1) or of(x))
+    flat, first, restored = parts.encode(pa.array(given))
+    assert [flat[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == ids
+    assert restored.all() and len(calls) < 100
+    # an id that stands for other bytes than its piece is noticed, in its texts alone
+    lost = int(flat[first[2]])
+    parts.surface = parts.surface.copy()
+    parts.surface[parts.surface_at[lost]] ^= 1
+    _, _, restored = parts.encode(pa.array(given))
+    assert restored.tolist() == [lost not in x for x in ids]
+
+
 def test_unigram_model_keeps_its_scores():
     def part(number, data):
         return bytes([number << 3 | 2, len(data)]) + data
