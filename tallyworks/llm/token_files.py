@@ -19,11 +19,11 @@ lies whole in one file; an empty table gives no rows; other columns are not read
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +32,9 @@ from tallyworks.llm.arrays import ranges, space_words, text_blocks, word_spans
 from tallyworks.operators.ordering import running_total
 from tallyworks.session import fresh_path, materialize
 
+# Parts that need no Unicode normalising, in RE2's form.
+SIMPLE = "^[!-&(-~À-ÖØ-öø-ÿ]+$"
+
 
 class WordEncoder:
     """Ids of texts by a word-splitting BPE tokenizer file, each distinct part encoded once.
@@ -54,30 +57,48 @@ class WordEncoder:
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends = np.zeros(size, bool)
         self.ends[[i for piece, i in self.whole.get_vocab().items() if piece.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
         self.held = held
-        self.simple = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ<]+").fullmatch
-
-    def _encode(self, parts: list[str]) -> None:
-        simple, rest = [], []
-        for p in parts:
-            plain = p.isascii() and p.isalnum() or self.simple(p) and "<|" not in p
-            (simple if plain else rest).append(p)
+        self._forget()
+
+    def _forget(self) -> None:
+        """No known parts: ``ids`` holds the ids of all parts, ``first`` and ``size`` say where those of each are."""
+        self.known = pa.array([], pa.large_string())
+        self.ids = np.zeros(0, self.kind)
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _joined(self, parts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of simple parts, many in one call, and how many each has; None if the library cuts them otherwise."""
+        edges = pa.array([*range(0, len(parts), 500), len(parts)], pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(edges, parts), pa.scalar(" ", parts.type)).to_pylist()
+        ids = np.concatenate([np.asarray(e.ids, self.kind)
+                              for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)])
+        cuts = np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))
+        return (ids, np.diff(cuts)) if len(cuts) == len(parts) + 1 and cuts[-1] == len(ids) else None
+
+    def _learn(self, parts: pa.LargeStringArray) -> None:
+        """Add parts that are not known yet, in their order."""
+        plain = pc.and_(pc.match_substring_regex(parts, SIMPLE), pc.invert(pc.match_substring(parts, "<|")))
+        plain = plain.to_numpy(zero_copy_only=False)
+        simple, rest = np.flatnonzero(plain), [np.flatnonzero(~plain)]
+        found = [(np.zeros(0, np.int64), self.ids[:0], np.zeros(0, np.int64))]
         for at in range(0, len(simple), 20_000):
-            part = simple[at:at + 20_000]
-            got = self.plain.encode_batch_fast([" ".join(part[i:i + 500]) for i in range(0, len(part), 500)],
-                                               add_special_tokens=False)
-            ids = np.concatenate([np.asarray(e.ids, self.kind) for e in got])
-            cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
-            if len(cuts) != len(part) + 1 or cuts[-1] != len(ids):
-                rest += part
-                continue
-            data, wide = ids.tobytes(), self.kind.itemsize
-            self.known.update((p, data[a * wide:b * wide]) for p, a, b in zip(part, cuts[:-1], cuts[1:]))
+            some = simple[at:at + 20_000]
+            got = self._joined(parts.take(pa.array(some)))
+            if got is None:
+                rest.append(some)
+            else:
+                found.append((some, *got))
+        rest = np.concatenate(rest)
         for at in range(0, len(rest), 5000):
-            part = rest[at:at + 5000]
-            for word, e in zip(part, self.whole.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.asarray(e.ids, self.kind).tobytes()
+            some = rest[at:at + 5000]
+            each = [e.ids for e in self.whole.encode_batch_fast(parts.take(pa.array(some)).to_pylist(), add_special_tokens=False)]
+            found.append((some, np.array([i for ids in each for i in ids], self.kind), np.array([len(ids) for ids in each])))
+        which, ids, sizes = (np.concatenate(x) for x in zip(*found))
+        first, size = np.empty(len(parts), np.int64), np.empty(len(parts), np.int64)
+        first[which], size[which] = len(self.ids) + np.cumsum(sizes) - sizes, sizes
+        self.known = pa.concat_arrays([self.known, parts])
+        self.ids = np.concatenate([self.ids, ids])
+        self.first, self.size = np.append(self.first, first), np.append(self.size, size)
 
     def encode(self, buf: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``end_id``, and how many each has."""
@@ -86,17 +107,20 @@ class WordEncoder:
         # parts fill the words without a gap, so their bytes are all but the white space
         parts = pa.LargeStringArray.from_buffers(
             len(starts), pa.py_buffer(places), pa.py_buffer(buf[space_words()[buf]])).dictionary_encode()
-        distinct = parts.dictionary.to_pylist()
         if len(self.known) > self.held:
-            self.known = {}
-        self._encode([p for p in distinct if p not in self.known])
-        held = [self.known[p] for p in distinct] + [np.asarray([end_id], self.kind).tobytes()]
-        flat = np.frombuffer(b"".join(held), self.kind)
-        size = np.array([len(x) // self.kind.itemsize for x in held])
-        stop = np.cumsum(size)
-        order = np.insert(parts.indices.to_numpy(zero_copy_only=False).astype(np.int64), first[1:], len(distinct))
+            self._forget()
+        found = pc.index_in(parts.dictionary, value_set=self.known)
+        new = found.is_null()
+        at = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[new.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(found.null_count)
+        if found.null_count:
+            self._learn(parts.dictionary.filter(new))
+        # the end of a text is one part more
+        flat = np.append(self.ids, np.asarray([end_id], self.kind))
+        begin, size = np.append(self.first[at], len(self.ids)), np.append(self.size[at], 1)
+        order = np.insert(parts.indices.to_numpy(zero_copy_only=False).astype(np.int64), first[1:], len(at))
         total = np.concatenate(([0], np.cumsum(size[order])))
-        take, _ = ranges((stop - size)[order], stop[order])
+        take, _ = ranges(begin[order], (begin + size)[order])
         return flat[take], np.diff(total[first + np.arange(len(first))])
 
 

@@ -1,6 +1,7 @@
 """Classifiers, rules, encoders, token files and shards."""
 
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -202,6 +203,29 @@ def test_unigram_model_keeps_its_scores():
     assert encoder.decode([1, 3, 1]) == "ab a"
 
 
+def test_known_parts_are_arrays():
+    """Most parts of a corpus are rare words: none becomes an object of its own, known, new and forgotten ones keep their ids."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(WORDS)
+    given = ["", *STRANGE, "it's a<|b <| < | Öx×y", "one two one", *STRANGE[::-1], ""]
+    for held in (0, 250_000):
+        encoder = token_files.WordEncoder(WORDS, held)
+        for texts in (given, given[5:], given[:3], ["", " "], given):
+            ids, count = encoder.encode(*text_bytes(pa.array(texts)), 1)
+            stop = np.cumsum(count)
+            assert [ids[a:b].tolist() for a, b in zip(stop - count, stop)] == [
+                whole.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    buf, offs = text_bytes(pa.array([" ".join(f"{chr(97 + i % 26)}q{chr(97 + i // 26 % 26)}z{chr(97 + i // 676 % 26)}"
+                                              f"{chr(97 + i // 17576)}" for i in range(100_000))]))
+    tracemalloc.start()
+    try:
+        encoder.encode(buf, offs, 1)
+        assert tracemalloc.get_traced_memory()[0] < 50 * 100_000
+    finally:
+        tracemalloc.stop()
+
+
 def test_token_files(spark):
     from tokenizers import Tokenizer
 
