@@ -117,7 +117,9 @@ class Index:
         """(phrase, word position in the shard) of every occurrence."""
         if not self.n or not len(phrases.rows):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        which = np.flatnonzero(phrases.rows.max(axis=1) < len(self.before) - 1)
+        here = np.zeros(max(int(phrases.rows.max()) + 1, len(self.before) - 1), bool)
+        here[:len(self.before) - 1] = np.diff(self.before) > 0
+        which = np.flatnonzero(here[phrases.rows].all(axis=1))
         low, high = np.zeros(len(which), np.int64), np.full(len(which), self.n)
         for back in range(phrases.rows.shape[1]):
             at = phrases.length[which] - 1 - back
@@ -140,7 +142,7 @@ def _search(phrases: Phrases):
     shortest = int(phrases.length.min()) if len(phrases.length) else 1
 
     def run(batches):
-        for rows, buf, offs in text_blocks(batches, size=1 << 23):
+        for rows, buf, offs in text_blocks(batches):
             hashes, first = _words(buf, offs)
             text = np.repeat(np.arange(len(rows)), np.diff(first))
             numbers = np.ones(len(hashes), np.int64)
@@ -189,24 +191,38 @@ def _item_blocks(benchmark: DataFrame, size: int) -> Iterator[list[tuple[str, st
         yield block
 
 
+_HITS = f"doc_id long, n_words long, spans {_SPANS}, items array<string>"
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, block_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_words, spans, items) of every document: merged word spans that
     occurring windows of ``width`` item words cover, and the items they come from."""
+    return _contamination(docs, benchmark, width, block_bytes, iter, _HITS)
+
+
+def _in_one(first, then):
+    """Both steps in one Python worker; a ``mapInArrow`` after another keeps a second worker for each task."""
+    def run(batches):
+        return then(first(batches))
+    return run
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, width: int, block_bytes: int, then, schema: str) -> DataFrame:
+    """What ``then`` makes of the batches of every document's hits."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = f"doc_id long, n_words long, spans {_SPANS}, items array<string>"
     blocks, found = _item_blocks(benchmark, block_bytes), []
     block, following = next(blocks, []), next(blocks, None)
     if following is None:
-        return texts.mapInArrow(_search(Phrases(block, width)), schema)
+        return texts.mapInArrow(_in_one(_search(Phrases(block, width)), then), schema)
     while block:
-        found.append(materialize(texts.mapInArrow(_search(Phrases(block, width)), schema), "hits"))
+        found.append(materialize(texts.mapInArrow(_search(Phrases(block, width)), _HITS), "hits"))
         block, following = following, next(blocks, None)
     every = found[0]
     for more in found[1:]:
         every = every.unionAll(more)
     return every.groupBy("doc_id").agg(
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
-        F.flatten(F.collect_list("items")).alias("items")).mapInArrow(_merge_rows, schema)
+        F.flatten(F.collect_list("items")).alias("items")).mapInArrow(_in_one(_merge_rows, then), schema)
 
 
 def _merge_rows(batches):
@@ -232,10 +248,13 @@ def _digests(batches):
             ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
 
-def contamination_digests(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:
+_DIGEST = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+
+
+def contamination_digests(docs: DataFrame, benchmark: DataFrame, width: int = 13,
+                          block_bytes: int = 4 << 20) -> DataFrame:
     """Hit words and items of every document; contaminated at a twentieth of its words."""
-    return contamination(docs, benchmark, width).mapInArrow(
-        _digests, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return _contamination(docs, benchmark, width, block_bytes, _digests, _DIGEST)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 13) -> DataFrame:

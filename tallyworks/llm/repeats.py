@@ -36,6 +36,10 @@ from tallyworks.llm.arrays import (
 from tallyworks.session import discard, materialize
 
 
+# Bytes of text handled at once: a byte takes about 50 bytes of hashes and sums meanwhile.
+_TEXT_BYTES = 1 << 18
+
+
 @dataclass(frozen=True)
 class Windows:
     """What is compared: ``unit`` 'word' or 'byte', and which of equal windows go.
@@ -87,7 +91,7 @@ def _nodes(rule: Windows, roll: Rolling, first: np.ndarray):
 def _anchor_rows(rule: Windows):
     """Anchors with their gram's hash, their place, and a mark of (symbols, place) that texts with equal symbols share."""
     def run(batches):
-        for rows, buf, offs in text_blocks(batches):
+        for rows, buf, offs in text_blocks(batches, size=_TEXT_BYTES):
             roll, _, first = _symbols(rule, buf, offs)
             anchor, _, _, text, gram = _nodes(rule, roll, first)
             ids = rows.column("doc_id").take(pa.array(text))
@@ -120,7 +124,7 @@ def _lists(column: pa.Array):
 def _first_nodes(rule: Windows):
     """Nodes of the anchors that a text's list ``ats`` names."""
     def run(batches):
-        for rows, buf, offs in text_blocks(batches):
+        for rows, buf, offs in text_blocks(batches, size=_TEXT_BYTES):
             roll, guard, first = _symbols(rule, buf, offs)
             anchor, lo, hi, text, gram = _nodes(rule, roll, first)
             ats, of = _lists(rows.column("ats"))
@@ -133,7 +137,7 @@ def _first_nodes(rule: Windows):
 def _smaller_nodes(rule: Windows, size: int):
     """Nodes of a text's list ``nodes`` cut into blocks of ``size`` offsets from the anchor."""
     def run(batches):
-        for rows, buf, offs in text_blocks(batches):
+        for rows, buf, offs in text_blocks(batches, size=_TEXT_BYTES):
             roll, guard, first = _symbols(rule, buf, offs)
             given, of = _lists(rows.column("nodes"))
             at, lo, hi = (given.field(k).to_numpy() + first[of] for k in ("at", "lo", "hi"))
@@ -180,7 +184,7 @@ class Found:
 
 def _word_digests(batches):
     """Digest of each text's words, each followed by one space; texts without words are left out."""
-    for rows, buf, offs in text_blocks(batches):
+    for rows, buf, offs in text_blocks(batches, size=_TEXT_BYTES):
         starts, ends, first = word_spans(buf, offs, space_words())
         size = ends - starts + 1
         stops = np.cumsum(size)

@@ -3,15 +3,18 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyworks.llm import contamination, minhash, substrings, suffixes
+from tallyworks.llm import contamination, minhash, repeats, substrings, suffixes
 from tallyworks.llm.contamination import Index, Phrases
+from tests.conftest import executed_plan
 from tests.llm.small import by_id, documents, odd_documents, rows, sentence
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -302,3 +305,35 @@ def test_text_longer_than_a_block(spark):
     items = [(1, " ".join(PLAIN.findall(long)[70_000:70_030]))]
     found = by_id(contamination.contamination_digests(df, spark.createDataFrame(items, "item_id long, text string")))
     assert {i: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for i, r in found.items()} == hits_of(given, items)
+
+
+@pytest.mark.parametrize("size", [{}, {"block_bytes": 1}])
+def test_hits_and_their_digests_share_a_worker(spark, size):
+    """Two Python steps in a row would keep two workers for each task until the application ends."""
+    given, items = rows(), [(1, "Eins"), (2, " ".join(PLAIN.findall(lower(rows()[7][1] or "a b"))[:20]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = contamination.contamination_digests(documents(spark), benchmark, **size)
+    assert executed_plan(found).count("MapInArrow") == 1
+    assert {i: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated)
+            for i, r in by_id(found).items()} == hits_of(given, items)
+
+
+def test_memory_of_a_task_does_not_grow_with_its_batch():
+    """Eight MB of texts in one batch: what a step holds beside the batch is that of a block."""
+    rng = random.Random(4)
+    pool = [sentence(rng, 50) for _ in range(200)]
+    texts = [" ".join(f"{pool[rng.randrange(100, 200)]} n{k}" for _ in range(10)) for k in range(2600)]
+    texts[7] += f" {pool[3]}"
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": texts})
+    assert sum(map(len, texts)) > 7 << 20
+    search = contamination._search(contamination.Phrases([(str(k), t) for k, t in enumerate(pool[:5])], 13))
+    steps = {"search": (search, 120), "anchors": (repeats._anchor_rows(substrings.word_windows()), 20),
+             "digests": (repeats._word_digests, 30)}
+    for name, (run, most) in steps.items():
+        tracemalloc.start()
+        try:
+            n = sum(len(b) for b in run([batch]))
+            peak = tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+        assert n and peak < most, (name, peak)
