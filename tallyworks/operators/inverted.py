@@ -1,10 +1,11 @@
 """Text weights as an inverted index, and best-n search that skips what cannot reach the result.
 
-``build`` stores postings (word, block, text, weight) in hash ranges of the words, sorted by
+``build`` stores the blocks of texts (``text_blocks``) and, inverted, a row per word and block: the
+places of the texts that have the word, how often, and the highest weight. These rows lie in hash ranges of the words, sorted by
 word hash and block, so the statistics of a file's row groups tell which words and blocks it
 holds. A block is some thousand texts of about the same number of words: short texts have high
-weights, so blocks differ in what they can reach. Next to the postings stand the
-bounds: each word's highest weight in each block.
+weights, so blocks differ in what they can reach. The highest weights are the bounds; they are read
+without the texts. Lengths and keys stand with the blocks, so a posting is a place and a count.
 
 ``search`` adds up, per block, query weight times bound. The blocks with the highest sums
 are scored in full; the n-th best score there is a threshold, and of the other
@@ -24,16 +25,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.functions.cells import words
+from tallyworks.operators import text_blocks
 from tallyworks.operators.words import ZERO_WEIGHT, explode_words
+from tallyworks.session import discard, free_shuffles
 
-# Texts of a block, and postings of a hash range, on average.
+# Texts of a block at most, and postings of a hash range on average.
 BLOCK_TEXTS = 2048
 RANGE_POSTINGS = 4_000_000
+# Postings are dealt out in so many (two to this power) passes at most; a pass's shuffle goes before the next.
+PASS_BITS = 2
 # Ranges of word hashes, or of blocks, that one scan is asked for.
 RANGES = 32
 CELLS = 4096
-# Size classes are powers of two of the number of words; blocks of one class are numbered within it.
-_CLASS_BLOCKS = 1 << 32
 # Scores are compared when rounded; a bound may be this much short of the threshold.
 SLACK = 1e-8
 
@@ -47,28 +50,42 @@ def _range(h: Column, bits: int) -> Column:
 
 
 def build(weights: DataFrame, key: str, idf: DataFrame, path: str) -> None:
-    """Store (key, word, weight) rows and the (word, df, idf) vocabulary as an index under ``path``."""
-    sizes = weights.groupBy(key).agg(F.count(F.lit(1)).alias("__size"))
-    texts, postings = sizes.agg(F.count(F.lit(1)), F.sum("__size")).first()
-    slices = max(1, -(-texts // BLOCK_TEXTS))
-    bits = min(12, max(0, ((postings or 0) // RANGE_POSTINGS).bit_length()))
-    block = F.floor(F.log2("__size")).cast("long") * F.lit(_CLASS_BLOCKS) + F.pmod(F.xxhash64(key), F.lit(slices))
-    placed = weights.join(sizes, key).select(
-        _hash(F.col("word")).alias("h"), block.alias("block"), key, "word", "weight")
-    _store(placed, ["h", "block", key], bits, f"{path}/postings")
-    stored = weights.sparkSession.read.schema(_schemas(key, weights.schema[key].dataType.simpleString())["postings"])
-    bounds = stored.parquet(f"{path}/postings").groupBy("h", "word", "block").agg(F.max("weight").alias("top"), F.count(F.lit(1)).alias("n"))
-    _store(bounds, ["h", "block"], bits, f"{path}/bounds")
+    """Store (key, word, weight) rows and the (word, df, idf) vocabulary as an index under ``path``.
+
+    Weights of ``text_weights`` come with their blocks; others are put into blocks first.
+    """
+    spark, kind = weights.sparkSession, weights.schema[key].dataType.simpleString()
+    blocks = getattr(weights, "text_blocks", None)
+    own = None if blocks else text_blocks.plain(weights, key, BLOCK_TEXTS)
+    blocks = blocks or own
+    blocks.write.options(**text_blocks.WIDE).parquet(f"{path}/texts")
+    postings = blocks.agg(F.sum("n")).first()[0] or 0
+    bits = min(12, max(0, (postings // RANGE_POSTINGS).bit_length()))
+    for i in range(1 << min(bits, PASS_BITS)):
+        _store_postings(blocks, bits, i, f"{path}/postings")
+        free_shuffles(spark)
     _store(idf.select(_hash(F.col("word")).alias("h"), "word", "df", "idf"), ["h"], bits, f"{path}/vocabulary")
-    kind = weights.schema[key].dataType.simpleString()
-    weights.sparkSession.createDataFrame([(bits, key, kind)], "bits int, key string, kind string").coalesce(1).write.parquet(
-        f"{path}/about")
+    spark.createDataFrame([(bits, key, kind)], "bits int, key string, kind string").coalesce(1).write.parquet(f"{path}/about")
+    if own:
+        discard(own)
+
+
+def _store_postings(blocks: DataFrame, bits: int, i: int, path: str) -> None:
+    """The ``i``-th part of the hash ranges, sorted by hash and block. Hashes are spread evenly and dealt to two
+    tasks a range, so no sample of the rows is needed."""
+    first, tasks = min(bits, PASS_BITS), 2 << max(0, bits - PASS_BITS)
+    h = _hash(F.col("word"))
+    dealt = text_blocks.inverted(blocks).where(_range(h, first) == i).repartitionById(tasks, F.pmod(_range(h, bits + 1), F.lit(tasks)))
+    rows = dealt.select(h.alias("h"), "block", "word", "factor", F.size("slots").cast("long").alias("n"), "top", "slots", "values")
+    rows.withColumn("range", _range(F.col("h"), bits)).sortWithinPartitions("range", "h", "block").write.mode("append").partitionBy(
+        "range").options(**{"compression": "zstd", "parquet.block.size": 1 << 20}).parquet(path)
 
 
 def _schemas(key: str, kind: str) -> dict[str, str]:
     """Schemas of the parts; an empty part has no file to tell one."""
-    return {"postings": f"h long, block long, `{key}` {kind}, word string, weight double, range int",
-            "bounds": "h long, word string, block long, top double, n long, range int",
+    return {"texts": text_blocks.schema(f"array<{kind}>"),
+            "postings": "h long, block long, word string, factor double, n long, top double, slots array<int>, "
+                        "values array<double>, range int",
             "vocabulary": "h long, word string, df long, idf double, range int"}
 
 
@@ -114,14 +131,14 @@ class Index:
 
     def weights(self) -> DataFrame:
         """(key, word, weight) as given."""
-        return self._part("postings").select(self.key, "word", "weight")
+        return text_blocks.expanded(self._part("texts"), self.key)
 
     def vocabulary(self) -> DataFrame:
         return self._part("vocabulary").select("word", "df", "idf")
 
     def word_bounds(self) -> DataFrame:
         """(word, texts, top): texts that hold a word, and its highest weight."""
-        return self._part("bounds").groupBy("word").agg(
+        return self._part("postings").groupBy("word").agg(
             F.sum("n").alias("texts"), F.max("top").alias("top"))
 
     def query(self, texts: DataFrame, text: str, cut: Callable[[Column], Column] = words) -> list[tuple[str, int, float]]:
@@ -139,11 +156,17 @@ class Index:
 
     def _scores(self, query: DataFrame, hashes: list[int], blocks: Column) -> DataFrame:
         met = self._read("postings", hashes).where(blocks).join(query, ["h", "word"])
-        return met.groupBy(self.key).agg(F.sum(F.col("weight") * F.col("query_weight")).alias("similarity"))
+        products = met.select("block", (F.col("factor") * F.col("query_weight")).alias("x"),
+                              F.explode(F.arrays_zip("slots", "values")).alias("p"))
+        sums = products.groupBy("block", F.col("p.slots").alias("slot")).agg(F.sum(F.col("p.values") * F.col("x")).alias("x"))
+        texts = self._part("texts").where(blocks).select(
+            "block", F.posexplode(F.arrays_zip("keys", "lengths")).alias("slot", "t"))
+        return sums.join(texts, ["block", "slot"]).select(
+            F.col("t.keys").alias(self.key), (F.col("x") / F.col("t.lengths")).alias("similarity"))
 
     def block_limits(self, query: DataFrame, hashes: list[int]) -> DataFrame:
         """(block, most): no text of the block has a higher score."""
-        return self._read("bounds", hashes).join(query, ["h", "word"]).groupBy("block").agg(
+        return self._read("postings", hashes).join(query, ["h", "word"]).groupBy("block").agg(
             F.sum(F.col("top") * F.col("query_weight")).alias("most"))
 
     def search(self, query: list[tuple[str, int, float]], n: int = 20, first: int = 8) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.cells import letter_words, words
 from tallyworks.functions.fixed_values import CJK_RUN
+from tallyworks.operators import text_blocks
 from tallyworks.operators.joins import lookup_join, remove_stop_words
 from tallyworks.session import materialize
 
@@ -56,31 +57,27 @@ def term_counts(df: DataFrame, key: str, text: str, cut: Callable[[Column], Colu
         F.count(F.lit(1)).cast("bigint").alias("tf"))
 
 
-def inverse_frequency(counts: DataFrame, n_texts: int) -> DataFrame:
-    """df, the number of texts, and log2(N / df) per word."""
-    df = counts.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    return df.withColumn("idf", F.log2(F.lit(float(n_texts)) / F.col("df")))
-
-
-def _unit(weighted: DataFrame, key: str) -> DataFrame:
-    """Scale each text to length 1. One window group is one text's words."""
-    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(key)))
-    kept = weighted.where(F.abs("weight") > ZERO_WEIGHT)
-    return kept.withColumn("weight", F.col("weight") / length)
-
-
 def text_weights(df: DataFrame, key: str, text: str,
                  cut: Callable[[Column], Column] = words) -> tuple[DataFrame, DataFrame]:
     """(key, word, weight) with weight = tf * log2(N / df), each text of length
-    1, and the (word, df, idf) table that a query needs.
+    1, and the (word, df, idf) table that a query needs. N is the number of rows; rows of one key are one text.
 
-    Counts and frequencies are stored once, as several steps read them.
+    The weights are read from stored blocks of texts (``text_blocks``), which an index is built from;
+    ``discard(weights)`` deletes them. No row per text and word is moved or stored, unless keys repeat: then
+    words are counted per key first, and a key's distinct words are held as one row.
     """
-    counts = materialize(term_counts(df, key, text, cut), "term-counts")
-    idf = materialize(inverse_frequency(counts, df.count()), "idf")
-    weighted = lookup_join(counts, idf.drop("df"), ["word"], "inner").select(
-        key, "word", (F.col("tf") * F.col("idf")).alias("weight"))
-    return _unit(weighted, key), idf
+    from tallyworks.operators import inverted  # it imports this module
+
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    if (rows["most"] or 0) <= 1:
+        counts = df.select(key, cut(F.col(text)).alias("words"))
+    else:
+        pairs = term_counts(df, key, text, cut).groupBy(key).agg(F.collect_list(F.struct("word", "tf")).alias("w"))
+        counts = pairs.select(key, F.col("w.word").alias("words"), F.col("w.tf").alias("values"))
+    blocks, idf = text_blocks.weighted(counts, rows["n"] or 0, inverted.BLOCK_TEXTS, ZERO_WEIGHT)
+    weights = text_blocks.expanded(blocks, key)
+    weights.text_blocks, weights.stored_path = blocks, blocks.stored_path
+    return weights, idf
 
 
 def query_weights(query: DataFrame, text: str, idf: DataFrame,

@@ -7,7 +7,7 @@ from tallyworks.operators import words as text
 from tallyworks.operators.statistics import value_counts
 from tallyworks.plans.inputs import LABELLED_SQL, WEIGHTS_SQL, labelled_documents
 from tallyworks.plans.registry import query, rounded
-from tallyworks.session import fresh_path
+from tallyworks.session import discard, fresh_path
 from tallyworks.sources import documents, files, models, pages
 
 PART_SCHEMA = ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
@@ -170,4 +170,6 @@ def saved_model(t):
     path = fresh_path(t.spark, "text-model")
     weights, idf = text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text")
     models.save_text_model(weights, "doc_id", idf, path)
+    for stored in (weights, idf):
+        discard(stored)
     return models.load_text_model(t.spark, path).weights().withColumn("weight", rounded("weight"))

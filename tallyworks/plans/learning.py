@@ -7,7 +7,7 @@ from tallyworks.operators import evaluation, features, learners, words as text
 from tallyworks.operators.quantiles import exact_quantiles
 from tallyworks.plans.inputs import WEIGHTS_SQL, WORDS_SQL
 from tallyworks.plans.registry import query, rounded
-from tallyworks.session import fresh_path, materialize
+from tallyworks.session import discard, fresh_path, materialize
 from tallyworks.sources import files, models
 
 PART_FEATURES = ["p_size", "p_brand_code", "p_type_code", "p_partkey_part"]
@@ -180,6 +180,8 @@ def text_model(t):
         path = fresh_path(t.spark, "text-model")
         weights, idf = text.text_weights(t.texts("documents", "doc_id", "text"), "doc_id", "text")
         models.save_text_model(weights, "doc_id", idf, path)
+        for stored in (weights, idf):
+            discard(stored)
         _text_models[key] = path
     return models.load_text_model(t.spark, _text_models[key])
 

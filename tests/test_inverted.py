@@ -1,13 +1,16 @@
 """Best-n search on the inverted index against all scores; what it leaves unread."""
 
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tallyworks.operators import inverted, words
+from tallyworks.operators import inverted, text_blocks, words
+from tallyworks.session import discard
 from tests.conftest import executed_plan
 
 
@@ -116,3 +119,56 @@ def test_empty_table(spark, tmp_path):
     index = inverted.Index(spark, f"{tmp_path}/i")
     assert index.search(index.query(spark.createDataFrame([("a",)], "t string"), "t")).count() == 0
     assert index.word_bounds().agg(F.count(F.lit(1))).first()[0] == 0
+
+
+def weights_by_hand(texts):
+    """{(key, word): weight} of (key, text) rows; rows of one key are one text."""
+    tf = {}
+    for key, text in texts:
+        for word in (text or "").split():
+            tf[key, word] = tf.get((key, word), 0) + 1
+    df = Counter(word for _, word in tf)
+    raw = {k: n * math.log2(len(texts) / df[k[1]]) for k, n in tf.items()}
+    length = defaultdict(float)
+    for (key, _), x in raw.items():
+        length[key] += x * x
+    return {k: x / math.sqrt(length[k[0]]) for k, x in raw.items() if abs(x) > 1e-12}
+
+
+ODD = [(1, "a b b c"), (2, None), (3, ""), (None, "a c"), (4, "a"), (5, "d d d"), (6, "e a")]
+
+
+@pytest.mark.parametrize("texts", [ODD, [*ODD, (1, "b x"), (None, "a y"), (None, "a y"), (4, None)], corpus(3)])
+@pytest.mark.parametrize("size", [4, 1 << 20])
+def test_weights_and_bounds_by_hand(spark, tmp_path, monkeypatch, texts, size):
+    """Null and repeated keys, texts without words, blocks of a few words."""
+    monkeypatch.setattr(text_blocks, "BLOCK_WORDS", size)
+    monkeypatch.setattr(inverted, "RANGE_POSTINGS", 20)
+    df = spark.createDataFrame(texts, "id long, t string").coalesce(2)
+    want = weights_by_hand(texts)
+    weights, idf = words.text_weights(df, "id", "t")
+    inverted.build(weights, "id", idf, f"{tmp_path}/own")
+    inverted.build(spark.createDataFrame(weights.collect(), weights.schema), "id", idf, f"{tmp_path}/given")
+    for got in (weights, inverted.Index(spark, f"{tmp_path}/own").weights(), inverted.Index(spark, f"{tmp_path}/given").weights()):
+        found = {(r["id"], r["word"]): r["weight"] for r in got.collect()}
+        assert found == pytest.approx(want) and got.count() == len(want)
+    for at in ("own", "given"):
+        bounds = {r["word"]: (r["texts"], r["top"]) for r in inverted.Index(spark, f"{tmp_path}/{at}").word_bounds().collect()}
+        assert set(bounds) == {w for _, w in want}
+        for word, (n, top) in bounds.items():
+            assert n == sum(w == word for _, w in want) and top == pytest.approx(max(x for (_, w), x in want.items() if w == word))
+
+
+def test_no_row_per_text_and_word_is_moved_or_stored(spark, tmp_path):
+    """Weights are read from blocks without a shuffle; the index has a row per block and word, and the blocks go with ``discard``."""
+    texts = [(i, " ".join(f"w{(i + k) % 50}" for k in range(20))) for i in range(2000)]
+    df = spark.createDataFrame(texts, "id long, t string").coalesce(1)
+    weights, idf = words.text_weights(df, "id", "t")
+    assert "Exchange" not in executed_plan(weights) and "Window" not in executed_plan(weights)
+    inverted.build(weights, "id", idf, f"{tmp_path}/i")
+    discard(weights)
+    assert spark.read.parquet(f"{tmp_path}/i/postings").count() == 50
+    index = inverted.Index(spark, f"{tmp_path}/i")
+    assert index.weights().count() == 40_000
+    query = index.query(spark.createDataFrame([("w3 w4",)], "t string"), "t")
+    assert len(index.search(query, 5).collect()) == 5
