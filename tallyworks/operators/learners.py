@@ -20,11 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tallyworks.functions.cells import words
-from tallyworks.operators import lasso as lasso_path
+from tallyworks.operators import forests, lasso as lasso_path
 from tallyworks.operators.features import best_powers, in_training_part, scaled_like, yeo_johnson
 from tallyworks.session import materialize
 
 SEED = 42
+# Rows that the trees of a forest on the driver may have together; a row can become two nodes of some 400 bytes.
+FOREST_ROWS = 500_000
 
 
 def split(df: DataFrame, key: str, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -39,6 +41,14 @@ def forest(label: str, features: str = "features", depth: int = 20, bins: int =
                                  numTrees=trees, maxMemoryInMB=1024, seed=SEED)
 
 
+def forest_predicted(train: DataFrame, test: DataFrame, forest: RandomForestRegressor) -> DataFrame:
+    """``test`` with a forest's predictions. Spark's forest keeps all trees on the driver, so it is used while they can have
+    ``FOREST_ROWS`` rows in all; larger ones are grown in tasks (``forests``)."""
+    if train.count() * forest.getNumTrees() <= FOREST_ROWS:
+        return forest.fit(train).transform(test)
+    return forests.predicted(train, test, forest)
+
+
 def tree(label: str, features: str = "features", depth: int = 20, bins: int = 128) -> DecisionTreeRegressor:
     return DecisionTreeRegressor(labelCol=label, featuresCol=features, maxDepth=depth, maxBins=bins,
                                  maxMemoryInMB=1024, seed=SEED)

@@ -74,3 +74,26 @@ def test_callers_model_scores_texts(spark):
     assert got == {"bad day": "negative", "fine": "positive", "": "positive"}
 
 
+@pytest.mark.parametrize("rows", [10**6, 150])
+def test_forest_grown_in_tasks(points, monkeypatch, rows):
+    """Above a number of rows no tree comes to the driver; cut or not, it predicts about as Spark's forest does."""
+    train, test = learners.split(points, "id")
+    estimator = learners.forest("label", depth=8, trees=10)
+    spark_r2 = evaluation.measures(estimator.fit(train).transform(test), "label").first()["r2"]
+    monkeypatch.setattr(learners, "FOREST_ROWS", 0)
+    monkeypatch.setattr(learners.forests, "TASK_ROWS", rows)
+    monkeypatch.setattr(type(estimator), "fit", lambda *_: pytest.fail("fitted on the driver"))
+    got = learners.forest_predicted(train, test, estimator)
+    assert got.columns == [*test.columns, "prediction"]
+    assert got.count() == test.count() == got.select("id").distinct().count()
+    found = evaluation.measures(got, "label").first()
+    assert found["r2"] > 0.5 and abs(found["r2"] - spark_r2) < 0.1
+    again = evaluation.measures(learners.forest_predicted(train, test, estimator), "label").first()
+    assert again["mse"] == pytest.approx(found["mse"])
+
+
+def test_deep_tree_of_distinct_points_repeats_its_rows(points, monkeypatch):
+    """With depth and trees enough, the rows that were learned are predicted closely."""
+    monkeypatch.setattr(learners, "FOREST_ROWS", 0)
+    got = learners.forest_predicted(points, points, learners.forest("label", depth=20, trees=20))
+    assert evaluation.measures(got, "label").first()["r2"] > 0.97
