@@ -75,7 +75,7 @@ def _store_postings(blocks: DataFrame, bits: int, i: int, path: str) -> None:
     tasks a range, so no sample of the rows is needed."""
     first, tasks = min(bits, PASS_BITS), 2 << max(0, bits - PASS_BITS)
     h = _hash(F.col("word"))
-    dealt = text_blocks.inverted(blocks).where(_range(h, first) == i).repartitionById(tasks, F.pmod(_range(h, bits + 1), F.lit(tasks)))
+    dealt = text_blocks.inverted(blocks, lambda w: _range(_hash(w), first) == i).repartitionById(tasks, F.pmod(_range(h, bits + 1), F.lit(tasks)))
     rows = dealt.select(h.alias("h"), "block", "word", "factor", F.size("slots").cast("long").alias("n"), "top", "slots", "values")
     rows.withColumn("range", _range(F.col("h"), bits)).sortWithinPartitions("range", "h", "block").write.mode("append").partitionBy(
         "range").options(**{"compression": "zstd", "parquet.block.size": 1 << 20}).parquet(path)

@@ -13,13 +13,13 @@ inverse frequency, and the length of the text's products.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.session import discard, free_shuffles, materialize
@@ -202,11 +202,16 @@ def expanded(blocks: DataFrame, key: str) -> DataFrame:
     return blocks.mapInArrow(run, f"`{key}` {kind}, word string, weight double")
 
 
-def inverted(blocks: DataFrame) -> DataFrame:
-    """A row per block and word: its highest weight ``top``, and the places and values of the texts that have it."""
+def inverted(blocks: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
+    """A row per block and wanted word: its highest weight ``top``, and the places and values of the texts that have it."""
     def run(batches):
         for batch in batches:
-            for block, words, factors, lengths, _, text, code, value in _coded(batch):
+            some = batch.column(batch.schema.get_field_index("wanted"))
+            for i, (block, words, factors, lengths, _, text, code, value) in enumerate(_coded(batch)):
+                kept = some[i].values.to_numpy(zero_copy_only=False)[code]
+                text, code, value = text[kept], code[kept], value[kept]
+                if not len(code):
+                    continue
                 order = np.argsort(code, kind="stable")
                 weight = (value * factors[code] / lengths[text])[order]
                 known, first = np.unique(code[order], return_index=True)
@@ -221,4 +226,4 @@ def inverted(blocks: DataFrame) -> DataFrame:
                         pa.ListArray.from_arrays(offsets, pa.array(slots[part])),
                         pa.ListArray.from_arrays(offsets, pa.array(values[part]))],
                         ["block", "word", "factor", "top", "slots", "values"])
-    return blocks.mapInArrow(run, "block long, word string, factor double, top double, slots array<int>, values array<double>")
+    return blocks.withColumn("wanted", F.transform("words", wanted)).mapInArrow(run, "block long, word string, factor double, top double, slots array<int>, values array<double>")
